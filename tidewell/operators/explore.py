@@ -78,30 +78,33 @@ def density(df: DataFrame, value: str, points: int = 200) -> DataFrame:
     task are shuffled, however many rows there are.
     """
     extent = _extent(df, value)
-    present = df.filter(F.col(value).isNotNull()).select(
-        F.col(value).cast("double").alias("__v"),
-        extent["low"].alias("__low"),
-        ((extent["high"] - extent["low"]) / (points - 1)).alias("__step"),
-        (extent["std"] * F.pow(extent["n"], F.lit(-0.2))).alias("__h"),
+    low, step = extent["low"], (extent["high"] - extent["low"]) / (points - 1)
+    bandwidth = extent["std"] * F.pow(extent["n"], F.lit(-0.2))
+    scaled = df.filter(F.col(value).isNotNull()).select(
+        ((F.col(value) - low) / bandwidth).alias("v"), (step / bandwidth).alias("step")
     )
 
-    def bump(i: int) -> Column:
-        u = (F.col("__low") + F.col("__step") * i - F.col("__v")) / F.col("__h")
-        return F.sum(F.exp(u * u * -0.5)).alias(f"k{i}")
-
-    sums = present.agg(
-        *[bump(i) for i in range(points)],
-        F.count(F.lit(1)).alias("__n"),
-        F.first("__low").alias("__low"), F.first("__step").alias("__step"), F.first("__h").alias("__h"),
-    )
-    scale = F.col("__n") * F.col("__h") * F.sqrt(F.lit(2.0) * F.pi())
-    return sums.select(
-        "__low", "__step", scale.alias("__scale"),
-        F.posexplode(F.array(*[F.col(f"k{i}") for i in range(points)])).alias("point", "__sum"),
-    ).select(
-        "point",
-        (F.col("__low") + F.col("__step") * F.col("point")).alias("x"),
-        (F.col("__sum") / F.col("__scale")).alias("density"),
+    def kernel_sums(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        sums, seen = np.zeros(points), False
+        for batch in batches:
+            values = batch.column("v").to_numpy()
+            if not len(values):
+                continue
+            seen = True
+            grid = np.arange(points) * batch.column("step")[0].as_py()
+            for start in range(0, len(values), 4096):
+                u = grid[:, None] - values[None, start : start + 4096]
+                sums += np.exp(-0.5 * u * u).sum(axis=1)
+        if seen:
+            yield pa.RecordBatch.from_pydict({"point": np.arange(points, dtype=np.int32), "sum": sums})
+
+    sums = scaled.mapInArrow(kernel_sums, "point int, sum double")
+    scale = extent["n"] * bandwidth * F.sqrt(F.lit(2.0) * F.pi())
+    return sums.groupBy("point").agg(F.sum("sum").alias("__sum")).select(
+        "point", (low + step * F.col("point")).alias("x"), (F.col("__sum") / scale).alias("density")
     )
 
 

@@ -54,9 +54,7 @@ for _name, _key in {
 
 
 @query("""
-    WITH q AS (SELECT c_mktsegment, quantile_cont(c_acctbal, 0.25) AS q1, quantile_cont(c_acctbal, 0.75) AS q3
-               FROM customer GROUP BY c_mktsegment),
-    r AS (SELECT event_type, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3
+    WITH r AS (SELECT event_type, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3
           FROM events GROUP BY event_type)
     SELECT e.event_type, e.event_id, e.value FROM events e JOIN r ON e.event_type = r.event_type
     WHERE NOT e.value BETWEEN q1 - (q3 - q1) * 1.5 AND q3 + (q3 - q1) * 1.5""")

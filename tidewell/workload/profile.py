@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidewell.operators import features
 from tidewell.operators import profile as ops
 from tidewell.workload import query
 
@@ -66,3 +67,90 @@ _LINE = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 @query(_describe_sql("lineitem", _LINE))
 def describe_lineitem(t):
     return _describe(t("lineitem"), _LINE)
+
+
+_EVENT_FEATURES = ["event_id", "user_id", "event_type", "value"]
+
+
+@query("""
+    SELECT 'event_id' AS feature, 'int64_list' AS kind UNION ALL SELECT 'user_id', 'int64_list'
+    UNION ALL SELECT 'event_type', 'bytes_list' UNION ALL SELECT 'value', 'float_list'
+    UNION ALL SELECT DISTINCT 'props.' || unnest(json_keys(props)), 'int64_list' FROM events""")
+def feature_kinds(t):
+    events = t("events").withColumn("props.k", F.get_json_object("props", "$.k").cast("bigint"))
+    renamed = events.withColumnRenamed("props.k", "props_k")
+    out = features.feature_kinds(features.to_records(renamed, [*_EVENT_FEATURES, "props_k"]))
+    return out.withColumn("feature", F.replace("feature", F.lit("props_"), F.lit("props.")))
+
+
+def _stats_sql(source: str, numeric: dict[str, str], text: list[str]) -> str:
+    parts = [f"""
+    SELECT '{c}' AS feature, 'Numeric' AS type, count(*) AS count, count(DISTINCT {x}) AS "unique",
+           round(avg(({x})::DOUBLE), 4) AS mean, NULL AS mode, min({x})::DOUBLE AS min, max({x})::DOUBLE AS max FROM s"""
+             for c, x in numeric.items()]
+    parts += [f"""
+    SELECT '{c}' AS feature, 'Bytes' AS type, sum(n)::BIGINT AS count, count(*) AS "unique", NULL::DOUBLE AS mean,
+           arg_min(v, (-n, v)) AS mode, NULL::DOUBLE AS min, NULL::DOUBLE AS max
+    FROM (SELECT {c} AS v, count(*) AS n FROM s GROUP BY 1)""" for c in text]
+    return f"WITH s AS ({source}) " + " UNION ALL ".join(parts)
+
+
+def _stats(df):
+    numeric = F.col("type") == "Numeric"
+    return df.select(
+        "feature", "type", "count", "unique",
+        F.when(numeric, F.col("mean_or_mode").cast("double")).alias("mean"),
+        F.when(~numeric, F.col("mean_or_mode")).alias("mode"),
+        F.when(numeric, F.col("min").cast("double")).alias("min"),
+        F.when(numeric, F.col("max").cast("double")).alias("max"),
+    )
+
+
+@query(_stats_sql("SELECT * FROM orders", {"o_orderkey": "o_orderkey", "o_custkey": "o_custkey",
+                                           "o_totalprice": "o_totalprice::FLOAT"}, []))
+def feature_stats_numeric(t):
+    return _stats(features.feature_statistics(
+        features.to_records(t("orders"), ["o_orderkey", "o_custkey", "o_totalprice"])))
+
+
+@query(_stats_sql("SELECT * FROM orders", {}, ["o_orderstatus", "o_orderpriority"]))
+def feature_stats_string(t):
+    return _stats(features.feature_statistics(
+        features.to_records(t("orders"), ["o_orderstatus", "o_orderpriority"])))
+
+
+@query(_stats_sql("SELECT * FROM events ORDER BY event_id LIMIT 1000",
+                  {"event_id": "event_id", "user_id": "user_id", "value": "value::FLOAT"}, ["event_type"]))
+def feature_stats_limited(t):
+    records = features.to_records(t("events"), _EVENT_FEATURES, keep=["event_id"])
+    return _stats(features.feature_statistics(records, 1000, ["event_id"]))
+
+
+@query("""
+    WITH s AS (SELECT unnest(embedding)::FLOAT AS v FROM embeddings)
+    SELECT 'embedding' AS feature, 'Numeric' AS type, count(*) AS count, count(DISTINCT v) AS "unique",
+           round(avg(v::DOUBLE), 4) AS mean, NULL AS mode, min(v)::DOUBLE AS min, max(v)::DOUBLE AS max FROM s
+    UNION ALL SELECT 'label', 'Numeric', count(*), count(DISTINCT label), round(avg(label), 4), NULL,
+           min(label)::DOUBLE, max(label)::DOUBLE FROM embeddings""")
+def feature_stats_lists(t):
+    return _stats(features.feature_statistics(features.to_records(t("embeddings"), ["embedding", "label"])))
+
+
+@query("""
+    SELECT n_nationkey, '{' || chr(10) || '  "n_name": [' || chr(10) || '    "' || n_name || '"' || chr(10) || '  ],' || chr(10)
+        || '  "n_nationkey": [' || chr(10) || '    ' || n_nationkey || chr(10) || '  ]' || chr(10) || '}' AS json FROM nation""")
+def record_json(t):
+    records = features.to_records(t("nation"), ["n_nationkey", "n_name"], keep=["n_nationkey"])
+    return records.select("n_nationkey", features.record_json(F.col("record")).alias("json"))
+
+
+@query("""
+    SELECT vec_id, label::VARCHAR AS label,
+           '[' || array_to_string(list_transform(embedding, lambda x: round_even(x::DOUBLE * 1000, 0)::BIGINT::VARCHAR), ', ') || ']' AS scaled
+    FROM embeddings""")
+def flatten_lists(t):
+    scaled = F.transform("embedding", lambda v: F.bround(v.cast("double") * 1000, 0).cast("bigint"))
+    records = features.to_records(
+        t("embeddings").withColumn("scaled", scaled), ["label", "scaled"], keep=["vec_id"])
+    headers = features.first_headers(records, ["vec_id"])
+    return features.flatten_records(records, headers, keep=["vec_id"])
