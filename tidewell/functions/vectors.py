@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
@@ -29,8 +30,8 @@ def dot(x: Column, y: Column) -> Column:
 
 
 def weights(rows: Sequence[Sequence[float]]) -> Column:
-    """A literal matrix, one inner array per output."""
-    return F.array(*[F.array(*[F.lit(float(w)) for w in row]) for row in rows])
+    """A literal matrix, one inner array per output, folded to a constant by the optimizer."""
+    return F.from_json(F.lit(json.dumps([[float(w) for w in row] for row in rows])), "array<array<double>>")
 
 
 def linear(x: Column, matrix: Column) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidewell.operators.ordering import with_position
 
 # The characters that count as white space at the ends of a line.
-WHITE_SPACE = r"\t-\r\x1c-\x20\x85\xa0  -     　"
+WHITE_SPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # Marker and padding tokens.
 START, END, PAD = "[CLS]", "[SEP]", "[PAD]"
 
