@@ -38,6 +38,6 @@ def query(sql: str | None = None, name: str | None = None):
 
 
 def load() -> dict[str, Query]:
-    from tidewell.workload import catalog, explore, profile, series, text  # noqa: F401
+    from tidewell.workload import catalog, explore, ingest, profile, series, text  # noqa: F401
 
     return REGISTRY
