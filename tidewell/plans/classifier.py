@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import time
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.operators.evaluate import evaluation
+from tidewell.session import shared_folder
 
 
 def pipeline(text: str = "text", label: str = "label", features: int = 1 << 16, epochs: int = 20) -> Pipeline:
@@ -23,8 +25,25 @@ def pipeline(text: str = "text", label: str = "label", features: int = 1 << 16,
     ])
 
 
-def train(df: DataFrame, text: str = "text", label: str = "label", **options: int) -> PipelineModel:
-    return pipeline(text, label, **options).fit(df.withColumn(label, F.col(label).cast("double")))
+@dataclass(frozen=True)
+class Trained:
+    """A stored pipeline model and its objective after each pass over the data."""
+
+    path: str
+    history: tuple[float, ...]
+
+    @property
+    def model(self) -> PipelineModel:
+        return PipelineModel.load(self.path)
+
+
+def train(df: DataFrame, text: str = "text", label: str = "label", path: str | None = None, **options: int) -> Trained:
+    """Fit and store. Scoring loads the stored model: a fitted one drags its training session along."""
+    spark = df.sparkSession
+    fitted = pipeline(text, label, **options).fit(df.withColumn(label, F.col(label).cast("double")))
+    place = path or shared_folder(spark, "classifier")
+    fitted.write().overwrite().save(place)
+    return Trained(place, tuple(fitted.stages[-1].summary.objectiveHistory))
 
 
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:
@@ -36,12 +55,9 @@ def score(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame
     )
 
 
-def training_stats(model: PipelineModel) -> DataFrame:
+def training_stats(spark: SparkSession, trained: Trained) -> DataFrame:
     """One row per pass over the data with the objective after it."""
-    history = model.stages[-1].summary.objectiveHistory
-    spark = model.stages[-1].summary.predictions.sparkSession
-    rows = [(epoch, float(loss)) for epoch, loss in enumerate(history)]
-    return spark.createDataFrame(rows, "epoch int, loss double")
+    return spark.createDataFrame(list(enumerate(trained.history)), "epoch int, loss double")
 
 
 def test(model: PipelineModel, df: DataFrame, key: str, label: str = "label", size: int = 32) -> dict[str, float]:

@@ -8,7 +8,7 @@ from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.sources import json_docs, tabular
@@ -73,18 +73,16 @@ def read_source(spark: SparkSession, source: Source, options: Options = Options(
 
 
 def convert(spark: SparkSession, source: Source, folder: str, options: Options = Options()) -> dict[str, Any]:
-    """Convert one source and report on it. The rows are counted while they are written."""
+    """Convert one source and report on it. The row count comes from the footers of what was written."""
     df = read_source(spark, source, options)
     if options.preserve_index:
         df = with_file_index(df, INDEX)
-    counted = Observation()
     path = f"{folder.rstrip('/')}/{source.output}"
-    write_parquet(
-        df.observe(counted, F.count(F.lit(1)).alias("rows")), path, options.codec,
-        options.partition_by, options.rows_per_file)
+    write_parquet(df, path, options.codec, options.partition_by, options.rows_per_file)
     written = list_files(spark, path, recursive=True).agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    rows = spark.read.schema(df.schema).parquet(path).count()
     ratio = 1.0 if source.format == "parquet" or not source.size else written / source.size
-    return _report(source, path, "completed", parquet_bytes=written, rows=counted.get["rows"],
+    return _report(source, path, "completed", parquet_bytes=written, rows=rows,
                    schema=dict(df.dtypes), compression_ratio=ratio, partition_cols=list(options.partition_by))
 
 

@@ -32,8 +32,8 @@ def _head_is_lines(spark: SparkSession, path: str | Sequence[str], glob: str | N
 
 
 def _text(spark: SparkSession, path: str | Sequence[str], glob: str | None, whole: bool = False) -> DataFrame:
-    reader = spark.read.option("wholetext", whole)
-    return (reader.option("pathGlobFilter", glob) if glob else reader).text(path)
+    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    return reader.text(path, wholetext=whole)
 
 
 def read_json(spark: SparkSession, path: str | Sequence[str], glob: str | None = None) -> DataFrame:

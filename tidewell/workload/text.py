@@ -198,5 +198,5 @@ def cross_entropy(t):
 def classifier_fit_predict(t):
     corpus = t("documents").join(t("labels"), "doc_id").select("doc_id", "text", F.col("quality").alias("label"))
     split = ops.split_corpus(corpus, F.pmod("doc_id", F.lit(10)) / 10, {"train": 0.8, "validation": 0.2})
-    model = classifier.train(split.filter("split = 'train'"))
+    model = classifier.train(split.filter("split = 'train'")).model
     return classifier.score(model, split.filter("split = 'validation'"), ["doc_id", "label"]).select("doc_id", "label", "prediction")
