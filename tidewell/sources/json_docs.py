@@ -45,12 +45,15 @@ def read_json(spark: SparkSession, path: str | Sequence[str], glob: str | None =
     if _head_is_lines(spark, path, glob):
         return reader.json(path)
     first = _text(spark, path, glob).select(F.substring(F.trim("value"), 1, 1).alias("c")).filter("c <> ''").first()
-    if first is None:
+    if first is None or first["c"] not in ("{", "["):
         raise ValueError(f"no JSON document in {path}")
     documents = reader.option("multiLine", True).json(path)
+    broken = "_corrupt_record" in documents.columns
     if first["c"] == "{":
+        if broken:
+            raise ValueError(f"damaged JSON document in {path}")
         return columns_to_rows(documents)
-    if "_corrupt_record" in documents.columns:
+    if broken:
         return scalars_to_rows(_text(spark, path, glob, whole=True))
     return documents
 
@@ -74,7 +77,9 @@ def columns_to_rows(documents: DataFrame) -> DataFrame:
 
 def scalars_to_rows(texts: DataFrame) -> DataFrame:
     """A list of scalars as the column `value`, typed by all its elements."""
-    values = texts.select(F.explode(F.from_json("value", "array<variant>")).alias("v"))
+    parsed = F.coalesce(
+        F.from_json("value", "array<variant>"), F.raise_error(F.lit("damaged JSON document")).cast(T.NullType()))
+    values = texts.select(F.explode(parsed).alias("v"))
     kind = values.agg(F.schema_of_variant_agg("v")).first()[0] or "STRING"
     if kind.startswith(("DECIMAL", "FLOAT", "DOUBLE")):
         kind = "DOUBLE"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewell.functions.paths import detect_format, is_supported, output_name
@@ -66,8 +66,17 @@ def without_existing(listing: DataFrame, existing: DataFrame, on: str) -> DataFr
 
 
 def to_convert(listing: DataFrame, existing: DataFrame | None) -> DataFrame:
-    """Supported files with their output name, without those already converted."""
+    """Supported files with their output name, without those already converted.
+
+    Files that differ only in their ending carry it in the output name.
+    """
     named = listing.filter("supported").withColumn("output", output_name(F.col("relative")))
+    ending = F.concat(F.lit("__"), F.regexp_extract("relative", r"\.([^./]+)$", 1), F.lit(".parquet"))
+    # As many rows per name as a stem has endings.
+    same = F.count(F.lit(1)).over(Window.partitionBy("output"))
+    named = named.withColumn("__same", same).withColumn(
+        "output", F.when(F.col("__same") > 1, F.regexp_replace("output", r"\.parquet$", ending)).otherwise(F.col("output"))
+    ).drop("__same")
     return named if existing is None else without_existing(named, existing, "output")
 
 

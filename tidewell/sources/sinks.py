@@ -43,6 +43,6 @@ def write_parquet(
 
 def with_file_index(df: DataFrame, name: str = INDEX) -> DataFrame:
     """Number the rows of a single file in file order. `df` must come straight from the file scan."""
-    read = df.select("*", F.col("_metadata.file_block_start").alias("__start"),
+    read = df.select("*", F.col("_metadata.file_block_start").alias("__block_start"),
                      F.monotonically_increasing_id().alias("__line"))
-    return with_position(read, ["__start", "__line"], name=name).drop("__start", "__line")
+    return with_position(read, ["__block_start", "__line"], name=name).drop("__block_start", "__line")
