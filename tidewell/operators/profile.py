@@ -45,15 +45,15 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     pairs = F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns
     ])
-    values = df.select(F.inline(pairs)).filter(F.col("value").isNotNull())
-    moments = values.groupBy("column").agg(
-        F.count(F.lit(1)).alias("count"),
+    values = df.select(F.inline(pairs))
+    measures = [
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
-    )
-    quartiles = group_quantiles(values, ["column"], "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75})
-    return moments.join(quartiles.drop("n"), "column").select(
+    ]
+    quartiles = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+    stats = group_quantiles(values, ["column"], "value", quartiles, measures)
+    return stats.withColumnRenamed("n", "count").select(
         "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"
     )

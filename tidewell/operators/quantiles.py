@@ -4,42 +4,52 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.session import fits_one_task, task_rows
 
-# Rank error of the first pass is 1 / ACCURACY of the group size.
-ACCURACY = 100_000
+# The rank error of the first pass is 1 / accuracy of the group size, and what the second pass
+# counts value by value grows with that error. The upper end bounds the memory of a sketch.
+ACCURACY = (1_000, 1_000_000)
 
 
 def group_quantiles(
-    df: DataFrame, group: Sequence[str], value: str, probs: dict[str, float]
+    df: DataFrame,
+    group: Sequence[str],
+    value: str,
+    probs: dict[str, float],
+    extra: Sequence[Column] = (),
 ) -> DataFrame:
     """One row per group with its row count `n` and one column per named quantile.
 
-    Nulls are left out. Up to the per-task row limit this is the built-in `percentile`. Beyond it
+    `extra` are further named aggregates over the same rows, computed in the same pass from the
+    group columns and the measure, which they see as `value`. Nulls are left out. Up to the per-task row limit this is the built-in `percentile`. Beyond it
     a sketch brackets each quantile, and only values inside the brackets are counted one by one;
     the rest of the group collapses into a few counts before the shuffle. The answer is the same.
     """
-    df = df.select(*group, F.col(value).cast("double").alias("__v")).filter(F.col("__v").isNotNull())
-    if fits_one_task(df):
+    small = fits_one_task(df)
+    df = df.select(*group, F.col(value).cast("double").alias("value")).filter(F.col("value").isNotNull())
+    if small:
         return df.groupBy(*group).agg(
             F.count(F.lit(1)).alias("n"),
-            *[F.percentile("__v", F.lit(p)).alias(name) for name, p in probs.items()],
+            *[F.percentile("value", F.lit(p)).alias(name) for name, p in probs.items()],
+            *extra,
         )
-    return _bracketed(df, list(group), probs)
+    return _bracketed(df, list(group), probs, extra)
 
 
-def _bracketed(df: DataFrame, group: list[str], probs: dict[str, float]) -> DataFrame:
+def _bracketed(df: DataFrame, group: list[str], probs: dict[str, float], extra: Sequence[Column]) -> DataFrame:
     limit = task_rows(df.sparkSession)
-    margin = max(2 / ACCURACY, 4 / limit)
+    accuracy = min(max(ACCURACY[0], 40 * df.count() // limit), ACCURACY[1])
+    margin = max(2 / accuracy, 4 / limit)
     names = sorted(probs, key=probs.get)
     low = [max(0.0, probs[n] - margin) for n in names]
     high = [min(1.0, probs[n] + margin) for n in names]
     sketch = df.groupBy(*group).agg(
         F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("__v", low + high, ACCURACY).alias("__edges"),
+        F.percentile_approx("value", low + high, accuracy).alias("__edges"),
+        F.struct(F.lit(None).alias("__none"), *extra).alias("__extra"),
     )
     # A small group is counted value by value: its bracket is everything.
     brackets = sketch.withColumn(
@@ -52,23 +62,25 @@ def _bracketed(df: DataFrame, group: list[str], probs: dict[str, float]) -> Data
 
     same = [F.col(f"a.{g}").eqNullSafe(F.col(f"b.{g}")) for g in group] or [F.lit(True)]
     if group:
-        joined = df.alias("a").join(brackets.alias("b"), same).select("a.*", "b.n", "b.__brackets")
+        joined = df.alias("a").join(brackets.alias("b"), same).select("a.*", "b.n", "b.__brackets", "b.__extra")
     else:
-        row = brackets.select(F.struct("n", "__brackets")).scalar()
-        joined = df.withColumn("__b", row).select("__v", "__b.n", "__b.__brackets")
+        row = brackets.select(F.struct("n", "__brackets", "__extra")).scalar()
+        joined = df.withColumn("__b", row).select("value", "__b.n", "__b.__brackets", "__b.__extra")
     inside = F.coalesce(
-        F.exists("__brackets", lambda b: (F.col("__v") >= b["low"]) & (F.col("__v") <= b["high"])),
+        F.exists("__brackets", lambda b: (F.col("value") >= b["low"]) & (F.col("value") <= b["high"])),
         F.lit(True),
     )
-    passed = F.coalesce(F.size(F.filter("__brackets", lambda b: b["high"] < F.col("__v"))), F.lit(0))
+    passed = F.coalesce(F.size(F.filter("__brackets", lambda b: b["high"] < F.col("value"))), F.lit(0))
     counts = (
         joined.withColumn("__seg", passed)
-        .withColumn("__kept", F.when(inside, F.col("__v")))
+        .withColumn("__kept", F.when(inside, F.col("value")))
         .groupBy(*group, "__seg", "__kept")
-        .agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("__cnt"), F.min("__v").alias("__v"))
+        .agg(
+            F.first("n").alias("n"), F.first("__extra").alias("__extra"),
+            F.count(F.lit(1)).alias("__cnt"), F.min("value").alias("value"))
     )
     # What is left per group: the values inside the brackets, a fixed small share of its rows.
-    running = Window.partitionBy(*group).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    running = Window.partitionBy(*group).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     ranked = counts.withColumn("__end", F.sum("__cnt").over(running))
 
     def at(rank):
@@ -79,7 +91,7 @@ def _bracketed(df: DataFrame, group: list[str], probs: dict[str, float]) -> Data
     for name in names:
         spot = (F.col("n") - 1) * F.lit(probs[name])
         picks += [at(F.floor(spot)).alias(f"__{name}_lo"), at(F.ceil(spot)).alias(f"__{name}_hi")]
-    found = ranked.groupBy(*group).agg(F.max("n").alias("n"), *picks)
+    found = ranked.groupBy(*group).agg(F.max("n").alias("n"), F.first("__extra").alias("__extra"), *picks)
     out = []
     for name in names:
         spot = (F.col("n") - 1) * F.lit(probs[name])
@@ -87,4 +99,4 @@ def _bracketed(df: DataFrame, group: list[str], probs: dict[str, float]) -> Data
         lo, hi = F.col(f"__{name}_lo"), F.col(f"__{name}_hi")
         missed = F.raise_error(F.lit(f"quantile {name} fell outside its bracket")).cast("double")
         out.append(F.when(lo.isNull() | hi.isNull(), missed).otherwise(lo + (hi - lo) * share).alias(name))
-    return found.select(*group, "n", *out)
+    return found.select(*group, "n", *out, "__extra.*").drop("__none")

@@ -12,18 +12,25 @@ from pyspark.sql import functions as F
 from tidewell.operators.ordering import with_position
 
 # The characters that count as white space at the ends of a line.
-WHITE_SPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+# The characters that part words.
+BLANKS = " \t\n\r\f"
 # Marker and padding tokens.
 START, END, PAD = "[CLS]", "[SEP]", "[PAD]"
 
 
 def strip(col: Column) -> Column:
-    return F.regexp_replace(col, f"^[{WHITE_SPACE}]+|[{WHITE_SPACE}]+$", "")
+    return F.btrim(col, F.lit(WHITE_SPACE))
 
 
 def corpus_lines(df: DataFrame, text: str, keep: Sequence[str] = ()) -> DataFrame:
     """Non-empty lines without white space at their ends, numbered from 0 in their document."""
-    lines = df.select(*keep, F.posexplode(F.split(F.col(text), r"\r\n|\n|\r")).alias("line_no", "line"))
+    # Plain replacements first: splitting at one fixed character needs no regular expression.
+    unix = F.replace(F.replace(F.col(text), F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    lines = df.select(*keep, F.posexplode(F.split(unix, "\n")).alias("line_no", "line"))
     return lines.withColumn("line", strip(F.col("line"))).filter(F.col("line") != "")
 
 
@@ -52,18 +59,27 @@ def hash_draw(key: str, seed: int = 0) -> Column:
     return F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1_000_000)) / 1_000_000
 
 
-def characters(text: Column) -> Column:
-    return F.split(text, "")
+def _character(code: Column) -> Column:
+    return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
 
 
 def char_vocabulary(df: DataFrame, text: str) -> DataFrame:
     """Sorted distinct characters with ids from 0: at most one row per Unicode code point.
 
-    Each row is reduced to its distinct characters before anything is exploded.
+    Each Arrow batch is reduced to its distinct code points before anything is shuffled.
     """
-    chars = df.select(F.explode(F.array_distinct(characters(F.col(text)))).alias("ch"))
-    distinct = chars.filter(F.col("ch") != "").distinct()
-    return with_position(distinct, ["ch"], name="id").withColumn("id", F.col("id").cast("int"))
+    def distinct_codes(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            whole = "".join(t for t in batch.column(0).to_pylist() if t is not None)
+            codes = np.unique(np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), dtype=np.uint32))
+            yield pa.RecordBatch.from_pydict({"code": codes.astype(np.int32)})
+
+    codes = df.select(F.col(text).cast("string")).mapInArrow(distinct_codes, "code int").distinct()
+    return with_position(codes, ["code"], name="id").select(
+        _character(F.col("code")).alias("ch"), F.col("id").cast("int").alias("id"))
 
 
 def vocabulary_size(vocabulary: DataFrame) -> DataFrame:
@@ -85,29 +101,35 @@ class CharCodec:
     def boundary(self) -> int:
         return len(self.chars)
 
-    def _ids(self) -> tuple[Column, Column]:
-        # Code points in pages of 256, so that a lookup costs two array accesses.
-        pages: dict[int, list[int | None]] = {}
-        for i, ch in enumerate(self.chars):
-            pages.setdefault(ord(ch) >> 8, [None] * 256)[ord(ch) & 255] = i
-        numbers = {page: n for n, page in enumerate(sorted(pages))}
-        index = [numbers.get(p) for p in range(max(pages, default=0) + 1)]
-        return (
-            F.from_json(F.lit(json.dumps(index)), "array<int>"),
-            F.from_json(F.lit(json.dumps([pages[p] for p in sorted(pages)])), "array<array<int>>"),
-        )
-
     def encode(self, text: Column) -> Column:
-        """Ids of the characters with the boundary id on both sides; unknown characters are null."""
-        index, pages = self._ids()
-
-        def one(ch: Column) -> Column:
-            code = F.ascii(ch)
-            return F.get(F.get(pages, F.get(index, F.shiftright(code, 8))), code.bitwiseAND(255))
-
-        edge = F.array(F.lit(self.boundary))
-        ids = F.when(text == "", F.array().cast("array<int>")).otherwise(F.transform(characters(text), one))
-        return F.concat(edge, ids, edge)
+        """Ids of the characters with the boundary id on both sides; unknown characters are null.
+
+        A whole Arrow batch is looked up at once in a table over code points.
+        """
+        boundary, codes = self.boundary, [ord(c) for c in self.chars]
+
+        @F.arrow_udf("array<int>")
+        def ids(texts):
+            import numpy as np
+            import pyarrow as pa
+
+            table = np.full(max(codes, default=0) + 2, -1, dtype=np.int32)
+            table[codes] = np.arange(len(codes), dtype=np.int32)
+            plain = texts.to_pylist()
+            flat = np.frombuffer("".join(t or "" for t in plain).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+            found = table[np.minimum(flat, len(table) - 1)]
+            sizes = np.array([0 if t is None else len(t) + 2 for t in plain], dtype=np.int64)
+            ends = np.cumsum(sizes)
+            edge = np.zeros(int(ends[-1]) if len(ends) else 0, dtype=bool)
+            some = sizes > 0
+            edge[ends[some] - 1] = edge[(ends - sizes)[some]] = True
+            values = np.full(len(edge), boundary, dtype=np.int32)
+            values[~edge] = found
+            offsets = np.concatenate([[0], ends]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(offsets, pa.array(values, mask=values < 0), mask=pa.array(~some))
+            return lists
+
+        return ids(text)
 
     def decode(self, ids: Column) -> Column:
         """Text of the ids after an opening boundary, up to the next boundary."""
@@ -129,8 +151,8 @@ def next_token_pairs(df: DataFrame, tokens: str, block_size: int, keep: Sequence
 
 def words(text: Column) -> Column:
     """White-space separated tokens; empty text has none."""
-    trimmed = F.regexp_replace(text, r"^[ \t\n\r\f]+|[ \t\n\r\f]+$", "")
-    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, r"[ \t\n\r\f]+"))
+    spaced = F.translate(text, BLANKS, " " * len(BLANKS))
+    return F.array_remove(F.split(spaced, " "), "")
 
 
 def with_markers(tokens: Column, start: str | None = START, end: str | None = END) -> Column:

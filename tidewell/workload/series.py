@@ -107,7 +107,7 @@ def causal_attention_lookback(t):
 
 @query(_attention_sql("true"))
 def full_attention(t):
-    return _attention(t, causal=False, block=16)
+    return _attention(t, causal=False, block=64)
 
 
 _WQ, _WK, _WV, _WO = _matrix(64, 64, 1), _matrix(64, 64, 2), _matrix(64, 64, 4), _matrix(1, 64, 3)

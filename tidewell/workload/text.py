@@ -123,10 +123,9 @@ _WORDS = r"""len(list_filter(string_split_regex(regexp_replace(text, '^[ \t\n\r\
     FROM w GROUP BY 1""")
 def token_length_profile(t):
     sized = t("documents").select("lang", F.size(ops.words(F.col("text"))).alias("n"))
-    moments = sized.groupBy("lang").agg(
-        F.count(F.lit(1)).alias("documents"), F.round(F.avg("n"), 4).alias("mean"), F.min("n").alias("min"), F.max("n").alias("max"))
-    spread = group_quantiles(sized, ["lang"], "n", {"median": 0.5, "p95": 0.95}).drop("n")
-    return moments.join(spread, "lang").withColumns({"median": F.round("median", 6), "p95": F.round("p95", 6)})
+    measures = [F.round(F.avg("value"), 4).alias("mean"), F.min("value").cast("int").alias("min"), F.max("value").cast("int").alias("max")]
+    spread = group_quantiles(sized, ["lang"], "n", {"median": 0.5, "p95": 0.95}, measures).withColumnRenamed("n", "documents")
+    return spread.withColumns({"median": F.round("median", 6), "p95": F.round("p95", 6)})
 
 
 @query(f"SELECT max({_WORDS} + 2)::INTEGER AS max_length FROM documents")
