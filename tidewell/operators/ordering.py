@@ -121,6 +121,12 @@ def hot_groups(df: DataFrame, group: Sequence[str]) -> tuple[DataFrame, int] | N
     return df.sparkSession.createDataFrame(hot.collect(), hot.schema), biggest
 
 
+def mark_hot(df: DataFrame, hot: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Add `__hot`, true on the rows of hot groups and null elsewhere."""
+    same = [F.col(g).eqNullSafe(F.col(f"__g{i}")) for i, g in enumerate(group)]
+    return df.join(F.broadcast(hot), same, "left").drop(*[f"__g{i}" for i in range(len(group))])
+
+
 def _split(df: DataFrame, order: Sequence[str], group: Sequence[str]) -> DataFrame | None:
     """`df` with a bucket column, or None when a plain window is safe."""
     limit = task_rows(df.sparkSession)
@@ -132,9 +138,8 @@ def _split(df: DataFrame, order: Sequence[str], group: Sequence[str]) -> DataFra
     if found is None:
         return None
     hot, biggest = found
-    same = [F.col(g).eqNullSafe(F.col(f"__g{i}")) for i, g in enumerate(group)]
-    marked = df.join(F.broadcast(hot), same, "left").drop(*[f"__g{i}" for i in range(len(group))])
-    return _with_ranges(marked, order, min(MAX_BUCKETS, -(-biggest // limit) + 1), F.col("__hot"))
+    buckets = min(MAX_BUCKETS, -(-biggest // limit) + 1)
+    return _with_ranges(mark_hot(df, hot, group), order, buckets, F.col("__hot"))
 
 
 def with_position(

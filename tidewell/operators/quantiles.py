@@ -7,11 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewell.operators.ordering import hot_groups, mark_hot
 from tidewell.session import fits_one_task, task_rows
 
-# The rank error of the first pass is 1 / accuracy of the group size, and what the second pass
-# counts value by value grows with that error. The upper end bounds the memory of a sketch.
-ACCURACY = (1_000, 1_000_000)
+# The rank error of the first pass is 1 / ACCURACY of the group size. The second pass counts the
+# values within a few times that error one by one.
+ACCURACY = 100_000
 
 
 def group_quantiles(
@@ -24,66 +25,83 @@ def group_quantiles(
     """One row per group with its row count `n` and one column per named quantile.
 
     `extra` are further named aggregates over the same rows, computed in the same pass from the
-    group columns and the measure, which they see as `value`. Nulls are left out. Up to the per-task row limit this is the built-in `percentile`. Beyond it
-    a sketch brackets each quantile, and only values inside the brackets are counted one by one;
-    the rest of the group collapses into a few counts before the shuffle. The answer is the same.
+    group columns and the measure, which they see as `value`. Nulls are left out.
+
+    Groups within the per-task row limit use the built-in `percentile`. For a larger group a sketch
+    brackets each quantile and only the values inside the brackets are counted one by one; the rest
+    of the group collapses into a few counts before the shuffle. The answer is the same.
     """
-    small = fits_one_task(df)
-    df = df.select(*group, F.col(value).cast("double").alias("value")).filter(F.col("value").isNotNull())
+    group, small = list(group), fits_one_task(df)
+    rows = df.select(*group, F.col(value).cast("double").alias("value")).filter(F.col("value").isNotNull())
     if small:
-        return df.groupBy(*group).agg(
-            F.count(F.lit(1)).alias("n"),
-            *[F.percentile("value", F.lit(p)).alias(name) for name, p in probs.items()],
-            *extra,
-        )
-    return _bracketed(df, list(group), probs, extra)
+        return _counted(rows, group, probs, extra)
+    if not group:
+        return _bracketed(rows, group, probs, extra)
+    found = hot_groups(rows, group)
+    if found is None:
+        return _counted(rows, group, probs, extra)
+    marked = mark_hot(rows, found[0], group)
+    rest = _counted(marked.filter(F.col("__hot").isNull()).drop("__hot"), group, probs, extra)
+    return rest.unionByName(_bracketed(marked.filter("__hot").drop("__hot"), group, probs, extra))
+
+
+def _counted(df: DataFrame, group: list[str], probs: dict[str, float], extra: Sequence[Column]) -> DataFrame:
+    # One call for all quantiles: each call would keep its own table of values.
+    found = df.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.percentile("value", F.array(*[F.lit(float(p)) for p in probs.values()])).alias("__q"),
+        *extra,
+    )
+    picked = [F.col("__q")[i].alias(name) for i, name in enumerate(probs)]
+    others = [c for c in found.columns if c not in (*group, "n", "__q")]
+    return found.select(*group, "n", *picked, *others)
 
 
 def _bracketed(df: DataFrame, group: list[str], probs: dict[str, float], extra: Sequence[Column]) -> DataFrame:
     limit = task_rows(df.sparkSession)
-    accuracy = min(max(ACCURACY[0], 40 * df.count() // limit), ACCURACY[1])
-    margin = max(2 / accuracy, 4 / limit)
+    margin = max(2 / ACCURACY, 4 / limit)
     names = sorted(probs, key=probs.get)
     low = [max(0.0, probs[n] - margin) for n in names]
     high = [min(1.0, probs[n] + margin) for n in names]
+    aliases = [f"__x{i}" for i in range(len(extra))]
     sketch = df.groupBy(*group).agg(
         F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("value", low + high, accuracy).alias("__edges"),
+        F.percentile_approx("value", low + high, ACCURACY).alias("__edges"),
         F.struct(F.lit(None).alias("__none"), *extra).alias("__extra"),
     )
-    # A small group is counted value by value: its bracket is everything.
-    brackets = sketch.withColumn(
-        "__brackets",
-        F.when(F.col("n") > limit, F.arrays_zip(
-            F.slice("__edges", 1, len(names)).alias("low"),
-            F.slice("__edges", len(names) + 1, len(names)).alias("high"),
-        )),
-    ).drop("__edges")
-
-    same = [F.col(f"a.{g}").eqNullSafe(F.col(f"b.{g}")) for g in group] or [F.lit(True)]
+    kept_names = [c for c in sketch.select("__extra.*").columns if c != "__none"]
+    # Nulls may have left few rows: then every value is counted and the brackets have no edges.
+    edges = [F.when(F.col("n") > limit, F.col("__edges")[i]).alias(f"__e{i}") for i in range(2 * len(names))]
+    brackets = sketch.select(
+        *[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)], "n", *edges,
+        *[F.col(f"__extra.{c}").alias(a) for c, a in zip(kept_names, aliases)])
+    carried = ["n", *aliases, *[f"__e{i}" for i in range(2 * len(names))]]
     if group:
-        joined = df.alias("a").join(brackets.alias("b"), same).select("a.*", "b.n", "b.__brackets", "b.__extra")
+        same = [F.col(g).eqNullSafe(F.col(f"__g{i}")) for i, g in enumerate(group)]
+        # Only hot groups come here, and their number is bounded.
+        joined = df.join(F.broadcast(brackets), same).select(*group, "value", *carried)
     else:
-        row = brackets.select(F.struct("n", "__brackets", "__extra")).scalar()
-        joined = df.withColumn("__b", row).select("value", "__b.n", "__b.__brackets", "__b.__extra")
-    inside = F.coalesce(
-        F.exists("__brackets", lambda b: (F.col("value") >= b["low"]) & (F.col("value") <= b["high"])),
-        F.lit(True),
-    )
-    passed = F.coalesce(F.size(F.filter("__brackets", lambda b: b["high"] < F.col("value"))), F.lit(0))
+        row = brackets.select(F.struct(*carried)).scalar()
+        joined = df.withColumn("__b", row).select("value", "__b.*")
+
+    value, p = F.col("value"), len(names)
+    inside, passed = F.col("__e0").isNull(), F.lit(0)
+    for i in range(p):
+        inside = inside | value.between(F.col(f"__e{i}"), F.col(f"__e{p + i}"))
+        passed = passed + F.coalesce((F.col(f"__e{p + i}") < value).cast("int"), F.lit(0))
+    # The size and the extra aggregates of a group ride along as grouping columns.
+    fixed = [*group, "n", *aliases]
     counts = (
         joined.withColumn("__seg", passed)
-        .withColumn("__kept", F.when(inside, F.col("value")))
-        .groupBy(*group, "__seg", "__kept")
-        .agg(
-            F.first("n").alias("n"), F.first("__extra").alias("__extra"),
-            F.count(F.lit(1)).alias("__cnt"), F.min("value").alias("value"))
+        .withColumn("__kept", F.when(inside, value))
+        .groupBy(*fixed, "__seg", "__kept")
+        .agg(F.count(F.lit(1)).alias("__cnt"), F.min("value").alias("value"))
     )
     # What is left per group: the values inside the brackets, a fixed small share of its rows.
     running = Window.partitionBy(*group).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     ranked = counts.withColumn("__end", F.sum("__cnt").over(running))
 
-    def at(rank):
+    def at(rank: Column) -> Column:
         hit = (F.col("__end") > rank) & (F.col("__end") - F.col("__cnt") <= rank)
         return F.max(F.when(hit, F.col("__kept")))
 
@@ -91,7 +109,7 @@ def _bracketed(df: DataFrame, group: list[str], probs: dict[str, float], extra:
     for name in names:
         spot = (F.col("n") - 1) * F.lit(probs[name])
         picks += [at(F.floor(spot)).alias(f"__{name}_lo"), at(F.ceil(spot)).alias(f"__{name}_hi")]
-    found = ranked.groupBy(*group).agg(F.max("n").alias("n"), F.first("__extra").alias("__extra"), *picks)
+    found = ranked.groupBy(*fixed).agg(*picks)
     out = []
     for name in names:
         spot = (F.col("n") - 1) * F.lit(probs[name])
@@ -99,4 +117,4 @@ def _bracketed(df: DataFrame, group: list[str], probs: dict[str, float], extra:
         lo, hi = F.col(f"__{name}_lo"), F.col(f"__{name}_hi")
         missed = F.raise_error(F.lit(f"quantile {name} fell outside its bracket")).cast("double")
         out.append(F.when(lo.isNull() | hi.isNull(), missed).otherwise(lo + (hi - lo) * share).alias(name))
-    return found.select(*group, "n", *out, "__extra.*").drop("__none")
+    return found.select(*group, "n", *out, *[F.col(a).alias(c) for c, a in zip(kept_names, aliases)])

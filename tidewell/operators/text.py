@@ -6,7 +6,7 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewell.operators.ordering import with_position
@@ -66,20 +66,21 @@ def _character(code: Column) -> Column:
 def char_vocabulary(df: DataFrame, text: str) -> DataFrame:
     """Sorted distinct characters with ids from 0: at most one row per Unicode code point.
 
-    Each Arrow batch is reduced to its distinct code points before anything is shuffled.
+    Each task reduces its texts to their distinct code points before anything is shuffled.
     """
     def distinct_codes(batches):
         import numpy as np
         import pyarrow as pa
 
+        seen = np.zeros(0x110000, dtype=bool)
         for batch in batches:
             whole = "".join(t for t in batch.column(0).to_pylist() if t is not None)
-            codes = np.unique(np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), dtype=np.uint32))
-            yield pa.RecordBatch.from_pydict({"code": codes.astype(np.int32)})
+            seen[np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)] = True
+        yield pa.RecordBatch.from_pydict({"code": np.flatnonzero(seen).astype(np.int32)})
 
     codes = df.select(F.col(text).cast("string")).mapInArrow(distinct_codes, "code int").distinct()
-    return with_position(codes, ["code"], name="id").select(
-        _character(F.col("code")).alias("ch"), F.col("id").cast("int").alias("id"))
+    place = F.row_number().over(Window.orderBy("code")) - 1
+    return codes.select(_character(F.col("code")).alias("ch"), place.alias("id"))
 
 
 def vocabulary_size(vocabulary: DataFrame) -> DataFrame:
@@ -151,8 +152,8 @@ def next_token_pairs(df: DataFrame, tokens: str, block_size: int, keep: Sequence
 
 def words(text: Column) -> Column:
     """White-space separated tokens; empty text has none."""
-    spaced = F.translate(text, BLANKS, " " * len(BLANKS))
-    return F.array_remove(F.split(spaced, " "), "")
+    trimmed = F.btrim(text, F.lit(BLANKS))
+    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, f"[{BLANKS}]+"))
 
 
 def with_markers(tokens: Column, start: str | None = START, end: str | None = END) -> Column:
