@@ -5,9 +5,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tidewell.operators.ordering import over_frames, with_position
+from tidewell.operators.ordering import hot_groups, over_frames, with_position
 from tidewell.operators.quantiles import group_quantiles
-from tidewell.session import fits_one_task
 
 
 def skewed(spark, seed):
@@ -30,7 +29,7 @@ def by_id(df, *columns):
 @pytest.mark.parametrize("seed", range(3))
 def test_position_in_group(spark, small_tasks, seed):
     frame, df = skewed(spark, seed)
-    assert not fits_one_task(df)
+    assert hot_groups(df, ["g"]) is not None
     got = by_id(with_position(df, ["t", "id"], ["g"]), "pos")
     want = frame.sort_values(["t", "id"]).groupby("g").cumcount().sort_index()
     assert got["pos"].tolist() == want.tolist()

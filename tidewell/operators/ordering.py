@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewell.session import fits_one_task, task_rows
+from tidewell.session import task_rows
 
 MAX_BUCKETS = 10_000
 # A group is hot from this share of all rows on, so there are at most 1 / share hot groups.
@@ -78,12 +78,12 @@ def _bucketed(df: DataFrame, key: str, splits: Sequence[float], out: str) -> Dat
     return Bucketizer(splits=points, inputCol=key, outputCol=out, handleInvalid="keep").transform(df)
 
 
-def _with_ranges(df: DataFrame, order: Sequence[str], buckets: int, only: Column | None = None) -> DataFrame:
+def _with_ranges(df: DataFrame, order: Sequence[str], buckets: int, only: Column) -> DataFrame:
     """Add a bucket that never decreases along `order`; rows outside `only` all get bucket 0.
 
     One value of the first column that fills a bucket alone is cut further along the second column.
     """
-    only = F.lit(True) if only is None else F.coalesce(only, F.lit(False))
+    only = F.coalesce(only, F.lit(False))
     keys = []
     for name in order[:2]:
         value = _nulls_first_double(df, name)
@@ -107,18 +107,20 @@ def _with_ranges(df: DataFrame, order: Sequence[str], buckets: int, only: Column
 
 
 def hot_groups(df: DataFrame, group: Sequence[str]) -> tuple[DataFrame, int] | None:
-    """Groups too large for one task with the size of the largest, or None when there are none."""
-    if fits_one_task(df):
-        return None
+    """Groups too large for one task with the size of the largest, or None when there are none.
+
+    One counting job over the group columns alone. Without group columns the whole frame is the group.
+    """
+    spark = df.sparkSession
     sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"))
     total, biggest = sizes.agg(F.sum("__n"), F.max("__n")).first()
-    floor = max(task_rows(df.sparkSession), int(total * HOT_SHARE))
-    if biggest <= floor:
+    floor = task_rows(spark) if not group else max(task_rows(spark), int((total or 0) * HOT_SHARE))
+    if (biggest or 0) <= floor:
         return None
     # Fewer than 1 / HOT_SHARE groups can pass the filter, which bounds the list.
     keys = [F.col(g).alias(f"__g{i}") for i, g in enumerate(group)]
     hot = sizes.filter(F.col("__n") > floor).select(*keys, F.lit(True).alias("__hot"))
-    return df.sparkSession.createDataFrame(hot.collect(), hot.schema), biggest
+    return spark.createDataFrame(hot.collect(), hot.schema), biggest
 
 
 def mark_hot(df: DataFrame, hot: DataFrame, group: Sequence[str]) -> DataFrame:
@@ -127,34 +129,27 @@ def mark_hot(df: DataFrame, hot: DataFrame, group: Sequence[str]) -> DataFrame:
     return df.join(F.broadcast(hot), same, "left").drop(*[f"__g{i}" for i in range(len(group))])
 
 
-def _split(df: DataFrame, order: Sequence[str], group: Sequence[str]) -> DataFrame | None:
-    """`df` with a bucket column, or None when a plain window is safe."""
-    limit = task_rows(df.sparkSession)
-    if not group:
-        if fits_one_task(df):
-            return None
-        return _with_ranges(df, order, min(MAX_BUCKETS, -(-df.count() // limit) + 1))
-    found = hot_groups(df, group)
-    if found is None:
-        return None
-    hot, biggest = found
-    buckets = min(MAX_BUCKETS, -(-biggest // limit) + 1)
-    return _with_ranges(mark_hot(df, hot, group), order, buckets, F.col("__hot"))
-
-
 def with_position(
     df: DataFrame, order: Sequence[str], group: Sequence[str] = (), name: str = "pos"
 ) -> DataFrame:
     """Add the 0-based rank of each row in its group. `order` must be a total order."""
-    split = _split(df, order, group)
-    if split is None:
+    return _positions(df, order, group, name, hot_groups(df, group))
+
+
+def _positions(
+    df: DataFrame, order: Sequence[str], group: Sequence[str], name: str, found: tuple[DataFrame, int] | None
+) -> DataFrame:
+    if found is None:
         window = Window.partitionBy(*group).orderBy(*order)
         return df.withColumn(name, F.row_number().over(window).cast("bigint") - 1)
+    hot, biggest = found
+    buckets = min(MAX_BUCKETS, -(-biggest // task_rows(df.sparkSession)) + 1)
+    marked = mark_hot(df, hot, group) if group else df.withColumn("__hot", F.lit(True))
+    split = _with_ranges(marked, order, buckets, F.col("__hot"))
     window = Window.partitionBy(*group, _BUCKET).orderBy(*order)
     ranked = split.withColumn("__local", F.row_number().over(window).cast("bigint") - 1)
-    counted = split.filter("__hot") if group else split
-    counts = counted.groupBy(*group, _BUCKET).agg(F.count(F.lit(1)).alias("__n"))
-    # At most MAX_BUCKETS rows for each of the bounded number of hot groups.
+    counts = split.filter("__hot").groupBy(*group, _BUCKET).agg(F.count(F.lit(1)).alias("__n"))
+    # At most MAX_BUCKETS ranges, and as many for a value cut further, of each hot group.
     earlier = Window.partitionBy(*group).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     keys = [*group, _BUCKET]
     offsets = counts.select(
@@ -182,11 +177,11 @@ def over_frames(
     into runs of consecutive positions, and each run also receives the few neighbour rows its
     frames need, so that no task holds a whole group.
     """
-    needs_split = (hot_groups(df, group) is not None) if group else not fits_one_task(df)
-    if not needs_split:
+    found = hot_groups(df, group)
+    if found is None:
         return compute(df, Window.partitionBy(*group).orderBy(*order))
     run = max(task_rows(df.sparkSession), back + ahead, 1)
-    placed = with_position(df, order, group, _POS)
+    placed = _positions(df, order, group, _POS, found)
     home = F.floor(F.col(_POS) / run)
     within = F.col(_POS) % run
     runs = F.array(home)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.operators.ordering import hot_groups, mark_hot
-from tidewell.session import fits_one_task, task_rows
+from tidewell.session import task_rows
 
 # The rank error of the first pass is 1 / ACCURACY of the group size. The second pass counts the
 # values within a few times that error one by one.
@@ -31,15 +31,12 @@ def group_quantiles(
     brackets each quantile and only the values inside the brackets are counted one by one; the rest
     of the group collapses into a few counts before the shuffle. The answer is the same.
     """
-    group, small = list(group), fits_one_task(df)
+    group, found = list(group), hot_groups(df, group)
     rows = df.select(*group, F.col(value).cast("double").alias("value")).filter(F.col("value").isNotNull())
-    if small:
+    if found is None:
         return _counted(rows, group, probs, extra)
     if not group:
         return _bracketed(rows, group, probs, extra)
-    found = hot_groups(rows, group)
-    if found is None:
-        return _counted(rows, group, probs, extra)
     marked = mark_hot(rows, found[0], group)
     rest = _counted(marked.filter(F.col("__hot").isNull()).drop("__hot"), group, probs, extra)
     return rest.unionByName(_bracketed(marked.filter("__hot").drop("__hot"), group, probs, extra))

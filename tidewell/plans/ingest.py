@@ -11,8 +11,9 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.session import shared_folder
 from tidewell.sources import json_docs, tabular
-from tidewell.sources.listing import existing_outputs, list_files, to_convert
+from tidewell.sources.listing import existing_outputs, list_files, to_convert, without_existing
 from tidewell.sources.sinks import INDEX, ROWS_PER_FILE, with_file_index, write_parquet
 
 REPORT = (
@@ -21,6 +22,8 @@ REPORT = (
     "finished timestamp, status string, error string"
 )
 
+REPORTS_AT_ONCE = 1_000
+
 
 class UnsupportedFormat(ValueError):
     """The format has no reader."""
@@ -109,16 +112,22 @@ def sources_by_file(listing: DataFrame) -> Iterator[Source]:
     return (Source(r["relative"], r["path"], r["format"], r["size"], r["output"]) for r in rows)
 
 
-def sources_by_folder(listing: DataFrame) -> Iterator[Source]:
+def folders(listing: DataFrame) -> DataFrame:
+    """Folder, format and file ending of listed files, with an output name each."""
+    split = listing.select(
+        F.regexp_replace("path", r"/[^/]*$", "").alias("path"),
+        F.regexp_extract("relative", r"^(.*)/[^/]*$", 1).alias("relative"),
+        F.regexp_extract("path", r"\.([^./]+)$", 1).alias("ending"), "format", "size")
+    grouped = split.groupBy("path", "relative", "ending", "format").agg(F.sum("size").alias("size"))
+    name = F.when(F.col("relative") != "", F.col("relative")).otherwise(F.element_at(F.split("path", "/"), -1))
+    return grouped.withColumn("name", name).withColumn("output", F.concat(
+        F.replace("name", F.lit("/"), F.lit("__")), F.lit("__"), "ending", F.lit(".parquet")))
+
+
+def sources_by_folder(found: DataFrame) -> Iterator[Source]:
     """One source per folder and file ending: same-schema files become one read and one table."""
-    split = listing.withColumn("__folder", F.regexp_replace("path", r"/[^/]*$", "")).withColumn(
-        "__name", F.regexp_extract("relative", r"^(.*)/[^/]*$", 1)).withColumn(
-        "__ending", F.regexp_extract("path", r"\.([^./]+)$", 1))
-    grouped = split.groupBy("__folder", "__name", "__ending", "format").agg(F.sum("size").alias("size"))
-    for r in grouped.toLocalIterator():
-        name = r["__name"] or r["__folder"].rsplit("/", 1)[-1]
-        output = f"{name.replace('/', '__')}__{r['__ending']}.parquet"
-        yield Source(name, r["__folder"], r["format"], r["size"], output, f"*.{r['__ending']}")
+    for r in found.toLocalIterator():
+        yield Source(r["name"], r["path"], r["format"], r["size"], r["output"], f"*.{r['ending']}")
 
 
 def convert_all(
@@ -131,12 +140,17 @@ def convert_all(
     """Convert sources, a few Spark jobs at a time, and return one report row each.
 
     Spark parallelises inside each job; a few jobs at once keep the executors busy when the
-    sources are small. A source that fails becomes a report row.
+    sources are small. A source that fails becomes a report row. Reports go to a table in the
+    shared folder, so the driver holds only a few of them.
     """
-    reports, pending = [], set()
+    table, ready, pending = shared_folder(spark, "reports"), [], set()
+    names = [f.split()[0] for f in REPORT.split(", ")]
 
-    def drain(done: set[Future]) -> None:
-        reports.extend(f.result() for f in done)
+    def drain(done: set[Future], last: bool = False) -> None:
+        ready.extend(tuple(r[n] for n in names) for r in (f.result() for f in done))
+        if last or len(ready) >= REPORTS_AT_ONCE:
+            spark.createDataFrame(ready, REPORT).coalesce(1).write.mode("append").parquet(table)
+            ready.clear()
 
     with ThreadPoolExecutor(max_workers=parallel) as pool:
         for source in sources:
@@ -144,9 +158,8 @@ def convert_all(
             if len(pending) >= 2 * parallel:
                 done, pending = wait(pending, return_when=FIRST_COMPLETED)
                 drain(done)
-        drain(pending)
-    rows = [tuple(r[f.split()[0]] for f in REPORT.split(", ")) for r in sorted(reports, key=lambda r: r["output"])]
-    return spark.createDataFrame(rows, REPORT)
+        drain(pending, last=True)
+    return spark.read.schema(REPORT).parquet(table)
 
 
 def convert_folder(
@@ -163,10 +176,8 @@ def convert_folder(
     listing = list_files(spark, path, recursive)
     existing = None if force else existing_outputs(spark, folder)
     if by_folder:
-        sources = sources_by_folder(to_convert(listing, None))
-        if existing is not None:
-            there = {r["output"] for r in existing.toLocalIterator()}
-            sources = (s for s in sources if s.output not in there)
+        found = folders(listing.filter("supported"))
+        sources = sources_by_folder(found if existing is None else without_existing(found, existing, "output"))
     else:
         sources = sources_by_file(to_convert(listing, existing))
     return convert_all(spark, sources, folder, options, parallel)

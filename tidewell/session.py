@@ -6,8 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 # Rows that one ordered task may hold. Groups above it are split by `operators.ordering`.
 TASK_ROWS_KEY = "spark.tidewell.taskRows"
@@ -34,15 +33,6 @@ def task_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(TASK_ROWS_KEY, str(TASK_ROWS)))
 
 
-def fits_one_task(df: DataFrame) -> bool:
-    """True when the whole frame is within the per-task row limit.
-
-    The probe stops after limit + 1 rows, so it stays cheap on a large input.
-    """
-    limit = task_rows(df.sparkSession)
-    return df.select(F.lit(1).alias("one")).limit(limit + 1).count() <= limit
-
-
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder for written tables and streaming checkpoints.
 

@@ -27,7 +27,8 @@ def is_json_lines(lines: DataFrame, value: str = "value", group: Sequence[str] =
 
 
 def _head_is_lines(spark: SparkSession, path: str | Sequence[str], glob: str | None) -> bool:
-    head = _text(spark, path, glob).limit(HEAD_LINES)
+    lines = _text(spark, path, glob).select("value")
+    head = spark.createDataFrame(lines.take(HEAD_LINES), lines.schema)
     return bool(is_json_lines(head).first()["json_lines"])
 
 

@@ -62,7 +62,9 @@ def read_delimited(
     """A typed table. Types come from all rows, or from the first `sample_rows`, or are given."""
     raw = read_text_columns(spark, paths, sep, multiline, glob=glob)
     if kinds is None:
-        kinds = infer_types(raw if sample_rows is None else raw.limit(sample_rows))
+        # Taking rows stops at the first files; a limit inside a query would start a task per split.
+        sample = raw if sample_rows is None else spark.createDataFrame(raw.take(sample_rows), raw.schema)
+        kinds = infer_types(sample)
     return apply_types(raw, kinds)
 
 

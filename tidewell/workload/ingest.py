@@ -182,7 +182,7 @@ def convert_report(t):
     t("part").write.json(f"{raw}/part")
     # Spark names these files .csv; the copy job reads them by their folder and ending.
     t("supplier").write.option("header", True).option("sep", "\t").csv(f"{raw}/supplier")
-    files = listing.to_convert(listing.list_files(t.spark, raw, recursive=True), None)
+    files = ingest.folders(listing.list_files(t.spark, raw, recursive=True).filter("supported"))
     sources = (
         s if s.name != "supplier" else ingest.Source(s.name, s.path, "tsv", s.size, s.output, s.glob)
         for s in ingest.sources_by_folder(files))
