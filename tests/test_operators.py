@@ -253,3 +253,28 @@ def test_classifier(spark):
     assert result["avg_accuracy"] == 1.0 and result["avg_loss"] < 0.5 and result["elapsed"] > 0
     stats = classifier.training_stats(spark, trained).orderBy("epoch").collect()
     assert stats[0]["loss"] > stats[-1]["loss"]
+
+
+def test_catalog_of_two_datasets(spark, tmp_path):
+    datasets = spark.createDataFrame(
+        [("me/a", "a", "me", 10, "u", "2023-01-01 12:00:00"), ("me/b", "b", "me", 20, "u", "2023-01-02 12:00:00")],
+        "ref string, name string, owner string, size bigint, url string, at string")
+    files = spark.createDataFrame(
+        [("me/b", f"f{i}.parquet", 100 * i, i) for i in range(5)], "ref string, filename string, size bigint, rows bigint")
+    entries = catalog.nested_entries(files, "ref", ["filename"], ["filename", "size", "rows"], page=2)
+    assert {r["page"]: len(r["files"]) for r in entries.collect()} == {0: 2, 1: 2, 2: 1}
+    totals = catalog.nested_totals(entries, "ref", "size").first()
+    assert (totals["file_count"], totals["total_bytes"]) == (5, 1000.0)
+    documents = catalog.metadata_documents(
+        datasets, entries, F.concat(F.lit("/d/"), "name"), "/d", "{name}", F.col("at").cast("timestamp"))
+    catalog.write_documents(documents, f"{tmp_path}/meta")
+    stored = catalog.read_documents(spark, f"{tmp_path}/meta")
+    first = stored.filter("dataset.ref = 'me/b' and page = 1").first()
+    assert (first["dataset"]["file_count"], first["storage"]["storage_dir"]) == (5, "/d/b")
+    assert [f["filename"] for f in first["parquet_files"]] == ["f2.parquet", "f3.parquet"]
+    summary = catalog.document_summary(stored)
+    listed = catalog.brief_listing(
+        datasets.select("ref").unionByName(spark.createDataFrame([("gone",)], "ref string")), summary, "ref")
+    newest = [tuple(r) for r in catalog.latest(listed, "created", "ref").collect()]
+    assert newest == [
+        ("me/b", "2023-01-02T12:00:00", "me/b", 5), ("me/a", "2023-01-01T12:00:00", "me/a", 0), ("gone", "", "", 0)]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions.calendar import iso_timestamp
@@ -45,6 +45,56 @@ def nested_totals(entries: DataFrame, dataset: str, size: str) -> DataFrame:
     return totals.withColumn("total_mb", megabytes(F.col("total_bytes")))
 
 
+# Field names of a metadata document.
+DATASET_FIELDS = ("ref", "name", "owner", "size", "url")
+DOCUMENT = (
+    "dataset struct<ref:string,name:string,owner:string,size:bigint,url:string,download_timestamp:string,"
+    "file_count:bigint>, page bigint, {files}, "
+    "storage struct<base_dir:string,structure_template:string,storage_dir:string,created_at:string>"
+)
+
+
+def metadata_documents(
+    datasets: DataFrame, entries: DataFrame, storage_dir: Column, base_dir: str, template: str, at: Column
+) -> DataFrame:
+    """One document per catalog entry: the dataset, its converted files and where they are stored.
+
+    `datasets` has ref, name, owner, size and url; `entries` comes from `nested_entries` by ref.
+    """
+    written = iso_timestamp(at)
+    counted = entries.groupBy("ref").agg(F.sum(F.size("files")).alias("file_count"))
+    known = datasets.join(counted, "ref", "left").select(
+        "ref",
+        F.struct(
+            *DATASET_FIELDS, written.alias("download_timestamp"), F.coalesce("file_count", F.lit(0)).alias("file_count")
+        ).alias("dataset"),
+        F.struct(
+            F.lit(base_dir).alias("base_dir"), F.lit(template).alias("structure_template"),
+            storage_dir.alias("storage_dir"), written.alias("created_at"),
+        ).alias("storage"),
+    )
+    return known.join(entries, "ref", "left").select(
+        "dataset", F.coalesce("page", F.lit(0)).alias("page"), F.col("files").alias("parquet_files"), "storage")
+
+
+def write_documents(documents: DataFrame, path: str, mode: str = "overwrite") -> None:
+    documents.write.mode(mode).json(path)
+
+
+def read_documents(spark: SparkSession, path: str, files: str = "array<struct<filename:string,size:bigint,rows:bigint>>") -> DataFrame:
+    """Stored documents with a fixed schema; `files` is the type of the nested list."""
+    return spark.read.schema(DOCUMENT.format(files=f"parquet_files {files}")).json(path)
+
+
+def document_summary(documents: DataFrame) -> DataFrame:
+    """`created`, `dataset_ref` and `file_count` of each dataset, for the brief listing."""
+    return documents.groupBy(F.col("dataset.ref").alias("ref"), F.col("dataset.name").alias("name")).agg(
+        F.max("storage.created_at").alias("created"),
+        F.max("dataset.ref").alias("dataset_ref"),
+        F.sum(F.coalesce(F.greatest(F.size("parquet_files"), F.lit(0)), F.lit(0))).alias("file_count"),
+    )
+
+
 def filter_by_name(df: DataFrame, name: str, pattern: str | None) -> DataFrame:
     """Rows whose name contains the pattern, whatever the case."""
     return df.filter(F.lower(name).contains(pattern.lower())) if pattern else df
@@ -93,6 +143,12 @@ def status_rollup(files: DataFrame, dataset: str, status: str) -> DataFrame:
         state.otherwise("downloading").alias("status"), F.count(F.lit(1)).alias("files"))
 
 
+def status_documents(files: DataFrame, dataset: str, order: Sequence[str], status: str, fields: Sequence[str]) -> DataFrame:
+    """Status document of each dataset: its rolled-up status and the nested list of its files."""
+    rolled = status_rollup(files, dataset, status).select(dataset, "status")
+    return nested_entries(files, dataset, order, fields).join(rolled, dataset)
+
+
 def status_from_progress(progress: Column) -> Column:
     """Null where the progress does not decide the status."""
     return F.when(progress >= 100, "completed").when(progress > 0, "in_progress")

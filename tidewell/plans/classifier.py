@@ -17,7 +17,7 @@ from tidewell.operators.evaluate import evaluation
 from tidewell.session import shared_folder
 
 
-def pipeline(text: str = "text", label: str = "label", features: int = 1 << 16, epochs: int = 20) -> Pipeline:
+def stages(text: str = "text", label: str = "label", features: int = 1 << 16, epochs: int = 20) -> Pipeline:
     return Pipeline(stages=[
         RegexTokenizer(inputCol=text, outputCol="__words", pattern=r"[\s\p{Punct}]+"),
         HashingTF(inputCol="__words", outputCol="__counts", numFeatures=features),
@@ -40,7 +40,7 @@ class Trained:
 def train(df: DataFrame, text: str = "text", label: str = "label", path: str | None = None, **options: int) -> Trained:
     """Fit and store. Scoring loads the stored model: a fitted one drags its training session along."""
     spark = df.sparkSession
-    fitted = pipeline(text, label, **options).fit(df.withColumn(label, F.col(label).cast("double")))
+    fitted = stages(text, label, **options).fit(df.withColumn(label, F.col(label).cast("double")))
     place = path or shared_folder(spark, "classifier")
     fitted.write().overwrite().save(place)
     return Trained(place, tuple(fitted.stages[-1].summary.objectiveHistory))

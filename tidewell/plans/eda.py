@@ -1,4 +1,4 @@
-"""The exploration pipeline: read a fact, add calendar columns, join its dimension, summarise."""
+"""The exploration job: read a fact, add calendar columns, join its dimension, summarise."""
 
 from __future__ import annotations
 

@@ -165,3 +165,41 @@ def union_fill(t):
     customer = t("customer").selectExpr("c_custkey", "c_name AS name", "c_nationkey AS nation")
     supplier = t("supplier").selectExpr("s_suppkey", "s_name AS name", "s_nationkey AS nation")
     return ops.union_filled(customer, supplier)
+
+
+@query("""
+    SELECT 'orders/' || o_orderkey AS dataset_ref, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS created,
+           (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey) AS file_count FROM orders""")
+def catalog_documents(t):
+    ref = F.concat(F.lit("orders/"), F.col("o_orderkey").cast("string"))
+    datasets = t("orders").select(
+        ref.alias("ref"), F.col("o_orderkey").cast("string").alias("name"), F.col("o_custkey").cast("string").alias("owner"),
+        F.col("o_totalprice").cast("bigint").alias("size"), F.lit("").alias("url"), "o_orderdate")
+    files = t("lineitem").select(
+        F.concat(F.lit("orders/"), F.col("l_orderkey").cast("string")).alias("ref"), *_FILE_ORDER,
+        F.concat(F.col("l_linenumber").cast("string"), F.lit(".parquet")).alias("filename"),
+        F.col("l_extendedprice").cast("bigint").alias("size"), F.col("l_quantity").cast("bigint").alias("rows"))
+    entries = ops.nested_entries(files, "ref", _FILE_ORDER, ["filename", "size", "rows"])
+    documents = ops.metadata_documents(
+        datasets, entries, F.concat(F.lit("/data/"), F.col("ref")), "/data", "{ref}", F.col("o_orderdate"))
+    place = shared_folder(t.spark, "metadata")
+    ops.write_documents(documents, place)
+    return ops.document_summary(ops.read_documents(t.spark, place)).select("dataset_ref", "created", "file_count")
+
+
+@query(f"""
+    WITH e AS (SELECT user_id % 10 AS dataset, user_id, ts, event_id, value, {_KINDS_SQL} AS kind FROM events),
+    s AS (SELECT dataset, user_id, ts, event_id,
+                 CASE WHEN kind <> 'progress' THEN kind WHEN value >= 100 THEN 'completed' WHEN value > 0 THEN 'in_progress' END AS st,
+                 CASE WHEN kind = 'progress' THEN value WHEN kind IN ('completed', 'skipped') THEN 100.0 END AS pr FROM e),
+    f AS (SELECT dataset, user_id, coalesce(arg_max(st, (ts, event_id)) FILTER (WHERE st IS NOT NULL), 'pending') AS st,
+                 coalesce(arg_max(pr, (ts, event_id)) FILTER (WHERE pr IS NOT NULL), 0) AS pr FROM s GROUP BY 1, 2)
+    SELECT dataset, CASE WHEN bool_and(st IN ('completed', 'skipped')) THEN 'downloaded' WHEN bool_or(st = 'failed') THEN 'failed' ELSE 'downloading' END AS status,
+           string_agg(user_id || ':' || st, ' ' ORDER BY user_id) AS files, round(sum(pr), 2) AS progress FROM f GROUP BY 1""")
+def status_documents(t):
+    log = t("events").withColumns({"kind": _kind(), "dataset": F.col("user_id") % 10})
+    files = ops.latest_status(log, ["dataset", "user_id"], ["ts", "event_id"], "kind", "value").withColumnRenamed("status", "file_status")
+    documents = ops.status_documents(files, "dataset", ["user_id"], "file_status", ["user_id", "file_status", "progress"])
+    names = F.transform("files", lambda f: F.concat_ws(":", f["user_id"].cast("string"), f["file_status"]))
+    progress = F.aggregate("files", F.lit(0.0), lambda a, f: a + f["progress"])
+    return documents.select("dataset", "status", F.array_join(names, " ").alias("files"), F.round(progress, 2).alias("progress"))
