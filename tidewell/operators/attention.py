@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions import vectors
 from tidewell.operators.ordering import with_position
+from tidewell.session import settled
 
 BLOCK = 1024
 
@@ -49,6 +50,7 @@ def attention(
     else:
         ends = placed.groupBy(*[F.col(s).alias(f"__s{i}") for i, s in enumerate(series)]).agg(
             F.max("__block").alias("__last"))
+        ends = settled(ends, "series-ends")
         same = [F.col(s).eqNullSafe(F.col(f"__s{i}")) for i, s in enumerate(series)]
         sized, last = placed.join(ends, same), F.col("__last")
         first_key, last_query = F.lit(0).cast("bigint"), last

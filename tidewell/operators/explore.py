@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewell.operators.ordering import with_position
 from tidewell.operators.quantiles import group_quantiles
+from tidewell.session import settled
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
@@ -29,7 +30,7 @@ def category_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     for name in columns:
         code = f"{name}_code"
         values = df.select(F.col(name).alias("__value")).filter(F.col(name).isNotNull()).distinct()
-        coded = with_position(values, ["__value"], name=code)
+        coded = settled(with_position(values, ["__value"], name=code), "categories")
         df = df.join(coded, F.col(name) == F.col("__value"), "left").drop("__value")
         df = df.withColumn(code, F.coalesce(F.col(code), F.lit(-1)).cast("int"))
     return df
@@ -115,7 +116,7 @@ def _fences(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
 
 
 def _with_fences(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
-    fences = _fences(df, group, value)
+    fences = settled(_fences(df, group, value), "fences")
     keys = {g: f"__f{i}" for i, g in enumerate(group)}
     for g, key in keys.items():
         fences = fences.withColumnRenamed(g, key)

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Rows that one ordered task may hold. Groups above it are split by `operators.ordering`.
 TASK_ROWS_KEY = "spark.tidewell.taskRows"
@@ -45,3 +45,15 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
         root = tempfile.mkdtemp(prefix="run-")
     return os.path.join(root, f"{purpose}-{uuid.uuid4().hex[:12]}")
+
+
+def settled(df: DataFrame, purpose: str) -> DataFrame:
+    """An intermediate result as a table in the shared folder.
+
+    Spark then knows its true size before it plans a join: a small one is broadcast under the usual
+    threshold and the large side is not shuffled at all; a large one takes the shuffle join. It also
+    survives lost executors without being computed again.
+    """
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

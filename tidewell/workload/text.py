@@ -8,6 +8,7 @@ from tidewell.functions import vectors
 from tidewell.operators import evaluate, text as ops
 from tidewell.operators.quantiles import group_quantiles
 from tidewell.plans import classifier
+from tidewell.session import settled
 from tidewell.workload import query
 
 _SPACE = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -105,6 +106,7 @@ def doc_nll(t):
     counts = pairs.groupBy("token", "target").agg(F.count(F.lit(1)).alias("n"))
     totals = counts.groupBy("token").agg(F.sum("n").alias("all"))
     model = counts.join(totals, "token").select("token", "target", (F.col("n") / F.col("all")).alias("prob"))
+    model = settled(model, "bigrams")
     out = evaluate.sequence_nll(pairs.join(model, ["token", "target"]), "p_partkey", "prob")
     return out.withColumn("nll", F.round("nll", 6))
 
