@@ -17,7 +17,7 @@ from tidewell.operators.evaluate import evaluation
 from tidewell.session import shared_folder
 
 
-def stages(text: str = "text", label: str = "label", features: int = 1 << 16, epochs: int = 20) -> Pipeline:
+def stages(text: str = "text", label: str = "label", features: int = 1 << 16, epochs: int = 10) -> Pipeline:
     return Pipeline(stages=[
         RegexTokenizer(inputCol=text, outputCol="__words", pattern=r"[\s\p{Punct}]+"),
         HashingTF(inputCol="__words", outputCol="__counts", numFeatures=features),

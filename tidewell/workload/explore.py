@@ -156,8 +156,8 @@ def category_codes(t):
     SELECT event_id, strftime(ts, '%Y-%m-%d') AS day_text,
            epoch(date_trunc('second', ts))::BIGINT AS epoch_second,
            try_cast(CASE WHEN event_id % 7 = 0 THEN 'n/a' ELSE strftime(ts, '%Y-%m-%d') END AS TIMESTAMP) IS NULL AS unparsed
-    FROM events""")
-def parse_datetime_text(t):
+    FROM events""", name="parse_datetime")
+def parse_datetimes(t):
     day = F.date_format("ts", "yyyy-MM-dd")
     text = F.when(F.col("event_id") % 7 == 0, "n/a").otherwise(day)
     stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
@@ -171,8 +171,8 @@ def parse_datetime_text(t):
 
 @query("""
     SELECT event_id, CASE WHEN micros = '000000' THEN whole ELSE whole || '.' || micros END AS iso
-    FROM (SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS whole, strftime(ts, '%f') AS micros FROM events)""")
-def iso_timestamps(t):
+    FROM (SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS whole, strftime(ts, '%f') AS micros FROM events)""", name="iso_timestamp")
+def iso_timestamp_text(t):
     return t("events").select("event_id", iso_timestamp(F.col("ts")).alias("iso"))
 
 

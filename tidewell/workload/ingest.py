@@ -43,6 +43,15 @@ def format_selection(t):
     return listing.select_files(_files(t), ["csv", "tsv", "json", "txt"], ["txt"], 50).select("path", "format")
 
 
+@query("""
+    SELECT DISTINCT 'o_orderstatus=' || o_orderstatus AS folder, 'parquet' AS format, true AS supported, true AS filled FROM orders""")
+def file_listing(t):
+    out = shared_folder(t.spark, "orders-listed")
+    sinks.write_parquet(t("orders"), out, partition_by=["o_orderstatus"], rows_per_file=5000)
+    files = listing.list_files(t.spark, out, recursive=True)
+    return files.groupBy(F.split("relative", "/")[0].alias("folder"), "format", "supported").agg(F.bool_and(F.col("size") > 0).alias("filled"))
+
+
 @query("SELECT doc_id, source FROM documents ANTI JOIN labels USING (doc_id)")
 def skip_existing(t):
     return listing.without_existing(t("documents"), t("labels"), "doc_id").select("doc_id", "source")
