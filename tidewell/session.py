@@ -39,7 +39,7 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     It lies under `spark.checkpoint.dir`, which a cluster points at shared storage. Only a local
     master without that setting gets a temporary folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")

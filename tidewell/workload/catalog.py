@@ -24,7 +24,7 @@ def safe_dataset_path(t):
 _PAGE_SQL = """
     WITH p AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 AS pos
                FROM lineitem)
-    SELECT l_orderkey, pos // 4 AS page, count(*) AS file_count,
+    SELECT l_orderkey, pos // 4 AS page, count(*)::INTEGER AS file_count,
            string_agg(l_linenumber || ':' || l_partkey, ' ' ORDER BY pos) AS files
     FROM p GROUP BY 1, 2"""
 _FILE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]

@@ -86,7 +86,7 @@ def feature_kinds(t):
 def _stats_sql(source: str, numeric: dict[str, str], text: list[str]) -> str:
     parts = [f"""
     SELECT '{c}' AS feature, 'Numeric' AS type, count(*) AS count, count(DISTINCT {x}) AS "unique",
-           round(avg(({x})::DOUBLE), 4) AS mean, NULL AS mode, min({x})::DOUBLE AS min, max({x})::DOUBLE AS max FROM s"""
+           round(avg(({x})::DOUBLE), 4) AS mean, NULL::VARCHAR AS mode, min({x})::DOUBLE AS min, max({x})::DOUBLE AS max FROM s"""
              for c, x in numeric.items()]
     parts += [f"""
     SELECT '{c}' AS feature, 'Bytes' AS type, sum(n)::BIGINT AS count, count(*) AS "unique", NULL::DOUBLE AS mean,
@@ -129,8 +129,8 @@ def feature_stats_limited(t):
 @query("""
     WITH s AS (SELECT unnest(embedding)::FLOAT AS v FROM embeddings)
     SELECT 'embedding' AS feature, 'Numeric' AS type, count(*) AS count, count(DISTINCT v) AS "unique",
-           round(avg(v::DOUBLE), 4) AS mean, NULL AS mode, min(v)::DOUBLE AS min, max(v)::DOUBLE AS max FROM s
-    UNION ALL SELECT 'label', 'Numeric', count(*), count(DISTINCT label), round(avg(label), 4), NULL,
+           round(avg(v::DOUBLE), 4) AS mean, NULL::VARCHAR AS mode, min(v)::DOUBLE AS min, max(v)::DOUBLE AS max FROM s
+    UNION ALL SELECT 'label', 'Numeric', count(*), count(DISTINCT label), round(avg(label), 4), NULL::VARCHAR,
            min(label)::DOUBLE, max(label)::DOUBLE FROM embeddings""")
 def feature_stats_lists(t):
     return _stats(features.feature_statistics(features.to_records(t("embeddings"), ["embedding", "label"])))
