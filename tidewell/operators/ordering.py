@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewell.session import task_rows
+from tidewell.session import settled, task_rows
 
 MAX_BUCKETS = 10_000
 # A group is hot from this share of all rows on, so there are at most 1 / share hot groups.
@@ -45,7 +45,8 @@ def _nulls_first_double(df: DataFrame, name: str) -> Column | None:
         value = _string_rank(df, name)
     else:
         return None
-    return F.coalesce(value.cast("double"), F.lit(float("-inf")))
+    # Adding zero makes -0.0 and 0.0, which sort as equal, one value.
+    return F.coalesce(value.cast("double") + F.lit(0.0), F.lit(float("-inf")))
 
 
 def _string_rank(df: DataFrame, name: str) -> Column:
@@ -106,6 +107,12 @@ def _with_ranges(df: DataFrame, order: Sequence[str], buckets: int, only: Column
     return df.withColumn(_BUCKET, bucket).drop("__b0", "__b1", *keys)
 
 
+def largest_group(df: DataFrame, group: Sequence[str]) -> int:
+    """Rows of the largest group, from one counting job over the group columns alone."""
+    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"))
+    return sizes.agg(F.max("__n")).first()[0] or 0
+
+
 def hot_groups(df: DataFrame, group: Sequence[str]) -> tuple[DataFrame, int] | None:
     """Groups too large for one task with the size of the largest, or None when there are none.
 
@@ -157,7 +164,7 @@ def _positions(
         F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__start"),
     )
     same = [F.col(k).eqNullSafe(F.col(f"__o{i}")) for i, k in enumerate(keys)]
-    placed = ranked.join(offsets, same, "left")
+    placed = ranked.join(settled(offsets, "offsets"), same, "left")
     return placed.withColumn(name, F.coalesce(F.col("__start"), F.lit(0)) + F.col("__local")).drop(
         "__local", _BUCKET, "__hot", "__start", *[f"__o{i}" for i in range(len(keys))]
     )

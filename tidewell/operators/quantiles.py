@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewell.operators.ordering import hot_groups, mark_hot
-from tidewell.session import task_rows
+from tidewell.operators.ordering import largest_group
+from tidewell.session import settled, task_rows
 
 # The rank error of the first pass is 1 / ACCURACY of the group size. The second pass counts the
 # values within a few times that error one by one.
@@ -27,19 +27,15 @@ def group_quantiles(
     `extra` are further named aggregates over the same rows, computed in the same pass from the
     group columns and the measure, which they see as `value`. Nulls are left out.
 
-    Groups within the per-task row limit use the built-in `percentile`. For a larger group a sketch
-    brackets each quantile and only the values inside the brackets are counted one by one; the rest
-    of the group collapses into a few counts before the shuffle. The answer is the same.
+    While every group is within the per-task row limit this is the built-in `percentile`, which keeps
+    a table of the values of a group. Otherwise a sketch brackets each quantile of the large groups
+    and only the values inside the brackets are counted one by one; the rest of such a group collapses
+    into a few counts before the shuffle. The answer is the same.
     """
-    group, found = list(group), hot_groups(df, group)
+    group = list(group)
     rows = df.select(*group, F.col(value).cast("double").alias("value")).filter(F.col("value").isNotNull())
-    if found is None:
-        return _counted(rows, group, probs, extra)
-    if not group:
-        return _bracketed(rows, group, probs, extra)
-    marked = mark_hot(rows, found[0], group)
-    rest = _counted(marked.filter(F.col("__hot").isNull()).drop("__hot"), group, probs, extra)
-    return rest.unionByName(_bracketed(marked.filter("__hot").drop("__hot"), group, probs, extra))
+    small = largest_group(df, group) <= task_rows(df.sparkSession)
+    return (_counted if small else _bracketed)(rows, group, probs, extra)
 
 
 def _counted(df: DataFrame, group: list[str], probs: dict[str, float], extra: Sequence[Column]) -> DataFrame:
@@ -67,7 +63,7 @@ def _bracketed(df: DataFrame, group: list[str], probs: dict[str, float], extra:
         F.struct(F.lit(None).alias("__none"), *extra).alias("__extra"),
     )
     kept_names = [c for c in sketch.select("__extra.*").columns if c != "__none"]
-    # Nulls may have left few rows: then every value is counted and the brackets have no edges.
+    # The brackets of a small group have no edges: each of its values is counted.
     edges = [F.when(F.col("n") > limit, F.col("__edges")[i]).alias(f"__e{i}") for i in range(2 * len(names))]
     brackets = sketch.select(
         *[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)], "n", *edges,
@@ -75,8 +71,7 @@ def _bracketed(df: DataFrame, group: list[str], probs: dict[str, float], extra:
     carried = ["n", *aliases, *[f"__e{i}" for i in range(2 * len(names))]]
     if group:
         same = [F.col(g).eqNullSafe(F.col(f"__g{i}")) for i, g in enumerate(group)]
-        # Only hot groups come here, and their number is bounded.
-        joined = df.join(F.broadcast(brackets), same).select(*group, "value", *carried)
+        joined = df.join(settled(brackets, "brackets"), same).select(*group, "value", *carried)
     else:
         row = brackets.select(F.struct(*carried)).scalar()
         joined = df.withColumn("__b", row).select("value", "__b.*")

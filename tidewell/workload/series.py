@@ -196,3 +196,30 @@ def sequence_windows(t):
     return out.select(
         "event_id", "target", seq[0][0].alias("first_value"), seq[7][0].alias("last_value"),
         F.round(channel(0), 4).alias("value_sum"), channel(1).alias("hour_sum"), F.size(seq).alias("steps"))
+
+
+@query("""
+    SELECT 0.0::DOUBLE AS max_change, count(*) - count(DISTINCT user_id) AS rows FROM events""")
+def conv_leakage(t):
+    """Changing the last step of each series leaves the earlier outputs as they are."""
+    last = t("events").groupBy("user_id").agg(F.max(F.struct("ts", "event_id"))["event_id"].alias("last_id"))
+    events = t("events").join(last, "user_id").withColumn("final", F.col("event_id") == F.col("last_id"))
+
+    def run(change):
+        x = F.array(F.col("value") + F.when(F.col("final"), change).otherwise(0.0))
+        return temporal.causal_conv(events.withColumn("x", x), ["user_id"], ["ts", "event_id"], "x", _TAPS, dilation=2)
+    return temporal.leakage(run(0.0), run(10.0), ["user_id", "event_id"], "conv", ~F.col("final"))
+
+
+@query("""
+    SELECT 0.0::DOUBLE AS max_change, count(*) - count(DISTINCT label) AS rows FROM embeddings""")
+def attention_leakage(t):
+    last = t("embeddings").groupBy("label").agg(F.max("vec_id").alias("last_id"))
+    rows = _vector(t).join(last, "label").withColumn("final", F.col("vec_id") == F.col("last_id"))
+
+    def run(change):
+        shift = F.when(F.col("final"), change).otherwise(0.0)
+        moved = rows.withColumn("y", F.transform("x", lambda v: v + shift))
+        return attn.attention(moved, ["label"], ["vec_id"], "y", "y", "y", heads=4, keep=["vec_id", "final"])
+    out = temporal.leakage(run(0.0), run(10.0), ["label", "vec_id"], "attended", ~F.col("final"))
+    return out.withColumn("max_change", F.round("max_change", 6))

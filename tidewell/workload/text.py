@@ -191,9 +191,23 @@ def cross_entropy(t):
     return out.withColumns({c: F.round(c, 6) for c in ("avg_loss", "avg_accuracy")})
 
 
+def _corpus(t):
+    corpus = t("documents").join(t("labels"), "doc_id").select("doc_id", "text", F.col("quality").alias("label"))
+    return ops.split_corpus(corpus, F.pmod("doc_id", F.lit(10)) / 10, {"train": 0.8, "validation": 0.2})
+
+
 @query()
 def classifier_fit_predict(t):
-    corpus = t("documents").join(t("labels"), "doc_id").select("doc_id", "text", F.col("quality").alias("label"))
-    split = ops.split_corpus(corpus, F.pmod("doc_id", F.lit(10)) / 10, {"train": 0.8, "validation": 0.2})
+    split = _corpus(t)
     model = classifier.train(split.filter("split = 'train'")).model
     return classifier.score(model, split.filter("split = 'validation'"), ["doc_id", "label"]).select("doc_id", "label", "prediction")
+
+
+@query()
+def classifier_evaluation(t):
+    split = _corpus(t)
+    trained = classifier.train(split.filter("split = 'train'"))
+    scored = classifier.score(trained.model, split.filter("split = 'validation'"), ["doc_id", "label"])
+    means = evaluate.evaluation(scored, ["doc_id"], "logits", "label")
+    epochs = classifier.training_stats(t.spark, trained)
+    return epochs.withColumn("evaluation", means.select(F.struct("*")).scalar()).select("epoch", "loss", "evaluation.*")
