@@ -31,10 +31,10 @@ def typed(col: Column, kind: str) -> Column:
     if kind == "boolean":
         return F.when(col.isin(list(TRUE_TOKENS)), True).when(col.isin(list(FALSE_TOKENS)), False).when(
             col.isNotNull(), F.raise_error(F.concat(F.lit("not a boolean: "), col)).cast("boolean"))
-    if kind == "bigint":
-        return F.trim(col).cast("bigint")
-    if kind == "double":
-        return _number(col).cast("double")
+    if kind in ("bigint", "double"):
+        number = (F.trim(col) if kind == "bigint" else _number(col)).try_cast(kind)
+        wrong = F.raise_error(F.concat(F.lit(f"not a {kind}: "), col)).cast(kind)
+        return F.coalesce(number, F.when(col.isNotNull(), wrong))
     return col
 
 
