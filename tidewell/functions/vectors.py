@@ -35,28 +35,31 @@ def weights(rows: Sequence[Sequence[float]]) -> Column:
 
 
 def linear(x: Column, matrix: Column) -> Column:
-    return F.transform(matrix, lambda row: dot(row, x))
+    return bind(x, lambda v: F.transform(matrix, lambda row: dot(row, v)))
 
 
 def softmax(x: Column) -> Column:
     """Softmax with the maximum subtracted first."""
-    def scaled(top):
-        return F.transform(x, lambda v: F.exp(v - top))
-    return bind(F.array_max(x), lambda top: bind(
-        scaled(top), lambda e: bind(total(e), lambda s: F.transform(e, lambda v: v / s))))
+    def shifted(v):
+        return bind(F.array_max(v), lambda top: F.transform(v, lambda item: F.exp(item - top)))
+    return bind(bind(x, shifted), lambda e: bind(total(e), lambda s: F.transform(e, lambda item: item / s)))
 
 
 def rms_norm(x: Column, eps: float = 1e-5) -> Column:
-    scale = F.pow(total(F.transform(x, lambda v: v * v)) / F.size(x) + F.lit(eps), F.lit(-0.5))
-    return bind(scale, lambda s: F.transform(x, lambda v: v * s))
+    def scaled(v):
+        scale = F.pow(dot(v, v) / F.size(v) + F.lit(eps), F.lit(-0.5))
+        return bind(scale, lambda s: F.transform(v, lambda item: item * s))
+    return bind(x, scaled)
 
 
 def layer_norm(x: Column, eps: float = 1e-3) -> Column:
     """Zero mean and unit population variance, without gain and shift."""
-    def scaled(mean):
-        variance = total(F.transform(x, lambda v: (v - mean) * (v - mean))) / F.size(x)
-        return bind(F.sqrt(variance + F.lit(eps)), lambda s: F.transform(x, lambda v: (v - mean) / s))
-    return bind(total(x) / F.size(x), scaled)
+    def centred(v):
+        return bind(total(v) / F.size(v), lambda mean: F.transform(v, lambda item: item - mean))
+
+    def scaled(c):
+        return bind(F.sqrt(dot(c, c) / F.size(c) + F.lit(eps)), lambda s: F.transform(c, lambda item: item / s))
+    return bind(bind(x, centred), scaled)
 
 
 def relu(x: Column) -> Column:
@@ -74,7 +77,8 @@ def argmax(x: Column) -> Column:
 
 def cross_entropy(logits: Column, label: Column) -> Column:
     """-log softmax(logits)[label], through log-sum-exp."""
-    def loss(top):
-        spread = F.log(total(F.transform(logits, lambda v: F.exp(v - top))))
-        return spread + top - F.element_at(logits, label.cast("int") + 1)
-    return bind(F.array_max(logits), loss)
+    def loss(v):
+        def spread(top):
+            return F.log(total(F.transform(v, lambda item: F.exp(item - top)))) + top
+        return bind(F.array_max(v), spread) - F.element_at(v, label.cast("int") + 1)
+    return bind(logits, loss)

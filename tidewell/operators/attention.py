@@ -1,7 +1,7 @@
 """Scaled dot-product attention over ordered series, in blocks.
 
 A series is cut into blocks of consecutive rows. Each pair of a query block and a key block is one
-task-sized matrix product that yields, per query row and head, a normalised result and the log of
+small matrix product that yields, per query row and head, a normalised result and the log of
 its weight; these partial results are then combined exactly. No task holds more than two blocks,
 whatever the length of the series, and no row pairs are ever written out.
 """
@@ -18,6 +18,7 @@ from tidewell.operators.ordering import with_position
 from tidewell.session import settled
 
 BLOCK = 1024
+PACK = 8 * BLOCK
 
 
 def attention(
@@ -58,52 +59,68 @@ def attention(
     query_blocks = F.sequence(own, last_query) if causal else F.sequence(F.lit(0).cast("bigint"), last)
 
     names = list(dict.fromkeys(keep))
+    # Short series share a call: their blocks are handed over together, about PACK rows at a time.
+    pack = F.pmod(F.xxhash64(*series), F.lit(max(1, df.count() // PACK))).alias("__pack")
     queries = sized.select(
-        *series, "__pos", vectors.doubles(F.col(q)).alias("__q"), *names,
+        *series, pack, "__pos", vectors.doubles(F.col(q)).alias("__q"), *names,
         own.alias("__qb"), F.explode(key_blocks).alias("__kb"))
     keys = sized.select(
-        *[F.col(s).alias(s) for s in series], F.col("__pos").alias("__pos"), vectors.doubles(F.col(k)).alias("__k"), vectors.doubles(F.col(v)).alias("__v"),
+        *[F.col(s).alias(s) for s in series], pack, F.col("__pos").alias("__pos"), vectors.doubles(F.col(k)).alias("__k"), vectors.doubles(F.col(v)).alias("__v"),
         F.explode(query_blocks).alias("__qb"), own.alias("__kb"))
 
+    columns_of_series = list(series)
+
     def block_pair(left, right):
         import numpy as np
+        import pandas as pd
         import pyarrow as pa
 
         def matrix(table, name):
             return table.column(name).combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
 
-        n, m = left.num_rows, right.num_rows
-        rows = left.drop_columns(["__q", "__qb", "__kb"])
-        lists = pa.list_(pa.float64())
-        if n == 0 or m == 0:
+        n = left.num_rows
+        rows, lists = left.drop_columns(["__q", "__qb", "__kb", "__pack"]), pa.list_(pa.float64())
+        if n == 0 or right.num_rows == 0:
             rows = rows.slice(0, 0)
             return rows.append_column("__weight", pa.array([], lists)).append_column("__result", pa.array([], lists))
         qs, ks, vs = matrix(left, "__q"), matrix(right, "__k"), matrix(right, "__v")
-        distance = left.column("__pos").to_numpy()[:, None] - right.column("__pos").to_numpy()[None, :]
-        seen = np.ones((n, m), dtype=bool)
-        if causal:
-            seen &= distance >= 0
-        if lookback is not None:
-            seen &= distance < lookback
+        q_at, k_at = left.column("__pos").to_numpy(), right.column("__pos").to_numpy()
+        names = pd.concat([t.select(columns_of_series).to_pandas() for t in (left, right)])
+        codes = names.groupby(columns_of_series, dropna=False, sort=False).ngroup().to_numpy()
+        q_order, k_order = np.argsort(codes[:n], kind="stable"), np.argsort(codes[n:], kind="stable")
+        present, starts = np.unique(codes[:n][q_order], return_index=True)
+        k_sorted = codes[n:][k_order]
+        k_starts = np.searchsorted(k_sorted, present, "left")
+        k_ends = np.searchsorted(k_sorted, present, "right")
         dim, width = qs.shape[1] // heads, vs.shape[1] // heads
         weight, result = np.full((n, heads), -np.inf), np.zeros((n, heads * width))
-        for h in range(heads):
-            logits = qs[:, h * dim : (h + 1) * dim] @ ks[:, h * dim : (h + 1) * dim].T / np.sqrt(dim)
-            logits = np.where(seen, logits, -np.inf)
-            top = logits.max(axis=1)
-            some = np.isfinite(top)
-            shifted = np.exp(logits - np.where(some, top, 0.0)[:, None])
-            mass = shifted.sum(axis=1)
-            weight[some, h] = top[some] + np.log(mass[some])
-            part = shifted @ vs[:, h * width : (h + 1) * width]
-            result[some, h * width : (h + 1) * width] = part[some] / mass[some, None]
+        for start, end, k_start, k_end in zip(starts, [*starts[1:], n], k_starts, k_ends):
+            if k_start == k_end:
+                continue
+            mine, theirs = q_order[start:end], k_order[k_start:k_end]
+            distance = q_at[mine][:, None] - k_at[theirs][None, :]
+            seen = np.ones(distance.shape, dtype=bool)
+            if causal:
+                seen &= distance >= 0
+            if lookback is not None:
+                seen &= distance < lookback
+            for h in range(heads):
+                logits = qs[mine, h * dim : (h + 1) * dim] @ ks[theirs, h * dim : (h + 1) * dim].T / np.sqrt(dim)
+                logits = np.where(seen, logits, -np.inf)
+                top = logits.max(axis=1)
+                some = np.isfinite(top)
+                shifted = np.exp(logits - np.where(some, top, 0.0)[:, None])
+                mass = shifted.sum(axis=1)
+                part = shifted @ vs[theirs, h * width : (h + 1) * width]
+                weight[mine[some], h] = top[some] + np.log(mass[some])
+                result[mine[some], h * width : (h + 1) * width] = part[some] / mass[some, None]
         return rows.append_column("__weight", pa.array(list(weight), lists)).append_column(
             "__result", pa.array(list(result), lists))
 
     row_key = [*series, "__pos"]
     head = queries.select(*row_key, *names).schema
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in head)
-    pair = [*series, "__qb", "__kb"]
+    pair = ["__pack", "__qb", "__kb"]
     parts = (
         queries.groupBy(*pair).cogroup(keys.groupBy(*pair))
         .applyInArrow(block_pair, f"{columns}, __weight array<double>, __result array<double>")

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from tidewell.functions import vectors
 from tidewell.operators import attention as attn
 from tidewell.operators import temporal
+from tidewell.plans.char_model import CharModel, Layer, document_loss
 from tidewell.workload import query
+from tidewell.workload.text import PAIRS_SQL, codes_sql, token_pairs
 
 _X = "list_transform(embedding, lambda x: x::DOUBLE)"
 
@@ -223,3 +225,47 @@ def attention_leakage(t):
         return attn.attention(moved, ["label"], ["vec_id"], "y", "y", "y", heads=4, keep=["vec_id", "final"])
     out = temporal.leakage(run(0.0), run(10.0), ["label", "vec_id"], "attended", ~F.col("final"))
     return out.withColumn("max_change", F.round("max_change", 6))
+
+
+_MODEL = CharModel(
+    _matrix(64, 4, 1), _matrix(16, 4, 5),
+    [Layer(_matrix(4, 4, 1), _matrix(4, 4, 2), _matrix(4, 4, 3), _matrix(4, 4, 6), _matrix(8, 4, 2), _matrix(4, 8, 4))],
+    _matrix(64, 4, 7), heads=1)
+
+
+def _norm_sql(v: str) -> str:
+    return f"list_transform({v}, lambda z: z * pow(list_dot_product({v}, {v}) / 4 + 1e-5, -0.5))"
+
+
+def _plus_sql(a: str, b: str) -> str:
+    return "[" + ", ".join(f"{a}[{i}] + {b}[{i}]" for i in range(1, 5)) + "]"
+
+
+def _model_sql() -> str:
+    layer = _MODEL.layers[0]
+    return f"""
+    WITH {codes_sql('part', 'p_partkey', 'p_name')}, {PAIRS_SQL.format(key='p_partkey')},
+    w AS (SELECT {_MODEL.tokens}::DOUBLE[][] AS wte, {_MODEL.positions}::DOUBLE[][] AS wpe),
+    e0 AS (SELECT p_partkey AS d, position AS t, target, {_plus_sql('wte[token + 1]', 'wpe[position + 1]')} AS s
+          FROM p, w WHERE target IS NOT NULL AND position < 16),
+    x AS (SELECT d, t, target, {_norm_sql('s')} AS x FROM e0),
+    h AS (SELECT *, {_norm_sql('x')} AS h FROM x),
+    k AS (SELECT *, {_dots(layer.query, 'h')} AS q, {_dots(layer.key, 'h')} AS k, {_dots(layer.value, 'h')} AS v FROM h),
+    s AS (SELECT a.d, a.t, a.target, a.x, b.v, list_dot_product(a.q, b.k) / 2 AS s FROM k a JOIN k b ON a.d = b.d AND b.t <= a.t),
+    g AS (SELECT *, exp(s - max(s) OVER (PARTITION BY d, t)) AS g FROM s),
+    o AS (SELECT d, t, any_value(target) AS target, any_value(x) AS x, [{', '.join(f'sum(g * v[{i}]) / sum(g)' for i in range(1, 5))}] AS o FROM g GROUP BY d, t),
+    m AS (SELECT *, {_dots(layer.mix, 'o')} AS m FROM o),
+    y AS (SELECT d, t, target, {_plus_sql('m', 'x')} AS y FROM m),
+    n AS (SELECT *, {_norm_sql('y')} AS n FROM y),
+    f AS (SELECT *, list_transform({_dots(layer.widen, 'n')}, lambda z: greatest(z, 0.0)) AS f FROM n),
+    r AS (SELECT *, {_dots(layer.narrow, 'f')} AS r FROM f),
+    z AS (SELECT d, t, target, {_plus_sql('r', 'y')} AS z FROM r),
+    l AS (SELECT *, {_dots(_MODEL.head, 'z')} AS l FROM z)
+    SELECT d AS p_partkey, round(avg(ln(list_sum(list_transform(l, lambda v: exp(v)))) - l[target + 1]), 6) AS nll, count(*) AS positions
+    FROM l GROUP BY d"""
+
+
+@query(_model_sql())
+def char_model_loss(t):
+    pairs = token_pairs(t, "part", "p_partkey", "p_name", 16)
+    return document_loss(pairs, _MODEL, "p_partkey").withColumn("nll", F.round("nll", 6))

@@ -51,7 +51,7 @@ def vocab_size(t):
     return ops.vocabulary_size(ops.char_vocabulary(t("nation"), "n_name"))
 
 
-def _codes_sql(table: str, key: str, column: str) -> str:
+def codes_sql(table: str, key: str, column: str) -> str:
     return f"""{_vocab_sql(table, column)},
     c AS (SELECT {key}, unnest(string_split({column}, '')) AS ch, generate_subscripts(string_split({column}, ''), 1) AS pos FROM {table}),
     e AS (SELECT {key}, pos, id, ch FROM c JOIN v USING (ch)),
@@ -60,14 +60,14 @@ def _codes_sql(table: str, key: str, column: str) -> str:
           UNION ALL SELECT {key}, length({column}) + 1, (SELECT count(*) FROM v)::INTEGER FROM {table})"""
 
 
-@query(f"""WITH {_codes_sql('part', 'p_partkey', 'p_name')}
+@query(f"""WITH {codes_sql('part', 'p_partkey', 'p_name')}
     SELECT p_partkey, string_agg(id, ' ' ORDER BY pos) AS ids FROM b GROUP BY 1""")
 def char_encode(t):
     codec = ops.CharCodec.of(ops.char_vocabulary(t("part"), "p_name"))
     return t("part").select("p_partkey", F.array_join(codec.encode(F.col("p_name")).cast("array<string>"), " ").alias("ids"))
 
 
-@query(f"""WITH {_codes_sql('documents', 'doc_id', 'text')}
+@query(f"""WITH {codes_sql('documents', 'doc_id', 'text')}
     SELECT doc_id, count(*)::INTEGER AS tokens, md5(string_agg(id, ' ' ORDER BY pos)) AS digest FROM b GROUP BY 1""")
 def char_encode_documents(t):
     codec = ops.CharCodec.of(ops.char_vocabulary(t("documents"), "text"))
@@ -82,27 +82,27 @@ def char_decode(t):
     return t("nation").select("n_nationkey", codec.decode(codec.encode(F.col("n_name"))).alias("decoded"))
 
 
-_PAIRS = """p AS (SELECT {key}, pos::INTEGER AS position, id AS token, lead(id) OVER (PARTITION BY {key} ORDER BY pos) AS target FROM b)"""
+PAIRS_SQL = """p AS (SELECT {key}, pos::INTEGER AS position, id AS token, lead(id) OVER (PARTITION BY {key} ORDER BY pos) AS target FROM b)"""
 
 
-def _pairs(t, table, key, column, block):
+def token_pairs(t, table, key, column, block):
     codec = ops.CharCodec.of(ops.char_vocabulary(t(table), column))
     coded = t(table).select(key, codec.encode(F.col(column)).alias("ids"))
     return ops.next_token_pairs(coded, "ids", block, [key])
 
 
-@query(f"""WITH {_codes_sql('nation', 'n_nationkey', 'n_name')}, {_PAIRS.format(key='n_nationkey')}
+@query(f"""WITH {codes_sql('nation', 'n_nationkey', 'n_name')}, {PAIRS_SQL.format(key='n_nationkey')}
     SELECT n_nationkey, position, token, target FROM p WHERE target IS NOT NULL AND position < 8""")
 def next_token_pairs(t):
-    return _pairs(t, "nation", "n_nationkey", "n_name", 8)
+    return token_pairs(t, "nation", "n_nationkey", "n_name", 8)
 
 
-@query(f"""WITH {_codes_sql('part', 'p_partkey', 'p_name')}, {_PAIRS.format(key='p_partkey')},
+@query(f"""WITH {codes_sql('part', 'p_partkey', 'p_name')}, {PAIRS_SQL.format(key='p_partkey')},
     q AS (SELECT * FROM p WHERE target IS NOT NULL AND position < 16),
     m AS (SELECT token, target, count(*) / sum(count(*)) OVER (PARTITION BY token) AS prob FROM q GROUP BY 1, 2)
     SELECT p_partkey, round(avg(-ln(prob)), 6) AS nll, count(*) AS positions FROM q JOIN m USING (token, target) GROUP BY 1""")
 def doc_nll(t):
-    pairs = _pairs(t, "part", "p_partkey", "p_name", 16)
+    pairs = token_pairs(t, "part", "p_partkey", "p_name", 16)
     counts = pairs.groupBy("token", "target").agg(F.count(F.lit(1)).alias("n"))
     totals = counts.groupBy("token").agg(F.sum("n").alias("all"))
     model = counts.join(totals, "token").select("token", "target", (F.col("n") / F.col("all")).alias("prob"))
