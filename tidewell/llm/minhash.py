@@ -9,8 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.shared import LEFT, RIGHT, by_bytes, components, id_filter, in_filter, mix, packed, word_hashes
-from tidewell.session import settled
+from tidewell.llm.shared import LEFT, RIGHT, by_bytes, components, id_filter, in_filter, mix, packed, stored, word_hashes
 
 # 25 bands of 5 rows miss a pair at similarity 0.85 with probability 4e-7, one at 0.8 with 5e-5.
 BANDS, ROWS = 25, 5
@@ -181,7 +180,7 @@ def _compare(members: DataFrame, percent: int) -> DataFrame:
         F.ceil(F.when(F.col("weight") < 1, F.col("loose")).otherwise(F.col("weight"))).cast("int").alias("n"),
     )
     spot = F.when(F.col("kind") == 0, F.lit(0)).when(F.col("kind") == 1, F.pmod(F.xxhash64("part"), F.col("n"))).otherwise(F.pmod(F.xxhash64("rep"), F.col("n"))).cast("bigint")
-    placed = settled(
+    placed = stored(
         members.join(shape, ["family", "part"]).select("family", "rep", "shingles", F.when(F.col("kind") == 2, F.col("part")).alias("whole"), spot.alias("spot")),
         "blocks",
     )
@@ -190,7 +189,7 @@ def _compare(members: DataFrame, percent: int) -> DataFrame:
     other = blocks.select("family", F.col("whole").alias("whole_2"), F.col("block").alias("block_2"))
     # Pairs of blocks, not of documents; a family of one block has none.
     pairs = blocks.join(other, "family").where("block < block_2 and not (whole <=> whole_2 and whole is not null)")
-    groups = settled(pairs.select("block", "block_2").unionByName(blocks.where("whole is null").select("block", F.col("block").alias("block_2"))), "block-pairs")
+    groups = stored(pairs.select("block", "block_2").unionByName(blocks.where("whole is null").select("block", F.col("block").alias("block_2"))), "block-pairs")
     held = placed.withColumn("block", F.xxhash64(*key)).select("block", "rep", "shingles")
     sent = groups.select("block", "block_2", F.lit(0).alias("side")).unionByName(
         groups.where("block <> block_2").select(F.col("block_2").alias("block"), F.col("block").alias("block_2"), F.lit(1).alias("side"))
@@ -216,32 +215,32 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     families are first linked to the smallest member of each bucket, so that blocks of one component are skipped.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    signed = settled(docs.mapInArrow(
+    signed = stored(docs.mapInArrow(
         lambda it: _signed(it, k, bands, rows),
         "doc_id bigint, n_shingles bigint, key_a bigint, key_b bigint, bands array<bigint>",
     ), "signatures")
     named = signed.where("doc_id is not null and n_shingles > 0")
     same = ["n_shingles", "key_a", "key_b"]
-    classes = settled(named.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "classes")
+    classes = stored(named.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "classes")
     rows_of = classes.select("rep", F.explode("bands").alias("bucket"))
     hubs = rows_of.groupBy("bucket").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).where("hub < last")
-    stars = settled(rows_of.join(hubs, "bucket").where("rep > hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct(), "stars")
-    families = settled(components(stars).select(F.col("id").alias("rep"), F.col("component").alias("family")), "families")
+    stars = stored(rows_of.join(hubs, "bucket").where("rep > hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct(), "stars")
+    families = stored(components(stars).select(F.col("id").alias("rep"), F.col("component").alias("family")), "families")
     chosen = id_filter(families, "rep")
     sets = docs.where("doc_id is not null").mapInArrow(lambda it: _chosen_sets(it, k, chosen), "rep bigint, shingles binary")
     # A representative whose doc_id occurs on several rows keeps the set of each.
-    members = settled(families.join(sets, "rep").where(F.octet_length("shingles") > 0).distinct(), "members")
-    big = settled(
+    members = stored(families.join(sets, "rep").where(F.octet_length("shingles") > 0).distinct(), "members")
+    big = stored(
         members.groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("shingles")).alias("bytes"))
         .where((F.col("n") > BLOCK_DOCS) | (F.col("bytes") > 8 * BLOCK_SHINGLES)).select("family"), "large-families",
     )
     spoke = members.join(big, "family").select(F.col("rep").alias("a"), "shingles")
     hub = members.join(big, "family").select(F.col("rep").alias("b"), F.col("shingles").alias("hub_shingles"))
     tried = stars.join(spoke, "a").join(hub, "b").select("a", "b", "shingles", "hub_shingles")
-    star_links = settled(tried.mapInArrow(lambda it: _verified(it, percent), "a bigint, b bigint"), "star-links")
-    known = settled(components(star_links), "parts")
+    star_links = stored(tried.mapInArrow(lambda it: _verified(it, percent), "a bigint, b bigint"), "star-links")
+    known = stored(components(star_links), "parts")
     staged = members.join(known.select(F.col("id").alias("rep"), F.col("component").alias("part")), "rep", "left").withColumn("part", F.coalesce("part", "rep"))
-    links = settled(_compare(staged, percent).unionByName(star_links), "links")
+    links = stored(_compare(staged, percent).unionByName(star_links), "links")
     joined = components(links).select(F.col("id").alias("rep"), "component")
     # One doc_id on several rows joins the classes of these rows; the smallest id stays.
     labelled = classes.select(*same, "rep").join(joined, "rep", "left").select(*same, F.coalesce("component", "rep").alias("component_id"))

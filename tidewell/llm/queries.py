@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import minhash
+from tidewell.llm import minhash, substrings
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -16,6 +16,12 @@ def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"), k=3, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op6_minhash_near_dedup,)}
+def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Words in windows of 13 that an earlier document has are removed."""
+    found = substrings.repeated_windows(table(spark, folder, "documents"), n=13)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256", "longest")
+
+
+QUERIES = {f.__name__: f for f in (op6_minhash_near_dedup, op7_substring_dedup)}
 
 SQL: dict[str, str] = {}

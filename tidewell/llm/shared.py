@@ -25,6 +25,20 @@ FILTER_BITS = 23
 _powers: dict[str, np.ndarray] = {}
 
 
+CLEANUP_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """`settled`, after which the shuffle files behind the written table are removed at once."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP_KEY, "false")
+    conf.set(CLEANUP_KEY, "true")
+    try:
+        return settled(df, purpose)
+    finally:
+        conf.set(CLEANUP_KEY, before)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads every bit."""
     x = x ^ (x >> np.uint64(30))
@@ -135,7 +149,7 @@ def components(edges: DataFrame) -> DataFrame:
     Rounds of large-star and small-star: every node's neighbours are joined to its smallest neighbour,
     so the number of edges never grows and hubs are only joined, never gathered.
     """
-    state = settled(
+    state = stored(
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges"
     )
     seen = None
@@ -147,12 +161,12 @@ def components(edges: DataFrame) -> DataFrame:
         both = state.unionByName(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("low")).select(F.col("u").alias("k"), F.least("u", "low").alias("low"))
         large = both.join(low, both["u"] == low["k"]).where("v > u").select(F.col("v").alias("u"), F.col("low").alias("v")).where("u <> v")
-        large = settled(large.distinct(), "edges")
+        large = stored(large.distinct(), "edges")
         least = large.groupBy("u").agg(F.min("v").alias("low")).withColumnRenamed("u", "k")
         small = large.join(least, large["u"] == least["k"]).select(
             F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("low").alias("v")), F.struct(F.col("u"), F.col("low").alias("v")))).alias("e")
         ).select("e.*").where("u <> v")
-        state = settled(small.distinct(), "edges")
+        state = stored(small.distinct(), "edges")
     found = state.select(F.col("u").alias("id"), F.col("v").alias("component"))
     roots = found.select(F.col("component").alias("id"), "component").distinct()
     return found.unionByName(roots)
