@@ -14,7 +14,7 @@ from tidewell.llm.shared import LEFT, RIGHT, by_bytes, components, id_filter, in
 # 25 bands of 5 rows miss a pair at similarity 0.85 with probability 4e-7, one at 0.8 with 5e-5.
 BANDS, ROWS = 25, 5
 # Documents and shingles that are compared in one task at a time.
-BLOCK_DOCS, BLOCK_SHINGLES = 1024, 1 << 21
+BLOCK_DOCS, BLOCK_SHINGLES = 4096, 1 << 21
 
 
 def shingle_sets(texts: list[str | None], k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -167,8 +167,7 @@ def _verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
 def _compare(members: DataFrame, percent: int) -> DataFrame:
     """Links between `members (family, rep, part, shingles)`; `part` is what is known to be connected.
 
-    A family within one block is compared in one task. A larger one is dealt into blocks that keep
-    connected parts together; each block and each pair of blocks that are not already one part is a
+    A family is dealt into blocks that keep connected parts together; each block and each pair of blocks that are not already one part is a
     group of its own, so no task holds more than two blocks. Groups emit only links that
     connect something, never all pairs.
     """
@@ -198,6 +197,17 @@ def _compare(members: DataFrame, percent: int) -> DataFrame:
     return loads.groupBy("x", "y").applyInArrow(lambda table: _block_links(table, percent), "a bigint, b bigint")
 
 
+def _large(members: DataFrame, stars: DataFrame, percent: int) -> DataFrame:
+    """`rep`, `component` in families that are larger than a block."""
+    spoke = members.select(F.col("rep").alias("a"), "shingles")
+    hub = members.select(F.col("rep").alias("b"), F.col("shingles").alias("hub_shingles"))
+    tried = stars.join(spoke, "a").join(hub, "b").select("a", "b", "shingles", "hub_shingles")
+    star_links = stored(tried.mapInArrow(lambda it: _verified(it, percent), "a bigint, b bigint"), "star-links")
+    known = stored(components(star_links).toDF("rep", "part"), "parts")
+    staged = members.join(known, "rep", "left").withColumn("part", F.coalesce("part", "rep"))
+    return components(stored(_compare(staged, percent).unionByName(star_links), "links")).toDF("rep", "component")
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Near-duplicate classes of `docs (doc_id, text)`.
 
@@ -211,8 +221,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     Other columns of the input, whatever their names, are not used. No rows give no rows.
 
     Equal sets are first merged into one representative. Bands of SuperMinHash signatures give candidate
-    families (components of shared band keys); a family is compared on full sets in blocks (`_compare`). Large
-    families are first linked to the smallest member of each bucket, so that blocks of one component are skipped.
+    families (components of shared band keys). A family within one block is compared on full sets in one task. A larger
+    one is first linked to the smallest member of each bucket, and then compared in pairs of blocks, without blocks of one component.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     signed = stored(docs.mapInArrow(
@@ -230,18 +240,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     sets = docs.where("doc_id is not null").mapInArrow(lambda it: _chosen_sets(it, k, chosen), "rep bigint, shingles binary")
     # A representative whose doc_id occurs on several rows keeps the set of each.
     members = stored(families.join(sets, "rep").where(F.octet_length("shingles") > 0).distinct(), "members")
-    big = stored(
-        members.groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("shingles")).alias("bytes"))
-        .where((F.col("n") > BLOCK_DOCS) | (F.col("bytes") > 8 * BLOCK_SHINGLES)).select("family"), "large-families",
-    )
-    spoke = members.join(big, "family").select(F.col("rep").alias("a"), "shingles")
-    hub = members.join(big, "family").select(F.col("rep").alias("b"), F.col("shingles").alias("hub_shingles"))
-    tried = stars.join(spoke, "a").join(hub, "b").select("a", "b", "shingles", "hub_shingles")
-    star_links = stored(tried.mapInArrow(lambda it: _verified(it, percent), "a bigint, b bigint"), "star-links")
-    known = stored(components(star_links), "parts")
-    staged = members.join(known.select(F.col("id").alias("rep"), F.col("component").alias("part")), "rep", "left").withColumn("part", F.coalesce("part", "rep"))
-    links = stored(_compare(staged, percent).unionByName(star_links), "links")
-    joined = components(links).select(F.col("id").alias("rep"), "component")
+    sizes = members.groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("shingles")).alias("bytes"))
+    big = stored(sizes.where((F.col("n") > BLOCK_DOCS) | (F.col("bytes") > 8 * BLOCK_SHINGLES)).select("family"), "large-families")
+    within = members.join(big, "family", "left_anti").withColumn("side", F.lit(0))
+    joined = stored(within.groupBy("family").applyInArrow(lambda table: _block_links(table, percent), "a bigint, b bigint"), "links").toDF("rep", "component")
+    if not big.isEmpty():
+        joined = joined.unionByName(_large(members.join(big, "family"), stars, percent))
     # One doc_id on several rows joins the classes of these rows; the smallest id stays.
     labelled = classes.select(*same, "rep").join(joined, "rep", "left").select(*same, F.coalesce("component", "rep").alias("component_id"))
     own = signed.join(labelled, same, "left")

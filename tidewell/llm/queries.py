@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import minhash, substrings
+from tidewell.llm import exact, minhash, quality, substrings
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -22,6 +22,24 @@ def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256", "longest")
 
 
-QUERIES = {f.__name__: f for f in (op6_minhash_near_dedup, op7_substring_dedup)}
+def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of equal texts, and the document of each that stays."""
+    return exact.exact_duplicates(table(spark, folder, "documents"))
 
-SQL: dict[str, str] = {}
+
+def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Base rules and the divergence of each document from its language."""
+    found = quality.rate(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+QUERIES = {f.__name__: f for f in (op6_minhash_near_dedup, op7_substring_dedup, op8_exact_dedup, op10_quality_rules)}
+
+SQL = {
+    "op8_exact_dedup": """
+        WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm FROM documents)
+        SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+               doc_id IS NOT DISTINCT FROM max(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
+        FROM t WINDOW w AS (PARTITION BY norm)
+    """,
+}

@@ -149,24 +149,20 @@ def components(edges: DataFrame) -> DataFrame:
     Rounds of large-star and small-star: every node's neighbours are joined to its smallest neighbour,
     so the number of edges never grows and hubs are only joined, never gathered.
     """
-    state = stored(
-        edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges"
-    )
-    seen = None
+    state = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     while True:
-        mark = state.agg(F.count(F.lit(1)), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 31)))).first()
-        if mark == seen:
+        # Done when every node has one edge, to a node that has none of its own.
+        ends = state.select(F.col("u").alias("k"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+            state.select(F.col("v").alias("k"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        if ends.groupBy("k").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up + down > 1 and up > 0").isEmpty():
             break
-        seen = mark
         both = state.unionByName(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("low")).select(F.col("u").alias("k"), F.least("u", "low").alias("low"))
-        large = both.join(low, both["u"] == low["k"]).where("v > u").select(F.col("v").alias("u"), F.col("low").alias("v")).where("u <> v")
-        large = stored(large.distinct(), "edges")
+        large = both.join(low, both["u"] == low["k"]).where("v > u").select(F.col("v").alias("u"), F.col("low").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("low")).withColumnRenamed("u", "k")
         small = large.join(least, large["u"] == least["k"]).select(
             F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("low").alias("v")), F.struct(F.col("u"), F.col("low").alias("v")))).alias("e")
         ).select("e.*").where("u <> v")
         state = stored(small.distinct(), "edges")
     found = state.select(F.col("u").alias("id"), F.col("v").alias("component"))
-    roots = found.select(F.col("component").alias("id"), "component").distinct()
-    return found.unionByName(roots)
+    return found.unionByName(found.select(F.col("component").alias("id"), "component").distinct())
