@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import exact, minhash, quality, substrings
+from tidewell.llm import exact, minhash, packing, quality, substrings, warc
+from tidewell.session import shared_folder
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_warc_normaliser(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages written as monolithic archives, normalised to a member per record, and read back by offset."""
+    archives = shared_folder(spark, "warc")
+    warc.write_monolithic(table(spark, folder, "pages"), archives)
+    index = warc.normalise(spark, archives, shared_folder(spark, "warc-members"))
+    return warc.read_records(index, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Classes of documents whose 3-word shingle sets have a Jaccard similarity of 0.85 or more."""
     return minhash.near_duplicates(table(spark, folder, "documents"), k=3, percent=85)
@@ -27,15 +37,35 @@ def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, folder, "documents"))
 
 
+def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents packed into sequences of at most 2048 tokens."""
+    return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Base rules and the divergence of each document from its language."""
     found = quality.rate(table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op6_minhash_near_dedup, op7_substring_dedup, op8_exact_dedup, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (
+    op1_warc_normaliser, op6_minhash_near_dedup, op7_substring_dedup, op8_exact_dedup, op9_best_fit_packing, op10_quality_rules,
+)}
 
 SQL = {
+    "op1_warc_normaliser": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+        d AS (
+            SELECT page_id, html, octet_length(encode(html)) AS payload_bytes,
+                   array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                       ((('0x' || substr(hex, (i // 4) * 5 + 1, 5))::BIGINT >> (15 - 5 * (i % 4))::INT) & 31)::INT + 1, 1)), '') AS payload_digest
+            FROM p
+        )
+        SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+               CASE WHEN page_id = min(page_id) OVER w THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id = min(page_id) OVER w THEN NULL ELSE min(page_id) OVER w END AS refers_to
+        FROM d WINDOW w AS (PARTITION BY html)
+    """,
     "op8_exact_dedup": """
         WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
