@@ -52,6 +52,7 @@ def features(docs: DataFrame) -> DataFrame:
         sorted(COMMON_WORDS), F.array().cast("array<string>"),
     )
     step = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.coalesce("text", F.lit("")).alias("t0"))
+    step = step.withColumn("text_hash", F.xxhash64("t0"))
     step = step.withColumn("words", F.expr(r"array_remove(split(t0, '[\\x20\\x09-\\x0D]+'), '')")).withColumn("common", lists)
     step = step.withColumn("lines", F.expr(r"filter(split(t0, '\n'), l -> l rlike '[^\\x20\\x09-\\x0D]')"))
     step = step.withColumn("hits", F.expr(_let("common", "c", "filter(transform(words, w -> array_position(c, lower(w))), p -> p > 0)")))
@@ -63,14 +64,14 @@ def features(docs: DataFrame) -> DataFrame:
     ]
     bins = [F.expr(f"size(filter(hits, p -> p = {i}))") for i in range(1, N_COMMON + 1)]
     words = F.array(*bins, F.size("words") - F.size("hits")).cast("array<bigint>").alias("common_words")
-    step = step.select("doc_id", "lang", "t0", *counts, words)
+    step = step.select("doc_id", "lang", "text_hash", "t0", *counts, words)
     found = []
     for i, (name, pattern) in enumerate(CLASSES):
         step = step.withColumn(f"t{i + 1}", F.regexp_replace(f"t{i}", pattern, ""))
         step = step.withColumn(name, F.char_length(f"t{i}") - F.char_length(f"t{i + 1}")).drop(f"t{i}")
         found.append(name)
     rest = F.char_length(f"t{len(CLASSES)}")
-    return step.select("doc_id", "lang", *[c for c in step.columns if c.startswith("n_") or c in ("word_chars", "common_words")],
+    return step.select("doc_id", "lang", "text_hash", *[c for c in step.columns if c.startswith("n_") or c in ("word_chars", "common_words")],
                        F.array(*found, rest).cast("array<bigint>").alias("classes"))
 
 
@@ -112,7 +113,7 @@ def rate(docs: DataFrame, max_class: float = MAX_CLASS_DISTANCE, max_word: float
     are not compared; nor are common words in a language without a list, or any in one without a reference.
 
     Result, one row per input row: `doc_id`, `n_words`, `word_chars`, `n_symbols`, `n_dup_lines`, `n_repeat_words`, `base_failed`,
-    `kept`, `class_distance`, `word_distance` (null if not compared). A null text has no words. Null languages are one
+    `kept`, `class_distance`, `word_distance` (null if not compared), `text_hash` (xxhash64 of the text). A null text has no words. Null languages are one
     language. Repeated rows are rated alike. No rows give no rows; other columns are not used.
     """
     found = stored(features(docs).withColumn("base_failed", F.expr("n_words < 50 or 100 * n_repeat_words > 50 * n_words")), "features")
@@ -124,5 +125,5 @@ def rate(docs: DataFrame, max_class: float = MAX_CLASS_DISTANCE, max_word: float
     second = _compared(first, near(TRIM_CLASS_DISTANCE, TRIM_WORD_DISTANCE))
     return second.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        near(max_class, max_word).alias("kept"), "class_distance", "word_distance",
+        near(max_class, max_word).alias("kept"), "class_distance", "word_distance", "text_hash",
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import exact, minhash, packing, quality, substrings, warc
+from tidewell.llm import exact, licenses, lines, minhash, mixing, packing, quality, substrings, toxicity, warc
 from tidewell.session import shared_folder
 
 
@@ -21,6 +21,26 @@ def op1_warc_normaliser(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read_records(index, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, learnt from the labels that are not held out."""
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op3_temperature_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """How often each document is read in the temperature mixture of the sources."""
+    return mixing.mix(table(spark, folder, "documents")).select("doc_id", "source", "n_tokens", "epochs", "copies", "mix_key")
+
+
+def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents without later copies of repeated line runs."""
+    return lines.repeated_lines(table(spark, folder, "documents")).select("doc_id", "n_lines", "n_removed", "kept_sha256")
+
+
+def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The licence statement of each document."""
+    return licenses.scan(table(spark, folder, "documents"))
+
+
 def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Classes of documents whose 3-word shingle sets have a Jaccard similarity of 0.85 or more."""
     return minhash.near_duplicates(table(spark, folder, "documents"), k=3, percent=85)
@@ -49,9 +69,27 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_warc_normaliser, op6_minhash_near_dedup, op7_substring_dedup, op8_exact_dedup, op9_best_fit_packing, op10_quality_rules,
+    op1_warc_normaliser, op2_toxicity, op3_temperature_mixing, op4_line_dedup, op5_license_scan, op6_minhash_near_dedup, op7_substring_dedup, op8_exact_dedup, op9_best_fit_packing, op10_quality_rules,
 )}
 
+
+def license_sql() -> str:
+    rows = ", ".join(f"('{name}', {licenses.bigrams(text)!r})" for name, text in licenses.TEMPLATES)
+    return f"""
+        WITH templates(name, grams) AS (VALUES {rows}),
+        l AS (SELECT doc_id, i AS line, string_split(trim(regexp_replace(lower(string_split(coalesce(text, ''), chr(10))[i]), '[^a-z0-9]+', ' ', 'g')), ' ') AS w
+              FROM documents, range(1, len(string_split(coalesce(text, ''), chr(10))) + 1) AS r(i)),
+        g AS (SELECT doc_id, line, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS grams FROM l WHERE len(w) > 1),
+        d AS (SELECT doc_id, line, name, 2.0::DOUBLE * len(list_intersect(g.grams, t.grams)) / (len(g.grams) + len(t.grams)) AS dice
+              FROM g JOIN templates t ON 2 * least(len(g.grams), len(t.grams)) >= {licenses.MIN_DICE} * (len(g.grams) + len(t.grams))),
+        h AS (SELECT * FROM d WHERE dice >= {licenses.MIN_DICE}),
+        top AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY dice DESC, name, line) AS k FROM h)
+        SELECT doc_id, top.name AS licence, top.dice AS dice, top.line AS line,
+               (SELECT count(DISTINCT h.line) FROM h WHERE h.doc_id = documents.doc_id) AS n_statements
+        FROM documents LEFT JOIN (SELECT * FROM top WHERE k = 1) top USING (doc_id)
+    """
+
+
 SQL = {
     "op1_warc_normaliser": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
@@ -66,6 +104,20 @@ SQL = {
                CASE WHEN page_id = min(page_id) OVER w THEN NULL ELSE min(page_id) OVER w END AS refers_to
         FROM d WINDOW w AS (PARTITION BY html)
     """,
+    "op4_line_dedup": """
+        WITH l AS (SELECT doc_id, i, string_split(coalesce(text, ''), chr(10))[i] AS line
+                   FROM documents, range(1, len(string_split(coalesce(text, ''), chr(10))) + 1) AS r(i)),
+        s AS (SELECT doc_id, i, line, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS pos FROM l WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
+        w AS (SELECT *, lead(line) OVER (PARTITION BY doc_id ORDER BY pos) AS following FROM s),
+        f AS (SELECT doc_id, pos, following IS NOT NULL AND row_number() OVER (PARTITION BY line, following ORDER BY doc_id, pos) > 1 AS later FROM w),
+        g AS (SELECT doc_id, pos, later OR coalesce(lag(later) OVER (PARTITION BY doc_id ORDER BY pos), false) AS gone FROM f),
+        k AS (SELECT l.doc_id, l.i, l.line, s.pos, coalesce(g.gone, false) AS gone
+              FROM l LEFT JOIN s ON l.doc_id = s.doc_id AND l.i = s.i LEFT JOIN g ON s.doc_id = g.doc_id AND s.pos = g.pos)
+        SELECT doc_id, count(pos) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+        FROM k GROUP BY doc_id
+    """,
+    "op5_license_scan": license_sql(),
     "op8_exact_dedup": """
         WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
