@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from tidewell.llm.shared import by_bytes, id_filter, in_filter, packed, pair, stored, word_hashes
 
 # Bytes of text whose windows meet in one bucket, on average.
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 # Characters of text whose windows are merged before they are sent.
-MESSAGE_BYTES = 16 << 20
+MESSAGE_BYTES = 4 << 20
 MESSAGE = "bucket int, docs binary, counts binary, codes binary, hashes binary"
 
 
