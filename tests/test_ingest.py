@@ -98,19 +98,93 @@ def test_csv_quoted_line_ends(spark, tmp_path):
     assert [tuple(r) for r in rows] == [(1, 'a\nb "c", d'), (2, "plain")]
 
 
-def test_csv_sampled_types_fail_on_a_late_bad_value(spark, tmp_path):
-    path = write(f"{tmp_path}/in/late.csv", "n,s\n" + "1,a\n" * 20 + "x,b\n")
-    df = tabular.read_csv(spark, path, sample_rows=10)
-    assert dict(df.dtypes) == {"n": "bigint", "s": "string"}
-    with pytest.raises(Exception):
-        df.collect()
-    assert tabular.read_csv(spark, path).dtypes[0] == ("n", "string")
-
-
-def test_csv_corrupt_lines_are_kept_apart(spark, tmp_path):
-    path = write(f"{tmp_path}/in/c.csv", "a,b\n1,2\n3,4,5\n")
-    rows = tabular.read_text_columns(spark, path, corrupt="bad").cache().collect()
-    assert [r["bad"] for r in rows] == [None, "3,4,5"]
+@pytest.mark.parametrize("last, kind", [("2.5", "double"), ("x", "string")])
+def test_csv_types_come_from_all_rows(spark, tmp_path, last, kind):
+    path = write(f"{tmp_path}/in/late.csv", "n,s\n" + "1,a\n" * 1500 + f"{last},b\n")
+    df = tabular.read_csv(spark, path)
+    assert dict(df.dtypes) == {"n": kind, "s": "string"}
+    assert df.count() == 1501
+
+
+def test_csv_lines_that_do_not_fit(spark, tmp_path):
+    path = write(f"{tmp_path}/in/c.csv", 'a,b\n1,2\n3,4,5\n6\n7,"x,y",\n8,\n9,"p"",q"\n')
+    raw = tabular.read_text_columns(spark, path)
+    assert sorted(r["line"] for r in tabular.rejected(raw).collect()) == ["3,4,5", '7,"x,y",']
+    kept = tabular.read_csv(spark, path, rejects="apart").orderBy("a").collect()
+    assert [tuple(r) for r in kept] == [(1, "2"), (6, None), (8, None), (9, 'p",q')]
+    with pytest.raises(Exception, match="too many fields: (3,4,5|7,)"):
+        tabular.read_csv(spark, path, kinds={"a": "bigint", "b": "string"}).collect()
+    with pytest.raises(ValueError):
+        tabular.read_csv(spark, path, rejects="drop")
+
+
+def test_csv_a_quote_inside_a_field_opens_nothing(spark, tmp_path):
+    path = write(f"{tmp_path}/in/p.csv", 'id,text\n1,5" pipe\n2,"a ""b"" c"\n3,"x" y\n')
+    assert [r["quoted"] for r in tabular.file_shapes(spark, path).collect()] == [False]
+    assert tabular.read_csv(spark, path).count() == 3
+    both = write(f"{tmp_path}/in2/q.csv", 'id,text\n1,"a\n"\n')
+    assert [r["quoted"] for r in tabular.file_shapes(spark, both).collect()] == [True]
+
+
+def test_csv_header_names():
+    assert tabular.header_names('a,"b,c",,A', ",") == ["a0", "b,c", "_c2", "A3"]
+
+
+def test_csv_files_with_other_headers(spark, tmp_path):
+    write(f"{tmp_path}/in/x.csv", "id,score\n1,10\n2,20\n")
+    write(f"{tmp_path}/in/y.csv", "score,id\n30,3\n40,4\n")
+    with pytest.raises(tabular.MixedHeaders):
+        tabular.read_csv(spark, f"{tmp_path}/in")
+    report = ingest.convert_folder(spark, f"{tmp_path}/in", f"{tmp_path}/out", by_folder=True).collect()
+    assert {(r["status"], r["rows"]) for r in report} == {("completed", 2)} and len(report) == 2
+    rows = [tuple(r) for x in report for r in spark.read.parquet(x["path"]).select("id", "score").collect()]
+    assert sorted(rows) == [(1, 10), (2, 20), (3, 30), (4, 40)]
+    assert ingest.convert_folder(spark, f"{tmp_path}/in", f"{tmp_path}/out", by_folder=True).count() == 0
+
+
+def test_json_lines_with_damage(spark, tmp_path):
+    lines = [json.dumps({"a": i}) for i in range(101)]
+    path = write(f"{tmp_path}/in/x.json", "\n".join([lines[0], '{"a": 1', *lines[1:]]))
+    rows = json_docs.read_json(spark, path).collect()
+    assert len(rows) == 102 and [r["_corrupt_record"] for r in rows if r["a"] is None] == ['{"a": 1']
+    blank = write(f"{tmp_path}/in2/x.json", "\n\n\n" + "\n".join(lines[:100]))
+    assert json_docs.read_json(spark, blank).count() == 100
+    report = ingest.convert(spark, ingest.Source("x", path, "json", 9, "x.parquet"), f"{tmp_path}/out")
+    assert (report["rows"], report["rejected"]) == (102, 1)
+
+
+def test_json_folder_of_several_shapes(spark, tmp_path):
+    write(f"{tmp_path}/in/lines.json", "\n".join(json.dumps({"a": i, "b": "x"}) for i in range(100)))
+    write(f"{tmp_path}/in/array.json", json.dumps([{"a": 1000}, {"a": 1001.5}], indent=1))
+    write(f"{tmp_path}/in/values.json", json.dumps([1, 2, 3]))
+    write(f"{tmp_path}/in/more.json", json.dumps([4, 5], indent=1))
+    rows = json_docs.read_json(spark, f"{tmp_path}/in").collect()
+    assert sorted(r["a"] for r in rows if r["a"] is not None) == [*map(float, range(100)), 1000.0, 1001.5]
+    assert sorted(r["value"] for r in rows if r["value"] is not None) == [1, 2, 3, 4, 5]
+    assert len(rows) == 107
+
+
+def test_json_document_with_something_after_it(spark, tmp_path):
+    path = write(f"{tmp_path}/in/x.json", '{\n"a":\n1\n}\n{\n"a":\n2\n}')
+    with pytest.raises(ValueError, match="damaged JSON document"):
+        json_docs.read_json(spark, path)
+
+
+def test_index_over_two_files(spark, tmp_path):
+    for name in "ba":
+        write(f"{tmp_path}/in/{name}.csv", "v\n" + "".join(f"{name}{i}\n" for i in range(3)))
+    rows = sinks.with_file_index(tabular.read_csv(spark, f"{tmp_path}/in"), "row").collect()
+    assert sorted((r["v"], r["row"]) for r in rows) == [(f"{n}{i}", i) for n in "ab" for i in range(3)]
+
+
+def test_convert_puts_lines_that_do_not_fit_apart(spark, tmp_path):
+    path = write(f"{tmp_path}/raw/p.csv", "a,b\n1,2\n3,4,5\n6\n")
+    source = ingest.Source("p.csv", path, "csv", 20, "p.parquet")
+    report = ingest.convert(spark, source, f"{tmp_path}/out")
+    assert (report["rows"], report["rejected"], report["short"], report["status"]) == (2, 1, 1, "completed")
+    assert [r["line"] for r in spark.read.parquet(f"{tmp_path}/out/p__rejects").collect()] == ["3,4,5"]
+    failed = ingest.convert_all(spark, [source], f"{tmp_path}/out2", ingest.Options(rejects="fail")).first()
+    assert failed["status"] == "failed"
 
 
 def test_listing(spark, tmp_path):
@@ -219,7 +293,7 @@ def test_convert_options(spark, people):
     folder, rows = people
     path = write(f"{folder}/raw/p.csv", delimited(rows, ","))
     source = ingest.Source("p.csv", path, "csv", os.path.getsize(path), "p.parquet")
-    options = ingest.Options(codec="zstd", partition_by=["age"], preserve_index=True, large_file=1)
+    options = ingest.Options(codec="zstd", partition_by=["age"], preserve_index=True)
     report = ingest.convert(spark, source, f"{folder}/out", options)
     table = spark.read.parquet(report["path"])
     assert report["partition_cols"] == ["age"]

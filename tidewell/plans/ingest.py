@@ -5,20 +5,21 @@ from __future__ import annotations
 import datetime
 from collections.abc import Iterable, Iterator, Sequence
 from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.session import shared_folder
 from tidewell.sources import json_docs, tabular
 from tidewell.sources.listing import existing_outputs, list_files, to_convert, without_existing
-from tidewell.sources.sinks import INDEX, ROWS_PER_FILE, with_file_index, write_parquet
+from tidewell.sources.sinks import INDEX, with_file_index, write_parquet
+from tidewell.sources.types import infer_types, nulls_out, typed
 
 REPORT = (
     "source string, format string, output string, path string, source_bytes bigint, parquet_bytes bigint, "
-    "rows bigint, schema map<string,string>, compression_ratio double, partition_cols array<string>, "
+    "rows bigint, rejected bigint, short bigint, schema map<string,string>, compression_ratio double, partition_cols array<string>, "
     "finished timestamp, status string, error string"
 )
 
@@ -35,10 +36,10 @@ class Options:
 
     codec: str = "snappy"
     partition_by: Sequence[str] = ()
-    rows_per_file: int = ROWS_PER_FILE
+    rows_per_file: int | None = None
     preserve_index: bool = False
-    sample_rows: int | None = None
-    large_file: int = tabular.LARGE_FILE
+    # Lines that do not fit: to a table beside the output (`apart`), or the source fails (`fail`).
+    rejects: str = "apart"
     readers: dict[str, Any] = field(default_factory=dict)
 
 
@@ -52,45 +53,74 @@ class Source:
     size: int
     output: str
     glob: str | None = None
+    files: tuple[str, ...] = ()
 
+    @property
+    def paths(self) -> str | list[str]:
+        return list(self.files) or self.path
 
-def _sample(source: Source, options: Options) -> int | None:
-    if options.sample_rows is not None:
-        return options.sample_rows
-    return tabular.SAMPLE_ROWS if source.size > options.large_file else None
+
+SEPARATORS = {"csv": ",", "tsv": "\t"}
 
 
 def read_source(spark: SparkSession, source: Source, options: Options = Options()) -> DataFrame:
     """Read by format."""
     if source.format in options.readers:
         return options.readers[source.format](spark, source.path)
-    if source.format in ("csv", "tsv"):
-        sep = "," if source.format == "csv" else "\t"
-        return tabular.read_delimited(
-            spark, source.path, sep, sample_rows=_sample(source, options), glob=source.glob)
+    if source.format in SEPARATORS:
+        return tabular.read_delimited(spark, source.paths, SEPARATORS[source.format], glob=source.glob, rejects=options.rejects)
     if source.format == "json":
-        return json_docs.read_json(spark, source.path, source.glob)
+        return json_docs.read_json(spark, source.paths, source.glob)
     if source.format == "parquet":
         return spark.read.option("pathGlobFilter", source.glob or "*").parquet(source.path)
     raise UnsupportedFormat(f"no reader for format {source.format}")
 
 
 def convert(spark: SparkSession, source: Source, folder: str, options: Options = Options()) -> dict[str, Any]:
-    """Convert one source and report on it. The row count comes from the footers of what was written."""
-    df = read_source(spark, source, options)
-    if options.preserve_index:
-        df = with_file_index(df, INDEX)
+    """Convert one source and report on it.
+
+    Rows and the lines that do not fit are counted while they are written. Lines with too many fields go to the table
+    `<output>__rejects`; damaged JSON lines stay in the table, in `_corrupt_record`; both are `rejected` in the report.
+    Short lines are filled with nulls and counted as `short`.
+    """
     path = f"{folder.rstrip('/')}/{source.output}"
+    seen, none = Observation(), F.lit(0).cast("bigint")
+    rejects = None
+    if source.format in SEPARATORS and source.format not in options.readers:
+        raw = tabular.read_text_columns(spark, source.paths, SEPARATORS[source.format], glob=source.glob)
+        kept = tabular.fitting(raw, options.rejects)
+        names = tabular.value_columns(raw)
+        kinds = infer_types(kept.select(*[f"`{c}`" for c in names]))
+        typed = [typed_column(c, kinds[c]) for c in names]
+        too_long, short = F.col(tabular.LONG), F.col(tabular.RAW).isNotNull()
+        counts = [F.count_if(~too_long).alias("rows"), F.count_if(short & ~too_long).alias("short"), F.count_if(too_long).alias("bad")]
+        # The index needs the file scan right below it, so its rows are counted after the lines that do not fit are gone.
+        counted = with_file_index(kept, INDEX).observe(seen, *counts) if options.preserve_index else tabular.fitting(raw.observe(seen, *counts), options.rejects)
+        df = counted.select(*typed, *([INDEX] if options.preserve_index else []))
+        rejects = tabular.rejected(raw)
+    else:
+        df = read_source(spark, source, options)
+        bad = F.count_if(F.col("_corrupt_record").isNotNull()) if "_corrupt_record" in df.columns else F.max(none)
+        df = (with_file_index(df, INDEX) if options.preserve_index else df).observe(seen, F.count(F.lit(1)).alias("rows"), bad.alias("bad"))
     write_parquet(df, path, options.codec, options.partition_by, options.rows_per_file)
     written = list_files(spark, path, recursive=True).agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    rows = spark.read.schema(df.schema).parquet(path).count()
+    counts = seen.get or {"rows": 0}
+    bad = counts.get("bad") or 0
+    if rejects is not None and options.rejects == "apart" and (bad or options.preserve_index):
+        lost = Observation()
+        rejects.observe(lost, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{path.removesuffix('.parquet')}__rejects")
+        bad = lost.get["n"]
     ratio = 1.0 if source.format == "parquet" or not source.size else written / source.size
-    return _report(source, path, "completed", parquet_bytes=written, rows=rows,
+    return _report(source, path, "completed", parquet_bytes=written, rows=counts["rows"], rejected=bad, short=counts.get("short") or 0,
                    schema=dict(df.dtypes), compression_ratio=ratio, partition_cols=list(options.partition_by))
 
 
+def typed_column(name: str, kind: str) -> Column:
+    return typed(nulls_out(F.col(f"`{name}`")), kind).alias(name)
+
+
 def _report(source: Source, path: str, status: str, **values: Any) -> dict[str, Any]:
-    blank = {"parquet_bytes": None, "rows": None, "schema": None, "compression_ratio": None,
+    blank = {"parquet_bytes": None, "rows": None, "rejected": None, "short": None, "schema": None, "compression_ratio": None,
              "partition_cols": None, "error": None}
     return {"source": source.name, "format": source.format, "output": source.output, "path": path,
             "source_bytes": source.size, "finished": datetime.datetime.now(), "status": status, **blank, **values}
@@ -124,10 +154,24 @@ def folders(listing: DataFrame) -> DataFrame:
         F.replace("name", F.lit("/"), F.lit("__")), F.lit("__"), "ending", F.lit(".parquet")))
 
 
-def sources_by_folder(found: DataFrame) -> Iterator[Source]:
-    """One source per folder and file ending: same-schema files become one read and one table."""
+def sources_by_folder(spark: SparkSession, found: DataFrame) -> Iterator[Source]:
+    """One source per folder and file ending; delimited files with different headers become sources of their own.
+
+    The sources of a folder with several headers list their files; all but the first carry the header's number in the output.
+    """
     for r in found.toLocalIterator():
-        yield Source(r["name"], r["path"], r["format"], r["size"], r["output"], f"*.{r['ending']}")
+        source = Source(r["name"], r["path"], r["format"], r["size"], r["output"], f"*.{r['ending']}")
+        if r["format"] not in SEPARATORS:
+            yield source
+            continue
+        shapes = tabular.file_shapes(spark, source.path, SEPARATORS[source.format], source.glob)
+        groups = shapes.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
+        if len(groups) <= 1:
+            yield source
+            continue
+        for i, group in enumerate(groups):
+            own = source if not i else replace(source, name=f"{source.name}#{i}", output=source.output.removesuffix(".parquet") + f"__{i}.parquet")
+            yield replace(own, glob=None, files=tuple(group["files"]))
 
 
 def convert_all(
@@ -177,7 +221,7 @@ def convert_folder(
     existing = None if force else existing_outputs(spark, folder)
     if by_folder:
         found = folders(listing.filter("supported"))
-        sources = sources_by_folder(found if existing is None else without_existing(found, existing, "output"))
+        sources = sources_by_folder(spark, found if existing is None else without_existing(found, existing, "output"))
     else:
         sources = sources_by_file(to_convert(listing, existing))
     return convert_all(spark, sources, folder, options, parallel)

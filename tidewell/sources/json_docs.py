@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fixed value: lines that decide whether a file holds one document per line.
-HEAD_LINES = 3
-
 
 def is_document(line: Column) -> Column:
     """Whether a text is a JSON object or array."""
     text = F.trim(line)
-    return F.substring(text, 1, 1).isin("{", "[") & F.try_parse_json(text).isNotNull()
+    ends = F.concat(F.substring(text, 1, 1), F.substring(text, -1, 1))
+    return ends.isin("{}", "[]") & F.try_parse_json(text).isNotNull()
 
 
 def is_json_lines(lines: DataFrame, value: str = "value", group: Sequence[str] = ()) -> DataFrame:
@@ -26,10 +26,25 @@ def is_json_lines(lines: DataFrame, value: str = "value", group: Sequence[str] =
         F.count(F.lit(1)).alias("lines"), F.bool_and(is_document(F.col(value))).alias("json_lines"))
 
 
-def _head_is_lines(spark: SparkSession, path: str | Sequence[str], glob: str | None) -> bool:
-    lines = _text(spark, path, glob).select("value")
-    head = spark.createDataFrame(lines.take(HEAD_LINES), lines.schema)
-    return bool(is_json_lines(head).first()["json_lines"])
+def file_shapes(spark: SparkSession, path: str | Sequence[str], glob: str | None = None) -> DataFrame:
+    """`file` and `shape` of each file with text, from all its lines.
+
+    `lines`: at least half of the lines are documents, the others are damaged. `scalars`: every line is a list of scalars. `list` and
+    `object`: one document over several lines. `none`: no document.
+    """
+    text = F.trim("value")
+    lines = _text(spark, path, glob).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("begin"), F.monotonically_increasing_id().alias("line"), text.alias("value"),
+    ).where("value <> ''")
+    document = is_document(F.col("value"))
+    found = lines.groupBy("file").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(document).alias("documents"),
+        F.bool_and(document & F.col("value").rlike(r"^\[\s*[^\s{\[\]]")).alias("scalars"),
+        F.substring(F.min_by("value", F.struct("begin", "line")), 1, 1).alias("first"))
+    shape = (
+        F.when(F.col("scalars"), "scalars").when(2 * F.col("documents") >= F.col("n"), "lines")
+        .when(F.col("first") == "{", "object").when(F.col("first") == "[", "list").otherwise("none"))
+    return found.select("file", shape.alias("shape"))
 
 
 def _text(spark: SparkSession, path: str | Sequence[str], glob: str | None, whole: bool = False) -> DataFrame:
@@ -37,26 +52,79 @@ def _text(spark: SparkSession, path: str | Sequence[str], glob: str | None, whol
     return reader.text(path, wholetext=whole)
 
 
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Shapes of whole documents: rows or scalars in a list, or damage anywhere in the file."""
+    for batch in batches:
+        files, shapes = [], []
+        for file, text in zip(batch["file"].to_pylist(), batch["value"].to_pylist(), strict=True):
+            try:
+                found = json.loads(text)
+                shapes.append("scalars" if isinstance(found, list) and not all(isinstance(x, dict) for x in found) else "rows")
+            except ValueError:
+                shapes.append("damaged")
+            files.append(file)
+        yield pa.RecordBatch.from_arrays([pa.array(files, pa.string()), pa.array(shapes, pa.string())], names=["file", "shape"])
+
+
 def read_json(spark: SparkSession, path: str | Sequence[str], glob: str | None = None) -> DataFrame:
     """Rows of JSON lines, an array of records, columns of lists, one object, or a list of scalars.
 
-    A document that runs over several lines is read whole by one task, one document per file.
+    The shape is decided per file, over all its lines; files of several shapes are read apart and their columns united.
+    Damaged lines of a file of lines stay in `_corrupt_record`. A document that runs over several lines is read whole by one task; damage in it, or anything
+    after it, fails.
     """
-    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
-    if _head_is_lines(spark, path, glob):
-        return reader.json(path)
-    first = _text(spark, path, glob).select(F.substring(F.trim("value"), 1, 1).alias("c")).filter("c <> ''").first()
-    if first is None or first["c"] not in ("{", "["):
+    shapes = file_shapes(spark, path, glob)
+    kinds = {r["shape"]: r["n"] for r in shapes.groupBy("shape").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not kinds or "none" in kinds:
         raise ValueError(f"no JSON document in {path}")
-    documents = reader.option("multiLine", True).json(path)
-    broken = "_corrupt_record" in documents.columns
-    if first["c"] == "{":
-        if broken:
-            raise ValueError(f"damaged JSON document in {path}")
-        return columns_to_rows(documents)
-    if broken:
-        return scalars_to_rows(_text(spark, path, glob, whole=True))
-    return documents
+    frames = []
+    for kind in sorted(kinds):
+        # One read of the whole path where all files have one shape; else the files of each shape.
+        chosen = path if len(kinds) == 1 else [r["file"] for r in shapes.where(F.col("shape") == kind).select("file").collect()]
+        frames += _read_shape(spark, chosen, glob if len(kinds) == 1 else None, kind)
+    return _united(frames)
+
+
+def _read_shape(spark: SparkSession, path: str | Sequence[str], glob: str | None, kind: str) -> list[DataFrame]:
+    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    if kind == "lines":
+        return [reader.json(path)]
+    if kind == "scalars":
+        return [scalars_to_rows(_text(spark, path, glob).where(F.trim("value") != ""))]
+    texts = _text(spark, path, glob, whole=True).select(F.col("_metadata.file_path").alias("file"), "value").where(F.trim("value") != "")
+    checked = texts.mapInArrow(_whole, "file string, shape string")
+    found = {r["shape"]: (r["n"], r["file"]) for r in checked.groupBy("shape").agg(F.count(F.lit(1)).alias("n"), F.min("file").alias("file")).collect()}
+    if "damaged" in found:
+        raise ValueError(f"damaged JSON document in {found['damaged'][1]}")
+    frames = []
+    for shape in sorted(found):
+        chosen = path if len(found) == 1 else [r["file"] for r in checked.where(F.col("shape") == shape).collect()]
+        if shape == "scalars":
+            frames.append(scalars_to_rows(_text(spark, chosen, glob if len(found) == 1 else None, whole=True)))
+        else:
+            documents = (reader if len(found) == 1 else spark.read).option("multiLine", True).json(chosen)
+            frames.append(columns_to_rows(documents) if kind == "object" else documents)
+    return frames
+
+
+def _united(frames: list[DataFrame]) -> DataFrame:
+    """Rows of all frames; a column of different types is double if all are numbers, else text."""
+    kinds: dict[str, list[T.DataType]] = {}
+    for field in (f for frame in frames for f in frame.schema):
+        kinds.setdefault(field.name, []).append(field.dataType)
+    out = None
+    for frame in frames:
+        columns = []
+        for name in frame.columns:
+            col, own = F.col(f"`{name}`"), kinds[name]
+            if any(k != own[0] for k in own):
+                numbers = all(isinstance(k, T.NumericType) for k in own)
+                nested = isinstance(frame.schema[name].dataType, (T.ArrayType, T.StructType))
+                col = col.cast("double") if numbers else F.to_json(col) if nested else col.cast("string")
+            columns.append(col.alias(name))
+        part = frame.select(*columns)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
 
 
 def columns_to_rows(documents: DataFrame) -> DataFrame:

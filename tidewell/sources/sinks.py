@@ -11,7 +11,6 @@ from tidewell.operators.ordering import with_position
 
 # Codec names a job may ask for -> names of the Parquet writer.
 CODECS = {"none": "uncompressed", "snappy": "snappy", "gzip": "gzip", "lz4": "lz4", "zstd": "zstd"}
-ROWS_PER_FILE = 100_000
 INDEX = "__index_level_0__"
 
 
@@ -23,7 +22,8 @@ def write_parquet(
     rows_per_file: int | None = None,
     mode: str = "overwrite",
 ) -> None:
-    """Write a table. The writer has no row count per row group, so it bounds the rows per file.
+    """Write a table. The writer has no row count per row group; `rows_per_file` bounds the rows per file,
+    without it files are as large as their tasks and row groups follow `parquet.block.size`.
 
     Partitioned output is rebalanced first: each value goes to few files, and a value that holds
     much of the table is spread over several tasks.
@@ -42,7 +42,8 @@ def write_parquet(
 
 
 def with_file_index(df: DataFrame, name: str = INDEX) -> DataFrame:
-    """Number the rows of a single file in file order. `df` must come straight from the file scan."""
-    read = df.select("*", F.col("_metadata.file_block_start").alias("__block_start"),
-                     F.monotonically_increasing_id().alias("__line"))
-    return with_position(read, ["__block_start", "__line"], name=name).drop("__block_start", "__line")
+    """Number the rows of each file in file order, from 0. `df` must come straight from the file scan."""
+    read = df.select(
+        "*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block_start"),
+        F.monotonically_increasing_id().alias("__line"))
+    return with_position(read, ["__block_start", "__line"], ["__file"], name=name).drop("__file", "__block_start", "__line")

@@ -2,24 +2,48 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.sources.types import apply_types, infer_types
 
-# Files above this size infer their types from the first rows only.
-LARGE_FILE = 100 * 1024 * 1024
-SAMPLE_ROWS = 1_000
+RAW = "__raw_line"
+LONG = "__too_long"
 
 
-def has_quoted_newlines(spark: SparkSession, paths: str | Sequence[str], glob: str | None = None) -> bool:
-    """Whether a quoted field runs over a line end: some line has an odd number of quotes."""
+class MixedHeaders(ValueError):
+    """Files that are read together have different header lines."""
+
+
+def _escaped(sep: str) -> str:
+    return {"\t": r"\t"}.get(sep, "\\" + sep)
+
+
+def ends_in_quotes(line: Column, sep: str) -> Column:
+    """Whether a quoted field is still open at the end of a line. A quote opens a field only at its start."""
+    s = _escaped(sep)
+    closed = rf'"[^"]*+(?:""[^"]*+)*+"[^{s}]*+'
+    return line.rlike(rf'^(?:(?:{closed}|[^"{s}][^{s}]*+|){s})*+"[^"]*+(?:""[^"]*+)*+$')
+
+
+def file_shapes(spark: SparkSession, paths: str | Sequence[str], sep: str = ",", glob: str | None = None) -> DataFrame:
+    """`file`, `header` (first line) and `quoted` (a quoted field runs over a line end) of each file, in one scan."""
     reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
-    lines = reader.text(paths)
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return not lines.filter(quotes % 2 == 1).isEmpty()
+    lines = reader.text(paths).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("begin"), F.monotonically_increasing_id().alias("line"))
+    return lines.groupBy("file").agg(
+        F.min_by("value", F.struct("begin", "line")).alias("header"), F.bool_or(ends_in_quotes(F.col("value"), sep)).alias("quoted"))
+
+
+def header_names(line: str, sep: str) -> list[str]:
+    """Column names of a header line; empty and repeated names are told apart by their place."""
+    names = next(csv.reader([line.removeprefix("﻿")], delimiter=sep), [])
+    names = [n or f"_c{i}" for i, n in enumerate(names)]
+    lower = [n.lower() for n in names]
+    return [f"{n}{i}" if lower.count(n.lower()) > 1 else n for i, n in enumerate(names)]
 
 
 def read_text_columns(
@@ -27,45 +51,66 @@ def read_text_columns(
     paths: str | Sequence[str],
     sep: str = ",",
     multiline: bool | None = None,
-    corrupt: str | None = None,
     glob: str | None = None,
+    header: str | None = None,
 ) -> DataFrame:
-    """All columns as text, names from the header.
+    """All columns as text, names from the header, and `__raw_line`, `__too_long` of lines that do not fit it.
 
-    Files are split among tasks unless a quoted field contains a line end. `corrupt` names a column
-    that receives the lines with a wrong number of fields.
+    `__raw_line` is null for a line with the right number of fields. A short line has nulls at its end; a line with too many
+    fields is marked. Files are split among tasks unless a quoted field contains a line end. Files with another header fail.
     """
-    if multiline is None:
-        multiline = has_quoted_newlines(spark, paths, glob)
-    options = {
-        "header": True, "sep": sep, "quote": '"', "escape": '"', "multiLine": multiline,
-        "mode": "PERMISSIVE", "inferSchema": False,
-    }
+    if multiline is None or header is None:
+        shapes = file_shapes(spark, paths, sep, glob).agg(F.min("header"), F.max("header"), F.bool_or("quoted")).first()
+        if shapes[0] != shapes[1]:
+            raise MixedHeaders(f"files of {paths} have different headers: {shapes[0]!r} and {shapes[1]!r}")
+        header = shapes[0] if header is None else header
+        multiline = bool(shapes[2]) if multiline is None else multiline
+    names = header_names(header or "", sep)
+    schema = ", ".join("`" + c.replace("`", "``") + "` string" for c in [*names, RAW])
+    options = {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "header": True, "multiLine": multiline}
+    reader = spark.read.options(**options, columnNameOfCorruptRecord=RAW)
     if glob:
-        options["pathGlobFilter"] = glob
-    found = spark.read.options(**options).csv(paths)
-    if corrupt is None:
-        return found
-    names = ", ".join(f"`{c}` string" for c in [*found.columns, corrupt])
-    return spark.read.options(**options, columnNameOfCorruptRecord=corrupt).schema(names).csv(paths)
+        reader = reader.option("pathGlobFilter", glob)
+    found = reader.schema(schema).csv(paths)
+    # Without its quoted fields a line has a separator less than fields.
+    open_text = F.regexp_replace(RAW, rf'(^|{_escaped(sep)})"[^"]*+(?:""[^"]*+)*+"', "$1")
+    fields = F.length(open_text) - F.length(F.replace(open_text, F.lit(sep), F.lit(""))) + 1
+    # The reader counts the fields only where all columns are read, so the mark refers to all of them.
+    all_read = F.length(F.concat_ws("", *[F.col("`" + c.replace("`", "``") + "`") for c in names])) >= 0
+    return found.withColumn(LONG, F.when(F.col(RAW).isNull(), False).otherwise(all_read & (fields > len(names))))
+
+
+def fitting(raw: DataFrame, rejects: str = "fail") -> DataFrame:
+    """The rows to keep: too long lines fail the job (`fail`) or are left to `rejected` (`apart`)."""
+    if rejects not in ("fail", "apart"):
+        raise ValueError(f"rejects is 'fail' or 'apart', not {rejects!r}")
+    if rejects == "fail":
+        wrong = F.raise_error(F.concat(F.lit("line with too many fields: "), F.col(RAW))).cast("boolean")
+        return raw.where(F.when(F.col(LONG), wrong).otherwise(True))
+    return raw.where(~F.col(LONG))
+
+
+def rejected(raw: DataFrame) -> DataFrame:
+    """`line`: the lines with too many fields, as they were read."""
+    return raw.where(LONG).select(F.col(RAW).alias("line"))
+
+
+def value_columns(raw: DataFrame) -> list[str]:
+    return [c for c in raw.columns if c not in (RAW, LONG)]
 
 
 def read_delimited(
     spark: SparkSession,
     paths: str | Sequence[str],
     sep: str = ",",
-    sample_rows: int | None = None,
     multiline: bool | None = None,
     kinds: dict[str, str] | None = None,
     glob: str | None = None,
+    rejects: str = "fail",
 ) -> DataFrame:
-    """A typed table. Types come from all rows, or from the first `sample_rows`, or are given."""
-    raw = read_text_columns(spark, paths, sep, multiline, glob=glob)
-    if kinds is None:
-        # Taking rows stops at the first files; a limit inside a query would start a task per split.
-        sample = raw if sample_rows is None else spark.createDataFrame(raw.take(sample_rows), raw.schema)
-        kinds = infer_types(sample)
-    return apply_types(raw, kinds)
+    """A typed table. Types come from all rows, or are given."""
+    raw = fitting(read_text_columns(spark, paths, sep, multiline, glob), rejects).drop(RAW, LONG)
+    return apply_types(raw, infer_types(raw) if kinds is None else kinds)
 
 
 def read_csv(spark: SparkSession, paths: str | Sequence[str], **options) -> DataFrame:

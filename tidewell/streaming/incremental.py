@@ -13,7 +13,11 @@ from tidewell.sources.sinks import CODECS
 def arriving(
     spark: SparkSession, path: str, kind: str, schema: T.StructType | str, files_per_batch: int = 1000, **options: str
 ) -> DataFrame:
-    """A stream over the files of a folder. Its schema is fixed, later files cannot change it."""
+    """A stream over the files of a folder. Its schema is fixed, later files cannot change it.
+
+    Text that does not fit the schema fails the run, which can be repeated once the file is mended; `mode` says otherwise.
+    """
+    options = {"mode": "FAILFAST", **options} if kind in ("csv", "json") else options
     reader = spark.readStream.format(kind).schema(schema).option("maxFilesPerTrigger", files_per_batch)
     return reader.options(**options).load(path)
 

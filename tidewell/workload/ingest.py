@@ -94,7 +94,7 @@ def csv_schema(t):
         "event_id", F.date_format("ts", "yyyy-MM-dd").alias("ts"), "user_id", "value", mixed.alias("mixed"),
         (F.col("user_id") % 2 == 0).alias("flag"), F.lit("NA").alias("gone"),
     ).write.option("header", True).csv(out)
-    raw = tabular.read_text_columns(t.spark, out)
+    raw = tabular.fitting(tabular.read_text_columns(t.spark, out)).drop(tabular.RAW, tabular.LONG)
     kinds = types.infer_types(raw)
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(k).alias("type")) for c, k in kinds.items()])
     return raw.agg(F.count(F.lit(1)).alias("rows")).select("rows", F.inline(pairs))
@@ -194,7 +194,7 @@ def convert_report(t):
     files = ingest.folders(listing.list_files(t.spark, raw, recursive=True).filter("supported"))
     sources = (
         s if s.name != "supplier" else ingest.Source(s.name, s.path, "tsv", s.size, s.output, s.glob)
-        for s in ingest.sources_by_folder(files))
+        for s in ingest.sources_by_folder(t.spark, files))
     report = ingest.convert_all(t.spark, sources, shared_folder(t.spark, "converted"))
     columns = F.array_sort(F.transform(F.map_entries("schema"), lambda e: F.concat_ws(":", e["key"], e["value"])))
     return report.select("source", "format", "rows", F.array_join(columns, " ").alias("columns"), "status")
@@ -220,3 +220,103 @@ def stream_incremental(t):
         stream = incremental.arriving(t.spark, first, "csv", kind, header="true")
         incremental.convert_new_files(stream, out, mark)
     return t.spark.read.parquet(out).select(columns)
+
+
+def _files_of(t, texts, purpose):
+    """One file per row of a text column."""
+    out = shared_folder(t.spark, purpose)
+    texts.write.option("maxRecordsPerFile", 1).text(out)
+    return out
+
+
+def _delimited(t, df, key, header, line, size=400):
+    """CSV files of at most `size` lines, each with the header."""
+    docs = _documents(t, df.withColumn("line", line), ["line"], [key], size)
+    return docs.select(F.concat_ws("\n", F.lit(header), F.col("rows.line")).alias("value"))
+
+
+def _reject_lines(t):
+    key, status = F.col("o_orderkey").cast("string"), F.col("o_orderstatus")
+    line = F.when(F.col("o_orderkey") % 11 == 0, F.concat_ws(",", key, status, F.lit("more"))).when(
+        F.col("o_orderkey") % 13 == 0, key).otherwise(F.concat_ws(",", key, status))
+    return _files_of(t, _delimited(t, t("orders"), "o_orderkey", "key,status", line), "orders-odd")
+
+
+@query("""
+    SELECT o_orderkey AS key, CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_orderstatus END AS status, false AS rejected FROM orders WHERE o_orderkey % 11 <> 0
+    UNION ALL SELECT o_orderkey, o_orderstatus, true FROM orders WHERE o_orderkey % 11 = 0""")
+def csv_rejects(t):
+    raw = tabular.read_text_columns(t.spark, _reject_lines(t))
+    kept = tabular.fitting(raw, "apart").select(F.col("key").cast("bigint").alias("key"), "status", F.lit(False).alias("rejected"))
+    parts = F.split("line", ",")
+    return kept.unionByName(tabular.rejected(raw).select(parts[0].cast("bigint").alias("key"), parts[1].alias("status"), F.lit(True).alias("rejected")))
+
+
+@query("""
+    SELECT 'completed' AS status, count(*) FILTER (WHERE o_orderkey % 11 <> 0) AS rows, count(*) FILTER (WHERE o_orderkey % 11 = 0) AS rejected,
+           count(*) FILTER (WHERE o_orderkey % 11 <> 0 AND o_orderkey % 13 = 0) AS short FROM orders""")
+def csv_reject_report(t):
+    source = ingest.Source("orders", _reject_lines(t), "csv", 1, "orders.parquet", "*.txt")
+    return ingest.convert_all(t.spark, [source], shared_folder(t.spark, "converted")).select("status", "rows", "rejected", "short")
+
+
+@query("""
+    WITH m AS (SELECT max(event_id) AS last FROM events)
+    SELECT event_id, CASE WHEN event_id = last THEN 2.5 ELSE user_id::DOUBLE END AS n, CASE WHEN event_id = last THEN 'x' ELSE user_id::VARCHAR END AS s FROM events, m""")
+def csv_late_type(t):
+    last = t("events").agg(F.max("event_id").alias("last"))
+    odd = F.col("event_id") == F.col("last")
+    line = F.concat_ws(",", F.col("event_id").cast("string"), F.when(odd, "2.5").otherwise(F.col("user_id").cast("string")), F.when(odd, "x").otherwise(F.col("user_id").cast("string")))
+    texts = _delimited(t, t("events").join(F.broadcast(last), F.lit(True)), "event_id", "event_id,n,s", line)
+    return tabular.read_csv(t.spark, _files_of(t, texts, "events-late"))
+
+
+@query("SELECT o_orderkey AS id, o_custkey AS score, o_orderkey % 3 = 0 AS swapped FROM orders")
+def csv_two_headers(t):
+    id_, score = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
+    swapped = F.col("o_orderkey") % 3 == 0
+    raw = shared_folder(t.spark, "two-headers")
+    for i, (rows, header, line) in enumerate([
+        (t("orders").where(swapped), "score,id,swapped", F.concat_ws(",", score, id_, F.lit("true"))),
+        (t("orders").where(~swapped), "id,score,swapped", F.concat_ws(",", id_, score, F.lit("false"))),
+    ]):
+        _delimited(t, rows, "o_orderkey", header, line).write.option("maxRecordsPerFile", 1).mode("append").text(raw)
+    source = ingest.Source("two", raw, "csv", 1, "two.parquet", "*.txt")
+    files = t.spark.createDataFrame([(source.name, source.path, "csv", 1, source.output, "txt")], "name string, path string, format string, size bigint, output string, ending string")
+    report = ingest.convert_all(t.spark, ingest.sources_by_folder(t.spark, files), shared_folder(t.spark, "converted"))
+    tables = [r["path"] for r in report.select("path").collect()]
+    # One table per header, so two here.
+    first, second = (t.spark.read.parquet(p) for p in tables)
+    return first.unionByName(second)
+
+
+@query("""
+    SELECT event_id, value, NULL::BIGINT AS part, NULL::VARCHAR AS name FROM events
+    UNION ALL SELECT NULL, NULL, p_partkey, p_name FROM part
+    UNION ALL SELECT NULL, s_acctbal, NULL, NULL FROM supplier""")
+def json_mixed_folder(t):
+    lines = _documents(t, t("events"), ["event_id", "value"], ["event_id"])
+    record = F.transform("rows", lambda r: F.to_json(r.dropFields("pos")))
+    records = _documents(t, t("part").selectExpr("p_partkey AS part", "p_name AS name"), ["part", "name"], ["part"])
+    values = _documents(t, t("supplier"), ["s_acctbal"], ["s_suppkey"], 50)
+    texts = lines.select(F.concat_ws("\n", record).alias("value")).unionByName(
+        records.select(F.concat(F.lit("[\n"), F.array_join(record, ",\n"), F.lit("\n]")).alias("value"))).unionByName(
+        values.select(F.concat(F.lit("["), F.array_join(F.col("rows.s_acctbal").cast("array<string>"), ","), F.lit("]")).alias("value")))
+    return json_docs.read_json(t.spark, _files_of(t, texts, "mixed-json")).select("event_id", "value", "part", "name")
+
+
+@query("""
+    SELECT CASE WHEN event_id % 10 <> 1 THEN event_id END AS event_id, CASE WHEN event_id % 10 <> 1 THEN value END AS value,
+           CASE WHEN event_id % 10 = 1 THEN '{"event_id":' || event_id END AS damaged FROM events""")
+def json_damaged_line(t):
+    line = F.when(F.col("event_id") % 10 == 1, F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"))).otherwise(F.to_json(F.struct("event_id", "value")))
+    docs = _documents(t, t("events").withColumn("line", line), ["line"], ["event_id"], 300)
+    out = _files_of(t, docs.select(F.concat_ws("\n", "rows.line").alias("value")), "damaged-json")
+    return json_docs.read_json(t.spark, out).select("event_id", "value", F.col("_corrupt_record").alias("damaged"))
+
+
+@query("SELECT o_totalprice AS value FROM orders")
+def json_scalars_one_line(t):
+    docs = _documents(t, t("orders"), ["o_totalprice"], ["o_orderkey"], 700)
+    text = F.concat(F.lit("["), F.array_join(F.col("rows.o_totalprice").cast("array<string>"), ", "), F.lit("]"))
+    return json_docs.read_json(t.spark, _files_of(t, docs.select(text.alias("value")), "prices-line"))
