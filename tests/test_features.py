@@ -105,7 +105,7 @@ def test_flat_table(spark, tmp_path):
         {"n": ("int", [3]), "extra": ("int", [9])},
     ])
     records = read_tfrecord(spark, path)
-    headers = features.first_headers(records, ["index"])
-    assert headers == ["b", "n"]
+    headers = features.all_headers(records)
+    assert headers == ["b", "extra", "n"]
     flat = features.flatten_records(records, headers, ["index"]).orderBy("index").collect()
-    assert [tuple(r)[1:] for r in flat] == [("x", "[1, 2]"), ("", "3")]
+    assert [tuple(r)[1:] for r in flat] == [("x", "", "[1, 2]"), ("", "9", "3")]

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewell.functions import calendar, formatting, paths, vectors
-from tidewell.operators import attention, catalog, evaluate, explore, temporal, text
+from tidewell.operators import attention, catalog, evaluate, explore, profile, temporal, text
 from tidewell.plans import classifier
 from tidewell.operators.profile import describe, head
 
@@ -95,8 +95,9 @@ def test_codec(spark):
     assert [r["x"] for r in coded.orderBy("id").select(codec.decode(F.col("ids")).alias("x")).collect()] == ["ba", "é😀a", ""]
     cut = F.array(*[F.lit(i) for i in (0, 1, 4, 2)])
     assert one(spark, codec.decode(cut)) == "ab"
-    pairs = text.next_token_pairs(coded, "ids", 2, ["id"]).orderBy("id", "position").collect()
-    assert [tuple(r) for r in pairs] == [(1, 0, 4, 1), (1, 1, 1, 0), (2, 0, 4, 2), (2, 1, 2, 3), (3, 0, 4, 4)]
+    pairs = text.next_token_pairs(coded, "ids", 2, ["id"]).orderBy("id", "block", "position").collect()
+    assert [tuple(r) for r in pairs] == [
+        (1, 0, 0, 4, 1), (1, 0, 1, 1, 0), (1, 1, 0, 0, 4), (2, 0, 0, 4, 2), (2, 0, 1, 2, 3), (2, 1, 0, 3, 0), (2, 1, 1, 0, 4), (3, 0, 0, 4, 4)]
 
 
 def test_lines(spark, tmp_path):
@@ -278,3 +279,20 @@ def test_catalog_of_two_datasets(spark, tmp_path):
     newest = [tuple(r) for r in catalog.latest(listed, "created", "ref").collect()]
     assert newest == [
         ("me/b", "2023-01-02T12:00:00", "me/b", 5), ("me/a", "2023-01-01T12:00:00", "me/a", 0), ("gone", "", "", 0)]
+
+
+def test_density_of_one_value(spark):
+    for values in ([3.0] * 5, [3.0], [], [None]):
+        assert explore.density(spark.createDataFrame([(v,) for v in values], "v double"), "v", 10).count() == 0
+
+
+def test_median_ranks_keep_the_null_group(spark):
+    df = spark.createDataFrame([("a", 1.0, 1), ("a", 3.0, 2), (None, 9.0, 3)], "g string, v double, m int")
+    got = [tuple(r) for r in explore.rank_by_median(df, "g", "v", "m").orderBy("rank").collect()]
+    assert got == [(None, 9.0, 1, 1, 1), ("a", 2.0, 2, 2, 2)]
+
+
+def test_profiles_of_dotted_names(spark):
+    df = spark.createDataFrame([(1, None), (2, 3.5)], "`a.b` int, `c``d` double")
+    assert [tuple(r) for r in profile.table_info(df).collect()] == [(0, "a.b", "int", 2, 0), (1, "c`d", "double", 1, 1)]
+    assert [r["column"] for r in profile.describe(df, ["a.b"]).collect()] == ["a.b"]

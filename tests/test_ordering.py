@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tidewell.operators.ordering import hot_groups, over_frames, with_position
+from tidewell.operators.ordering import hot_groups, over_frames, range_starts, ranged, with_position
 from tidewell.operators.quantiles import group_quantiles
 
 
@@ -98,3 +98,35 @@ def test_quantiles_leave_nulls_out(spark, small_tasks):
     for g in (0, 1):
         values = [float(i) for i in range(400) if i % 2 == g and i % 5]
         assert got[g] == (len(values), np.median(values))
+
+
+def balanced(df, order, group, limit):
+    """The largest number of rows of a group in a range, with ranges made as `with_position` makes them."""
+    found = hot_groups(df, group)
+    starts = range_starts(ranged(df, order, group, found[1]), group)
+    largest = max(r["__n"] for r in starts.collect())
+    return largest <= 2 * limit and starts.count() > found[1] / (2 * limit)
+
+
+def test_groups_of_disjoint_times_are_split(spark, small_tasks):
+    df = spark.range(20 * 400).selectExpr("id % 20 AS g", "(id % 20) * 1000000 + id AS t", "id")
+    assert balanced(df, ["t", "id"], ["g"], small_tasks)
+
+
+def test_strings_with_one_outlier_are_split(spark, small_tasks):
+    df = spark.createDataFrame([(f"doc_{i:010d}",) for i in range(3000)] + [("a",)], "name string")
+    assert balanced(df, ["name"], [], small_tasks)
+    assert sorted(r["pos"] for r in with_position(df, ["name"]).collect()) == list(range(3001))
+
+
+def test_other_types_and_later_columns_are_split(spark, small_tasks):
+    df = spark.range(2000).selectExpr("cast(cast(id AS string) AS binary) AS b", "array(1, id) AS a", "1 AS one", "id")
+    for order in (["b"], ["a"], ["one", "id"]):
+        assert balanced(df, order, [], small_tasks)
+    got = {r["id"]: r["pos"] for r in with_position(df, ["one", "id"]).collect()}
+    assert got == {i: i for i in range(2000)}
+
+
+def test_names_with_dots(spark, small_tasks):
+    df = spark.range(200).selectExpr("id % 2 AS `g.x`", "id AS `t.y`")
+    assert {r["t.y"]: r["pos"] for r in with_position(df, ["t.y"], ["g.x"]).collect()} == {i: i // 2 for i in range(200)}

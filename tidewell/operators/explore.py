@@ -75,15 +75,16 @@ def histogram(df: DataFrame, value: str, bins: int = 50) -> DataFrame:
 def density(df: DataFrame, value: str, points: int = 200) -> DataFrame:
     """Gaussian kernel density on an even grid over [min, max], bandwidth std * n^(-1/5).
 
+    Fewer than two different values have no density, and the result no rows.
+
     One pass: each task keeps one running sum per grid point, so that only `points` numbers per
     task are shuffled, however many rows there are.
     """
     extent = _extent(df, value)
     low, step = extent["low"], (extent["high"] - extent["low"]) / (points - 1)
     bandwidth = extent["std"] * F.pow(extent["n"], F.lit(-0.2))
-    scaled = df.filter(F.col(value).isNotNull()).select(
-        ((F.col(value) - low) / bandwidth).alias("v"), (step / bandwidth).alias("step")
-    )
+    known = df.filter(F.col(value).isNotNull() & (extent["std"] > 0))
+    scaled = known.select(F.try_divide(F.col(value) - low, bandwidth).alias("v"), F.try_divide(step, bandwidth).alias("step"))
 
     def kernel_sums(batches):
         import numpy as np
@@ -105,7 +106,7 @@ def density(df: DataFrame, value: str, points: int = 200) -> DataFrame:
     sums = scaled.mapInArrow(kernel_sums, "point int, sum double")
     scale = extent["n"] * bandwidth * F.sqrt(F.lit(2.0) * F.pi())
     return sums.groupBy("point").agg(F.sum("sum").alias("__sum")).select(
-        "point", (low + step * F.col("point")).alias("x"), (F.col("__sum") / scale).alias("density")
+        "point", (low + step * F.col("point")).alias("x"), F.try_divide(F.col("__sum"), scale).alias("density")
     )
 
 
@@ -126,7 +127,8 @@ def _with_fences(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
 
 def box_stats(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
     """Quartiles, whiskers at the furthest points within 1.5 IQR, and the number of outliers."""
-    joined = _with_fences(df.select(*group, value), group, value)
+    # Written once: the sizes, the quartiles and the whiskers are three passes over it.
+    joined = _with_fences(settled(df.select(*group, value), "measured"), group, value)
     inside = F.col(value).between(F.col("__floor"), F.col("__ceiling"))
     return joined.groupBy(*group).agg(
         F.first("n").alias("n"),
@@ -147,7 +149,7 @@ def box_outliers(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
 def rank_by_median(df: DataFrame, group: str, value: str, member: str) -> DataFrame:
     """Groups from the highest median down, with their number of distinct members."""
     medians = group_quantiles(df, [group], value, {"median": 0.5})
-    members = df.groupBy(group).agg(F.count_distinct(member).alias("members"))
-    joined = medians.join(members, group).withColumn("__down", -F.col("median"))
+    members = df.groupBy(group).agg(F.count_distinct(member).alias("members")).withColumnRenamed(group, "__group")
+    joined = medians.join(members, F.col(group).eqNullSafe(F.col("__group"))).withColumn("__down", -F.col("median"))
     ranked = with_position(joined, ["__down", group], name="rank")
     return ranked.withColumn("rank", F.col("rank") + 1).select(group, "median", "n", "members", "rank")

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewell.operators.ordering import quoted
+
 FEATURE = "struct<kind:string,bytes:array<binary>,floats:array<float>,ints:array<bigint>>"
 RECORD = f"map<string,{FEATURE}>"
 # Kind name -> field of the struct that holds its list.
@@ -41,7 +43,7 @@ def to_records(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ())
     """Pack columns into a `record` map, one feature per column."""
     pairs = []
     for name in columns:
-        pairs += [F.lit(name), _feature(F.col(name), df.schema[name].dataType)]
+        pairs += [F.lit(name), _feature(F.col(quoted(name)), df.schema[name].dataType)]
     return df.select(*keep, F.create_map(*pairs).alias("record"))
 
 
@@ -177,7 +179,10 @@ def flatten_records(records: DataFrame, headers: Sequence[str], keep: Sequence[s
     return records.select(*keep, *cells)
 
 
-def first_headers(records: DataFrame, order: Sequence[str]) -> list[str]:
-    """Feature names of the first record, which decide the columns of the flat table."""
-    row = records.orderBy(*order).select(F.array_sort(F.map_keys("record")).alias("names")).first()
-    return list(row["names"]) if row else []
+def all_headers(records: DataFrame) -> list[str]:
+    """Feature names that occur in any record: the columns of the flat table.
+
+    Names meet once per task and name; the list is as long as the table will be wide.
+    """
+    names = records.select(F.explode(F.map_keys("record")).alias("name")).distinct()
+    return sorted(r["name"] for r in names.collect())

@@ -1,139 +1,68 @@
 """Ordered work (positions, lags, frames) that survives a group holding a third of all rows.
 
-A plain window keeps one group in one task. Here the group sizes are measured first: while every
-group is within the per-task limit the plain window is used, otherwise the hot groups are cut into
-value ranges of the ordering column. The cut points come from approximate quantiles and only decide
-the balance. The result does not depend on them.
+A plain window keeps one group in one task. Here the group sizes are measured first: groups within the
+per-task limit use the plain window. The rows of larger ones are dealt by range over the group and all
+order columns, whatever their types, so that a range holds about half the limit; the ranges are written once, and
+the place of a row is its place in the range plus the rows of its group in earlier ranges.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidewell.session import settled, task_rows
 
-MAX_BUCKETS = 10_000
-# A group is hot from this share of all rows on, so there are at most 1 / share hot groups.
-HOT_SHARE = 1e-4
-
-_BUCKET = "__bucket"
 _CHUNK = "__chunk"
 _POS = "__pos"
-_KEY = "__sort_key"
-
-
-def _nulls_first_double(df: DataFrame, name: str) -> Column | None:
-    """A double that never decreases along the ordering of the column."""
-    kind = df.schema[name].dataType
-    col = F.col(name)
-    if isinstance(kind, T.TimestampType):
-        value = F.unix_micros(col)
-    elif isinstance(kind, T.TimestampNTZType):
-        seconds = F.unix_date(F.to_date(col)) * F.lit(86400) + F.hour(col) * 3600 + F.minute(col) * 60
-        value = seconds * 1_000_000.0 + F.expr(f"extract(SECOND FROM `{name}`)").cast("double") * 1_000_000
-    elif isinstance(kind, T.DateType):
-        value = F.unix_date(col)
-    elif isinstance(kind, (T.NumericType, T.BooleanType)):
-        value = col
-    elif isinstance(kind, T.StringType):
-        value = _string_rank(df, name)
-    else:
-        return None
-    # Adding zero makes -0.0 and 0.0, which sort as equal, one value.
-    return F.coalesce(value.cast("double") + F.lit(0.0), F.lit(float("-inf")))
-
-
-def _string_rank(df: DataFrame, name: str) -> Column:
-    """First six bytes after the prefix that all strings share, as a number."""
-    low, high = df.agg(F.min(name), F.max(name)).first()
-    shared = 0
-    for a, b in zip(low or "", high or ""):
-        if a != b:
-            break
-        shared += 1
-    tail = F.encode(F.substring(F.col(name), shared + 1, 6), "UTF-8")
-    return F.conv(F.rpad(F.substring(F.hex(tail), 1, 12), 12, "0"), 16, 10)
-
-
-def _cuts(df: DataFrame, key: str, buckets: int) -> list[float]:
-    probs = [i / buckets for i in range(1, buckets)]
-    found = df.agg(F.percentile_approx(key, probs, max(10_000, 10 * buckets))).first()[0] or []
-    return [c for c in found if math.isfinite(c)]
-
-
-def _heavy(cuts: list[float]) -> list[float]:
-    """Values that fill at least one whole bucket alone. Beyond 2^53 doubles merge integers."""
-    return sorted({a for a, b in zip(cuts, cuts[1:]) if a == b and abs(a) < 2**53})
-
-
-def _bucketed(df: DataFrame, key: str, splits: Sequence[float], out: str) -> DataFrame:
-    points = [float("-inf"), *sorted(set(splits)), float("inf")]
-    if len(points) < 3:
-        return df.withColumn(out, F.lit(0.0))
-    return Bucketizer(splits=points, inputCol=key, outputCol=out, handleInvalid="keep").transform(df)
-
-
-def _with_ranges(df: DataFrame, order: Sequence[str], buckets: int, only: Column) -> DataFrame:
-    """Add a bucket that never decreases along `order`; rows outside `only` all get bucket 0.
-
-    One value of the first column that fills a bucket alone is cut further along the second column.
-    """
-    only = F.coalesce(only, F.lit(False))
-    keys = []
-    for name in order[:2]:
-        value = _nulls_first_double(df, name)
-        if value is None:
-            break
-        keys.append(f"{_KEY}{len(keys)}")
-        df = df.withColumn(keys[-1], value)
-    if not keys:
-        return df.withColumn(_BUCKET, F.lit(0).cast("bigint"))
-    cuts = _cuts(df.filter(only), keys[0], buckets)
-    heavy = _heavy(cuts) if len(keys) > 1 else []
-    cuts += [math.nextafter(value, math.inf) for value in heavy]
-    df = _bucketed(df, keys[0], cuts, "__b0")
-    bucket = F.col("__b0") * (MAX_BUCKETS + 2)
-    if heavy:
-        alone = F.col(keys[0]).isin(heavy)
-        df = _bucketed(df, keys[1], _cuts(df.filter(only & alone), keys[1], buckets), "__b1")
-        bucket = bucket + F.when(alone, F.col("__b1")).otherwise(0.0)
-    bucket = F.when(only, bucket).otherwise(0.0).cast("bigint")
-    return df.withColumn(_BUCKET, bucket).drop("__b0", "__b1", *keys)
-
-
-def largest_group(df: DataFrame, group: Sequence[str]) -> int:
-    """Rows of the largest group, from one counting job over the group columns alone."""
-    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"))
-    return sizes.agg(F.max("__n")).first()[0] or 0
+ROW = "__row"
+# Rows of a range are numbered from here on in steps of one, by `monotonically_increasing_id`.
+RANGE_BITS = 33
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def hot_groups(df: DataFrame, group: Sequence[str]) -> tuple[DataFrame, int] | None:
-    """Groups too large for one task with the size of the largest, or None when there are none.
+    """Groups too large for one task (`__g0`, ..., `__rows`) and their rows together, or None when there are none.
 
-    One counting job over the group columns alone. Without group columns the whole frame is the group.
+    One counting job over the group columns alone. Without group columns the whole frame is the group. The list is written, so
+    Spark knows its size when it joins it.
     """
-    spark = df.sparkSession
-    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"))
-    total, biggest = sizes.agg(F.sum("__n"), F.max("__n")).first()
-    floor = task_rows(spark) if not group else max(task_rows(spark), int((total or 0) * HOT_SHARE))
-    if (biggest or 0) <= floor:
-        return None
-    # Fewer than 1 / HOT_SHARE groups can pass the filter, which bounds the list.
-    keys = [F.col(g).alias(f"__g{i}") for i, g in enumerate(group)]
-    hot = sizes.filter(F.col("__n") > floor).select(*keys, F.lit(True).alias("__hot"))
-    return spark.createDataFrame(hot.collect(), hot.schema), biggest
+    limit = task_rows(df.sparkSession)
+    sizes = df.groupBy(*map(quoted, group)).agg(F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") > limit)
+    keys = [F.col(quoted(g)).alias(f"__g{i}") for i, g in enumerate(group)]
+    hot = settled(sizes.select(*keys, "__rows"), "hot-groups")
+    total = hot.agg(F.sum("__rows")).first()[0]
+    return (hot, total) if total else None
+
+
+def split_hot(df: DataFrame, hot: DataFrame, group: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows of hot groups, and the other rows."""
+    same = [F.col(quoted(g)).eqNullSafe(F.col(f"__g{i}")) for i, g in enumerate(group)]
+    keys = hot.drop("__rows")
+    return df.join(keys, same, "left_semi"), df.join(keys, same, "left_anti")
+
+
+def ranged(df: DataFrame, order: Sequence[str], group: Sequence[str], rows: int) -> DataFrame:
+    """`df` written in ranges of (group, order), with `__row`: rising along the order, gapless within a range."""
+    columns = [F.col(quoted(c)) for c in [*group, *order]]
+    ranges = max(1, -(-2 * rows // task_rows(df.sparkSession)))
+    return settled(df.repartitionByRange(ranges, *columns).sortWithinPartitions(*columns).withColumn(ROW, F.monotonically_increasing_id()), "ranges")
 
 
-def mark_hot(df: DataFrame, hot: DataFrame, group: Sequence[str]) -> DataFrame:
-    """Add `__hot`, true on the rows of hot groups and null elsewhere."""
-    same = [F.col(g).eqNullSafe(F.col(f"__g{i}")) for i, g in enumerate(group)]
-    return df.join(F.broadcast(hot), same, "left").drop(*[f"__g{i}" for i in range(len(group))])
+def range_starts(placed: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Per group and range: `__g0`, ..., `__range`, `__first` (its first `__row`), `__n`, and `__start`, the rows of the group in earlier ranges."""
+    keys = [F.col(quoted(g)).alias(f"__g{i}") for i, g in enumerate(group)]
+    names = [f"__g{i}" for i in range(len(group))]
+    parts = placed.select(*keys, ROW, F.shiftright(ROW, RANGE_BITS).alias("__range")).groupBy(*names, "__range").agg(
+        F.min(ROW).alias("__first"), F.count(F.lit(1)).alias("__n"))
+    # As many rows per group as it has ranges.
+    earlier = Window.partitionBy(*names).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    return settled(parts.withColumn("__start", F.coalesce(F.sum("__n").over(earlier), F.lit(0))), "range-starts")
 
 
 def with_position(
@@ -146,28 +75,19 @@ def with_position(
 def _positions(
     df: DataFrame, order: Sequence[str], group: Sequence[str], name: str, found: tuple[DataFrame, int] | None
 ) -> DataFrame:
+    window = Window.partitionBy(*map(quoted, group)).orderBy(*map(quoted, order))
+    plain = lambda rows: rows.withColumn(name, F.row_number().over(window).cast("bigint") - 1)
     if found is None:
-        window = Window.partitionBy(*group).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(window).cast("bigint") - 1)
-    hot, biggest = found
-    buckets = min(MAX_BUCKETS, -(-biggest // task_rows(df.sparkSession)) + 1)
-    marked = mark_hot(df, hot, group) if group else df.withColumn("__hot", F.lit(True))
-    split = _with_ranges(marked, order, buckets, F.col("__hot"))
-    window = Window.partitionBy(*group, _BUCKET).orderBy(*order)
-    ranked = split.withColumn("__local", F.row_number().over(window).cast("bigint") - 1)
-    counts = split.filter("__hot").groupBy(*group, _BUCKET).agg(F.count(F.lit(1)).alias("__n"))
-    # At most MAX_BUCKETS ranges, and as many for a value cut further, of each hot group.
-    earlier = Window.partitionBy(*group).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    keys = [*group, _BUCKET]
-    offsets = counts.select(
-        *[F.col(k).alias(f"__o{i}") for i, k in enumerate(keys)],
-        F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__start"),
-    )
-    same = [F.col(k).eqNullSafe(F.col(f"__o{i}")) for i, k in enumerate(keys)]
-    placed = ranked.join(settled(offsets, "offsets"), same, "left")
-    return placed.withColumn(name, F.coalesce(F.col("__start"), F.lit(0)) + F.col("__local")).drop(
-        "__local", _BUCKET, "__hot", "__start", *[f"__o{i}" for i in range(len(keys))]
-    )
+        return plain(df)
+    hot, rows = found
+    large, small = split_hot(df, hot, group) if group else (df, None)
+    placed = ranged(large, order, group, rows)
+    starts = range_starts(placed, group)
+    same = [F.col(quoted(g)).eqNullSafe(F.col(f"__g{i}")) for i, g in enumerate(group)]
+    joined = placed.join(starts, [*same, F.shiftright(ROW, RANGE_BITS) == F.col("__range")])
+    place = (F.col(ROW) - F.col("__first") + F.col("__start")).alias(name)
+    out = joined.select(*[F.col(quoted(c)) for c in df.columns if c != name], place)
+    return out if small is None else out.unionByName(plain(small).select(*map(quoted, out.columns)))
 
 
 def over_frames(
@@ -186,7 +106,7 @@ def over_frames(
     """
     found = hot_groups(df, group)
     if found is None:
-        return compute(df, Window.partitionBy(*group).orderBy(*order))
+        return compute(df, Window.partitionBy(*map(quoted, group)).orderBy(*map(quoted, order)))
     run = max(task_rows(df.sparkSession), back + ahead, 1)
     placed = _positions(df, order, group, _POS, found)
     home = F.floor(F.col(_POS) / run)
@@ -197,5 +117,5 @@ def over_frames(
     if ahead:
         runs = F.concat(runs, F.when(within < ahead, F.array(home - 1)).otherwise(F.array().cast("array<bigint>")))
     copies = placed.withColumn(_CHUNK, F.explode(runs))
-    window = Window.partitionBy(*group, _CHUNK).orderBy(_POS)
+    window = Window.partitionBy(*map(quoted, group), _CHUNK).orderBy(_POS)
     return compute(copies, window).filter(F.col(_CHUNK) == home).drop(_CHUNK, _POS)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.operators.ordering import quoted
 from tidewell.operators.quantiles import group_quantiles
 
 
@@ -22,14 +23,14 @@ def table_shape(df: DataFrame) -> DataFrame:
 
 def table_info(df: DataFrame) -> DataFrame:
     """Type and number of non-null values of each column, from one aggregate."""
-    counts = df.agg(F.count(F.lit(1)).alias("__rows"), *[F.count(c).alias(c) for c in df.columns])
+    counts = df.agg(F.count(F.lit(1)).alias("__rows"), *[F.count(F.col(quoted(c))).alias(f"__c{i}") for i, c in enumerate(df.columns)])
     rows = [
         F.struct(
             F.lit(i).alias("position"),
             F.lit(name).alias("column"),
             F.lit(kind).alias("dtype"),
-            F.col(name).alias("non_null"),
-            (F.col("__rows") - F.col(name)).alias("nulls"),
+            F.col(f"__c{i}").alias("non_null"),
+            (F.col("__rows") - F.col(f"__c{i}")).alias("nulls"),
         )
         for i, (name, kind) in enumerate(df.dtypes)
     ]
@@ -43,7 +44,7 @@ def null_counts(df: DataFrame) -> DataFrame:
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, sample standard deviation, min, exact quartiles and max, one row per column."""
     pairs = F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns
+        F.struct(F.lit(c).alias("column"), F.col(quoted(c)).cast("double").alias("value")) for c in columns
     ])
     values = df.select(F.inline(pairs))
     measures = [

@@ -4,15 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.operators.ordering import largest_group
-from tidewell.session import settled, task_rows
-
-# The rank error of the first pass is 1 / ACCURACY of the group size. The second pass counts the
-# values within a few times that error one by one.
-ACCURACY = 100_000
+from tidewell.operators.ordering import ROW, hot_groups, quoted, range_starts, ranged, split_hot
+from tidewell.session import settled
 
 
 def group_quantiles(
@@ -27,86 +23,58 @@ def group_quantiles(
     `extra` are further named aggregates over the same rows, computed in the same pass from the
     group columns and the measure, which they see as `value`. Nulls are left out.
 
-    While every group is within the per-task row limit this is the built-in `percentile`, which keeps
-    a table of the values of a group. Otherwise a sketch brackets each quantile of the large groups
-    and only the values inside the brackets are counted one by one; the rest of such a group collapses
-    into a few counts before the shuffle. The answer is the same.
+    Groups within the per-task row limit take the built-in `percentile`, which keeps a table of the
+    values of a group. The values of larger groups are sorted in ranges and read off at their ranks.
     """
     group = list(group)
-    rows = df.select(*group, F.col(value).cast("double").alias("value")).filter(F.col("value").isNotNull())
-    small = largest_group(df, group) <= task_rows(df.sparkSession)
-    return (_counted if small else _bracketed)(rows, group, probs, extra)
+    rows = df.select(*map(quoted, group), F.col(quoted(value)).cast("double").alias("value")).filter(F.col("value").isNotNull())
+    found = hot_groups(rows, group)
+    if found is None:
+        return _counted(rows, group, probs, extra)
+    hot, total = found
+    if not group:
+        return _ranked(rows, group, probs, extra, total)
+    large, small = split_hot(rows, hot, group)
+    return _ranked(large, group, probs, extra, total).unionByName(_counted(small, group, probs, extra))
 
 
 def _counted(df: DataFrame, group: list[str], probs: dict[str, float], extra: Sequence[Column]) -> DataFrame:
     # One call for all quantiles: each call would keep its own table of values.
-    found = df.groupBy(*group).agg(
+    found = df.groupBy(*map(quoted, group)).agg(
         F.count(F.lit(1)).alias("n"),
         F.percentile("value", F.array(*[F.lit(float(p)) for p in probs.values()])).alias("__q"),
         *extra,
     )
     picked = [F.col("__q")[i].alias(name) for i, name in enumerate(probs)]
     others = [c for c in found.columns if c not in (*group, "n", "__q")]
-    return found.select(*group, "n", *picked, *others)
-
-
-def _bracketed(df: DataFrame, group: list[str], probs: dict[str, float], extra: Sequence[Column]) -> DataFrame:
-    limit = task_rows(df.sparkSession)
-    margin = max(2 / ACCURACY, 4 / limit)
-    names = sorted(probs, key=probs.get)
-    low = [max(0.0, probs[n] - margin) for n in names]
-    high = [min(1.0, probs[n] + margin) for n in names]
-    aliases = [f"__x{i}" for i in range(len(extra))]
-    sketch = df.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("value", low + high, ACCURACY).alias("__edges"),
-        F.struct(F.lit(None).alias("__none"), *extra).alias("__extra"),
-    )
-    kept_names = [c for c in sketch.select("__extra.*").columns if c != "__none"]
-    # The brackets of a small group have no edges: each of its values is counted.
-    edges = [F.when(F.col("n") > limit, F.col("__edges")[i]).alias(f"__e{i}") for i in range(2 * len(names))]
-    brackets = sketch.select(
-        *[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)], "n", *edges,
-        *[F.col(f"__extra.{c}").alias(a) for c, a in zip(kept_names, aliases)])
-    carried = ["n", *aliases, *[f"__e{i}" for i in range(2 * len(names))]]
-    if group:
-        same = [F.col(g).eqNullSafe(F.col(f"__g{i}")) for i, g in enumerate(group)]
-        joined = df.join(settled(brackets, "brackets"), same).select(*group, "value", *carried)
-    else:
-        row = brackets.select(F.struct(*carried)).scalar()
-        joined = df.withColumn("__b", row).select("value", "__b.*")
-
-    value, p = F.col("value"), len(names)
-    inside, passed = F.col("__e0").isNull(), F.lit(0)
-    for i in range(p):
-        inside = inside | value.between(F.col(f"__e{i}"), F.col(f"__e{p + i}"))
-        passed = passed + F.coalesce((F.col(f"__e{p + i}") < value).cast("int"), F.lit(0))
-    # The size and the extra aggregates of a group ride along as grouping columns.
-    fixed = [*group, "n", *aliases]
-    counts = (
-        joined.withColumn("__seg", passed)
-        .withColumn("__kept", F.when(inside, value))
-        .groupBy(*fixed, "__seg", "__kept")
-        .agg(F.count(F.lit(1)).alias("__cnt"), F.min("value").alias("value"))
-    )
-    # What is left per group: the values inside the brackets, a fixed small share of its rows.
-    running = Window.partitionBy(*group).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counts.withColumn("__end", F.sum("__cnt").over(running))
-
-    def at(rank: Column) -> Column:
-        hit = (F.col("__end") > rank) & (F.col("__end") - F.col("__cnt") <= rank)
-        return F.max(F.when(hit, F.col("__kept")))
-
-    picks = []
-    for name in names:
-        spot = (F.col("n") - 1) * F.lit(probs[name])
-        picks += [at(F.floor(spot)).alias(f"__{name}_lo"), at(F.ceil(spot)).alias(f"__{name}_hi")]
-    found = ranked.groupBy(*fixed).agg(*picks)
-    out = []
-    for name in names:
-        spot = (F.col("n") - 1) * F.lit(probs[name])
-        share = spot - F.floor(spot)
-        lo, hi = F.col(f"__{name}_lo"), F.col(f"__{name}_hi")
-        missed = F.raise_error(F.lit(f"quantile {name} fell outside its bracket")).cast("double")
-        out.append(F.when(lo.isNull() | hi.isNull(), missed).otherwise(lo + (hi - lo) * share).alias(name))
-    return found.select(*group, "n", *out, *[F.col(a).alias(c) for c, a in zip(kept_names, aliases)])
+    return found.select(*map(quoted, group), "n", *picked, *map(quoted, others))
+
+
+def _ranked(df: DataFrame, group: list[str], probs: dict[str, float], extra: Sequence[Column], total: int) -> DataFrame:
+    """Quantiles of large groups, read off at their ranks in ranges that are sorted once."""
+    keys = [f"__g{i}" for i in range(len(group))]
+    rows = df.select(*[F.col(quoted(g)).alias(k) for g, k in zip(group, keys, strict=True)], "value")
+    sizes = df.groupBy(*map(quoted, group)).agg(F.count(F.lit(1)).alias("n"), *extra)
+    others = [c for c in sizes.columns if c not in (*group, "n")]
+    sizes = settled(sizes.select(
+        *[F.col(quoted(g)).alias(k) for g, k in zip(group, keys, strict=True)], "n", *[F.col(quoted(c)).alias(f"__x{i}") for i, c in enumerate(others)]), "group-sizes")
+    placed = ranged(rows, ["value"], keys, total)
+    starts = range_starts(placed, keys)
+    spot = {name: (F.col("n") - 1) * F.lit(float(p)) for name, p in probs.items()}
+    ranks = F.array_distinct(F.array(*[f(spot[name]).cast("bigint") for name in probs for f in (F.floor, F.ceil)]))
+    # A row per quantile and group, against the ranges of its group.
+    wanted = sizes.select(*[F.col(k).alias(f"__w{i}") for i, k in enumerate(keys)], F.lit(0).alias("__one"), F.explode(ranks).alias("__rank"))
+    same = [F.col(f"__w{i}").eqNullSafe(F.col(k)) for i, k in enumerate(keys)] or [F.col("__one") == F.col("__none")]
+    inside = (F.col("__rank") >= F.col("__start")) & (F.col("__rank") < F.col("__start") + F.col("__n"))
+    at = wanted.join(starts.withColumn("__none", F.lit(0)), [*same, inside]).select(
+        *[F.col(f"__w{i}") for i in range(len(keys))], "__rank", (F.col("__first") + F.col("__rank") - F.col("__start")).alias("__at"))
+    values = at.join(placed.select(ROW, "value"), F.col("__at") == F.col(ROW))
+    listed = values.groupBy(*[f"__w{i}" for i in range(len(keys))]).agg(F.map_from_entries(F.collect_list(F.struct("__rank", "value"))).alias("__values"))
+    both = [F.col(k).eqNullSafe(F.col(f"__w{i}")) for i, k in enumerate(keys)] or [F.lit(True)]
+    found = sizes.join(listed, both)
+    picked = []
+    for name in probs:
+        low, high = (F.element_at("__values", f(spot[name]).cast("bigint")) for f in (F.floor, F.ceil))
+        picked.append((low + (high - low) * (spot[name] - F.floor(spot[name]))).alias(name))
+    return found.select(
+        *[F.col(k).alias(g) for k, g in zip(keys, group, strict=True)], "n", *picked, *[F.col(f"__x{i}").alias(c) for i, c in enumerate(others)])

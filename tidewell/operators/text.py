@@ -142,12 +142,15 @@ class CharCodec:
 
 
 def next_token_pairs(df: DataFrame, tokens: str, block_size: int, keep: Sequence[str] = ()) -> DataFrame:
-    """(position, token, target) for the first min(block_size, len - 1) positions."""
+    """(block, position, token, target): consecutive blocks of `block_size` tokens with the token after each.
+
+    Every token but the first of a text is the target of exactly one row; positions count within the block.
+    """
     ids = F.col(tokens)
-    n = F.least(F.lit(block_size), F.size(ids) - 1)
-    pairs = F.arrays_zip(F.slice(ids, F.lit(1), n).alias("token"), F.slice(ids, F.lit(2), n).alias("target"))
-    return df.filter(F.size(ids) > 1).select(*keep, F.posexplode(pairs).alias("position", "pair")).select(
-        *keep, "position", "pair.token", "pair.target")
+    pairs = F.arrays_zip(F.slice(ids, F.lit(1), F.size(ids) - 1).alias("token"), F.slice(ids, F.lit(2), F.size(ids) - 1).alias("target"))
+    told = df.filter(F.size(ids) > 1).select(*keep, F.posexplode(pairs).alias("at", "pair"))
+    return told.select(
+        *keep, F.floor(F.col("at") / block_size).cast("int").alias("block"), (F.col("at") % block_size).alias("position"), "pair.token", "pair.target")
 
 
 def words(text: Column) -> Column:

@@ -39,10 +39,10 @@ class CharModel:
 
 
 def logits(pairs: DataFrame, model: CharModel, key: str) -> DataFrame:
-    """Add `logits` to rows of (key, position, token, target).
+    """Add `logits` to rows of (key, block, position, token, target).
 
-    A position sees itself and the earlier ones of its document. The positions are bounded by the
-    rows of the position embedding.
+    A position sees itself and the earlier ones of its block. The positions are bounded by the
+    rows of the position embedding, the blocks of a document are not.
     """
     def times(name: str, matrix: Matrix):
         return vectors.linear(F.col(name), vectors.weights(matrix))
@@ -51,18 +51,18 @@ def logits(pairs: DataFrame, model: CharModel, key: str) -> DataFrame:
         F.get(vectors.weights(model.tokens), F.col("token")),
         F.get(vectors.weights(model.positions), F.col("position")))
     keep = ["position", "token", "target"]
-    rows = pairs.select(key, *keep, vectors.rms_norm(start).alias("x"))
+    rows = pairs.select(key, "block", *keep, vectors.rms_norm(start).alias("x"))
     for layer in model.layers:
         rows = rows.withColumn("__n", vectors.rms_norm(F.col("x")))
         rows = rows.withColumns({
             "__q": times("__n", layer.query), "__k": times("__n", layer.key), "__v": times("__n", layer.value)})
         rows = attention(
-            rows, [key], ["position"], "__q", "__k", "__v", model.heads, keep=[*keep, "x"], out="__a")
+            rows, [key, "block"], ["position"], "__q", "__k", "__v", model.heads, keep=[*keep, "x"], out="__a")
         rows = rows.withColumn("x", vectors.add(times("__a", layer.mix), F.col("x")))
         rows = rows.withColumn("__n", vectors.rms_norm(F.col("x")))
         rows = rows.withColumn("__w", vectors.relu(times("__n", layer.widen)))
         rows = rows.withColumn("x", vectors.add(times("__w", layer.narrow), F.col("x")))
-    return rows.select(key, *keep, times("x", model.head).alias("logits"))
+    return rows.select(key, "block", *keep, times("x", model.head).alias("logits"))
 
 
 def document_loss(pairs: DataFrame, model: CharModel, key: str) -> DataFrame:

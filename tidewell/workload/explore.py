@@ -137,7 +137,7 @@ def kde_curve_orders(t):
 
 
 @query("""
-    WITH n AS (SELECT n_nationkey, n_name FROM nation WHERE n_nationkey <> 3),
+    WITH n AS (SELECT n_nationkey, CASE WHEN n_nationkey <> 3 THEN n_name END AS n_name FROM nation),
     j AS (SELECT c_custkey, c_mktsegment, n_name FROM customer LEFT JOIN n ON c_nationkey = n_nationkey),
     s AS (SELECT c_mktsegment AS v, dense_rank() OVER (ORDER BY c_mktsegment) - 1 AS code
           FROM (SELECT DISTINCT c_mktsegment FROM j)),
@@ -147,7 +147,8 @@ def kde_curve_orders(t):
            coalesce(m.code, -1)::INTEGER AS n_name_code
     FROM j LEFT JOIN s ON c_mktsegment = s.v LEFT JOIN m ON n_name = m.v""")
 def category_codes(t):
-    nation = t("nation").filter("n_nationkey <> 3").withColumnRenamed("n_nationkey", "c_nationkey")
+    name = F.when(F.col("n_nationkey") != 3, F.col("n_name"))
+    nation = t("nation").select(F.col("n_nationkey").alias("c_nationkey"), name.alias("n_name"))
     joined = ops.enrich(t("customer"), nation, "c_nationkey").select("c_custkey", "c_mktsegment", "n_name")
     return ops.category_codes(joined, ["c_mktsegment", "n_name"])
 

@@ -80,11 +80,11 @@ def _attention_sql(condition: str) -> str:
     WITH r AS (SELECT vec_id, label, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS t,
                       {_X} AS x FROM embeddings),
     h AS (SELECT unnest([0, 1]) AS h),
-    p AS (SELECT a.vec_id, a.label, h, list_dot_product(a.x[1 + 4 * h : 4 + 4 * h], b.x[9 + 4 * h : 12 + 4 * h]) / 2 AS s,
-                 b.x[17 + 4 * h : 20 + 4 * h] AS v
+    p AS (SELECT a.vec_id, a.label, h, list_dot_product(a.x[1 + 8 * h : 8 + 8 * h], b.x[17 + 8 * h : 24 + 8 * h]) / sqrt(8) AS s,
+                 b.x[33 + 16 * h : 48 + 16 * h] AS v
           FROM r a JOIN r b ON a.label = b.label AND {condition} CROSS JOIN h),
     e AS (SELECT *, exp(s - max(s) OVER (PARTITION BY vec_id, h)) AS w FROM p),
-    o AS (SELECT vec_id, label, h, [sum(w * v[1]) / sum(w), sum(w * v[2]) / sum(w), sum(w * v[3]) / sum(w), sum(w * v[4]) / sum(w)] AS y
+    o AS (SELECT vec_id, label, h, [{', '.join(f'sum(w * v[{i}]) / sum(w)' for i in range(1, 17))}] AS y
           FROM e GROUP BY 1, 2, 3)
     SELECT a.vec_id, a.label, {_digits_sql('a.y || b.y')} AS y FROM o a JOIN o b ON a.vec_id = b.vec_id AND a.h = 0 AND b.h = 1"""
 
@@ -92,7 +92,7 @@ def _attention_sql(condition: str) -> str:
 def _attention(t, **options):
     x = F.col("x")
     parts = _vector(t).select(
-        "vec_id", "label", F.slice(x, 1, 8).alias("q"), F.slice(x, 9, 8).alias("k"), F.slice(x, 17, 8).alias("v"))
+        "vec_id", "label", F.slice(x, 1, 16).alias("q"), F.slice(x, 17, 16).alias("k"), F.slice(x, 33, 32).alias("v"))
     out = attn.attention(parts, ["label"], ["vec_id"], "q", "k", "v", heads=2, keep=["vec_id"], **options)
     return out.select("vec_id", "label", _digits(F.col("attended")).alias("y"))
 
@@ -247,7 +247,7 @@ def _model_sql() -> str:
     WITH {codes_sql('part', 'p_partkey', 'p_name')}, {PAIRS_SQL.format(key='p_partkey')},
     w AS (SELECT {_MODEL.tokens}::DOUBLE[][] AS wte, {_MODEL.positions}::DOUBLE[][] AS wpe),
     e0 AS (SELECT p_partkey AS d, position AS t, target, {_plus_sql('wte[token + 1]', 'wpe[position + 1]')} AS s
-          FROM p, w WHERE target IS NOT NULL AND position < 16),
+          FROM p, w WHERE target IS NOT NULL),
     x AS (SELECT d, t, target, {_norm_sql('s')} AS x FROM e0),
     h AS (SELECT *, {_norm_sql('x')} AS h FROM x),
     k AS (SELECT *, {_dots(layer.query, 'h')} AS q, {_dots(layer.key, 'h')} AS k, {_dots(layer.value, 'h')} AS v FROM h),

@@ -92,23 +92,26 @@ def token_pairs(t, table, key, column, block):
 
 
 @query(f"""WITH {codes_sql('nation', 'n_nationkey', 'n_name')}, {PAIRS_SQL.format(key='n_nationkey')}
-    SELECT n_nationkey, position, token, target FROM p WHERE target IS NOT NULL AND position < 8""")
+    SELECT n_nationkey, position // 8 AS block, position % 8 AS position, token, target FROM p WHERE target IS NOT NULL""")
 def next_token_pairs(t):
     return token_pairs(t, "nation", "n_nationkey", "n_name", 8)
 
 
-@query(f"""WITH {codes_sql('part', 'p_partkey', 'p_name')}, {PAIRS_SQL.format(key='p_partkey')},
-    q AS (SELECT * FROM p WHERE target IS NOT NULL AND position < 16),
+@query(f"""WITH {codes_sql('documents', 'doc_id', 'text')}, {PAIRS_SQL.format(key='doc_id')},
+    q AS (SELECT * FROM p WHERE target IS NOT NULL),
     m AS (SELECT token, target, count(*) / sum(count(*)) OVER (PARTITION BY token) AS prob FROM q GROUP BY 1, 2)
-    SELECT p_partkey, round(avg(-ln(prob)), 6) AS nll, count(*) AS positions FROM q JOIN m USING (token, target) GROUP BY 1""")
+    SELECT doc_id, round(avg(-ln(prob)), 6) AS nll, count(*) AS positions FROM q JOIN m USING (token, target) GROUP BY 1""")
 def doc_nll(t):
-    pairs = token_pairs(t, "part", "p_partkey", "p_name", 16)
-    counts = pairs.groupBy("token", "target").agg(F.count(F.lit(1)).alias("n"))
+    pairs = token_pairs(t, "documents", "doc_id", "text", 1024)
+    # Pairs of a document are counted before they meet their probability.
+    own = pairs.groupBy("doc_id", "token", "target").agg(F.count(F.lit(1)).alias("n"))
+    own = settled(own, "document-bigrams")
+    counts = own.groupBy("token", "target").agg(F.sum("n").alias("n"))
     totals = counts.groupBy("token").agg(F.sum("n").alias("all"))
     model = counts.join(totals, "token").select("token", "target", (F.col("n") / F.col("all")).alias("prob"))
-    model = settled(model, "bigrams")
-    out = evaluate.sequence_nll(pairs.join(model, ["token", "target"]), "p_partkey", "prob")
-    return out.withColumn("nll", F.round("nll", 6))
+    loss = own.join(settled(model, "bigrams"), ["token", "target"]).groupBy("doc_id").agg(
+        F.sum(-F.log("prob") * F.col("n")).alias("sum"), F.sum("n").alias("positions"))
+    return loss.select("doc_id", F.round(F.col("sum") / F.col("positions"), 6).alias("nll"), "positions")
 
 
 _WORDS = r"""len(list_filter(string_split_regex(regexp_replace(text, '^[ \t\n\r\f]+|[ \t\n\r\f]+$', '', 'g'), '[ \t\n\r\f]+'), lambda x: x <> ''))"""
@@ -196,18 +199,32 @@ def _corpus(t):
     return ops.split_corpus(corpus, F.pmod("doc_id", F.lit(10)) / 10, {"train": 0.8, "validation": 0.2})
 
 
-@query()
+_SPLIT_SQL = "CASE WHEN l.doc_id IS NULL THEN 'unlabelled' WHEN d.doc_id % 10 < 8 THEN 'train' ELSE 'validation' END AS split"
+
+
+@query(f"SELECT d.doc_id, {_SPLIT_SQL}, true AS is_class, true AS is_argmax FROM documents d LEFT JOIN labels l USING (doc_id)")
 def classifier_fit_predict(t):
-    split = _corpus(t)
-    model = classifier.train(split.filter("split = 'train'")).model
-    return classifier.score(model, split.filter("split = 'validation'"), ["doc_id", "label"]).select("doc_id", "label", "prediction")
+    """Batch scoring of all documents with a model fitted on the training split."""
+    model = classifier.train(_corpus(t).filter("split = 'train'")).model
+    known = t("labels").select("doc_id", F.lit(True).alias("known")).distinct()
+    split = F.when(F.col("known").isNull(), "unlabelled").when(F.col("doc_id") % 10 < 8, "train").otherwise("validation")
+    docs = t("documents").join(known, "doc_id", "left").withColumn("split", split)
+    scored = classifier.score(model, docs, ["doc_id", "split"])
+    best = vectors.argmax(F.col("logits"))
+    return scored.select("doc_id", "split", F.col("prediction").isin(0, 1).alias("is_class"), (F.col("prediction") == best).alias("is_argmax"))
 
 
-@query()
+@query("""
+    SELECT count(*) FILTER (WHERE l.doc_id % 10 < 8) AS train, count(*) FILTER (WHERE l.doc_id % 10 >= 8) AS validation, true AS better_than_majority, true AS loss_never_rises
+    FROM documents d JOIN labels l USING (doc_id)""")
 def classifier_evaluation(t):
     split = _corpus(t)
     trained = classifier.train(split.filter("split = 'train'"))
-    scored = classifier.score(trained.model, split.filter("split = 'validation'"), ["doc_id", "label"])
-    means = evaluate.evaluation(scored, ["doc_id"], "logits", "label")
-    epochs = classifier.training_stats(t.spark, trained)
-    return epochs.withColumn("evaluation", means.select(F.struct("*")).scalar()).select("epoch", "loss", "evaluation.*")
+    scored = classifier.score(trained.model, split, ["doc_id", "split", "label"])
+    hit = (F.col("prediction") == F.col("label")).cast("int")
+    told = scored.groupBy().agg(
+        F.count_if(F.col("split") == "train").alias("train"), F.count_if(F.col("split") == "validation").alias("validation"),
+        F.avg(F.when(F.col("split") == "train", hit)).alias("accuracy"), F.avg(F.when(F.col("split") == "train", F.col("label"))).alias("share"))
+    losses = classifier.training_stats(t.spark, trained).agg(F.sort_array(F.collect_list(F.struct("epoch", "loss"))).alias("steps"))
+    falling = losses.select(F.expr("forall(zip_with(slice(steps, 1, size(steps) - 1), slice(steps, 2, size(steps) - 1), (a, b) -> b.loss <= a.loss), x -> x)")).scalar()
+    return told.select("train", "validation", (F.col("accuracy") >= F.greatest("share", 1 - F.col("share"))).alias("better_than_majority"), falling.alias("loss_never_rises"))
