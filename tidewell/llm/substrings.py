@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 from tidewell.llm.shared import by_bytes, id_filter, in_filter, packed, pair, stored, word_hashes
 
 # Bytes of text whose windows meet in one bucket, on average.
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
 # Characters of text whose windows are merged before they are sent.
-MESSAGE_BYTES = 4 << 20
+MESSAGE_BYTES = 1 << 20
+# Documents whose repeated windows are held at a time.
+SLICE_ROWS = 128
 MESSAGE = "bucket int, docs binary, counts binary, codes binary, hashes binary"
 
 
@@ -52,7 +54,7 @@ def _messages(ids: np.ndarray, docs: np.ndarray, starts: np.ndarray, hashes: np.
 
     Of equal windows in several documents of the batch only the smallest document's are sent to the bucket, marked as repeated: a
     window that every document has costs one entry per batch. The others have met a smaller document here and are
-    finished; they go to bucket -1.
+    finished; they go to buckets below 0, by batch.
     """
     if not len(hashes):
         return _batch([])
@@ -67,7 +69,7 @@ def _messages(ids: np.ndarray, docs: np.ndarray, starts: np.ndarray, hashes: np.
     later, shared = flags
     rows = []
     if later.any():
-        rows.append(_message(-1, ids, docs[later], starts[later] * 2 + 1, hashes[later]))
+        rows.append(_message(-1 - int(ids.min() % buckets), ids, docs[later], starts[later] * 2 + 1, hashes[later]))
     d, c, h = docs[~later], starts[~later] * 2 + shared[~later], hashes[~later]
     bucket = ((h >> np.uint64(32)) % np.uint64(buckets)).astype(np.uint16 if buckets < 1 << 16 else np.int64)
     order = np.argsort(bucket, kind="stable")
@@ -100,9 +102,15 @@ def _merged(parts: list[dict]) -> tuple[np.ndarray, np.ndarray]:
     return codes[keep], hashes[keep]
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, len(batch), SLICE_ROWS):
+            yield batch.slice(at, SLICE_ROWS)
+
+
 def _longer_windows(batches: Iterator[pa.RecordBatch], half: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """Windows of twice the length whose two halves both repeat."""
-    for batch in batches:
+    for batch in _slices(batches):
         docs, starts, hashes = [], [], []
         for i, parts in enumerate(batch["parts"].to_pylist()):
             codes, h = _merged(parts)
@@ -133,6 +141,8 @@ def _unpacked(table: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray,
 def _met(table: pa.Table) -> pa.Table:
     """Windows of a bucket that repeat; a code is 2 * start, plus 1 if a smaller document has the window."""
     docs, codes, hashes = _unpacked(table)
+    if table["bucket"][0].as_py() < 0:
+        return _per_doc(docs, codes, hashes)
     order = np.argsort(hashes, kind="stable")
     docs, codes, hashes = docs[order], codes[order], hashes[order]
     head = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
@@ -142,19 +152,12 @@ def _met(table: pa.Table) -> pa.Table:
     return _per_doc(docs[repeated], codes[repeated] & ~1 | later[repeated], hashes[repeated])
 
 
-def _finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if len(batch):
-            yield from _per_doc(*_unpacked(batch)).to_batches()
-
-
 def _repeated(messages: DataFrame) -> DataFrame:
     """`doc_id`, `parts`: the windows that occur in several documents."""
     columns = "doc_id bigint, codes binary, hashes binary"
-    met = messages.where("bucket >= 0").groupBy("bucket").applyInArrow(_met, columns)
-    here = messages.where("bucket < 0").mapInArrow(_finished, columns)
+    met = messages.groupBy("bucket").applyInArrow(_met, columns)
     # The parts of a document hold each of its windows once, so a row is bounded by its own text.
-    return met.unionByName(here).groupBy("doc_id").agg(F.expr("collect_list(struct(codes, hashes)) as parts"))
+    return met.groupBy("doc_id").agg(F.expr("collect_list(struct(codes, hashes)) as parts"))
 
 
 def _digest(words: list[bytes]) -> str:
@@ -163,7 +166,7 @@ def _digest(words: list[bytes]) -> str:
 
 def _split(batches: Iterator[pa.RecordBatch], chosen: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Documents without repeated windows are finished here; the others carry their text on."""
-    for batch in batches:
+    for batch in (b.slice(at, 1024) for b in batches for at in range(0, len(b), 1024)):
         ids, texts = batch["doc_id"].to_pylist(), batch["text"].to_pylist()
         open_rows = [i is not None and hit for i, hit in zip(ids, in_filter(chosen, [i or 0 for i in ids]), strict=True)]
         n_words, digests = [], []
@@ -178,7 +181,7 @@ def _split(batches: Iterator[pa.RecordBatch], chosen: np.ndarray) -> Iterator[pa
 
 
 def _cut(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _slices(batches):
         n_removed, digests, texts, spans = [], [], [], []
         for text, parts in zip(batch["text"].to_pylist(), batch["parts"].to_pylist(), strict=True):
             words = text.encode("utf-8", "surrogatepass").split()
