@@ -296,3 +296,17 @@ def test_profiles_of_dotted_names(spark):
     df = spark.createDataFrame([(1, None), (2, 3.5)], "`a.b` int, `c``d` double")
     assert [tuple(r) for r in profile.table_info(df).collect()] == [(0, "a.b", "int", 2, 0), (1, "c`d", "double", 1, 1)]
     assert [r["column"] for r in profile.describe(df, ["a.b"]).collect()] == ["a.b"]
+
+
+def test_gain_shift_bias_and_activation(spark):
+    x = F.array(F.lit(1.0), F.lit(3.0))
+    plain = one(spark, vectors.layer_norm(x))
+    assert one(spark, vectors.layer_norm(x, gain=[2, 3], shift=[1, -1])) == pytest.approx([2 * plain[0] + 1, 3 * plain[1] - 1])
+    assert one(spark, vectors.affine(x, [[1, 1], [0, 2]], [0.5, -7])) == [4.5, -1.0]
+    y = F.array(F.lit(-1.0), F.lit(2.0))
+    assert one(spark, vectors.activated(y)) == [0.0, 2.0]
+    assert one(spark, vectors.activated(y, "linear")) == [-1.0, 2.0]
+    assert one(spark, vectors.activated(y, "tanh")) == pytest.approx([math.tanh(-1), math.tanh(2)])
+    assert one(spark, vectors.activated(y, "sigmoid")) == pytest.approx([1 / (1 + math.e), 1 / (1 + math.exp(-2))])
+    with pytest.raises(ValueError):
+        vectors.activated(y, "step")

@@ -52,14 +52,42 @@ def rms_norm(x: Column, eps: float = 1e-5) -> Column:
     return bind(x, scaled)
 
 
-def layer_norm(x: Column, eps: float = 1e-3) -> Column:
-    """Zero mean and unit population variance, without gain and shift."""
+def constants(values: Sequence[float]) -> Column:
+    return F.array(*[F.lit(float(v)) for v in values])
+
+
+def affine(x: Column, matrix: Sequence[Sequence[float]], bias: Sequence[float] | None = None) -> Column:
+    """A dense layer: one weight row and, if given, one bias per output."""
+    out = linear(x, weights(matrix))
+    return out if bias is None else add(out, constants(bias))
+
+
+def layer_norm(x: Column, eps: float = 1e-3, gain: Sequence[float] | None = None, shift: Sequence[float] | None = None) -> Column:
+    """Zero mean and unit population variance, then times `gain` and plus `shift` where they are given."""
     def centred(v):
         return bind(total(v) / F.size(v), lambda mean: F.transform(v, lambda item: item - mean))
 
     def scaled(c):
         return bind(F.sqrt(dot(c, c) / F.size(c) + F.lit(eps)), lambda s: F.transform(c, lambda item: item / s))
-    return bind(bind(x, centred), scaled)
+    out = bind(bind(x, centred), scaled)
+    if gain is not None:
+        out = F.zip_with(out, constants(gain), lambda a, b: a * b)
+    return out if shift is None else add(out, constants(shift))
+
+
+def activated(x: Column, name: str = "relu") -> Column:
+    """An activation by name: `relu`, `tanh`, `sigmoid`, `gelu` (tanh form) or `linear`."""
+    if name == "relu":
+        return relu(x)
+    if name == "tanh":
+        return F.transform(x, F.tanh)
+    if name == "sigmoid":
+        return F.transform(x, lambda v: 1 / (1 + F.exp(-v)))
+    if name == "gelu":
+        return F.transform(x, lambda v: 0.5 * v * (1 + F.tanh(0.7978845608028654 * (v + 0.044715 * v * v * v))))
+    if name == "linear":
+        return x
+    raise ValueError(f"unknown activation {name!r}")
 
 
 def relu(x: Column) -> Column:

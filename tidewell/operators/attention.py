@@ -8,7 +8,7 @@ whatever the length of the series, and no row pairs are ever written out.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -155,14 +155,22 @@ def temporal_attention_block(
     causal: bool = True,
     keep: Sequence[str] = (),
     out: str = "block",
+    biases: Mapping[str, Sequence[float]] | None = None,
+    gain: Sequence[float] | None = None,
+    shift: Sequence[float] | None = None,
+    activation: str = "relu",
 ) -> DataFrame:
-    """Attention on projections of x, residual ReLU, layer normalisation and an output projection."""
+    """Attention on projections of x, residual activation, layer normalisation and an output projection.
+
+    `biases` may have `q`, `k`, `v` and `o`; `gain` and `shift` belong to the normalisation.
+    """
+    given = biases or {}
     projected = df.withColumns({
-        name: vectors.linear(vectors.doubles(F.col(x)), vectors.weights(w))
-        for name, w in (("__wq", wq), ("__wk", wk), ("__wv", wv))
+        name: vectors.affine(vectors.doubles(F.col(x)), w, given.get(key))
+        for name, w, key in (("__wq", wq, "q"), ("__wk", wk, "k"), ("__wv", wv, "v"))
     })
     attended = attention(
         projected, series, order, "__wq", "__wk", "__wv", causal=causal, keep=[*keep, x], out="__attended")
-    summed = vectors.relu(vectors.add(vectors.doubles(F.col(x)), F.col("__attended")))
-    normal = attended.withColumn("__normal", vectors.layer_norm(summed))
-    return normal.withColumn(out, vectors.linear(F.col("__normal"), vectors.weights(wo))).drop("__attended", "__normal")
+    summed = vectors.activated(vectors.add(vectors.doubles(F.col(x)), F.col("__attended")), activation)
+    normal = attended.withColumn("__normal", vectors.layer_norm(summed, gain=gain, shift=shift))
+    return normal.withColumn(out, vectors.affine(F.col("__normal"), wo, given.get("o"))).drop("__attended", "__normal")

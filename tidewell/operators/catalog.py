@@ -11,12 +11,7 @@ from tidewell.functions.calendar import iso_timestamp
 from tidewell.functions.formatting import megabytes
 from tidewell.operators.ordering import over_frames, with_position
 
-# The closed sets of status names.
-DATASET_STATUS = ("pending", "downloading", "downloaded", "converting", "completed", "failed")
-FILE_STATUS = ("pending", "in_progress", "completed", "failed", "skipped")
-CONVERSION_STATUS = ("pending", "in_progress", "completed", "failed", "unsupported")
-
-# Files per catalog entry. A dataset with more files has several entries, numbered by `page`.
+# Files per catalog entry. A dataset with more files has several entries, numbered by `page`: one document may be a part.
 PAGE = 1_000
 
 

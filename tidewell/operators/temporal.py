@@ -61,15 +61,17 @@ def temporal_block(
     dilation: int = 1,
     bias: Sequence[float] | None = None,
     resample: Sequence[Sequence[float]] | None = None,
+    resample_bias: Sequence[float] | None = None,
+    activation: str = "relu",
     out: str = "block",
 ) -> DataFrame:
-    """relu(relu(conv(x)) + x); `resample` maps x to the filters where their numbers differ."""
+    """act(act(conv(x)) + x); `resample` and its bias map x to the filters where their numbers differ."""
     channels, filters = len(kernel[0]), len(kernel[0][0])
     if resample is None and channels != filters:
         raise ValueError("channels and filters differ: give resample weights")
     convolved = causal_conv(df, series, order, x, kernel, dilation, bias, "__conv")
-    kept = F.col(x) if resample is None else vectors.linear(F.col(x), vectors.weights(resample))
-    block = vectors.relu(vectors.add(vectors.relu(F.col("__conv")), kept))
+    kept = F.col(x) if resample is None else vectors.affine(F.col(x), resample, resample_bias)
+    block = vectors.activated(vectors.add(vectors.activated(F.col("__conv"), activation), kept), activation)
     return convolved.withColumn(out, block).drop("__conv")
 
 

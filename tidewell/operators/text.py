@@ -199,3 +199,13 @@ def with_batches(df: DataFrame, order: Sequence[str], size: int = 32, name: str
     """Number consecutive runs of `size` rows."""
     placed = with_position(df, order, name="__at")
     return placed.withColumn(name, F.floor(F.col("__at") / size)).drop("__at")
+
+
+def padded_batches(
+    df: DataFrame, tokens: str, order: Sequence[str], size: int = 32, pad: str = PAD, out: str = "padded"
+) -> DataFrame:
+    """Mini-batches with each row padded to the longest of its own batch: one long text widens one batch only."""
+    placed = with_batches(df, order, size)
+    longest = placed.groupBy("batch").agg(F.max(F.size(tokens)).alias("__width")).withColumnRenamed("batch", "__batch")
+    joined = placed.join(longest, F.col("batch") == F.col("__batch"))
+    return joined.withColumn(out, padded(F.col(tokens), F.col("__width"), pad)).drop("__batch", "__width")

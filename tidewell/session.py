@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -12,13 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 TASK_ROWS_KEY = "spark.tidewell.taskRows"
 TASK_ROWS = 1_000_000
 
+_roots: dict[str, str] = {}
+
 
 def build_session(app: str = "tidewell", master: str | None = None, **conf: str) -> SparkSession:
     settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
-        "spark.sql.parquet.aggregatePushdown": "true",
         **conf,
     }
     builder = SparkSession.builder.appName(app)
@@ -33,22 +37,36 @@ def task_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(TASK_ROWS_KEY, str(TASK_ROWS)))
 
 
+def _own_root(app: str) -> str:
+    """One folder per application of a plain local master, removed when Python ends."""
+    if app not in _roots:
+        _roots[app] = tempfile.mkdtemp(prefix="run-")
+        atexit.register(shutil.rmtree, _roots[app], ignore_errors=True)
+    return _roots[app]
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder for written tables and streaming checkpoints.
 
-    It lies under `spark.checkpoint.dir`, which a cluster points at shared storage. Only a local
-    master without that setting gets a temporary folder.
+    It lies under `spark.checkpoint.dir`, which a cluster points at shared storage. Only a plain local
+    master, whose tasks all run in the driver's process, gets a folder of its own without that setting.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-        root = tempfile.mkdtemp(prefix="run-")
+        root = _own_root(spark.sparkContext.applicationId)
     return os.path.join(root, f"{purpose}-{uuid.uuid4().hex[:12]}")
 
 
+def _removed_at_end(spark: SparkSession, path: str) -> None:
+    """Lets the driver's JVM remove a written table when the application ends."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+
+
 def settled(df: DataFrame, purpose: str) -> DataFrame:
-    """An intermediate result as a table in the shared folder.
+    """An intermediate result as a table in the shared folder, which goes when the application ends.
 
     Spark then knows its true size before it plans a join: a small one is broadcast under the usual
     threshold and the large side is not shuffled at all; a large one takes the shuffle join. It also
@@ -56,4 +74,5 @@ def settled(df: DataFrame, purpose: str) -> DataFrame:
     """
     path = shared_folder(df.sparkSession, purpose)
     df.write.parquet(path)
+    _removed_at_end(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

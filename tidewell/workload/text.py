@@ -148,6 +148,18 @@ def pad_and_mask(t):
         F.md5(F.array_join("p.input", " ")).alias("digest"))
 
 
+@query(rf"""
+    WITH w AS (SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 16 AS batch, ['[CLS]'] || list_filter(string_split_regex(regexp_replace(text, '^[ \t\n\r\f]+|[ \t\n\r\f]+$', '', 'g'), '[ \t\n\r\f]+'), lambda x: x <> '') || ['[SEP]'] AS k FROM documents),
+    m AS (SELECT *, max(len(k)) OVER (PARTITION BY batch) AS mx FROM w)
+    SELECT doc_id, batch, mx::INTEGER AS length, len(k)::INTEGER AS mask_sum, md5(array_to_string(k || list_transform(range(mx - len(k)), lambda x: '[PAD]'), ' ')) AS digest FROM m""")
+def pad_batches(t):
+    tokens = t("documents").select("doc_id", ops.with_markers(ops.words(F.col("text"))).alias("tokens"))
+    out = ops.padded_batches(tokens, "tokens", ["doc_id"], 16)
+    return out.select(
+        "doc_id", "batch", F.size("padded.input").alias("length"), F.aggregate("padded.mask", F.lit(0), lambda a, v: a + v).alias("mask_sum"),
+        F.md5(F.array_join("padded.input", " ")).alias("digest"))
+
+
 @query("SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 32 AS batch FROM labels")
 def minibatch_assign(t):
     return ops.with_batches(t("labels"), ["doc_id"], 32).select("doc_id", "batch")
