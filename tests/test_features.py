@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import tfrecord_fixture as tf
 from tidewell.operators import features
-from tidewell.sources.tfrecord import read_tfrecord
+from tidewell.sources.tfrecord import read_tfrecord, write_tfrecord
 
 
 @pytest.fixture
@@ -109,3 +109,34 @@ def test_flat_table(spark, tmp_path):
     assert headers == ["b", "extra", "n"]
     flat = features.flatten_records(records, headers, ["index"]).orderBy("index").collect()
     assert [tuple(r)[1:] for r in flat] == [("x", "", "[1, 2]"), ("", "9", "3")]
+
+
+def test_one_file_in_ranges(spark, tmp_path):
+    path = str(tmp_path / "i.tfrecord")
+    rows = [{"n": ("int", [i, -i, 1 << 40]), "b": ("bytes", [b"x" * (i * 37 % 900)])} for i in range(400)]
+    tf.write(path, rows)
+    found = read_tfrecord(spark, path, verify=True, split_bytes=20_000)
+    got = sorted((r["index"], r["record"]["n"]["ints"], len(r["record"]["b"]["bytes"][0])) for r in found.collect())
+    assert got == [(i, [i, -i, 1 << 40], i * 37 % 900) for i in range(400)]
+    assert spark.read.format("tfrecord_examples").option("splitBytes", "20000").load(path).rdd.getNumPartitions() > 5
+    data = bytearray(open(path, "rb").read())
+    at, frames = 0, []
+    while at < len(data):
+        frames.append(at)
+        at += int.from_bytes(data[at : at + 8], "little") + 16
+    for frame in (next(f for f in frames if f > 20_000), frames[-1]):
+        damaged = bytearray(data)
+        damaged[frame + 9] ^= 1
+        open(path, "wb").write(damaged)
+        with pytest.raises(Exception, match="damaged"):
+            read_tfrecord(spark, path, split_bytes=20_000).collect()
+
+
+def test_written_records_read_back(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"é{i}", [i / 2, None], []) for i in range(50)], "a bigint, s string, f array<double>, e array<bigint>")
+    records = features.to_records(df.repartition(3), ["a", "s", "f", "e"])
+    files = write_tfrecord(records, str(tmp_path / "out")).collect()
+    assert len(files) == 3 and sum(r["rows"] for r in files) == 50
+    back = read_tfrecord(spark, str(tmp_path / "out"), verify=True).collect()
+    got = sorted((r["record"]["a"]["ints"], bytes(r["record"]["s"]["bytes"][0]).decode(), r["record"]["f"]["floats"], r["record"]["e"]["ints"]) for r in back)
+    assert got == [([i], f"é{i}", [i / 2], []) for i in range(50)]

@@ -1,20 +1,32 @@
-"""TFRecord files of feature records, as a Python data source.
+"""TFRecord files of feature records, as a Python data source and as output.
 
-A file is a chain of frames (length, checksum, payload, checksum) without an index, so a file is one
-task and a folder of files is read in parallel.
+A file is a chain of frames (length, checksum, payload, checksum) without an index. The checksum of
+the length lets a task that starts inside a file find the next frame, so a large file is read by byte ranges.
 """
 
 from __future__ import annotations
 
+import posixpath
+import struct
+import uuid
+from collections.abc import Iterator
+from functools import partial
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewell.operators.features import RECORD
+from tidewell.session import settled
+
+SPLIT_BYTES = 64 << 20
 
 
 def _source():
     """The data source class. It is built in here so that it travels to the executors by value."""
     import struct
 
+    import numpy as np
     from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
     def crc_table():
@@ -73,12 +85,19 @@ def _source():
             if isinstance(value, int):
                 out.append(signed(value))
                 continue
-            at = 0
-            while at < len(value):
-                number, at = varint(value, at)
-                out.append(signed(number))
+            out += unpacked(value)
         return out
 
+    def unpacked(buf):
+        """All varints of a packed list at once: seven bits a byte, the last byte of each below 128."""
+        data = np.frombuffer(buf, np.uint8)
+        if not len(data):
+            return []
+        first = np.concatenate([[0], np.flatnonzero(data < 128)[:-1] + 1])
+        place = np.arange(len(data)) - np.repeat(first, np.diff(np.append(first, len(data))))
+        bits = (data & 0x7F).astype(np.uint64) << (7 * place).astype(np.uint64)
+        return np.bitwise_or.reduceat(bits, first).view(np.int64).tolist()
+
     def floats(buf):
         packed = b"".join(bytes(value) for _, value in fields(buf))
         return list(struct.unpack(f"<{len(packed) // 4}f", packed))
@@ -112,15 +131,40 @@ def _source():
             return fs.FileSystem.from_uri(path)
         return fs.LocalFileSystem(), path
 
-    class File(InputPartition):
-        def __init__(self, path):
-            self.path = path
+    wide_table = np.array(table, np.uint32)
+
+    def next_frame(stream, begin, end, total):
+        """Offset of the first frame that starts in begin..end, found by the checksums of its length."""
+        step = 1 << 20
+        for at in range(begin, end, step):
+            n = min(step, end - at)
+            data = np.frombuffer(stream.read_at(min(n + 11, total - at), at), np.uint8)
+            n = min(n, len(data) - 11)
+            if n <= 0:
+                return None
+            crc = np.full(n, 0xFFFFFFFF, np.uint32)
+            for i in range(8):
+                crc = wide_table[(crc ^ data[i : i + n]) & 0xFF] ^ (crc >> np.uint32(8))
+            crc ^= np.uint32(0xFFFFFFFF)
+            crc = (crc >> np.uint32(15) | crc << np.uint32(17)) + np.uint32(0xA282EAD8)
+            found = sum(data[8 + i : 8 + i + n].astype(np.uint32) << np.uint32(8 * i) for i in range(4))
+            for hit in np.flatnonzero(crc == found).tolist():
+                size = int.from_bytes(data[hit : hit + 8].tobytes(), "little")
+                if at + hit + size + 16 <= total:
+                    return at + hit
+        return None
+
+    class Range(InputPartition):
+        def __init__(self, path, begin, end, total):
+            self.path, self.begin, self.end, self.total = path, begin, end, total
 
     class Reader(DataSourceReader):
         def __init__(self, options):
             self.path = options["path"]
             self.limit = int(options["limit"]) if options.get("limit") else None
             self.verify = str(options.get("verify", "false")).lower() == "true"
+            self.count = str(options.get("count", "false")).lower() == "true"
+            self.split = int(options.get("splitbytes") or options.get("splitBytes"))
 
         def partitions(self):
             from pyarrow import fs
@@ -130,25 +174,36 @@ def _source():
             if info.type == fs.FileType.NotFound:
                 raise FileNotFoundError(self.path)
             if info.is_file:
-                return [File(self.path)]
-            found = system.get_file_info(fs.FileSelector(path, recursive=True))
-            names = sorted(f.path for f in found if f.is_file and f.base_name[:1] not in "._")
-            prefix = self.path.split("://", 1)[0] + "://" if "://" in self.path else ""
-            return [File(prefix + name) for name in names]
-
-        def frames(self, path):
-            system, name = filesystem(path)
-            with system.open_input_stream(name) as stream:
-                while header := stream.read(12):
+                found = [(self.path, info.size)]
+            else:
+                files = system.get_file_info(fs.FileSelector(path, recursive=True))
+                prefix = self.path.split("://", 1)[0] + "://" if "://" in self.path else ""
+                found = sorted((prefix + f.path, f.size) for f in files if f.is_file and f.base_name[:1] not in "._")
+            step = self.split if self.limit is None else 1 << 62
+            return [Range(name, begin, min(begin + step, size), size) for name, size in found for begin in range(0, max(size, 1), step)]
+
+        def frames(self, part):
+            """Payloads (or their number alone) of the frames that start in a range; the header after the last one is checked too."""
+            system, name = filesystem(part.path)
+            with system.open_input_file(name) as stream:
+                at = 0 if not part.begin else next_frame(stream, part.begin, part.end, part.total)
+                while at is not None and at < part.total:
+                    header = stream.read_at(12, at)
                     if len(header) < 12 or struct.unpack("<I", header[8:])[0] != masked_crc(header[:8]):
-                        raise ValueError(f"{path}: damaged record length")
+                        raise ValueError(f"{part.path}: damaged record length")
+                    if at >= part.end:
+                        return
                     size = struct.unpack("<Q", header[:8])[0]
-                    payload, check = stream.read(size), stream.read(4)
-                    if len(payload) < size or len(check) < 4:
-                        raise ValueError(f"{path}: file ends inside a record")
-                    if self.verify and struct.unpack("<I", check)[0] != masked_crc(payload):
-                        raise ValueError(f"{path}: damaged record")
-                    yield payload
+                    if at + size + 16 > part.total:
+                        raise ValueError(f"{part.path}: file ends inside a record")
+                    if self.count:
+                        yield None
+                    else:
+                        payload = stream.read_at(size, at + 12)
+                        if self.verify and struct.unpack("<I", stream.read_at(4, at + 12 + size))[0] != masked_crc(payload):
+                            raise ValueError(f"{part.path}: damaged record")
+                        yield payload
+                    at += size + 16
 
         def read(self, partition):
             import itertools
@@ -158,11 +213,18 @@ def _source():
             feature_type = pa.struct([
                 ("kind", pa.string()), ("bytes", pa.list_(pa.binary())),
                 ("floats", pa.list_(pa.float32())), ("ints", pa.list_(pa.int64()))])
-            columns = pa.schema([("file", pa.string()), ("index", pa.int64()), ("record", pa.map_(pa.string(), feature_type))])
-            numbered = enumerate(itertools.islice(self.frames(partition.path), self.limit))
+            columns = pa.schema([
+                ("file", pa.string()), ("begin", pa.int64()), ("index", pa.int64()), ("record", pa.map_(pa.string(), feature_type))])
+            if self.count:
+                n = sum(1 for _ in self.frames(partition))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([partition.path]), pa.array([partition.begin]), pa.array([n]), pa.array([None], columns.field("record").type)], schema=columns)
+                return
+            numbered = enumerate(itertools.islice(self.frames(partition), self.limit))
             while rows := list(itertools.islice(numbered, 1024)):
                 yield pa.RecordBatch.from_arrays([
                     pa.array([partition.path] * len(rows), pa.string()),
+                    pa.array([partition.begin] * len(rows), pa.int64()),
                     pa.array([i for i, _ in rows], pa.int64()),
                     pa.array([list(example(p).items()) for _, p in rows], columns.field("record").type),
                 ], schema=columns)
@@ -173,7 +235,7 @@ def _source():
             return "tfrecord_examples"
 
         def schema(self):
-            return f"file string, index bigint, record {RECORD}"
+            return f"file string, begin bigint, index bigint, record {RECORD}"
 
         def reader(self, schema):
             return Reader(self.options)
@@ -182,15 +244,108 @@ def _source():
 
 
 def read_tfrecord(
-    spark: SparkSession, path: str, limit: int | None = None, verify: bool = False
+    spark: SparkSession, path: str, limit: int | None = None, verify: bool = False, split_bytes: int = SPLIT_BYTES
 ) -> DataFrame:
     """Records of one file or of all files in a folder, with their file and place in it.
 
-    `limit` keeps the first records in file order, and each task stops reading there. `verify` also
-    checks the payload checksums; the length checksums are always checked.
+    Files above `split_bytes` are read in ranges; the place of a record is its place in the range plus the records of earlier
+    ranges, which are counted first, by their headers alone. `limit` keeps the first records in file order, and each task
+    stops reading there. `verify` also checks the payload checksums; the length checksums are always checked.
     """
     spark.dataSource.register(_source())
-    reader = spark.read.format("tfrecord_examples").option("verify", str(verify).lower())
-    if limit is None:
-        return reader.load(path)
-    return reader.option("limit", str(limit)).load(path).orderBy("file", "index").limit(limit)
+    reader = spark.read.format("tfrecord_examples").option("verify", str(verify).lower()).option("splitBytes", str(split_bytes))
+    if limit is not None:
+        return reader.option("limit", str(limit)).load(path).drop("begin").orderBy("file", "index").limit(limit)
+    counts = settled(reader.option("count", "true").load(path).select("file", "begin", F.col("index").alias("n")), "frame-counts")
+    found = spark.read.format("tfrecord_examples").option("verify", str(verify).lower()).option("splitBytes", str(split_bytes)).load(path)
+    if counts.where("begin > 0").isEmpty():
+        return found.drop("begin")
+    own, before = counts.select(F.col("file").alias("f"), F.col("begin").alias("b")), counts.alias("c")
+    # As many pairs as ranges of a file, squared; a range is tens of megabytes.
+    starts = own.join(before, (F.col("f") == F.col("c.file")) & (F.col("c.begin") < F.col("b")), "left").groupBy("f", "b").agg(F.coalesce(F.sum("c.n"), F.lit(0)).alias("start"))
+    joined = found.join(settled(starts, "frame-starts"), (F.col("file") == F.col("f")) & (F.col("begin") == F.col("b")))
+    return joined.select("file", (F.col("index") + F.col("start")).alias("index"), "record")
+
+
+def _varint(n: int) -> bytes:
+    n &= (1 << 64) - 1
+    out = bytearray()
+    while n > 127:
+        out.append(n & 127 | 128)
+        n >>= 7
+    out.append(n)
+    return bytes(out)
+
+
+def _message(number: int, data: bytes) -> bytes:
+    return _varint(number << 3 | 2) + _varint(len(data)) + data
+
+
+def _example(record: list[tuple[str, dict]]) -> bytes:
+    entries = []
+    for name, feature in sorted(record):
+        if feature["kind"] == "bytes_list":
+            inner = _message(1, b"".join(_message(1, v) for v in feature["bytes"] or []))
+        elif feature["kind"] == "float_list":
+            values = feature["floats"] or []
+            inner = _message(2, _message(1, struct.pack(f"<{len(values)}f", *values)) if values else b"")
+        else:
+            values = feature["ints"] or []
+            inner = _message(3, _message(1, b"".join(map(_varint, values))) if values else b"")
+        entries.append(_message(1, _message(1, name.encode()) + _message(2, inner)))
+    return _message(1, b"".join(entries))
+
+
+def _crc(data: bytes, table: list[int]) -> bytes:
+    crc = 0xFFFFFFFF
+    for byte in data:
+        crc = table[(crc ^ byte) & 0xFF] ^ (crc >> 8)
+    crc ^= 0xFFFFFFFF
+    return struct.pack("<I", ((crc >> 15 | crc << 17) + 0xA282EAD8) & 0xFFFFFFFF)
+
+
+def _crc_table() -> list[int]:
+    """CRC-32C, reflected polynomial."""
+    table = []
+    for byte in range(256):
+        for _ in range(8):
+            byte = (byte >> 1) ^ (0x82F63B78 if byte & 1 else 0)
+        table.append(byte)
+    return table
+
+
+def _written(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
+    from pyarrow import fs
+
+    system, place = fs.FileSystem.from_uri(folder) if ":/" in folder else (fs.LocalFileSystem(), folder)
+    system.create_dir(place, recursive=True)
+    table, n, name = _crc_table(), 0, f"part-{uuid.uuid4().hex}.tfrecord"
+    draft = posixpath.join(place, f"_{name}")
+    with system.open_output_stream(draft) as out:
+        for batch in batches:
+            for record in batch["record"].to_pylist():
+                payload = _example(record)
+                size = struct.pack("<Q", len(payload))
+                out.write(size + _crc(size, table) + payload + _crc(payload, table))
+                n += 1
+    yield pa.RecordBatch.from_arrays([pa.array([draft]), pa.array([posixpath.join(place, name)]), pa.array([n])], names=["draft", "file", "rows"])
+
+
+def _named(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
+    from pyarrow import fs
+
+    system, _ = fs.FileSystem.from_uri(folder) if ":/" in folder else (fs.LocalFileSystem(), folder)
+    for batch in batches:
+        for draft, name in zip(batch["draft"].to_pylist(), batch["file"].to_pylist(), strict=True):
+            if system.get_file_info(draft).is_file:
+                system.move(draft, name)
+        yield batch.select(["file", "rows"])
+
+
+def write_tfrecord(records: DataFrame, folder: str) -> DataFrame:
+    """Writes the `record` column as one file per task, and returns `file` and `rows` of each.
+
+    Tasks write drafts; only the drafts of tasks that succeeded get their names, so a task that ran twice leaves one file.
+    """
+    drafts = settled(records.select("record").mapInArrow(partial(_written, folder=folder), "draft string, file string, rows bigint"), "drafts")
+    return settled(drafts.mapInArrow(partial(_named, folder=folder), "file string, rows bigint"), "files")

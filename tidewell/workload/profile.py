@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from tidewell.operators import features
 from tidewell.operators import profile as ops
+from tidewell.session import shared_folder
+from tidewell.sources import tfrecord
 from tidewell.workload import query
 
 
@@ -157,3 +159,23 @@ def flatten_lists(t):
     present = lambda k, v: ~((k == "scaled") & (F.col("vec_id") % 3 == 1)) & ~((k == "vec") & (F.col("vec_id") % 3 != 2))
     records = records.withColumn("record", F.map_filter("record", present))
     return features.flatten_records(records, features.all_headers(records), keep=["vec_id"])
+
+
+def _tfrecords(t):
+    out = shared_folder(t.spark, "events-tfrecord")
+    tfrecord.write_tfrecord(features.to_records(t("events").repartition(3), _EVENT_FEATURES), out)
+    # Small ranges, so that files are read by several tasks.
+    return tfrecord.read_tfrecord(t.spark, out, verify=True, split_bytes=50_000)
+
+
+@query("SELECT event_id, user_id, event_type, value::FLOAT::DOUBLE AS value FROM events")
+def tfrecord_scan(t):
+    item = F.col("record")
+    return _tfrecords(t).select(
+        item["event_id"]["ints"][0].alias("event_id"), item["user_id"]["ints"][0].alias("user_id"),
+        item["event_type"]["bytes"][0].cast("string").alias("event_type"), item["value"]["floats"][0].cast("double").alias("value"))
+
+
+@query(_stats_sql("SELECT * FROM events", {"event_id": "event_id", "user_id": "user_id", "value": "value::FLOAT"}, ["event_type"]))
+def tfrecord_stats(t):
+    return _stats(features.feature_statistics(_tfrecords(t)))
