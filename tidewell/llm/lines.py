@@ -6,11 +6,13 @@ import hashlib
 from collections.abc import Iterator
 from functools import partial
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.shared import stored
+from tidewell.llm.shared import id_filter, in_filter, stored
 
 MIN_LINES = 2
 BLANK = " \t\n\x0b\x0c\r"
@@ -58,10 +60,19 @@ def _later_copies(level: tuple[int, DataFrame], spots: DataFrame, min_lines: int
     return members.join(first, ["rank", "tail"]).where("at > first").select("row", "pos")
 
 
-def _rebuilt(batches: Iterator[pa.RecordBatch], min_lines: int) -> Iterator[pa.RecordBatch]:
+def _with_deletions(batches: Iterator[pa.RecordBatch], chosen: np.ndarray) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        yield batch.filter(pa.array(in_filter(chosen, batch["row"].to_pylist()), pa.bool_()))
+
+
+def _rebuilt(batches: Iterator[pa.RecordBatch], min_lines: int, without: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """Documents without the lines at `starts`; with a filter, those outside it as they are."""
+    for batch in batches:
+        if without is not None:
+            batch = batch.filter(pc.invert(pa.array(in_filter(without, batch["row"].to_pylist()), pa.bool_())))
         texts, removed = [], []
-        for text, starts in zip(batch["text"].to_pylist(), batch["starts"].to_pylist(), strict=True):
+        runs = batch["starts"].to_pylist() if without is None else [None] * len(batch)
+        for text, starts in zip(batch["text"].to_pylist(), runs, strict=True):
             if not starts:
                 texts.append(text)
                 removed.append(0)
@@ -108,5 +119,11 @@ def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, carry: tuple[str
         later = _later_copies(levels[-1], held.select("row", place), min_lines).groupBy("row").agg(F.sort_array(F.collect_list("pos")).alias("starts"))
     else:
         later = held.select("row", F.array().cast("array<bigint>").alias("starts")).limit(0)
-    return held.select("row", "doc_id", "rest", "text", "n").join(stored(later, "later"), "row", "left").mapInArrow(
-        partial(_rebuilt, min_lines=min_lines), f"row bigint, doc_id bigint, rest {held.schema['rest'].dataType.simpleString()}, n_lines bigint, n_removed bigint, text string, kept_sha256 string")
+    later, told = stored(later, "later"), held.select("row", "doc_id", "rest", "text", "n")
+    rest = held.schema["rest"].dataType.simpleString()
+    out = f"row bigint, doc_id bigint, rest {rest}, n_lines bigint, n_removed bigint, text string, kept_sha256 string"
+    # Only texts that lose lines meet their lines in a shuffle.
+    chosen = id_filter(later, "row")
+    open_texts = told.mapInArrow(partial(_with_deletions, chosen=chosen), told.schema).join(later, "row", "left")
+    cut = open_texts.mapInArrow(partial(_rebuilt, min_lines=min_lines), out)
+    return cut.unionByName(told.mapInArrow(partial(_rebuilt, min_lines=min_lines, without=chosen), out))
