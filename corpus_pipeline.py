@@ -41,8 +41,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document at least once; documents of small sources are repeated until the sources have their weights."""
-    found = mixing.mix(docs)
-    return found.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    others = [c for c in docs.columns if c not in ("doc_id", "source", "text")]
+    # Columns of other names ride along, whatever they are called.
+    found = mixing.mix(docs.select("doc_id", "source", "text", F.struct(F.lit(0).alias("none"), *others).alias("others")))
+    read = found.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return read.select(*[F.col(f"others.`{c}`").alias(c) if c in others else F.col(c) for c in docs.columns])
 
 
 def best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -266,7 +266,7 @@ def test_pipeline_stages(spark, docs):
         state = corpus_pipeline.settled(stage(spark, before, ""), name)
         seen[name] = (before.collect(), state.collect())
         if name != names[-1]:
-            assert state.columns == docs.columns
+            assert state.columns == docs.columns and {r.copies for r in seen[name][1]} <= {"c"}
     rated = {r.doc_id: r.kept for r in quality.rate(docs).collect()}
     assert sorted(r.doc_id for r in seen["quality_rules"][1]) == sorted(i for i, k in rated.items() if k)
     before, after = seen["line_dedup"]

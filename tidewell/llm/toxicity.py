@@ -25,7 +25,7 @@ DIMENSIONS = 8
 # The mean embedding is multiplied by this before the softmax, so that one word in a hundred can decide.
 SCALE = 100.0
 # Bounds of the training sample: rows of each label, and characters of a text that may be in it.
-SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARS = 2000, 4000, 200_000
+SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARS = 2000, 4000, 20_000
 EPOCHS, BATCH, RATE, DECAY = 8, 128, 0.02, 2e-3
 THRESHOLD = 0.7
 SPACE = ord(" ")
