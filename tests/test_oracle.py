@@ -5,8 +5,9 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 from conftest import SMALL
 from oracle import compare, connect
+from tidewell import workload
 
-NAMES = sorted(queries())
+NAMES = sorted(workload.load())
 # Queries whose plan depends on the per-task row limit.
 ORDERED = [
     "box_by_month", "box_outliers", "rank_by_median", "category_codes", "describe_lineitem", "catalog_nested",
