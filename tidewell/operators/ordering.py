@@ -29,15 +29,16 @@ def quoted(name: str) -> str:
 def hot_groups(df: DataFrame, group: Sequence[str]) -> tuple[DataFrame, int] | None:
     """Groups too large for one task (`__g0`, ..., `__rows`) and their rows together, or None when there are none.
 
-    One counting job over the group columns alone. Without group columns the whole frame is the group. The list is written, so
-    Spark knows its size when it joins it.
+    One counting job over the group columns alone, and a second one where there are hot groups: their list is written, so
+    Spark knows its size when it joins it. Without group columns the whole frame is the group.
     """
     limit = task_rows(df.sparkSession)
-    sizes = df.groupBy(*map(quoted, group)).agg(F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") > limit)
+    sizes = df.groupBy(*map(quoted, group)).agg(F.count(F.lit(1)).alias("__rows"))
+    if (sizes.agg(F.max("__rows")).first()[0] or 0) <= limit:
+        return None
     keys = [F.col(quoted(g)).alias(f"__g{i}") for i, g in enumerate(group)]
-    hot = settled(sizes.select(*keys, "__rows"), "hot-groups")
-    total = hot.agg(F.sum("__rows")).first()[0]
-    return (hot, total) if total else None
+    hot = settled(sizes.filter(F.col("__rows") > limit).select(*keys, "__rows"), "hot-groups")
+    return hot, hot.agg(F.sum("__rows")).first()[0]
 
 
 def split_hot(df: DataFrame, hot: DataFrame, group: Sequence[str]) -> tuple[DataFrame, DataFrame]:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidewell.session import shared_folder
 from tidewell.sources import json_docs, tabular
-from tidewell.sources.listing import existing_outputs, list_files, to_convert, without_existing
+from tidewell.sources.listing import existing_outputs, list_files, size_totals, to_convert, without_existing
 from tidewell.sources.sinks import INDEX, with_file_index, write_parquet
 from tidewell.sources.types import infer_types, nulls_out, typed
 
@@ -229,17 +229,4 @@ def convert_folder(
 
 def batch_totals(report: DataFrame) -> DataFrame:
     """Files done, source and Parquet megabytes, and the overall ratio (1.0 without input)."""
-    done = F.col("status") == "completed"
-    totals = report.agg(
-        F.count(F.lit(1)).alias("files"),
-        F.count_if(done).alias("converted"),
-        F.coalesce(F.sum("source_bytes"), F.lit(0)).alias("__in"),
-        F.coalesce(F.sum("parquet_bytes"), F.lit(0)).alias("__out"),
-    )
-    return totals.select(
-        "files", "converted",
-        F.round(F.col("__in") / 1048576, 2).alias("source_mb"),
-        F.round(F.col("__out") / 1048576, 2).alias("parquet_mb"),
-        F.coalesce(F.try_divide("__out", "__in"), F.lit(1.0)).alias("ratio"),
-    )
-
+    return size_totals(report.withColumn("__done", F.col("status") == "completed"), "source_bytes", "parquet_bytes", "__done")
