@@ -80,16 +80,46 @@ def _messages(ids: np.ndarray, docs: np.ndarray, starts: np.ndarray, hashes: np.
     return _batch(rows)
 
 
-def _text_windows(batches: Iterator[pa.RecordBatch], n: int, buckets: int) -> Iterator[pa.RecordBatch]:
+def _placed(ids: list[int], texts: list[str | None], n: int) -> tuple[np.ndarray, ...]:
+    """Document, start, anchor and hash of every window of n words of some texts.
+
+    A window's anchor is the smallest hash of the ceil(n / 2)-word windows inside it, so equal windows have equal anchors, and
+    neighbours mostly share theirs.
+    """
+    words, first = word_hashes(texts)
+    half = (n + 1) // 2
+    short, hashes = window_hashes(words, half), window_hashes(words, n)
+    anchors = short[: len(hashes)].copy()
+    for shift in range(1, n - half + 1):
+        np.minimum(anchors, short[shift : shift + len(hashes)], out=anchors)
+    docs = np.repeat(np.arange(len(ids)), np.diff(first))[: len(hashes)]
+    at = np.arange(len(hashes))
+    inside = at + n <= first[1:][docs]
+    docs = docs[inside]
+    return docs, at[inside] - first[docs], anchors[inside], hashes[inside]
+
+
+def _text_anchors(batches: Iterator[pa.RecordBatch], n: int, buckets: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for ids, texts in by_bytes(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), MESSAGE_BYTES):
-            words, first = word_hashes(texts)
-            hashes = window_hashes(words, n)
-            docs = np.repeat(np.arange(len(ids)), np.diff(first))[: len(hashes)]
-            at = np.arange(len(hashes))
-            inside = at + n <= first[1:][docs]
-            docs, at, hashes = docs[inside], at[inside], hashes[inside]
-            yield _messages(np.array(ids, np.int64), docs, at - first[docs], hashes, buckets)
+            docs, starts, anchors, _ = _placed(ids, texts, n)
+            turn = np.ones(len(anchors), bool)
+            turn[1:] = (anchors[1:] != anchors[:-1]) | (docs[1:] != docs[:-1])
+            yield _messages(np.array(ids, np.int64), docs[turn], starts[turn], anchors[turn], buckets)
+
+
+def _anchored_windows(batches: Iterator[pa.RecordBatch], n: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Windows whose anchor repeats, out of `doc_id, text, parts`."""
+    for batch in _slices(batches):
+        ids, parts = batch["doc_id"].to_pylist(), batch["parts"].to_pylist()
+        for rows, texts in by_bytes(list(range(len(ids))), batch["text"].to_pylist(), MESSAGE_BYTES):
+            docs, starts, anchors, hashes = _placed(rows, texts, n)
+            keep = np.zeros(len(docs), bool)
+            bounds = np.searchsorted(docs, np.arange(len(rows) + 1))
+            for i, row in enumerate(rows):
+                known = np.concatenate([np.frombuffer(p["hashes"], np.uint64) for p in parts[row]])
+                keep[bounds[i] : bounds[i + 1]] = np.isin(anchors[bounds[i] : bounds[i + 1]], known)
+            yield _messages(np.array([ids[r] for r in rows], np.int64), docs[keep], starts[keep], hashes[keep], buckets)
 
 
 def _merged(parts: list[dict]) -> tuple[np.ndarray, np.ndarray]:
@@ -219,8 +249,10 @@ def repeated_windows(docs: DataFrame, n: int = 13) -> DataFrame:
     covered by a window whose words also start in a document with a smaller doc_id is removed; windows are
     judged on the input. Equality is that of 64-bit hashes of 64-bit word hashes.
 
-    Levels: windows of n words that repeat are the only ones tried at 2n words, those that repeat there at 4n, and so on until
-    no window is left. The first level decides what is removed, the levels above give `longest`, the longest tried length (n, 2n, ...) that repeats.
+    Levels: half-length windows that occur in several documents are the only ones extended to n words, windows of n words that repeat
+    the only ones extended to 2n, and so on until no window is left. At the first level only the smallest-hash window inside each window of n
+    words is looked up, which no repeat can miss. The level of n decides what is removed, the levels above give `longest`, the longest
+    tried length (n, 2n, ...) that repeats.
 
     Result, one row per input row: `doc_id`, `n_words`, `n_removed`, `kept_sha256` (kept words joined by one space, UTF-8), `kept_text`
     (null where nothing was removed), `spans` (removed word ranges), `longest` (0 if nothing repeats). A null text has no words. A row with
@@ -231,12 +263,15 @@ def repeated_windows(docs: DataFrame, n: int = 13) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     named = docs.where("doc_id is not null")
     size = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    messages = named.mapInArrow(_with(_text_windows, n, _buckets(spark, size)), MESSAGE)
-    found = level = stored(_repeated(messages), "repeats")
-    chosen = id_filter(found, "doc_id")
+    # First the half-length windows that stand for the others: a fifth to a quarter of all windows.
+    anchors = stored(_repeated(named.mapInArrow(_with(_text_anchors, n, _buckets(spark, size // 4)), MESSAGE)), "anchors")
+    chosen = id_filter(anchors, "doc_id")
     split = stored(docs.mapInArrow(_with(_split, chosen), "doc_id bigint, text string, n_words bigint, kept_sha256 string, open boolean"), "split")
-    marked = split.where("open").select("doc_id", "text", "kept_sha256").distinct().join(found, "doc_id")
-    cut = stored(marked.mapInArrow(
+    texts = split.where("open").select("doc_id", "text", "kept_sha256").distinct()
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    windows = texts.select("doc_id", "text").join(anchors, "doc_id").mapInArrow(_with(_anchored_windows, n, _buckets(spark, size)), MESSAGE)
+    found = level = stored(_repeated(windows), "repeats")
+    cut = stored(texts.join(found, "doc_id").mapInArrow(
         _with(_cut, n), "doc_id bigint, kept_sha256 string, kept_text string, n_removed bigint, cut_sha256 string, spans array<struct<start: bigint, end: bigint>>",
     ), "cut")
     longest, length = found.select("doc_id", F.lit(n).alias("length")), n
