@@ -90,6 +90,57 @@ def license_sql() -> str:
     """
 
 
+def quality_sql() -> str:
+    """The rules and both rounds of references, with histograms as lists."""
+    lists = " ".join(f"WHEN '{lang}' THEN {words.split()!r}" for lang, words in sorted(quality.COMMON_WORDS.items()))
+    steps, last = [], "t"
+    for i, (_, pattern) in enumerate(quality.CLASSES):
+        quoted = pattern.replace("'", "''")
+        steps.append(f"s{i} AS (SELECT *, regexp_replace({last}, '{quoted}', '', 'g') AS t{i} FROM {f's{i - 1}' if i else 'd'})")
+        last = f"t{i}"
+    ends = ["t", *[f"t{i}" for i in range(len(quality.CLASSES))]]
+    classes = ", ".join(f"length({x}) - length({y})" for x, y in zip(ends, ends[1:], strict=False)) + f", length({last})"
+
+    def sums(column: str, n: int) -> str:
+        return f"[{', '.join(f'sum({column}[{i + 1}])::DOUBLE' for i in range(n))}]"
+
+    def reference(name: str, source: str, passed: str) -> str:
+        return f"{name} AS (SELECT lang, {sums('c', quality.N_CLASSES)} AS rc, {sums('b', quality.N_COMMON + 1)} AS rb FROM {source} WHERE {passed} GROUP BY lang)"
+
+    def distance(x: str, r: str) -> str:
+        p, q = f"({x}[i] / list_sum({x}))", f"({r}[i] / list_sum({r}))"
+        part = lambda v: f"CASE WHEN {v} > 0 THEN {v} * log2(2 * {v} / ({p} + {q})) ELSE 0 END"
+        return f"CASE WHEN list_sum({x}) > 0 AND list_sum({r}) > 0 THEN sqrt(greatest(0, list_sum(list_transform(range(1, len({x}) + 1), lambda i: {part(p)} + {part(q)})) / 2)) END"
+
+    def compared(name: str, refs: str) -> str:
+        known = ", ".join(f"'{lang}'" for lang in quality.COMMON_WORDS)
+        return f"""{name} AS (SELECT f.*, CASE WHEN list_sum(c) >= {quality.MIN_CHARS} THEN {distance('c', 'rc')} END AS cd,
+            CASE WHEN f.lang IN ({known}) AND n_words >= {quality.MIN_WORDS} THEN {distance('b', 'rb')} END AS wd
+            FROM f LEFT JOIN {refs} r ON f.lang IS NOT DISTINCT FROM r.lang)"""
+
+    def near(classes_limit: float, words_limit: float) -> str:
+        return f"NOT base_failed AND coalesce(cd <= {classes_limit}, true) AND coalesce(wd <= {words_limit}, true)"
+
+    return f"""
+        WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w,
+            list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l FROM documents),
+        {', '.join(steps)},
+        g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS n FROM d, range(1, len(w) - 1) AS r(i)),
+        o AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM g, range(0, 3) AS r(k) WHERE n > 1 GROUP BY doc_id),
+        e AS (SELECT doc_id, lang, w, CASE lang {lists} ELSE [] END AS words, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+                length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, len(l) - len(list_distinct(l)) AS n_dup_lines,
+                [{classes}]::DOUBLE[] AS c FROM s{len(quality.CLASSES) - 1}),
+        h AS (SELECT *, list_transform(range(1, {quality.N_COMMON + 1}), lambda i: len(list_filter(w, lambda x: lower(x) = words[i]))) AS hits FROM e),
+        f AS (SELECT h.doc_id, lang, n_words, word_chars, n_symbols, n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, c,
+                list_append(hits, n_words - list_sum(hits)::BIGINT)::DOUBLE[] AS b,
+                n_words < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * n_words AS base_failed FROM h LEFT JOIN o ON h.doc_id = o.doc_id),
+        {reference('r1', 'f', 'NOT base_failed')}, {compared('v1', 'r1')},
+        {reference('r2', 'v1', near(quality.TRIM_CLASS_DISTANCE, quality.TRIM_WORD_DISTANCE))}, {compared('v2', 'r2')}
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               {near(quality.MAX_CLASS_DISTANCE, quality.MAX_WORD_DISTANCE)} AS kept FROM v2
+    """
+
+
 SQL = {
     "op1_warc_normaliser": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
@@ -118,6 +169,7 @@ SQL = {
         FROM k GROUP BY doc_id
     """,
     "op5_license_scan": license_sql(),
+    "op10_quality_rules": quality_sql(),
     "op8_exact_dedup": """
         WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
