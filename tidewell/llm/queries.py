@@ -114,7 +114,7 @@ def quality_sql() -> str:
 
     def compared(name: str, refs: str) -> str:
         known = ", ".join(f"'{lang}'" for lang in quality.COMMON_WORDS)
-        return f"""{name} AS (SELECT f.*, CASE WHEN list_sum(c) >= {quality.MIN_CHARS} THEN {distance('c', 'rc')} END AS cd,
+        return f"""{name} AS MATERIALIZED (SELECT f.*, CASE WHEN list_sum(c) >= {quality.MIN_CHARS} THEN {distance('c', 'rc')} END AS cd,
             CASE WHEN f.lang IN ({known}) AND n_words >= {quality.MIN_WORDS} THEN {distance('b', 'rb')} END AS wd
             FROM f LEFT JOIN {refs} r ON f.lang IS NOT DISTINCT FROM r.lang)"""
 
@@ -122,16 +122,18 @@ def quality_sql() -> str:
         return f"NOT base_failed AND coalesce(cd <= {classes_limit}, true) AND coalesce(wd <= {words_limit}, true)"
 
     return f"""
-        WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w,
+        WITH d AS MATERIALIZED (SELECT doc_id, lang, coalesce(text, '') AS t, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w,
             list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l FROM documents),
         {', '.join(steps)},
-        g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS n FROM d, range(1, len(w) - 1) AS r(i)),
+        u AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, unnest(list_transform(range(1, len(w) - 1), lambda j: w[j] || ' ' || w[j + 1] || ' ' || w[j + 2])) AS x FROM d),
+        g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, x) AS n FROM u),
         o AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM g, range(0, 3) AS r(k) WHERE n > 1 GROUP BY doc_id),
         e AS (SELECT doc_id, lang, w, CASE lang {lists} ELSE [] END AS words, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
                 length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, len(l) - len(list_distinct(l)) AS n_dup_lines,
                 [{classes}]::DOUBLE[] AS c FROM s{len(quality.CLASSES) - 1}),
-        h AS (SELECT *, list_transform(range(1, {quality.N_COMMON + 1}), lambda i: len(list_filter(w, lambda x: lower(x) = words[i]))) AS hits FROM e),
-        f AS (SELECT h.doc_id, lang, n_words, word_chars, n_symbols, n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, c,
+        k AS (SELECT *, list_filter(list_transform(w, lambda x: lower(x)), lambda x: list_contains(words, x)) AS frequent FROM e),
+        h AS (SELECT *, list_transform(range(1, {quality.N_COMMON + 1}), lambda i: len(list_filter(frequent, lambda x: x = words[i]))) AS hits FROM k),
+        f AS MATERIALIZED (SELECT h.doc_id, lang, n_words, word_chars, n_symbols, n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, c,
                 list_append(hits, n_words - list_sum(hits)::BIGINT)::DOUBLE[] AS b,
                 n_words < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * n_words AS base_failed FROM h LEFT JOIN o ON h.doc_id = o.doc_id),
         {reference('r1', 'f', 'NOT base_failed')}, {compared('v1', 'r1')},
