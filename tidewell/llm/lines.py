@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from tidewell.llm.shared import id_filter, in_filter, stored
 
 MIN_LINES = 2
+# Texts that a task holds in Python at a time.
+SLICE_ROWS = 256
 BLANK = " \t\n\x0b\x0c\r"
 
 
@@ -60,14 +62,20 @@ def _later_copies(level: tuple[int, DataFrame], spots: DataFrame, min_lines: int
     return members.join(first, ["rank", "tail"]).where("at > first").select("row", "pos")
 
 
-def _with_deletions(batches: Iterator[pa.RecordBatch], chosen: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        for at in range(0, len(batch), SLICE_ROWS):
+            yield batch.slice(at, SLICE_ROWS)
+
+
+def _with_deletions(batches: Iterator[pa.RecordBatch], chosen: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for batch in _slices(batches):
         yield batch.filter(pa.array(in_filter(chosen, batch["row"].to_pylist()), pa.bool_()))
 
 
 def _rebuilt(batches: Iterator[pa.RecordBatch], min_lines: int, without: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
     """Documents without the lines at `starts`; with a filter, those outside it as they are."""
-    for batch in batches:
+    for batch in _slices(batches):
         if without is not None:
             batch = batch.filter(pc.invert(pa.array(in_filter(without, batch["row"].to_pylist()), pa.bool_())))
         texts, removed = [], []
@@ -122,8 +130,8 @@ def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, carry: tuple[str
     later, told = stored(later, "later"), held.select("row", "doc_id", "rest", "text", "n")
     rest = held.schema["rest"].dataType.simpleString()
     out = f"row bigint, doc_id bigint, rest {rest}, n_lines bigint, n_removed bigint, text string, kept_sha256 string"
-    # Only texts that lose lines meet their lines in a shuffle.
+    # Only texts that lose lines meet their lines, in a shuffle at every size: the list grows with the input.
     chosen = id_filter(later, "row")
-    open_texts = told.mapInArrow(partial(_with_deletions, chosen=chosen), told.schema).join(later, "row", "left")
+    open_texts = told.mapInArrow(partial(_with_deletions, chosen=chosen), told.schema).join(later.hint("merge"), "row", "left")
     cut = open_texts.mapInArrow(partial(_rebuilt, min_lines=min_lines), out)
     return cut.unionByName(told.mapInArrow(partial(_rebuilt, min_lines=min_lines, without=chosen), out))
