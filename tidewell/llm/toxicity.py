@@ -55,7 +55,7 @@ def gram_buckets(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarr
 
 
 def bags(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sparse rows of the share of each bucket among a text's n-grams: row, bucket, share."""
+    """Sparse rows of the share of each bucket among a text's n-grams: entries per text, bucket, share."""
     keys = []
     for bucket, valid, first in gram_buckets(texts):
         row = np.repeat(np.arange(len(texts)), np.diff(first))
@@ -63,7 +63,7 @@ def bags(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         keys.append(row[at] * BUCKETS + bucket[at])
     keys, counts = np.unique(np.concatenate(keys), return_counts=True)
     rows = keys // BUCKETS
-    return rows, keys % BUCKETS, (counts / (PRIOR + np.bincount(rows, counts, len(texts)))[rows]).astype(np.float32)
+    return np.bincount(rows, minlength=len(texts)), (keys % BUCKETS).astype(np.int32), (counts / (PRIOR + np.bincount(rows, counts, len(texts)))[rows]).astype(np.float32)
 
 
 def train(texts: list[str], toxic: np.ndarray, seed: int = 7) -> tuple[np.ndarray, float]:
@@ -72,12 +72,18 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 7) -> tuple[np.ndarra
     Embeddings begin at zero, so n-grams that no training text has add nothing.
     """
     random = np.random.default_rng(seed)
-    parts = [bags(texts[i : i + 256]) for i in range(0, len(texts), 256)]
-    rows = np.concatenate([p[0] + 256 * i for i, p in enumerate(parts)])
-    buckets, shares = np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts]) * np.float32(SCALE)
-    common = np.bincount(buckets, minlength=BUCKETS)[buckets] >= min(MIN_TEXTS, 1 + len(texts) // 100)
-    rows, buckets, shares = rows[common], buckets[common], shares[common]
-    begin = np.searchsorted(rows, np.arange(len(texts) + 1))
+    parts = [bags(texts[i : i + 64]) for i in range(0, len(texts), 64)]
+    texts_with = np.zeros(BUCKETS, np.int64)
+    for _, b, _ in parts:
+        texts_with += np.bincount(b, minlength=BUCKETS)
+    common = texts_with >= min(MIN_TEXTS, 1 + len(texts) // 100)
+    for i, (sizes, b, s) in enumerate(parts):
+        keep = common[b]
+        left = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[keep], minlength=len(sizes))
+        parts[i] = left, b[keep], s[keep] * np.float32(SCALE)
+    begin = np.concatenate([[0], np.cumsum(np.concatenate([p[0] for p in parts]))])
+    buckets, shares = np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts])
+    del parts
     embedding = np.zeros((BUCKETS, DIMENSIONS), np.float32)
     softmax = random.normal(0, 0.5, (DIMENSIONS, 2)).astype(np.float32)
     bias = np.zeros(2, np.float32)
