@@ -210,6 +210,11 @@ def _split(batches: Iterator[pa.RecordBatch], chosen: np.ndarray) -> Iterator[pa
         ], names=["doc_id", "text", "n_words", "kept_sha256", "open"])
 
 
+def _chosen(batches: Iterator[pa.RecordBatch], chosen: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for batch in _slices(batches):
+        yield batch.filter(pa.array(in_filter(chosen, batch["doc_id"].to_pylist()), pa.bool_()))
+
+
 def _cut(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     for batch in _slices(batches):
         n_removed, digests, texts, spans = [], [], [], []
@@ -267,11 +272,13 @@ def repeated_windows(docs: DataFrame, n: int = 13) -> DataFrame:
     anchors = stored(_repeated(named.mapInArrow(_with(_text_anchors, n, _buckets(spark, size // 4)), MESSAGE)), "anchors")
     chosen = id_filter(anchors, "doc_id")
     split = stored(docs.mapInArrow(_with(_split, chosen), "doc_id bigint, text string, n_words bigint, kept_sha256 string, open boolean"), "split")
-    texts = split.where("open").select("doc_id", "text", "kept_sha256").distinct()
+    texts = split.where("open").select("doc_id", "text", "kept_sha256")
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     windows = texts.select("doc_id", "text").join(anchors, "doc_id").mapInArrow(_with(_anchored_windows, n, _buckets(spark, size)), MESSAGE)
     found = level = stored(_repeated(windows), "repeats")
-    cut = stored(texts.join(found, "doc_id").mapInArrow(
+    # Again only texts with something to cut meet it; rows that repeat an id and a text are cut once.
+    cutting = texts.mapInArrow(_with(_chosen, id_filter(found, "doc_id")), texts.schema).dropDuplicates(["doc_id", "kept_sha256"])
+    cut = stored(cutting.join(found, "doc_id").mapInArrow(
         _with(_cut, n), "doc_id bigint, kept_sha256 string, kept_text string, n_removed bigint, cut_sha256 string, spans array<struct<start: bigint, end: bigint>>",
     ), "cut")
     longest, length = found.select("doc_id", F.lit(n).alias("length")), n
