@@ -3,6 +3,7 @@
 import base64
 import gzip
 import hashlib
+import textwrap
 import zlib
 from collections import defaultdict
 from math import log
@@ -170,6 +171,48 @@ def test_licences(spark, empty, odd):
     assert licenses.scan(empty).count() == 0 and licenses.scan(odd).count() == odd.count()
 
 
+def test_licence_texts_and_headers_over_lines(spark):
+    def wrapped(text, width):
+        return "\n".join(textwrap.wrap(text, width))
+
+    def text(name):
+        return (licenses.TEXTS / f"{name}.txt").read_text("utf-8")
+
+    prose = "lorem ipsum of the dolor and the sit amet in this\n" * 30
+    header = dict(reversed(licenses.HEADERS))
+    cases = {
+        1: ("MIT", "The MIT License (MIT)\n\nCopyright (c) 2020 Foo\n\n" + text("MIT")),
+        2: ("MIT", prose + wrapped(text("MIT"), 40) + "\n" + prose),
+        3: ("MIT", "before it. " + " ".join(text("MIT").split()) + " after it " * 50),
+        4: ("BSD-3-Clause", "Copyright 2020 Foo\n" + text("BSD-3-Clause")),
+        5: ("GPL-3.0", "\n".join(f" * {x}" for x in wrapped(header["GPL-3.0"], 60).split("\n"))),
+        6: ("Apache-2.0", "\n".join(f"# {x}" for x in wrapped(header["Apache-2.0"], 76).split("\n")) + "\nimport os\n" + prose),
+        7: ("GPL-2.0", text("GPL-2.0")),
+        8: ("Proprietary", "Copyright 2020 Foo. All rights reserved."),
+        9: ("MIT", "The MIT License (MIT)"),
+        10: (None, prose),
+        11: ("ISC", "this is it\n" + wrapped(text("ISC"), 30).replace("ALL", "")),
+        12: ("GPL-3.0", text("GPL-3.0")),
+        13: ("BSD-2-Clause", text("BSD-2-Clause")),
+    }
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame([(i, t) for i, (_, t) in cases.items()], "doc_id bigint, text string")).collect()}
+    assert {i: r.licence for i, r in got.items()} == {i: name for i, (name, _) in cases.items()}
+    assert (got[2].line, got[2].dice, got[2].n_statements) == (31, 1.0, 1) and got[3].dice > 0.99 and got[11].dice > 0.8
+
+
+def test_best_run_of_words_is_found(spark):
+    """Against every run of words in plain Python."""
+    rng = np.random.default_rng(5)
+    template = "a b c d e f a b g h"
+    texts = ["\n".join(" ".join(rng.choice(list("abcdefghxy"), rng.integers(1, 6))) for _ in range(8)) + "\n" + x for x in ["a b c d", "", "x a b c\nd e q f a b\ng h", template] * 8]
+    grams = licenses.bigrams(template)
+    for row in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), [("T", template)], 0.5).collect():
+        words = [(w, i) for i, line in enumerate(texts[row.doc_id].split("\n"), 1) for w in line.split()]
+        best = max(2 * len(g & set(grams)) / (len(g) + len(grams)) for i in range(len(words)) for j in range(i + 2, len(words) + 1)
+                   for g in [{f"{a} {b}" for (a, _), (b, _) in zip(words[i:j], words[i + 1 : j], strict=False)}])
+        assert row.dice == (best if best >= 0.5 else None)
+
+
 def brute_pieces(text, end=0, capacity=2048):
     ids = Tokenizer.from_file(VOCABULARY).encode(text or "", add_special_tokens=False).ids + [end]
     return [(k, a, len(ids[a : a + capacity]), zlib.crc32(np.array(ids[a : a + capacity], "<u4").tobytes())) for k, a in enumerate(range(0, len(ids), capacity))]
