@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from tidewell.llm import lines, minhash, mixing, packing, quality
 from tidewell.session import settled
 
+# A repeated line of so many words goes alone, as a repeated window of op7 does.
+LINE_WORDS = 13
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or are far from their language go.
@@ -21,9 +24,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of repeated line runs are cut; a document that loses all its lines goes. `n_chars` follows the text."""
+    """Later copies of repeated line runs, and of single lines of `LINE_WORDS` words or more, are cut; a document that loses all its lines goes. `n_chars` follows the text."""
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    found = lines.repeated_lines(docs, carry=tuple(others)).where("n_removed = 0 or n_lines > n_removed")
+    found = lines.repeated_lines(docs, carry=tuple(others), min_words=LINE_WORDS).where("n_removed = 0 or n_lines > n_removed")
     kept = {c: F.col(f"rest.`{c}`") for c in others} | {"doc_id": F.col("doc_id").cast(docs.schema["doc_id"].dataType), "text": F.col("text")}
     if "n_chars" in others:
         kept["n_chars"] = F.when(F.col("n_removed") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(kept["n_chars"])

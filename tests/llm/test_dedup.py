@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 import corpus
+import corpus_pipeline
 from fixtures import docs, empty, odd, pairs  # noqa: F401
 from tidewell.llm import exact, lines, minhash, shared, substrings
 
@@ -69,6 +70,17 @@ def test_line_runs(docs, pairs, n):
     assert got == corpus.line_runs(pairs, n)
 
 
+def test_long_lines_go_whatever_their_neighbours_are(spark):
+    long, short = " \t".join(f"w{i}" for i in range(13)) + " ", " ".join(f"v{i}" for i in range(12))
+    texts = [f"a\n{long}\nb", f"c\n{long}\n\nd", long, f"{short}\ne", f"f\n{short}", f"c\n{long}", f"{long}\n{long}", f" {long}"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in lines.repeated_lines(frame, min_words=13).collect()}
+    assert got == {
+        0: (3, 0, texts[0]), 1: (3, 1, "c\n\nd"), 2: (1, 1, ""), 3: (2, 0, texts[3]), 4: (2, 0, texts[4]), 5: (2, 2, ""), 6: (2, 2, ""), 7: (1, 0, texts[7])}
+    stage = {r.doc_id for r in corpus_pipeline.line_dedup(spark, frame, "").collect()}
+    assert stage == {0, 1, 3, 4, 7}
+
+
 def test_suffix_ranks_order_the_suffixes(spark):
     text = "a\nb\na\nb\na\nc"
     held = spark.createDataFrame([(0, i, 6, ord(c), 0) for i, c in enumerate(text.split("\n"))], "row bigint, pos bigint, n bigint, h1 bigint, h2 bigint")

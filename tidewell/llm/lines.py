@@ -32,9 +32,10 @@ def suffix_ranks(spots: DataFrame, most: int) -> list[tuple[int, DataFrame]]:
     The table of h has `row, pos, n, rank` of the suffixes that share their first h lines with another; equal ranks are the suffix
     array's intervals with a longest common prefix of h lines or more, and ranks are in its order. A suffix that has
     become unique keeps its place and is dropped from later rounds, so the rounds shrink to what repeats. At most `most` lines are told apart.
+    The table of one line has the other columns of `spots` as well.
     """
     lines = spots.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1").drop("copies")
-    state = stored(spots.join(_named(lines, ["h1", "h2"]), ["h1", "h2"]).select("row", "pos", "n", "rank"), "suffixes")
+    state = stored(spots.join(_named(lines, ["h1", "h2"]), ["h1", "h2"]).drop("h1", "h2"), "suffixes")
     levels, h = [], 1
     while h <= most and not state.isEmpty():
         levels.append((h, state))
@@ -74,18 +75,18 @@ def _with_deletions(batches: Iterator[pa.RecordBatch], chosen: np.ndarray) -> It
 
 
 def _rebuilt(batches: Iterator[pa.RecordBatch], min_lines: int, without: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
-    """Documents without the lines at `starts`; with a filter, those outside it as they are."""
+    """Documents without the runs at `starts` and the lines at `lone`; with a filter, those outside it as they are."""
     for batch in _slices(batches):
         if without is not None:
             batch = batch.filter(pc.invert(pa.array(in_filter(without, batch["row"].to_pylist()), pa.bool_())))
         texts, removed = [], []
-        runs = batch["starts"].to_pylist() if without is None else [None] * len(batch)
-        for text, starts in zip(batch["text"].to_pylist(), runs, strict=True):
-            if not starts:
+        runs, lone = ([batch[c].to_pylist() if without is None else [None] * len(batch) for c in ("starts", "lone")])
+        for text, starts, single in zip(batch["text"].to_pylist(), runs, lone, strict=True):
+            if not starts and not single:
                 texts.append(text)
                 removed.append(0)
                 continue
-            gone = {s + i for s in starts for i in range(min_lines)}
+            gone = {s + i for s in starts for i in range(min_lines)}.union(single)
             kept, number = [], -1
             for line in text.split("\n"):
                 number += bool(line.strip(BLANK))
@@ -99,17 +100,28 @@ def _rebuilt(batches: Iterator[pa.RecordBatch], min_lines: int, without: np.ndar
             names=["row", "doc_id", "rest", "n_lines", "n_removed", "text", "kept_sha256"])
 
 
-def line_ids(lines: Column) -> Column:
-    return F.transform(lines, lambda line: F.struct(F.xxhash64(line).alias("h1"), F.xxhash64(F.lit(1), line).alias("h2")))
+def line_ids(lines: Column, min_words: int | None = None) -> Column:
+    def named(line: Column) -> Column:
+        long = [] if min_words is None else [line.rlike(rf"^[\x20\x09-\x0D]*+(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]++){{{max(0, min_words - 1)}}}[^\x20\x09-\x0D]").alias("long")]
+        return F.struct(F.xxhash64(line).alias("h1"), F.xxhash64(F.lit(1), line).alias("h2"), *long)
 
+    return F.transform(lines, named)
 
-def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, carry: tuple[str, ...] = ()) -> DataFrame:
+
+def _lone_copies(level: tuple[int, DataFrame]) -> DataFrame:
+    """`row`, `pos` of the long lines that an earlier place has."""
+    members = level[1].where("long").select("row", "pos", "rank", F.struct("place", "row", "pos").alias("at"))
+    first = members.groupBy("rank").agg(F.min("at").alias("first"))
+    return members.join(first, "rank").where("at > first").select("row", "pos")
+
+
+def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, carry: tuple[str, ...] = (), min_words: int | None = None) -> DataFrame:
     """Deletes later copies of repeated runs of `min_lines` lines or more from `docs (doc_id, text)`.
 
     Lines are parts between `\\n`; lines without a word (ASCII white space only) are never part of a run, never deleted and do not interrupt one. A
     line is identified by two 64-bit hashes. Every line in a run of `min_lines` lines that also starts at an earlier place is deleted;
     places are ordered by doc_id, then by row, then by line, so that the first copy of the corpus stays. Runs are
-    judged on the input.
+    judged on the input. With `min_words`, a single line of so many words (`[^\\x20\\x09-\\x0D]+`) or more is a run as well, whatever its neighbours are.
 
     Result, one row per input row: `row` (any number), `doc_id`, `n_lines` (lines with a word), `n_removed`, `text` (null stays null), `kept_sha256`
     (of the kept text, null as empty), `rest` (a struct of the input's columns in `carry`). Other columns are not used. Rows with a null doc_id come after all others;
@@ -118,15 +130,18 @@ def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, carry: tuple[str
     words = F.filter(F.split("text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     held = stored(docs.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), "text",
-        F.struct(F.lit(0).alias("none"), *carry).alias("rest"), line_ids(F.coalesce(words, F.array().cast("array<string>"))).alias("ids"),
+        F.struct(F.lit(0).alias("none"), *carry).alias("rest"), line_ids(F.coalesce(words, F.array().cast("array<string>")), min_words).alias("ids"),
     ).withColumn("n", F.size("ids").cast("bigint")), "lines")
     place = F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("place")
-    spots = held.select("row", place, "n", F.posexplode("ids").alias("pos", "id")).select("row", "place", F.col("pos").cast("bigint").alias("pos"), "n", "id.h1", "id.h2")
-    levels = suffix_ranks(spots, min_lines)
+    spots = held.select("row", place, "n", F.posexplode("ids").alias("pos", "id")).select("row", "place", F.col("pos").cast("bigint").alias("pos"), "n", "id.*")
+    levels = suffix_ranks(spots if min_words is not None else spots.drop("place"), min_lines)
+    later = held.select("row", F.lit(0).cast("bigint").alias("pos")).limit(0)
     if levels and 2 * levels[-1][0] > min_lines:
-        later = _later_copies(levels[-1], held.select("row", place), min_lines).groupBy("row").agg(F.sort_array(F.collect_list("pos")).alias("starts"))
-    else:
-        later = held.select("row", F.array().cast("array<bigint>").alias("starts")).limit(0)
+        later = _later_copies(levels[-1], held.select("row", place), min_lines)
+    later = later.withColumn("alone", F.lit(False))
+    if levels and min_words is not None:
+        later = later.unionByName(_lone_copies(levels[0]).withColumn("alone", F.lit(True)))
+    later = later.groupBy("row").agg(*[F.sort_array(F.collect_list(F.when(c, F.col("pos")))).alias(name) for name, c in (("starts", ~F.col("alone")), ("lone", F.col("alone")))])
     later, told = stored(later, "later"), held.select("row", "doc_id", "rest", "text", "n")
     rest = held.schema["rest"].dataType.simpleString()
     out = f"row bigint, doc_id bigint, rest {rest}, n_lines bigint, n_removed bigint, text string, kept_sha256 string"
