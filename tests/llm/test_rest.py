@@ -264,6 +264,20 @@ def test_local_search_empties_bins():
         assert all(sum(s for s, _ in b) == f <= 2048 for b, f in zip(bins.items, bins.fill, strict=True)) and sum(1 for f in bins.fill if f) <= n
 
 
+def test_local_search_tries_all_bins():
+    """Best fit, and partners among the fullest bins alone, leave 241 and 206 bins."""
+    for low, high, most in ((600, 800, 235), (400, 900, 204)):
+        first = packing.best_fit(np.random.default_rng(1).integers(low, high + 1, 600), 2048)
+        before = sum(1 for f in first.fill if f)
+        bins = packing.local_search(first)
+        after = sum(1 for f in bins.fill if f)
+        print(low, high, before, after, -(-sum(bins.fill) // 2048))
+        assert after <= most and after < before
+        # No step is left between any two bins.
+        assert not any(
+            packing._improve(bins, t, d) for _, d in list(bins.order) for _, t in list(bins.order) if t != d and bins.fill[t] >= bins.fill[d])
+
+
 def test_words_are_tokenized_like_texts():
     texts = ["Don't <|endoftext|>x ΑΣ ΑΣΆ", "a b　c\x1cd\x85e", "İx ﬁ é 12ab", "", None, " \n"]
     tokenizer = Tokenizer.from_file(VOCABULARY)

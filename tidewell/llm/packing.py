@@ -173,7 +173,11 @@ def _improve(bins: Bins, target: int, donor: int) -> bool:
     held = bins.items[target]
     if best is None or best[0] < room:
         for i in range(len(held) - 1):
+            if i and held[i][0] == held[i - 1][0]:
+                continue
             for k in range(i + 1, len(held)):
+                if k > i + 1 and held[k][0] == held[k - 1][0]:
+                    continue
                 pair = held[i][0] + held[k][0]
                 j = bins.find(donor, pair + 1, pair + room)
                 if j is not None and (best is None or bins.items[donor][j][0] - pair > best[0]):
@@ -188,23 +192,63 @@ def _improve(bins: Bins, target: int, donor: int) -> bool:
     return True
 
 
-def local_search(bins: Bins, partners: int = 24) -> Bins:
+class Reach:
+    """Index by size: which bins have a step for an item of a size, by a move or an exchange of one or two for it."""
+
+    def __init__(self, bins: Bins) -> None:
+        self.bins, self.fill = bins, np.array(bins.fill, np.int64)
+        self.steps = np.zeros((bins.capacity + 1, len(bins.items)), bool)
+        for b in range(len(bins.items)):
+            self.renew(b)
+
+    def renew(self, b: int) -> None:
+        """After bin `b` has changed."""
+        capacity, fill = self.bins.capacity, self.bins.fill[b]
+        self.fill[b] = fill
+        if not 0 < fill < capacity:
+            self.steps[:, b] = False
+            return
+        sizes = [size for size, _ in self.bins.items[b]]
+        once = sorted(set(sizes))
+        twice = {x for x, y in zip(sizes, sizes[1:], strict=False) if x == y}
+        out = np.array([0, *once, *(x + y for i, x in enumerate(once) for y in once[i + 1 :]), *(2 * x for x in twice)], np.int64)
+        begins = np.bincount(out + 1, minlength=capacity + 2)
+        ends = np.bincount(out + 1 + capacity - fill, minlength=capacity + 2)
+        self.steps[:, b] = np.cumsum(begins - ends)[: capacity + 1] > 0
+
+    def target(self, donor: int) -> int | None:
+        """The fullest of all underfull bins, not less filled than `donor`, with a step for one of its items."""
+        sizes = list({size for size, _ in self.bins.items[donor]})
+        found = np.flatnonzero(self.steps[sizes].any(0) & (self.fill >= self.fill[donor]))
+        found = found[found != donor]
+        return int(found[np.argmax(self.fill[found])]) if len(found) else None
+
+
+def local_search(bins: Bins) -> Bins:
     """Empties the least filled bin into fuller ones, step by step; each step raises the sum of squared fills.
 
-    A donor that no step helps is left as it is and the next one is tried, so the search ends: the sum is
-    bounded. `partners` bounds the fuller bins tried for a step, the nearest to full first.
+    Partners are looked up among all underfull bins. A donor that no step helps is left as it is and the next one is tried; when all
+    are settled and a bin has changed since, they are tried again. The search ends: the sum is bounded.
     """
-    settled_bins: set[int] = set()
+    reach, settled_bins, changed = Reach(bins), set(), False
     least = -(-sum(bins.fill) // bins.capacity)
-    while True:
+    while sum(1 for f in bins.fill if f) > least:
         donor = next((b for _, b in bins.order if b not in settled_bins), None)
-        if donor is None or sum(1 for f in bins.fill if f) <= least:
-            return bins
+        if donor is None:
+            if not changed:
+                return bins
+            settled_bins, changed = set(), False
+            continue
         while bins.fill[donor]:
-            targets = [b for f, b in reversed(bins.order[-partners:]) if b != donor and f >= bins.fill[donor]]
-            if not any(_improve(bins, target, donor) for target in targets):
+            target = reach.target(donor)
+            if target is None:
                 settled_bins.add(donor)
                 break
+            _improve(bins, target, donor)
+            reach.renew(target)
+            reach.renew(donor)
+            changed = True
+    return bins
 
 
 def _packed(table: pa.Table, capacity: int) -> pa.Table:
