@@ -8,6 +8,7 @@ import re
 import shutil
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +17,7 @@ TASK_ROWS_KEY = "spark.tidewell.taskRows"
 TASK_ROWS = 1_000_000
 
 _roots: dict[str, str] = {}
+_places: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def build_session(app: str = "tidewell", master: str | None = None, **conf: str) -> SparkSession:
@@ -59,10 +61,15 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return os.path.join(root, f"{purpose}-{uuid.uuid4().hex[:12]}")
 
 
-def _removed_at_end(spark: SparkSession, path: str) -> None:
-    """Lets the driver's JVM remove a written table when the application ends."""
+def _place(spark: SparkSession, path: str) -> tuple[object, object]:
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def removed_at_end(spark: SparkSession, path: str) -> None:
+    """Lets the driver's JVM remove a folder when the application ends."""
+    files, place = _place(spark, path)
+    files.deleteOnExit(place)
 
 
 def settled(df: DataFrame, purpose: str) -> DataFrame:
@@ -74,5 +81,17 @@ def settled(df: DataFrame, purpose: str) -> DataFrame:
     """
     path = shared_folder(df.sparkSession, purpose)
     df.write.parquet(path)
-    _removed_at_end(df.sparkSession, path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    removed_at_end(df.sparkSession, path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _places[table] = path
+    return table
+
+
+def released(*tables: DataFrame) -> None:
+    """Removes `settled` tables now. Nothing that is still to be computed may read them."""
+    for table in tables:
+        path = _places.pop(table, None)
+        if path:
+            files, place = _place(table.sparkSession, path)
+            files.delete(place, True)
+            files.cancelDeleteOnExit(place)
