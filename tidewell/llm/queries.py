@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewell.llm import exact, licenses, lines, minhash, mixing, packing, quality, substrings, toxicity, warc
+from tidewell.llm import exact, language, licenses, lines, minhash, mixing, packing, periodic, quality, substrings, toxicity, trie, warc
+from tidewell.llm.shared import stored
 from tidewell.session import shared_folder
 
 
@@ -68,8 +70,54 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def shared_openings(turns: DataFrame, most: int = 3, families: int = 20) -> tuple[DataFrame, DataFrame]:
+    """Conversations that begin with the first h turns of the first of their family of ids, and go on with their own after h; h = crc32(id) mod 4.
+
+    `turns` are ordered (`conv_id`, `pos`, ...). Returns the steps with their `depth` from 1, and all `conv_id`.
+    """
+    convs = turns.select("conv_id").distinct().withColumn("h", F.crc32(F.col("conv_id").cast("string").cast("binary")) % (most + 1))
+    # At most `families` conversations with `most` turns meet a base.
+    opening = turns.where((F.col("conv_id") % families == 0) & (F.col("pos") < most)).select(F.col("conv_id").alias("base"), "pos", "h1", "h2", "words")
+    begun = convs.withColumn("base", F.col("conv_id") - F.col("conv_id") % families).join(opening, "base").where("pos < h")
+    begun = begun.select("conv_id", (F.col("pos") + 1).alias("depth"), "h1", "h2", "words")
+    given = begun.groupBy("conv_id").agg(F.count(F.lit(1)).alias("given"))
+    own = turns.join(convs.join(given, "conv_id", "left"), "conv_id").where("pos >= h")
+    own = own.select("conv_id", (F.col("pos") - F.col("h") + F.coalesce("given", F.lit(0)) + 1).alias("depth"), "h1", "h2", "words")
+    return begun.unionByName(own), convs.select("conv_id")
+
+
+def op11_conversation_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """The prefix trie of the conversations with shared openings, and the totals of its subtrees."""
+    turns = stored(trie.ordered_turns(table(spark, folder, "conversations")), "turns")
+    return trie.prefix_trie(*shared_openings(turns))
+
+
+def op12_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, learnt from those that are not held out."""
+    return language.identify(table(spark, folder, "documents"))
+
+
+def looped(docs: DataFrame) -> DataFrame:
+    """`doc_id`, `text`; of documents with crc32(id) mod 10 = 0 the words from a place on repeat the first few of them."""
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    told = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h")).withColumn("g", F.floor(F.col("h") / 10))
+    told = told.withColumn("w", F.when(F.col("h") % 10 == 0, words)).withColumn("n", F.size("w"))
+    told = told.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    told = told.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    place = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")
+    text = F.array_join(F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.get("w", place(i))), " ")
+    return told.select("doc_id", F.when(F.col("n") > 0, text).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Maximal runs of repeated words in every document, the strongest of each, and what is left without the repeats."""
+    found = periodic.periodic_runs(looped(table(spark, folder, "documents")))
+    return found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.*", "runs_sha256", "collapsed_sha256")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_warc_normaliser, op2_toxicity, op3_temperature_mixing, op4_line_dedup, op5_license_scan, op6_minhash_near_dedup, op7_substring_dedup, op8_exact_dedup, op9_best_fit_packing, op10_quality_rules,
+    op11_conversation_prefix_trie, op12_language_id, op13_periodic_runs,
 )}
 
 
@@ -170,6 +218,26 @@ SQL = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
         FROM k GROUP BY doc_id
     """,
+    "op11_conversation_prefix_trie": """
+        WITH o AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS pos, {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS said
+                   FROM conversations WHERE conv_id IS NOT NULL),
+        c AS (SELECT DISTINCT conv_id, conv_id - conv_id % 20 AS base,
+                  xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+                      lambda crc, x: list_reduce([xor(crc, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, bit: xor(v >> 1, (v & 1) * 3988292384)))) % 4 AS h FROM o),
+        b AS (SELECT c.conv_id, pos + 1 AS depth, said FROM c JOIN o ON o.conv_id = c.base AND pos < h),
+        n AS (SELECT c.conv_id, h, count(b.conv_id) AS given FROM c LEFT JOIN b ON b.conv_id = c.conv_id GROUP BY ALL),
+        s AS (SELECT * FROM b UNION ALL SELECT conv_id, pos - h + given + 1, said FROM o JOIN n USING (conv_id) WHERE pos >= h),
+        p AS (SELECT conv_id, depth, list(said) OVER (PARTITION BY conv_id ORDER BY depth) AS prefix, said FROM s UNION ALL SELECT conv_id, 0, [], NULL FROM c),
+        m AS (SELECT *, min(conv_id) OVER (PARTITION BY depth, prefix) AS node, depth = max(depth) OVER (PARTITION BY conv_id) AS ends,
+                  len(list_filter(string_split_regex(coalesce(said.text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS words FROM p),
+        t AS (SELECT node, depth, count(*) AS n_convs, (count(*) - 1) * min(words) AS saved,
+                  sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256 FROM m GROUP BY node, depth),
+        u AS (SELECT t.*, a.node AS parent FROM t LEFT JOIN m a ON a.conv_id = t.node AND a.depth = t.depth - 1),
+        k AS (SELECT u.*, coalesce(n, 0) AS n_children FROM u LEFT JOIN (SELECT parent, depth - 1 AS depth, count(*) AS n FROM u WHERE depth > 0 GROUP BY ALL) q ON q.parent = u.node AND q.depth = u.depth),
+        w AS (SELECT a.node, a.depth, sum(CASE WHEN x.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(x.saved) AS saved_tokens FROM k x JOIN m a ON a.conv_id = x.node AND a.depth <= x.depth GROUP BY ALL)
+        SELECT k.node AS conv_id, k.depth AS depth, k.parent AS parent_conv_id, n_convs, n_children, n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, ends_sha256
+        FROM k JOIN w USING (node, depth)
+    """,
     "op5_license_scan": license_sql(),
     "op10_quality_rules": quality_sql(),
     "op8_exact_dedup": """
