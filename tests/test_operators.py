@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -209,6 +210,37 @@ def test_attention_blocks_agree(spark, lookback):
         assert cut[t] == pytest.approx(whole[t], abs=1e-12)
 
 
+@pytest.mark.parametrize("causal, lookback", [(True, None), (False, None), (True, 40), (True, 7)])
+def test_attention_over_a_grid_of_tiles(spark, monkeypatch, causal, lookback):
+    monkeypatch.setattr(attention, "FAN_IN", 2)
+    rng = np.random.default_rng(1)
+    q, k, v = rng.normal(size=(3, 230, 4)) * 2
+    rows = [(s, t, *(m[t].tolist() for m in (q, k, v))) for s, n in ((None, 230), ("b", 60), ("c", 1)) for t in range(n)]
+    df = spark.createDataFrame(rows, "s string, t int, q array<double>, k array<double>, v array<double>")
+    got = {(r["s"], r["t"]): r["attended"] for r in attention.attention(df, ["s"], ["t"], "q", "k", "v", 2, causal, lookback, ["t"], block=8).collect()}
+    assert len(got) == 291
+    for s, n in ((None, 230), ("b", 60), ("c", 1)):
+        for h in (slice(0, 2), slice(2, 4)):
+            logits = q[:n, h] @ k[:n, h].T / np.sqrt(2)
+            gap = np.arange(n)[:, None] - np.arange(n)
+            logits[(gap < 0) & causal | (gap >= (lookback or n))] = -np.inf
+            share = np.exp(logits - logits.max(1, keepdims=True))
+            want = share / share.sum(1, keepdims=True) @ v[:n, h]
+            assert np.allclose([got[s, t][h] for t in range(n)], want, atol=1e-12)
+
+
+def test_attention_shuffles_less_than_the_square(spark):
+    """Copies of a row: once per grid column, about the root of the blocks."""
+    assert [attention.tile_rows(n, 10) for n in (1, 10, 11, 40, 41, 160, 1000)] == [10, 10, 20, 20, 30, 40, 100]
+    sides = {n: -(-n // attention.tile_rows(n)) for n in (50_000, 200_000, 800_000)}
+    assert sides[50_000] <= 7 and sides[200_000] <= 14 and sides[800_000] <= 28
+    rows = spark.range(50_000).select(F.lit("s").alias("s"), F.col("id").alias("t"), F.array((F.col("id") % 7).cast("double")).alias("x"))
+    out = attention.attention(rows, ["s"], ["t"], "x", "x", "x", causal=True)
+    assert "collect_list" not in out._jdf.queryExecution().optimizedPlan().toString()
+    first, last = out.count(), out.agg(F.max(F.col("attended")[0])).first()[0]
+    assert first == 50_000 and 5 < last <= 6
+
+
 def test_temporal_block_needs_resampling_weights(spark):
     with pytest.raises(ValueError, match="resample"):
         temporal.temporal_block(series(spark), ["s"], ["t"], "x", [[[1.0] * 3] * 4])
