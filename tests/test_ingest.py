@@ -98,6 +98,53 @@ def test_csv_quoted_line_ends(spark, tmp_path):
     assert [tuple(r) for r in rows] == [(1, 'a\nb "c", d'), (2, "plain")]
 
 
+def odd_quotes(n):
+    """Records with quoted line ends, doubled quotes, quotes inside plain fields, blank lines and carriage returns."""
+    out = []
+    for i in range(n):
+        text = ["plain", "two\nlines", 'say ""hi""\n\n', "a\r\nb", "x,y", "", "\n" * 9, 'end""'][i % 8]
+        field = text if i % 8 == 0 else f'"{text}"'
+        out.append((f"{i},{field},{'in' + chr(34) + 'ner' if i % 5 == 0 else 'z'}", (i, text.replace('""', '"') or None, 'in"ner' if i % 5 == 0 else "z")))
+    return out
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("size", ["40b", "200b", "128m"])
+def test_csv_quoted_line_ends_in_ranges(spark, tmp_path, size, end):
+    rows = odd_quotes(160)
+    path = f"{tmp_path}/in/{end == chr(10)}.csv"
+    os.makedirs(f"{tmp_path}/in", exist_ok=True)
+    for name, part in (("one", rows[:150]), ("two", rows[150:])):
+        with open(f"{tmp_path}/in/{name}.csv", "w", newline="") as out:
+            out.write("id,text,more" + end + end.join(r for r, _ in part) + end)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        found = tabular.read_csv(spark, f"{tmp_path}/in")
+        tasks = tabular.ranges.pieces(spark, f"{tmp_path}/in").rdd.getNumPartitions()
+        got = sorted(tuple(r) for r in found.collect())
+        indexed = sinks.with_file_index(tabular.read_text_columns(spark, f"{tmp_path}/in")).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == [(i, None if t in (None, "") else t, m) for _, (i, t, m) in rows]
+    assert tasks > 10 or size == "128m"
+    assert {int(r["id"]): r[sinks.INDEX] for r in indexed} == {i: i % 150 for i in range(160)}
+
+
+def test_csv_ranges_beyond_the_broadcast(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tabular.ranges, "MOST_RANGES", 1)
+    rows = odd_quotes(60)
+    path = write(f"{tmp_path}/in/q.csv", "id,text,more\n" + "\n".join(r for r, _ in rows) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50b")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        assert sorted(r["id"] for r in tabular.read_csv(spark, path).collect()) == list(range(60))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 @pytest.mark.parametrize("last, kind", [("2.5", "double"), ("x", "string")])
 def test_csv_types_come_from_all_rows(spark, tmp_path, last, kind):
     path = write(f"{tmp_path}/in/late.csv", "n,s\n" + "1,a\n" * 1500 + f"{last},b\n")
@@ -228,6 +275,16 @@ def test_partitions_and_rows_per_file(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/out").count() == 1000
 
 
+def test_rows_per_group(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    out = f"{tmp_path}/groups"
+    sinks.write_parquet(spark.range(0, 1000, 1, 2), out, rows_per_group=100)
+    files = [f"{out}/{f}" for f in os.listdir(out) if f.endswith(".parquet")]
+    groups = [pq.ParquetFile(f).metadata.row_group(i).num_rows for f in files for i in range(pq.ParquetFile(f).metadata.num_row_groups)]
+    assert groups == [100] * 10
+
+
 @pytest.mark.parametrize("limit", ["1000000", "40"])
 def test_file_index(spark, tmp_path, limit):
     path = write(f"{tmp_path}/in/n.csv", "v\n" + "".join(f"r{i}\n" for i in range(500)))

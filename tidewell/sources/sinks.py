@@ -21,9 +21,10 @@ def write_parquet(
     partition_by: Sequence[str] = (),
     rows_per_file: int | None = None,
     mode: str = "overwrite",
+    rows_per_group: int | None = None,
 ) -> None:
-    """Write a table. The writer has no row count per row group; `rows_per_file` bounds the rows per file,
-    without it files are as large as their tasks and row groups follow `parquet.block.size`.
+    """Write a table. `rows_per_group` bounds the rows of a row group, `rows_per_file` those of a file; without them files are as
+    large as their tasks and row groups follow `parquet.block.size`.
 
     Partitioned output is rebalanced first: each value goes to few files, and a value that holds
     much of the table is spread over several tasks.
@@ -38,12 +39,15 @@ def write_parquet(
     writer = df.write.mode(mode).option("compression", CODECS[codec])
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
+    if rows_per_group:
+        # The writer looks at its size, and at the bound, only every so many rows: as often as the bound needs.
+        writer = writer.option("parquet.block.row.count.limit", rows_per_group)
     (writer.partitionBy(*columns) if columns else writer).parquet(path)
 
 
 def with_file_index(df: DataFrame, name: str = INDEX) -> DataFrame:
-    """Number the rows of each file in file order, from 0. `df` must come straight from the file scan."""
-    read = df.select(
+    """Number the rows of each file in file order, from 0. `df` must come straight from the file scan, or have the places of its rows."""
+    read = df if "__file" in df.columns else df.select(
         "*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block_start"),
         F.monotonically_increasing_id().alias("__line"))
     return with_position(read, ["__block_start", "__line"], ["__file"], name=name).drop("__file", "__block_start", "__line")

@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.sources import ranges
 from tidewell.sources.types import apply_types, infer_types
 
 RAW = "__raw_line"
 LONG = "__too_long"
+# Where a record that was cut out of a range begins.
+PLACE = ("__file", "__block_start", "__line")
 
 
 class MixedHeaders(ValueError):
@@ -38,6 +43,87 @@ def file_shapes(spark: SparkSession, paths: str | Sequence[str], sep: str = ",",
         F.min_by("value", F.struct("begin", "line")).alias("header"), F.bool_or(ends_in_quotes(F.col("value"), sep)).alias("quoted"))
 
 
+def _after(opens: np.ndarray, closed_stays: np.ndarray, start: bool) -> np.ndarray:
+    """Whether a field is open after each line. A line leaves one open if none was (`opens`), or if one was (`closed_stays`)."""
+    # Some lines decide it whatever was before, some turn it, most change nothing.
+    decided, turns = opens == closed_stays, np.cumsum(opens & ~closed_stays)
+    last = np.maximum.accumulate(np.where(decided, np.arange(len(opens)), -1))
+    known = np.where(last >= 0, opens[last], start)
+    return known ^ ((turns - np.where(last >= 0, turns[last], 0)) & 1).astype(bool)
+
+
+def _effects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per range: whether a field is open at its end if none was, or one was, at its begin."""
+    found: dict[tuple[str, int], tuple[bool, bool]] = {}
+    for file, begin, _, rows in ranges.by_range(batches):
+        opens, stays = (rows[c].to_numpy(zero_copy_only=False) for c in ("opens", "stays"))
+        found[file, begin] = tuple(bool(_after(opens, stays, s)[-1]) for s in found.get((file, begin), (False, True)))
+    names = ["file", "begin", "opens", "stays"]
+    columns = [[f for f, _ in found], [b for _, b in found], [a for a, _ in found.values()], [b for _, b in found.values()]]
+    kinds = [pa.string(), pa.int64(), pa.bool_(), pa.bool_()]
+    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records that lie in a range, and the lines of those that cross its begin or end."""
+    held: list[str] = []
+    now, open_, crossing, header, at = None, False, False, False, 0
+
+    def rest() -> list[tuple]:
+        return [(*now, at, ranges.MIDDLE if crossing else ranges.BEGIN, "\n".join(held))] if held else []
+
+    for file, begin, fresh, rows in ranges.by_range(batches):
+        out = []
+        if fresh:
+            out += rest() if now else []
+            open_ = crossing = bool(rows["start"][0].as_py())
+            held, now, header = [], (file, begin), begin == 0
+        after = _after(*(rows[c].to_numpy(zero_copy_only=False) for c in ("opens", "stays")), open_)
+        before = np.concatenate([[open_], after[:-1]])
+        if header and not (before | after)[0]:
+            rows, before, after, header = rows.slice(1), before[1:], after[1:], False
+        lines = rows["value"]
+        # Most lines are records of their own; the others are put together one by one.
+        for i in np.flatnonzero(before | after).tolist():
+            at = at if held else rows["at"][i].as_py()
+            held.append(lines[i].as_py())
+            if not after[i]:
+                if not header:
+                    out.append((file, begin, at, ranges.END if crossing else ranges.WHOLE, "\n".join(held)))
+                held, crossing, header = [], False, False
+        open_ = bool(after[-1]) if len(after) else open_
+        yield ranges.part_rows(out)
+        plain = rows.filter(pa.array(~(before | after)))
+        if len(plain):
+            whole = pa.array(np.full(len(plain), ranges.WHOLE), pa.int32())
+            yield pa.RecordBatch.from_arrays([plain["file"], plain["begin"], plain["at"], whole, plain["value"]], names=["file", "begin", "at", "part", "text"])
+    if now:
+        yield ranges.part_rows(rest())
+
+
+def quoted_records(spark: SparkSession, paths: str | Sequence[str], sep: str = ",", glob: str | None = None) -> DataFrame:
+    """`text` and place of the records of CSV files whose quoted fields run over line ends, without the header lines.
+
+    Files are read by ranges, whatever they quote. Lines end with `\n` or `\r\n`.
+    """
+    first = F.col("begin") == 0
+    lines = ranges.pieces(spark, paths, "\n", glob)
+    quote = F.contains("value", F.lit('"'))
+    lines = lines.withColumn("opens", quote & ends_in_quotes(F.col("value"), sep)).withColumn("stays", ~quote | ends_in_quotes(F.concat(F.lit('"'), "value"), sep))
+    kinds = "file string, begin bigint, opens boolean, stays boolean"
+    effects = lines.select("file", "begin", "opens", "stays").mapInArrow(_effects, kinds)
+    earlier, so_far = ranges.in_file()
+    decided, turns = F.col("opens") == F.col("stays"), F.sum(F.when(F.col("opens") & ~F.col("stays"), 1).otherwise(0))
+    # The last range that decides it, and the turns since.
+    told = effects.select("file", "begin", "opens", decided.alias("decided"), turns.over(so_far).alias("turns"))
+    last = F.last(F.when(F.col("decided"), F.struct("opens", "turns")), ignorenulls=True).over(earlier)
+    told = told.withColumn("last", last).withColumn("before", F.coalesce(F.max("turns").over(earlier), F.lit(0)))
+    odd = (F.col("before") - F.coalesce("last.turns", F.lit(0))) % 2 == 1
+    starts = told.select("file", "begin", (F.coalesce("last.opens", F.lit(False)) != odd).alias("start"))
+    parts = ranges.with_starts(lines, starts).mapInArrow(_cut, ranges.PARTS)
+    return ranges.joined(parts, "\n").withColumn("text", F.regexp_replace("text", r"\r$", ""))
+
+
 def header_names(line: str, sep: str) -> list[str]:
     """Column names of a header line; empty and repeated names are told apart by their place."""
     names = next(csv.reader([line.removeprefix("﻿")], delimiter=sep), [])
@@ -57,7 +143,8 @@ def read_text_columns(
     """All columns as text, names from the header, and `__raw_line`, `__too_long` of lines that do not fit it.
 
     `__raw_line` is null for a line with the right number of fields. A short line has nulls at its end; a line with too many
-    fields is marked. Files are split among tasks unless a quoted field contains a line end. Files with another header fail.
+    fields is marked. Files are split among tasks; where a quoted field contains a line end, the records are cut by `quoted_records`. Files with
+    another header fail.
     """
     if multiline is None or header is None:
         shapes = file_shapes(spark, paths, sep, glob).agg(F.min("header"), F.max("header"), F.bool_or("quoted")).first()
@@ -67,11 +154,14 @@ def read_text_columns(
         multiline = bool(shapes[2]) if multiline is None else multiline
     names = header_names(header or "", sep)
     schema = ", ".join("`" + c.replace("`", "``") + "` string" for c in [*names, RAW])
-    options = {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "header": True, "multiLine": multiline}
-    reader = spark.read.options(**options, columnNameOfCorruptRecord=RAW)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    found = reader.schema(schema).csv(paths)
+    options = {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": RAW}
+    if multiline:
+        records = quoted_records(spark, paths, sep, glob).where(F.trim("text") != "")
+        place = [F.col(c).alias(n) for c, n in zip(("file", "begin", "at"), PLACE, strict=True)]
+        found = records.select(F.from_csv("text", schema, options | {"multiLine": "true"}).alias("r"), *place).select("r.*", *PLACE)
+    else:
+        reader = spark.read.options(**options, header=True)
+        found = (reader.option("pathGlobFilter", glob) if glob else reader).schema(schema).csv(paths)
     # Without its quoted fields a line has a separator less than fields.
     open_text = F.regexp_replace(RAW, rf'(^|{_escaped(sep)})"[^"]*+(?:""[^"]*+)*+"', "$1")
     fields = F.length(open_text) - F.length(F.replace(open_text, F.lit(sep), F.lit(""))) + 1
@@ -96,7 +186,7 @@ def rejected(raw: DataFrame) -> DataFrame:
 
 
 def value_columns(raw: DataFrame) -> list[str]:
-    return [c for c in raw.columns if c not in (RAW, LONG)]
+    return [c for c in raw.columns if c not in (RAW, LONG, *PLACE)]
 
 
 def read_delimited(
@@ -109,7 +199,7 @@ def read_delimited(
     rejects: str = "fail",
 ) -> DataFrame:
     """A typed table. Types come from all rows, or are given."""
-    raw = fitting(read_text_columns(spark, paths, sep, multiline, glob), rejects).drop(RAW, LONG)
+    raw = fitting(read_text_columns(spark, paths, sep, multiline, glob), rejects).drop(RAW, LONG, *PLACE)
     return apply_types(raw, infer_types(raw) if kinds is None else kinds)
 
 
