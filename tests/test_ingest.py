@@ -70,6 +70,59 @@ def test_json_columns_with_a_scalar_and_uneven_lists(spark, tmp_path):
         bad.collect()
 
 
+def awkward_json(n):
+    texts = ["plain", 'quote " , ] }', "back \\\\ slash\\", "[{", "", "line\nend", "é,\u2028x", ","]
+    return [{"id": i, "s": texts[i % 8], "deep": {"a": [i, {"b": "}],"}], "c": None}, "list": list(range(i % 4))} for i in range(n)]
+
+
+@pytest.fixture(params=["60b", "128m"])
+def ranged(spark, request, monkeypatch):
+    """Ranges of a few bytes, so that strings, elements and brackets cross them."""
+    monkeypatch.setattr(json_docs, "LINE_BYTES", 200)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", request.param)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    yield request.param
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_json_array_in_ranges(spark, tmp_path, ranged):
+    rows = awkward_json(12)
+    path = write(f"{tmp_path}/in/rows.json", json.dumps(rows, indent=1 if ranged == "60b" else None, ensure_ascii=False))
+    got = {r["id"]: r for r in json_docs.read_json(spark, path).collect()}
+    assert {i: (r["s"], [json.loads(x) for x in r["deep"]["a"]], r["list"]) for i, r in got.items()} == {
+        r["id"]: (r["s"], r["deep"]["a"], r["list"]) for r in rows}
+
+
+def test_json_scalars_and_columns_in_ranges(spark, tmp_path, ranged):
+    numbers = [i * 1.5 for i in range(60)]
+    path = write(f"{tmp_path}/in/numbers.json", json.dumps(numbers))
+    assert sorted(r["value"] for r in json_docs.read_json(spark, path).collect()) == numbers
+    rows = awkward_json(12)
+    columns = {c: [r[c] for r in rows] for c in ("id", "s", "list")} | {"kind": "a, [b", "more": {"x": 1, "y": [2, 3]}}
+    path = write(f"{tmp_path}/in/columns.json", json.dumps(columns))
+    got = {r["id"]: (r["s"], r["list"], r["kind"], r["more"]["y"]) for r in json_docs.read_json(spark, path).collect()}
+    assert got == {r["id"]: (r["s"], r["list"], "a, [b", [2, 3]) for r in rows}
+
+
+@pytest.mark.parametrize("text", ['[{"a": 1},\n{"a":\n2}}',  '[{"a": 1}\n{"a": 2}]', '[1,\n2,]', '[{"a": 1}\n] x', '[1,\n"x]', '{"a": [1,\n2], "b": [1]}', '{"a": 1,\n}', '[1,\n01]'])
+def test_json_damage_in_ranges(spark, tmp_path, text):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9b")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        with pytest.raises(Exception, match="damaged|differ"):
+            json_docs.read_json(spark, write(f"{tmp_path}/in/bad.json", text)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_json_lists_of_nothing(spark, tmp_path):
+    write(f"{tmp_path}/in/a.json", "[\n]\n")
+    write(f"{tmp_path}/in/b.json", '[\n{"x": 1}\n]')
+    assert [r["x"] for r in json_docs.read_json(spark, f"{tmp_path}/in").collect()] == [1]
+
+
 @pytest.mark.parametrize("text, want", [('{"a":1}\n\n{"a":2}\n', True), ('[1]\n{"a":2}', True), ('{\n"a":1}', False), ('1\n2', False)])
 def test_json_lines_detection(spark, tmp_path, text, want):
     path = write(f"{tmp_path}/in/x.json", text)

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator, Sequence
+import re
+from collections.abc import Sequence
 
-import pyarrow as pa
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewell.session import settled
+from tidewell.sources import json_scan, ranges
+
+# A longer line is not looked at as a line: it belongs to a document.
+LINE_BYTES = 16 << 20
+
 
 def is_document(line: Column) -> Column:
     """Whether a text is a JSON object or array."""
@@ -27,13 +33,13 @@ def is_json_lines(lines: DataFrame, value: str = "value", group: Sequence[str] =
 
 
 def file_shapes(spark: SparkSession, path: str | Sequence[str], glob: str | None = None) -> DataFrame:
-    """`file` and `shape` of each file with text, from all its lines.
+    """`file` and `shape` of each file with text, from all its lines of up to `LINE_BYTES`.
 
     `lines`: at least half of the lines are documents, the others are damaged. `scalars`: every line is a list of scalars. `list` and
-    `object`: one document over several lines. `none`: no document.
+    `object`: one document over several lines, or on one that is longer. `none`: no document.
     """
     text = F.trim("value")
-    lines = _text(spark, path, glob).select(
+    lines = _text(spark, path, glob, LINE_BYTES).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("begin"), F.monotonically_increasing_id().alias("line"), text.alias("value"),
     ).where("value <> ''")
     document = is_document(F.col("value"))
@@ -44,34 +50,33 @@ def file_shapes(spark: SparkSession, path: str | Sequence[str], glob: str | None
     shape = (
         F.when(F.col("scalars"), "scalars").when(2 * F.col("documents") >= F.col("n"), "lines")
         .when(F.col("first") == "{", "object").when(F.col("first") == "[", "list").otherwise("none"))
-    return found.select("file", shape.alias("shape"))
-
-
-def _text(spark: SparkSession, path: str | Sequence[str], glob: str | None, whole: bool = False) -> DataFrame:
+    found = found.select("file", shape.alias("shape"))
     reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
-    return reader.text(path, wholetext=whole)
-
-
-def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shapes of whole documents: rows or scalars in a list, or damage anywhere in the file."""
-    for batch in batches:
-        files, shapes = [], []
-        for file, text in zip(batch["file"].to_pylist(), batch["value"].to_pylist(), strict=True):
-            try:
-                found = json.loads(text)
-                shapes.append("scalars" if isinstance(found, list) and not all(isinstance(x, dict) for x in found) else "rows")
-            except ValueError:
-                shapes.append("damaged")
-            files.append(file)
-        yield pa.RecordBatch.from_arrays([pa.array(files, pa.string()), pa.array(shapes, pa.string())], names=["file", "shape"])
+    large = reader.format("binaryFile").load(path).where(F.col("length") > LINE_BYTES).select(F.col("_metadata.file_path").alias("file"))
+    if large.isEmpty():
+        return found
+    found = settled(found, "json-shapes")
+    long = settled(large.join(found, "file", "left_anti"), "long-lines")
+    if long.isEmpty():
+        return found
+    # Files of long lines alone are told by how they begin.
+    heads = ranges.pieces(spark, path, ",", glob).where("begin = 0").join(long, "file", "left_semi").groupBy("file").agg(F.substring(F.trim(F.min_by("value", "at")), 1, 1).alias("head"))
+    shape = F.when(F.col("head") == "{", "object").when(F.col("head") == "[", "list").otherwise("none")
+    return found.unionByName(heads.where("head <> ''").select("file", shape.alias("shape")))
+
+
+def _text(spark: SparkSession, path: str | Sequence[str], glob: str | None, longest: int | None = None) -> DataFrame:
+    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    # Hadoop's reader of lines leaves out those that are longer.
+    return (reader.option("mapreduce.input.linerecordreader.line.maxlength", longest) if longest else reader).text(path)
 
 
 def read_json(spark: SparkSession, path: str | Sequence[str], glob: str | None = None) -> DataFrame:
     """Rows of JSON lines, an array of records, columns of lists, one object, or a list of scalars.
 
     The shape is decided per file, over all its lines; files of several shapes are read apart and their columns united.
-    Damaged lines of a file of lines stay in `_corrupt_record`. A document that runs over several lines is read whole by one task; damage in it, or anything
-    after it, fails.
+    Damaged lines of a file of lines stay in `_corrupt_record`. A document that runs over several lines is cut into its elements by ranges; damage in it, or
+    anything after it, fails.
     """
     shapes = file_shapes(spark, path, glob)
     kinds = {r["shape"]: r["n"] for r in shapes.groupBy("shape").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -81,7 +86,14 @@ def read_json(spark: SparkSession, path: str | Sequence[str], glob: str | None =
     for kind in sorted(kinds):
         # One read of the whole path where all files have one shape; else the files of each shape.
         chosen = path if len(kinds) == 1 else [r["file"] for r in shapes.where(F.col("shape") == kind).select("file").collect()]
-        frames += _read_shape(spark, chosen, glob if len(kinds) == 1 else None, kind)
+        try:
+            frames += _read_shape(spark, chosen, glob if len(kinds) == 1 else None, kind)
+        except PySparkException as error:
+            # Raised in a task, told like damage that the driver finds.
+            damage = re.search(r"damaged JSON document in \S+", str(error))
+            if damage:
+                raise ValueError(damage.group()) from error
+            raise
     return _united(frames)
 
 
@@ -91,20 +103,25 @@ def _read_shape(spark: SparkSession, path: str | Sequence[str], glob: str | None
         return [reader.json(path)]
     if kind == "scalars":
         return [scalars_to_rows(_text(spark, path, glob).where(F.trim("value") != ""))]
-    texts = _text(spark, path, glob, whole=True).select(F.col("_metadata.file_path").alias("file"), "value").where(F.trim("value") != "")
-    checked = texts.mapInArrow(_whole, "file string, shape string")
-    found = {r["shape"]: (r["n"], r["file"]) for r in checked.groupBy("shape").agg(F.count(F.lit(1)).alias("n"), F.min("file").alias("file")).collect()}
-    if "damaged" in found:
-        raise ValueError(f"damaged JSON document in {found['damaged'][1]}")
-    frames = []
-    for shape in sorted(found):
-        chosen = path if len(found) == 1 else [r["file"] for r in checked.where(F.col("shape") == shape).collect()]
-        if shape == "scalars":
-            frames.append(scalars_to_rows(_text(spark, chosen, glob if len(found) == 1 else None, whole=True)))
-        else:
-            documents = (reader if len(found) == 1 else spark.read).option("multiLine", True).json(chosen)
-            frames.append(columns_to_rows(documents) if kind == "object" else documents)
-    return frames
+    if kind == "object":
+        try:
+            return [_from_lines(json_scan.rows_of_columns(spark, path, glob))]
+        except json_scan.UnevenColumns as error:
+            # The document is sound, its rows are not: whoever asks for them is told.
+            return [spark.range(1).select(F.raise_error(F.lit(str(error))).cast("string").alias("value"))]
+    # Cut and checked once; types are found, and rows read, from the lines.
+    values = settled(json_scan.values_of_lists(spark, path, glob), "json-values")
+    record = F.substring(F.regexp_replace("text", r"^\s+", ""), 1, 1) == "{"
+    mixed = settled(values.groupBy("file").agg(F.bool_and(record).alias("records")).where("not records").select("file"), "scalar-files")
+    if mixed.isEmpty():
+        return [_from_lines(values)]
+    scalars = scalars_to_rows(values.join(mixed, "file", "left_semi").select(F.concat(F.lit("["), "text", F.lit("]")).alias("value")))
+    records = values.join(mixed, "file", "left_anti")
+    return [scalars] if records.isEmpty() else [_from_lines(records), scalars]
+
+
+def _from_lines(texts: DataFrame) -> DataFrame:
+    return texts.sparkSession.read.option("mode", "FAILFAST").json(json_scan.as_lines(texts))
 
 
 def _united(frames: list[DataFrame]) -> DataFrame:
@@ -127,23 +144,6 @@ def _united(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def columns_to_rows(documents: DataFrame) -> DataFrame:
-    """`{col: [..], ..}` to rows; single values are repeated. An object without lists is one row."""
-    lists = [f.name for f in documents.schema if isinstance(f.dataType, T.ArrayType)]
-    if not lists:
-        return documents
-    sizes = [F.size(F.col(f"`{c}`")) for c in lists]
-    level = F.lit(True)
-    for size in sizes[1:]:
-        level = level & (size == sizes[0])
-    zipped = F.arrays_zip(*[F.col(f"`{c}`").alias(c) for c in lists])
-    checked = F.when(level, zipped).otherwise(
-        F.raise_error(F.lit("columns of a JSON document differ in length")).cast(T.NullType()))
-    rows = documents.withColumn("__row", F.explode(checked))
-    return rows.select(*[
-        (F.col("__row")[c] if c in lists else F.col(f"`{c}`")).alias(c) for c in documents.columns])
-
-
 def scalars_to_rows(texts: DataFrame) -> DataFrame:
     """A list of scalars as the column `value`, typed by all its elements."""
     parsed = F.coalesce(

@@ -66,13 +66,14 @@ def part_rows(rows: list[tuple[str, int, int, int, str]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["file", "begin", "at", "part", "text"])
 
 
-def joined(parts: DataFrame, separator: str) -> DataFrame:
-    """`file`, `begin`, `at` (its place, by range) and `text` of all records; those that cross ranges are put together. One record is held by one task."""
+def joined(parts: DataFrame, separator: str, others: Sequence[str] = ()) -> DataFrame:
+    """`file`, `begin`, `at` (its place, by range), `text` and `others` of all records; those that cross ranges are put together, and have the place
+    of their first part. One record is held by one task."""
     crossing = settled(parts.where(F.col("part") != WHOLE), "crossing")
     # The end of a record comes before the begin of the next one of the same range.
     window = Window.partitionBy("file").orderBy("begin", "part").rowsBetween(Window.unboundedPreceding, 0)
     numbered = crossing.withColumn("record", F.count(F.when(F.col("part") == BEGIN, 1)).over(window))
-    together = numbered.groupBy("file", "record").agg(F.sort_array(F.collect_list(F.struct("begin", "part", "at", "text"))).alias("texts"))
+    together = numbered.groupBy("file", "record").agg(F.sort_array(F.collect_list(F.struct("begin", "part", "at", *others, "text"))).alias("texts"))
     first = F.col("texts")[0]
-    together = together.select("file", first["begin"].alias("begin"), first["at"].alias("at"), F.array_join("texts.text", separator).alias("text"))
+    together = together.select("file", first["begin"].alias("begin"), first["at"].alias("at"), *[first[c].alias(c) for c in others], F.array_join("texts.text", separator).alias("text"))
     return parts.where(F.col("part") == WHOLE).drop("part").unionByName(together)
