@@ -49,6 +49,14 @@ def test_longest_window_is_found_by_doubling(spark):
     assert got[2][2] == "a b"
 
 
+def test_null_text_on_a_repeated_id(spark):
+    text = " ".join(f"w{i}" for i in range(20))
+    rows = [(3, text), (5, None), (5, f"{text} x"), (5, f"{text} x"), (None, text), (5, "")]
+    got = sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in substrings.repeated_windows(spark.createDataFrame(rows, "doc_id bigint, text string"), 13).collect())
+    none, whole = corpus.sha(b""), corpus.sha(text.encode())
+    assert got == sorted([("3", 20, 0, whole), ("5", 0, 0, none), ("5", 0, 0, none), *[("5", 21, 20, corpus.sha(b"x"))] * 2, ("None", 20, 0, whole)])
+
+
 def test_long_texts_are_hashed_in_parts(monkeypatch):
     text = "  " + " ".join(f"word{i % 97}" for i in range(5000)) + "\n"
     whole, at = shared.word_hashes([text, None, "word1"])

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm.shared import by_bytes, id_filter, in_filter, packed, pair, stored, word_hashes
+from tidewell.session import released
 
 # Bytes of text whose windows meet in one bucket, on average.
 BUCKET_BYTES = 4 << 20
@@ -194,20 +195,15 @@ def _digest(words: list[bytes]) -> str:
     return hashlib.sha256(b" ".join(words)).hexdigest()
 
 
-def _split(batches: Iterator[pa.RecordBatch], chosen: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Documents without repeated windows are finished here; the others carry their text on."""
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words and digest of every whole text, as it is."""
     for batch in (b.slice(at, 1024) for b in batches for at in range(0, len(b), 1024)):
-        ids, texts = batch["doc_id"].to_pylist(), batch["text"].to_pylist()
-        open_rows = [i is not None and hit for i, hit in zip(ids, in_filter(chosen, [i or 0 for i in ids]), strict=True)]
         n_words, digests = [], []
-        for text in texts:
+        for text in batch["text"].to_pylist():
             words = (text or "").encode("utf-8", "surrogatepass").split()
             n_words.append(len(words))
             digests.append(_digest(words))
-        kept = [t if o else None for t, o in zip(texts, open_rows, strict=True)]
-        yield pa.RecordBatch.from_arrays([
-            pa.array(ids, pa.int64()), pa.array(kept, pa.string()), pa.array(n_words, pa.int64()), pa.array(digests, pa.string()), pa.array(open_rows, pa.bool_()),
-        ], names=["doc_id", "text", "n_words", "kept_sha256", "open"])
+        yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(n_words, pa.int64()), pa.array(digests, pa.string())], names=["doc_id", "n_words", "kept_sha256"])
 
 
 def _chosen(batches: Iterator[pa.RecordBatch], chosen: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -217,9 +213,11 @@ def _chosen(batches: Iterator[pa.RecordBatch], chosen: np.ndarray) -> Iterator[p
 
 def _cut(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     for batch in _slices(batches):
-        n_removed, digests, texts, spans = [], [], [], []
+        before, n_removed, digests, texts, spans = [], [], [], [], []
         for text, parts in zip(batch["text"].to_pylist(), batch["parts"].to_pylist(), strict=True):
-            words = text.encode("utf-8", "surrogatepass").split()
+            # A null text may share its id with a row that has windows.
+            words = (text or "").encode("utf-8", "surrogatepass").split()
+            before.append(_digest(words))
             codes = _merged(parts)[0]
             starts = codes[(codes & 1 == 1)] >> 1
             starts = starts[starts + n <= len(words)]
@@ -234,7 +232,7 @@ def _cut(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
             digests.append(_digest(kept))
             texts.append(b" ".join(kept).decode("utf-8", "surrogatepass"))
         yield pa.RecordBatch.from_arrays([
-            batch["doc_id"], batch["kept_sha256"], pa.array(texts, pa.string()), pa.array(n_removed, pa.int64()), pa.array(digests, pa.string()),
+            batch["doc_id"], pa.array(before, pa.string()), pa.array(texts, pa.string()), pa.array(n_removed, pa.int64()), pa.array(digests, pa.string()),
             pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
         ], names=["doc_id", "kept_sha256", "kept_text", "n_removed", "cut_sha256", "spans"])
 
@@ -270,27 +268,27 @@ def repeated_windows(docs: DataFrame, n: int = 13) -> DataFrame:
     size = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # First the half-length windows that stand for the others: a fifth to a quarter of all windows.
     anchors = stored(_repeated(named.mapInArrow(_with(_text_anchors, n, _buckets(spark, size // 4)), MESSAGE)), "anchors")
-    chosen = id_filter(anchors, "doc_id")
-    split = stored(docs.mapInArrow(_with(_split, chosen), "doc_id bigint, text string, n_words bigint, kept_sha256 string, open boolean"), "split")
-    texts = split.where("open").select("doc_id", "text", "kept_sha256")
-    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    windows = texts.select("doc_id", "text").join(anchors, "doc_id").mapInArrow(_with(_anchored_windows, n, _buckets(spark, size)), MESSAGE)
-    found = level = stored(_repeated(windows), "repeats")
-    # Again only texts with something to cut meet it; rows that repeat an id and a text are cut once.
-    cutting = texts.mapInArrow(_with(_chosen, id_filter(found, "doc_id")), texts.schema).dropDuplicates(["doc_id", "kept_sha256"])
-    cut = stored(cutting.join(found, "doc_id").mapInArrow(
+    # Texts are not written again: they are read once more through a filter of the ids that a level found.
+    texts = lambda ids: named.select("doc_id", "text").mapInArrow(_with(_chosen, id_filter(ids, "doc_id")), "doc_id bigint, text string")
+    windows = texts(anchors).join(anchors, "doc_id").mapInArrow(_with(_anchored_windows, n, _buckets(spark, size)), MESSAGE)
+    level = stored(_repeated(windows), "repeats")
+    released(anchors)
+    cut = stored(texts(level).join(level, "doc_id").mapInArrow(
         _with(_cut, n), "doc_id bigint, kept_sha256 string, kept_text string, n_removed bigint, cut_sha256 string, spans array<struct<start: bigint, end: bigint>>",
     ), "cut")
-    longest, length = found.select("doc_id", F.lit(n).alias("length")), n
+    longest, length = stored(level.select("doc_id", F.lit(n).alias("length")), "lengths"), n
     while True:
         size = level.agg(F.sum(F.expr("aggregate(parts, 0L, (total, part) -> total + octet_length(part.hashes))"))).first()[0]
         if not size:
             break
-        longer = level.mapInArrow(_with(_longer_windows, length, _buckets(spark, size)), MESSAGE)
-        level, length = stored(_repeated(longer), "repeats"), 2 * length
-        longest = longest.unionByName(level.select("doc_id", F.lit(length).alias("length")))
+        longer = stored(_repeated(level.mapInArrow(_with(_longer_windows, length, _buckets(spark, size)), MESSAGE)), "repeats")
+        released(level)
+        level, length = longer, 2 * length
+        longest = longest.unionByName(stored(level.select("doc_id", F.lit(length).alias("length")), "lengths"))
     top = longest.groupBy("doc_id").agg(F.max("length").alias("longest"))
-    done = split.select("doc_id", "n_words", "kept_sha256")
+    done = docs.mapInArrow(_counted, "doc_id bigint, n_words bigint, kept_sha256 string")
+    # Rows that repeat an id and a text are cut alike, and joined once.
+    cut = cut.dropDuplicates(["doc_id", "kept_sha256"])
     return done.join(cut.join(top, "doc_id"), ["doc_id", "kept_sha256"], "left").select(
         "doc_id", "n_words", F.coalesce("n_removed", F.lit(0).cast("bigint")).alias("n_removed"),
         F.coalesce("cut_sha256", "kept_sha256").alias("kept_sha256"),
