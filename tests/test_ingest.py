@@ -441,6 +441,31 @@ def test_stream_converts_only_new_files(spark, people):
     assert as_rows(spark.read.parquet(f"{folder}/out")) == rows
 
 
+def test_stream_puts_lines_apart_and_goes_on(spark, tmp_path):
+    folder, schema = str(tmp_path), "id bigint, name string, more double"
+
+    def run():
+        stream = incremental.arriving(spark, f"{folder}/in", "csv", schema, rejects=True, header="true")
+        incremental.convert_with_rejects(stream, f"{folder}/out", f"{folder}/apart", f"{folder}/mark")
+
+    def found():
+        kept, lost = (spark.read.parquet(f"{folder}/{p}") for p in ("out", "apart"))
+        return sorted((r["id"], r["name"], r["more"]) for r in kept.collect()), sorted(r["line"] for r in lost.collect())
+
+    write(f"{folder}/in/a.csv", 'id,name,more\n1,a,2.5\n2,b\n3\nx,c,1\n4,"d,",1,9\n')
+    run()
+    first = [(1, "a", 2.5), (2, "b", None), (3, None, None)], ['4,"d,",1,9', "x,c,1"]
+    assert found() == first
+    write(f"{folder}/in/b.csv", "id,name,more\n5,e,7\n6,f,y\n")
+    run()
+    # The last batch is run again, as after a crash before its commit.
+    for name in os.listdir(f"{folder}/mark/commits"):
+        if name.startswith(("1", ".1")):
+            os.remove(f"{folder}/mark/commits/{name}")
+    run()
+    assert found() == ([*first[0], (5, "e", 7.0)], [*first[1][:1], "6,f,y", *first[1][1:]])
+
+
 def test_empty_totals(spark):
     empty = spark.createDataFrame([], "n bigint, p bigint, done boolean")
     row = listing.size_totals(empty, "n", "p", "done").first()

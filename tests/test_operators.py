@@ -241,6 +241,13 @@ def test_attention_shuffles_less_than_the_square(spark):
     assert first == 50_000 and 5 < last <= 6
 
 
+def test_temporal_block_ends_in_relu(spark):
+    kernel = [[[float(i == j) for j in range(4)] for i in range(4)]]
+    out = temporal.temporal_block(series(spark), ["s"], ["t"], "x", kernel, activation="tanh").collect()
+    for row in out:
+        assert row["block"] == pytest.approx([max(0.0, math.tanh(v) + v) for v in row["x"]])
+
+
 def test_temporal_block_needs_resampling_weights(spark):
     with pytest.raises(ValueError, match="resample"):
         temporal.temporal_block(series(spark), ["s"], ["t"], "x", [[[1.0] * 3] * 4])

@@ -65,13 +65,14 @@ def temporal_block(
     activation: str = "relu",
     out: str = "block",
 ) -> DataFrame:
-    """act(act(conv(x)) + x); `resample` and its bias map x to the filters where their numbers differ."""
+    """relu(act(conv(x)) + x): the activation is the convolution's, the sum always ends in ReLU. `resample` and its bias map x to the filters where
+    their numbers differ."""
     channels, filters = len(kernel[0]), len(kernel[0][0])
     if resample is None and channels != filters:
         raise ValueError("channels and filters differ: give resample weights")
     convolved = causal_conv(df, series, order, x, kernel, dilation, bias, "__conv")
     kept = F.col(x) if resample is None else vectors.affine(F.col(x), resample, resample_bias)
-    block = vectors.activated(vectors.add(vectors.activated(F.col("__conv"), activation), kept), activation)
+    block = vectors.relu(vectors.add(vectors.activated(F.col("__conv"), activation), kept))
     return convolved.withColumn(out, block).drop("__conv")
 
 

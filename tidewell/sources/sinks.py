@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.operators.ordering import with_position
@@ -45,6 +47,21 @@ def write_parquet(
     (writer.partitionBy(*columns) if columns else writer).parquet(path)
 
 
+def row_groups(spark: SparkSession, path: str) -> DataFrame:
+    """`file`, `row_group`, `rows` of written Parquet files. Spark hands each task whole files, whose footers it reads."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path)
+
+    def footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, content in zip(batch["path"].to_pylist(), batch["content"], strict=True):
+                footer = pq.ParquetFile(pa.BufferReader(content.as_buffer())).metadata
+                n = footer.num_row_groups
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([name] * n, pa.string()), pa.array(range(n), pa.int32()), pa.array([footer.row_group(i).num_rows for i in range(n)], pa.int64())], names=["file", "row_group", "rows"])
+
+    return files.select("path", "content").mapInArrow(footers, "file string, row_group int, rows bigint")
+
+
 def with_file_index(df: DataFrame, name: str = INDEX) -> DataFrame:
     """Number the rows of each file in file order, from 0. `df` must come straight from the file scan, or have the places of its rows."""
     read = df if "__file" in df.columns else df.select(

@@ -3,25 +3,67 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewell.session import shared_folder
 from tidewell.sources.sinks import CODECS
+from tidewell.sources.tabular import RAW
 
 
 def arriving(
-    spark: SparkSession, path: str, kind: str, schema: T.StructType | str, files_per_batch: int = 1000, **options: str
+    spark: SparkSession, path: str, kind: str, schema: T.StructType | str, files_per_batch: int = 1000, rejects: bool = False, **options: str
 ) -> DataFrame:
     """A stream over the files of a folder. Its schema is fixed, later files cannot change it.
 
-    Text that does not fit the schema fails the run, which can be repeated once the file is mended; `mode` says otherwise.
+    Text that does not fit the schema fails the run, which can be repeated once the file is mended; `mode` says otherwise. With `rejects`, lines
+    of CSV or JSON that do not fit come along in `__raw_line`, for `convert_with_rejects`; short CSV lines are filled with nulls, as in a batch.
     """
+    if rejects:
+        if kind not in ("csv", "json"):
+            raise ValueError("only lines of csv or json can be put apart")
+        columns = spark.createDataFrame([], schema).schema
+        lines = spark.readStream.format(kind).schema(T.StructType([*columns, T.StructField(RAW, T.StringType())])).option("maxFilesPerTrigger", files_per_batch)
+        found = lines.options(**{"mode": "PERMISSIVE", "columnNameOfCorruptRecord": RAW, "escape": '"', **options}).load(path)
+        return _filled(found, columns, options) if kind == "csv" else found
     options = {"mode": "FAILFAST", **options} if kind in ("csv", "json") else options
     reader = spark.readStream.format(kind).schema(schema).option("maxFilesPerTrigger", files_per_batch)
     return reader.options(**options).load(path)
 
 
+def _filled(found: DataFrame, columns: T.StructType, options: dict[str, str]) -> DataFrame:
+    """Short lines with empty fields at their end, read again; what still does not fit stays as it is."""
+    sep = options.get("sep", ",")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*columns, T.StructField(RAW, T.StringType())])
+    parse = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": RAW, "escape": '"', "sep": sep}
+    missing = F.sequence(F.lit(1), F.lit(max(1, len(columns) - 1)))
+    tried = F.transform(missing, lambda n: F.from_csv(F.concat(F.col(RAW), F.repeat(F.lit(sep), n)), schema, parse))
+    fits = F.when(F.col(RAW).isNotNull(), F.get(F.filter(tried, lambda r: r[RAW].isNull()), F.lit(0)))
+    again = F.col("__fits").isNotNull()
+    kept = [F.when(again, F.col("__fits")[f.name]).otherwise(F.col(f"`{f.name}`")).alias(f.name) for f in columns]
+    return found.withColumn("__fits", fits).select(*kept, F.when(~again, F.col(RAW)).alias(RAW))
+
+
+def convert_with_rejects(stream: DataFrame, out: str, rejects: str, checkpoint: str | None = None, codec: str = "snappy") -> StreamingQuery:
+    """Appends what fits to the table at `out` and the `line` of what does not to the one at `rejects`, then stops.
+
+    Each batch is a folder `batch=<number>` of both tables and overwrites it, so a batch that is run again adds nothing. How many lines a
+    batch put apart is the number of its rows in `rejects`.
+    """
+    place = checkpoint or shared_folder(stream.sparkSession, "stream-checkpoint")
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.persist()
+        for path, rows in ((out, batch.where(F.col(RAW).isNull()).drop(RAW)), (rejects, batch.where(F.col(RAW).isNotNull()).select(F.col(RAW).alias("line")))):
+            rows.write.mode("overwrite").option("compression", CODECS[codec]).parquet(f"{path.rstrip('/')}/batch={number}")
+        batch.unpersist()
+
+    query = stream.writeStream.foreachBatch(write).trigger(availableNow=True).option("checkpointLocation", place).start()
+    query.awaitTermination()
+    return query
+
+
 def convert_new_files(
     stream: DataFrame, out: str, checkpoint: str | None = None, codec: str = "snappy", partition_by: tuple[str, ...] = ()
 ) -> StreamingQuery:

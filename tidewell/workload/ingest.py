@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewell.functions.paths import FORMATS, detect_format, is_supported
+from tidewell.functions.paths import FORMATS, detect_format, is_supported, output_name
 from tidewell.operators.ordering import with_position
 from tidewell.plans import ingest
 from tidewell.session import shared_folder
@@ -315,6 +315,53 @@ def json_damaged_line(t):
     return json_docs.read_json(t.spark, out).select("event_id", "value", F.col("_corrupt_record").alias("damaged"))
 
 
+@query("SELECT r_regionkey, r_name, n FROM region JOIN (SELECT n_regionkey AS r_regionkey, count(*) AS n FROM nation GROUP BY 1) USING (r_regionkey)")
+def json_object_scan(t):
+    """One object per file, over several lines."""
+    counts = t("nation").groupBy(F.col("n_regionkey").alias("r_regionkey")).agg(F.count(F.lit(1)).alias("n"))
+    record = F.to_json(F.struct("r_regionkey", "r_name", "n"))
+    text = F.regexp_replace(F.regexp_replace(record, r'([{,])"', '$1\n"'), r"\}$", "\n}")
+    return json_docs.read_json(t.spark, _files_of(t, t("region").join(counts, "r_regionkey").select(text.alias("value")), "region-json"))
+
+
+@query("SELECT count(*) AS rows, count(*) FILTER (WHERE o_orderkey IS NOT NULL) AS keys, true AS bounded FROM orders")
+def row_groups(t):
+    """Row groups of at most 100 rows, as the footers of the written files tell."""
+    out = shared_folder(t.spark, "orders-groups")
+    sinks.write_parquet(t("orders"), out, rows_per_group=100)
+    groups = sinks.row_groups(t.spark, out)
+    rows = t.spark.read.parquet(out).agg(F.count(F.lit(1)).alias("rows"), F.count("o_orderkey").alias("keys"))
+    return rows.join(groups.agg((F.max("rows") <= 100).alias("bounded"), F.sum("rows").alias("in_groups")), F.col("rows") == F.col("in_groups")).drop("in_groups")
+
+
+@query(f"""
+    WITH {_FILES_SQL}
+    SELECT doc_id, 'raw_data__' || 'doc_' || doc_id || CASE WHEN ending = 'tar.gz' THEN '.tar' ELSE '' END || '.parquet' AS output
+    FROM (SELECT doc_id, {_ENDINGS}[1 + doc_id % {len(_ENDINGS)}] AS ending FROM documents)""")
+def output_names(t):
+    files = _files(t).withColumn("relative", F.replace("path", F.lit("raw.data"), F.lit("raw_data")))
+    return files.select("doc_id", output_name(F.col("relative")).alias("output"))
+
+
+@query("""
+    SELECT o_orderkey AS key, CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_orderstatus END AS status, NULL::VARCHAR AS line FROM orders WHERE o_orderkey % 11 <> 0 AND o_orderkey % 17 <> 0
+    UNION ALL SELECT NULL, NULL, CASE WHEN o_orderkey % 11 = 0 THEN o_orderkey || ',' || o_orderstatus || ',more' ELSE 'x' || o_orderkey || ',' || o_orderstatus END
+    FROM orders WHERE o_orderkey % 11 = 0 OR o_orderkey % 17 = 0""")
+def stream_rejects(t):
+    """Lines that do not fit are put apart, and the stream goes on."""
+    key, status = F.col("o_orderkey").cast("string"), F.col("o_orderstatus")
+    line = F.when(F.col("o_orderkey") % 11 == 0, F.concat_ws(",", key, status, F.lit("more"))).when(
+        F.col("o_orderkey") % 17 == 0, F.concat(F.lit("x"), key, F.lit(","), status)).when(F.col("o_orderkey") % 13 == 0, key).otherwise(F.concat_ws(",", key, status))
+    arriving, out, apart, mark = (shared_folder(t.spark, f"reject-{p}") for p in ("in", "out", "apart", "mark"))
+    for part in range(2):
+        _delimited(t, t("orders").where(F.col("o_orderkey") % 2 == part), "o_orderkey", "key,status", line).write.option("maxRecordsPerFile", 1).mode("append").text(arriving)
+        stream = incremental.arriving(t.spark, arriving, "csv", "key bigint, status string", rejects=True, header="true", pathGlobFilter="*.txt")
+        incremental.convert_with_rejects(stream, out, apart, mark)
+    kept, lost = t.spark.read.parquet(out), t.spark.read.parquet(apart)
+    none = F.lit(None).cast("string").alias
+    return kept.select("key", "status", none("line")).unionByName(lost.select(F.lit(None).cast("bigint").alias("key"), none("status"), "line"))
+
+
 @query("SELECT o_totalprice AS value FROM orders")
 def json_scalars_one_line(t):
     docs = _documents(t, t("orders"), ["o_totalprice"], ["o_orderkey"], 700)

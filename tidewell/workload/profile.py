@@ -138,6 +138,17 @@ def feature_stats_lists(t):
     return _stats(features.feature_statistics(features.to_records(t("embeddings"), ["embedding", "label"])))
 
 
+@query("""
+    SELECT 'gone' AS feature, 'N/A' AS type, 0::BIGINT AS count, 0::BIGINT AS "unique", '-' AS mean_or_mode, '-' AS min, '-' AS max
+    UNION ALL SELECT 'some', 'Numeric', count(*), count(DISTINCT o_custkey), round_even(avg(o_custkey), 4)::VARCHAR, min(o_custkey)::VARCHAR, max(o_custkey)::VARCHAR
+    FROM orders WHERE o_orderkey % 3 = 0""")
+def feature_stats_empty(t):
+    """A feature without any value, and one whose lists are often empty."""
+    none, some = F.array().cast("array<bigint>"), F.when(F.col("o_orderkey") % 3 == 0, F.array("o_custkey")).otherwise(F.array().cast("array<bigint>"))
+    records = features.to_records(t("orders").select(none.alias("gone"), some.alias("some")), ["gone", "some"])
+    return features.feature_statistics(records)
+
+
 @query("""
     SELECT n_nationkey, '{' || chr(10) || '  "n_name": [' || chr(10) || '    "' || n_name || '"' || chr(10) || '  ],' || chr(10)
         || '  "n_nationkey": [' || chr(10) || '    ' || n_nationkey || chr(10) || '  ]' || chr(10) || '}' AS json FROM nation""")

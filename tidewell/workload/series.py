@@ -161,12 +161,12 @@ _KERNEL = [[[0.1, -0.2, 0.3], [0.4, 0.0, -0.1]], [[0.5, 0.2, -0.3], [-0.6, 0.1,
 _RESAMPLE = [[0.3, -0.1], [0.2, 0.5], [-0.4, 0.1]]
 
 
-def _block_sql() -> str:
+def _block_sql(activated: str = "greatest({}, 0)") -> str:
     def out(f):
         taps = " + ".join(
             f"({_KERNEL[j][c][f]}) * {v}" for j, names in enumerate((("pa", "pb"), ("a", "b"))) for c, v in enumerate(names))
         kept = f"({_RESAMPLE[f][0]}) * a + ({_RESAMPLE[f][1]}) * b"
-        return f"round(greatest(greatest({taps}, 0) + {kept}, 0), 6) AS y{f}"
+        return f"round(greatest({activated.format(taps)} + {kept}, 0), 6) AS y{f}"
     return f"""
     WITH s AS (SELECT event_id, user_id, ts, value AS a, hour(ts)::DOUBLE AS b FROM events),
     l AS (SELECT event_id, a, b, coalesce(lag(a, 3) OVER w, 0) AS pa, coalesce(lag(b, 3) OVER w, 0) AS pb FROM s
@@ -174,13 +174,22 @@ def _block_sql() -> str:
     SELECT event_id, {', '.join(out(f) for f in range(3))} FROM l"""
 
 
-@query(_block_sql())
-def temporal_block(t):
+def _block(t, activation):
     events = t("events").withColumn("x", F.array("value", F.hour("ts").cast("double")))
-    out = temporal.temporal_block(events, ["user_id"], ["ts", "event_id"], "x", _KERNEL, dilation=3, resample=_RESAMPLE)
+    out = temporal.temporal_block(events, ["user_id"], ["ts", "event_id"], "x", _KERNEL, dilation=3, resample=_RESAMPLE, activation=activation)
     return out.select("event_id", *[F.round(F.col("block")[f], 6).alias(f"y{f}") for f in range(3)])
 
 
+@query(_block_sql())
+def temporal_block(t):
+    return _block(t, "relu")
+
+
+@query(_block_sql("tanh({})"))
+def temporal_block_tanh(t):
+    return _block(t, "tanh")
+
+
 @query("""
     WITH s AS (SELECT event_id, row_number() OVER w AS t, lead(value) OVER w AS target, lead(event_id) OVER w AS nxt,
                       list(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS v,

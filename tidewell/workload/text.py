@@ -9,6 +9,7 @@ from tidewell.operators import evaluate, text as ops
 from tidewell.operators.quantiles import group_quantiles
 from tidewell.plans import classifier
 from tidewell.session import settled
+from tidewell.session import shared_folder
 from tidewell.workload import query
 
 _SPACE = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -160,6 +161,29 @@ def pad_batches(t):
         F.md5(F.array_join("padded.input", " ")).alias("digest"))
 
 
+@query(f"""
+    WITH w AS (SELECT doc_id, {_WORDS} AS n FROM documents), m AS (SELECT max(n) AS mx FROM w)
+    SELECT doc_id, mx::INTEGER AS length, (mx - n)::INTEGER AS padding, CASE WHEN n < mx THEN '<|pad|>' END AS last_padding FROM w, m""")
+def pad_token(t):
+    """Another padding token than the usual one."""
+    tokens = t("documents").select("doc_id", ops.words(F.col("text")).alias("tokens"))
+    out = tokens.withColumn("p", ops.padded(F.col("tokens"), ops.max_length(tokens, "tokens").scalar(), pad="<|pad|>"))
+    gap = F.size("p.mask") - F.size("tokens")
+    return out.select("doc_id", F.size("p.input").alias("length"), gap.alias("padding"), F.when(gap > 0, F.element_at("p.input", -1)).alias("last_padding"))
+
+
+@query(f"SELECT lang, max({_WORDS} + 2)::INTEGER AS max_length, max({_WORDS} + 2) > 512 AS beyond_512 FROM documents GROUP BY lang")
+def persisted_length(t):
+    """The maximum length per language, kept as settings and read back."""
+    tokens = t("documents").select("lang", ops.with_markers(ops.words(F.col("text"))).alias("tokens"))
+    longest = tokens.groupBy("lang").agg(F.max(F.size("tokens")).alias("n"))
+    path = shared_folder(t.spark, "settings")
+    # As many settings as languages.
+    ops.save_settings(t.spark, path, **{r["lang"]: r["n"] for r in longest.collect()})
+    kept = t.spark.createDataFrame(sorted(ops.load_settings(t.spark, path).items()), "lang string, max_length int")
+    return kept.withColumn("beyond_512", F.col("max_length") > 512)
+
+
 @query("SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 32 AS batch FROM labels")
 def minibatch_assign(t):
     return ops.with_batches(t("labels"), ["doc_id"], 32).select("doc_id", "batch")
