@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from tidewell.functions import paths
 from tidewell.operators import catalog as ops
 from tidewell.session import shared_folder
+from tidewell.streaming import incremental
+from tidewell.streaming import status as running
 from tidewell.workload import query
 
 
@@ -132,6 +134,32 @@ def latest_status(t):
     return ops.latest_status(log, ["user_id"], ["ts", "event_id"], "kind", "value")
 
 
+@query(f"""
+    WITH e AS (SELECT user_id, ts, event_id, value, {_KINDS_SQL} AS kind FROM events),
+    p AS (SELECT user_id, event_id, value, coalesce(lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id), 0) AS old_progress FROM e),
+    s AS (SELECT user_id, ts, event_id,
+                 CASE WHEN kind <> 'progress' THEN kind WHEN value >= 100 THEN 'completed' WHEN value > 0 THEN 'in_progress' END AS status,
+                 CASE WHEN kind = 'progress' THEN value WHEN kind IN ('completed', 'skipped') THEN 100.0 END AS progress FROM e)
+    SELECT user_id, event_id, 'milestone' AS what, value AS progress, old_progress, CASE WHEN value >= 100 THEN 'completed' WHEN value > 0 THEN 'in_progress' END AS status
+    FROM p WHERE trunc(old_progress / 10) < trunc(value / 10)
+    UNION ALL SELECT user_id, NULL, 'status', coalesce(arg_max(progress, (ts, event_id)) FILTER (WHERE progress IS NOT NULL), 0)::DOUBLE, NULL,
+           coalesce(arg_max(status, (ts, event_id)) FILTER (WHERE status IS NOT NULL), 'pending') FROM s GROUP BY 1""")
+def stream_status(t):
+    """The log arrives in three parts, each read by a run of its own."""
+    log = t("events").withColumn("kind", _kind()).select("user_id", "ts", "event_id", "kind", "value")
+    ends = log.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))), F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()
+    part = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - ends[0]) * 3 / (ends[1] - ends[0] + 1))
+    arriving, out, mark = (shared_folder(t.spark, f"status-{p}") for p in ("in", "out", "mark"))
+    for i in range(3):
+        log.where(part == i).write.mode("append").parquet(arriving)
+        stream = incremental.arriving(t.spark, arriving, "parquet", log.schema)
+        running.follow(running.running_status(stream, ["user_id"], ["ts", "event_id"], "kind", "value"), out, mark)
+    told = t.spark.read.parquet(out)
+    last = running.latest(told, ["user_id"]).select(
+        "user_id", F.lit(None).cast("bigint").alias("event_id"), F.lit("status").alias("what"), "progress", F.lit(None).cast("double").alias("old_progress"), "status")
+    return told.where("what = 'milestone'").select("user_id", "event_id", "what", "progress", "old_progress", "status").unionByName(last)
+
+
 @query("""
     WITH l AS (SELECT CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END AS level,
                       strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || CASE WHEN event_type = 'error' THEN ' [ERROR] ' ELSE ' [INFO] ' END
