@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from tidewell.functions.paths import detect_format, is_supported, output_name
 
+OUTPUT = "__output"
+
 
 def list_files(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
     """Path, path relative to the root, size and format of each file; file contents are not read."""
@@ -57,7 +59,10 @@ def existing_outputs(spark: SparkSession, folder: str) -> DataFrame:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], "output string")
-    return parts.select(F.split("relative", "/")[0].alias("output")).distinct()
+    # Tables that were written together lie under their names as values of a partition column.
+    folder_name = F.split("relative", "/")[0]
+    written = F.url_decode(F.replace(F.replace(folder_name, F.lit(f"{OUTPUT}="), F.lit("")), F.lit("+"), F.lit("%2B")))
+    return parts.select(F.when(folder_name.startswith(f"{OUTPUT}="), written).otherwise(folder_name).alias("output")).distinct()
 
 
 def without_existing(listing: DataFrame, existing: DataFrame, on: str) -> DataFrame:

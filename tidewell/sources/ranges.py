@@ -23,9 +23,9 @@ WHOLE, END, BEGIN, MIDDLE = range(4)
 PARTS = "file string, begin bigint, at bigint, part int, text string"
 
 
-def pieces(spark: SparkSession, paths: str | Sequence[str], separator: str = "\n", glob: str | None = None) -> DataFrame:
+def pieces(spark: SparkSession, paths: str | Sequence[str], separator: str = "\n", glob: str | None = None, recursive: bool = False) -> DataFrame:
     """`file`, `begin` (of its range), `at` and `value` of what lies between separators, in order within a range."""
-    reader = spark.read.option("lineSep", separator)
+    reader = spark.read.option("lineSep", separator).option("recursiveFileLookup", str(recursive).lower())
     reader = reader.option("pathGlobFilter", glob) if glob else reader
     return reader.text(paths).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("begin"), F.monotonically_increasing_id().alias("at"), "value")

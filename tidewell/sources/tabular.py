@@ -34,9 +34,10 @@ def ends_in_quotes(line: Column, sep: str) -> Column:
     return line.rlike(rf'^(?:(?:{closed}|[^"{s}][^{s}]*+|){s})*+"[^"]*+(?:""[^"]*+)*+$')
 
 
-def file_shapes(spark: SparkSession, paths: str | Sequence[str], sep: str = ",", glob: str | None = None) -> DataFrame:
+def file_shapes(spark: SparkSession, paths: str | Sequence[str], sep: str = ",", glob: str | None = None, recursive: bool = False) -> DataFrame:
     """`file`, `header` (first line) and `quoted` (a quoted field runs over a line end) of each file, in one scan."""
-    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    reader = spark.read.option("recursiveFileLookup", str(recursive).lower())
+    reader = reader.option("pathGlobFilter", glob) if glob else reader
     lines = reader.text(paths).select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("begin"), F.monotonically_increasing_id().alias("line"))
     return lines.groupBy("file").agg(
@@ -101,13 +102,13 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield ranges.part_rows(rest())
 
 
-def quoted_records(spark: SparkSession, paths: str | Sequence[str], sep: str = ",", glob: str | None = None) -> DataFrame:
+def quoted_records(spark: SparkSession, paths: str | Sequence[str], sep: str = ",", glob: str | None = None, recursive: bool = False) -> DataFrame:
     """`text` and place of the records of CSV files whose quoted fields run over line ends, without the header lines.
 
     Files are read by ranges, whatever they quote. Lines end with `\n` or `\r\n`.
     """
     first = F.col("begin") == 0
-    lines = ranges.pieces(spark, paths, "\n", glob)
+    lines = ranges.pieces(spark, paths, "\n", glob, recursive)
     quote = F.contains("value", F.lit('"'))
     lines = lines.withColumn("opens", quote & ends_in_quotes(F.col("value"), sep)).withColumn("stays", ~quote | ends_in_quotes(F.concat(F.lit('"'), "value"), sep))
     kinds = "file string, begin bigint, opens boolean, stays boolean"
@@ -153,15 +154,29 @@ def read_text_columns(
         header = shapes[0] if header is None else header
         multiline = bool(shapes[2]) if multiline is None else multiline
     names = header_names(header or "", sep)
-    schema = ", ".join("`" + c.replace("`", "``") + "` string" for c in [*names, RAW])
-    options = {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": RAW}
     if multiline:
-        records = quoted_records(spark, paths, sep, glob).where(F.trim("text") != "")
-        place = [F.col(c).alias(n) for c, n in zip(("file", "begin", "at"), PLACE, strict=True)]
-        found = records.select(F.from_csv("text", schema, options | {"multiLine": "true"}).alias("r"), *place).select("r.*", *PLACE)
-    else:
-        reader = spark.read.options(**options, header=True)
-        found = (reader.option("pathGlobFilter", glob) if glob else reader).schema(schema).csv(paths)
+        return record_columns(quoted_records(spark, paths, sep, glob), names, sep)
+    reader = spark.read.options(**_options(sep), header=True)
+    found = (reader.option("pathGlobFilter", glob) if glob else reader).schema(_schema(names)).csv(paths)
+    return _marked(found, names, sep)
+
+
+def _options(sep: str) -> dict[str, str]:
+    return {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": RAW}
+
+
+def _schema(names: Sequence[str]) -> str:
+    return ", ".join("`" + c.replace("`", "``") + "` string" for c in [*names, RAW])
+
+
+def record_columns(records: DataFrame, names: Sequence[str], sep: str) -> DataFrame:
+    """Columns of `records (file, begin, at, text)` as `read_text_columns` gives them, and the places of the records."""
+    place = [F.col(c).alias(n) for c, n in zip(("file", "begin", "at"), PLACE, strict=True)]
+    parsed = F.from_csv("text", _schema(names), _options(sep) | {"multiLine": "true"}).alias("r")
+    return _marked(records.where(F.trim("text") != "").select(parsed, *place).select("r.*", *PLACE), names, sep)
+
+
+def _marked(found: DataFrame, names: Sequence[str], sep: str) -> DataFrame:
     # Without its quoted fields a line has a separator less than fields.
     open_text = F.regexp_replace(RAW, rf'(^|{_escaped(sep)})"[^"]*+(?:""[^"]*+)*+"', "$1")
     fields = F.length(open_text) - F.length(F.replace(open_text, F.lit(sep), F.lit(""))) + 1

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,10 +40,10 @@ def typed(col: Column, kind: str) -> Column:
     return col
 
 
-def infer_types(df: DataFrame) -> dict[str, str]:
-    """The first type of the ladder that fits every value of each text column, in one pass."""
+def type_checks(names: Sequence[str]) -> list[Column]:
+    """Aggregates per text column: whether all its values are whole, real, or boolean."""
     checks = []
-    for i, name in enumerate(df.columns):
+    for i, name in enumerate(names):
         col = nulls_out(F.col(f"`{name}`"))
         whole = F.when(col.isNotNull(), col.rlike(WHOLE) & F.trim(col).try_cast("bigint").isNotNull())
         checks += [
@@ -49,20 +51,21 @@ def infer_types(df: DataFrame) -> dict[str, str]:
             F.bool_and(col.rlike(REAL)).alias(f"r{i}"),
             F.bool_and(col.isin([*TRUE_TOKENS, *FALSE_TOKENS])).alias(f"b{i}"),
         ]
-    if not checks:
+    return checks
+
+
+def checked_type(i: int) -> Column:
+    """The first type of the ladder that fits, out of the aggregates of column i."""
+    real = F.col(f"r{i}") | F.col(f"r{i}").isNull()
+    return F.when(F.col(f"w{i}"), "bigint").when(real, "double").when(F.col(f"b{i}"), "boolean").otherwise("string")
+
+
+def infer_types(df: DataFrame) -> dict[str, str]:
+    """The first type of the ladder that fits every value of each text column, in one pass."""
+    if not df.columns:
         return {}
-    found = df.agg(*checks).first()
-    kinds = {}
-    for i, name in enumerate(df.columns):
-        if found[f"w{i}"]:
-            kinds[name] = "bigint"
-        elif found[f"r{i}"] or found[f"r{i}"] is None:
-            kinds[name] = "double"
-        elif found[f"b{i}"]:
-            kinds[name] = "boolean"
-        else:
-            kinds[name] = "string"
-    return kinds
+    kinds = [checked_type(i).alias(f"k{i}") for i in range(len(df.columns))]
+    return dict(zip(df.columns, df.agg(*type_checks(df.columns)).select(*kinds).first(), strict=True))
 
 
 def apply_types(df: DataFrame, kinds: dict[str, str]) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions.paths import FORMATS, detect_format, is_supported, output_name
 from tidewell.operators.ordering import with_position
-from tidewell.plans import ingest
+from tidewell.plans import bulk, ingest
 from tidewell.session import shared_folder
 from tidewell.sources import json_docs, listing, sinks, tabular, types
 from tidewell.streaming import incremental
@@ -290,6 +290,24 @@ def csv_two_headers(t):
     return first.unionByName(second)
 
 
+@query("""
+    WITH o AS (SELECT *, o_orderkey % 3 = 0 AS swapped FROM orders)
+    SELECT 'completed' AS status, CASE WHEN swapped THEN 'id:bigint price:double score:bigint' ELSE 'id:bigint note:string' END AS columns,
+           count(*) AS rows, sum(o_orderkey)::BIGINT AS ids, 0::BIGINT AS rejected FROM o GROUP BY swapped""")
+def convert_many_files(t):
+    """Files of two headers, converted together; the report and the rows of all tables."""
+    raw, out = shared_folder(t.spark, "many-raw"), shared_folder(t.spark, "many-out")
+    id_, swapped = F.col("o_orderkey").alias("id"), F.col("o_orderkey") % 3 == 0
+    note = F.concat(F.lit("a\n"), "o_orderpriority").alias("note")
+    for rows in (t("orders").where(swapped).select(F.col("o_custkey").alias("score"), id_, F.col("o_totalprice").alias("price")), t("orders").where(~swapped).select(id_, note)):
+        rows.write.options(header=True, maxRecordsPerFile=4000, escape='"').mode("append").csv(raw)
+    report = bulk.convert_many(t.spark, raw, out)
+    columns = F.array_join(F.array_sort(F.transform(F.map_entries("schema"), lambda e: F.concat_ws(":", e["key"], e["value"]))), " ")
+    told = report.groupBy("status", columns.alias("columns")).agg(F.sum("rows").alias("rows"), F.sum("rejected").alias("rejected"))
+    ids = t.spark.read.schema(f"id bigint, {listing.OUTPUT} string").parquet(out).join(report.select("output", columns.alias("columns")), F.col(listing.OUTPUT) == F.col("output"))
+    return told.join(ids.groupBy("columns").agg(F.sum("id").alias("ids")), "columns")
+
+
 @query("""
     SELECT event_id, value, NULL::BIGINT AS part, NULL::VARCHAR AS name FROM events
     UNION ALL SELECT NULL, NULL, p_partkey, p_name FROM part
