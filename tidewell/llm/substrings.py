@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm.shared import by_bytes, id_filter, in_filter, packed, pair, stored, word_hashes
+from tidewell.llm.shared import by_bytes, id_filter, in_filter, mix, packed, pair, stored, word_hashes
 from tidewell.session import released
 
 # Bytes of text whose windows meet in one bucket, on average.
@@ -169,26 +169,40 @@ def _unpacked(table: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray,
     return np.concatenate(docs), np.concatenate(codes), np.concatenate([np.frombuffer(h, np.uint64) for h in table["hashes"].to_pylist()])
 
 
-def _met(table: pa.Table) -> pa.Table:
-    """Windows of a bucket that repeat; a code is 2 * start, plus 1 if a smaller document has the window."""
+def _met(table: pa.Table, homes: int) -> pa.RecordBatch:
+    """Windows of a bucket that repeat, packed per home of their documents; a code is 2 * start, plus 1 if a smaller document has the window."""
     docs, codes, hashes = _unpacked(table)
-    if table["bucket"][0].as_py() < 0:
-        return _per_doc(docs, codes, hashes)
-    order = np.argsort(hashes, kind="stable")
-    docs, codes, hashes = docs[order], codes[order], hashes[order]
-    head = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
-    counts = np.diff(np.append(head, len(hashes)))
-    later = docs > np.repeat(np.minimum.reduceat(docs, head), counts)
-    repeated = np.repeat(np.logical_or.reduceat(later | (codes & 1 == 1), head), counts)
-    return _per_doc(docs[repeated], codes[repeated] & ~1 | later[repeated], hashes[repeated])
+    if table["bucket"][0].as_py() >= 0:
+        order = np.argsort(hashes, kind="stable")
+        docs, codes, hashes = docs[order], codes[order], hashes[order]
+        head = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+        counts = np.diff(np.append(head, len(hashes)))
+        later = docs > np.repeat(np.minimum.reduceat(docs, head), counts)
+        repeated = np.repeat(np.logical_or.reduceat(later | (codes & 1 == 1), head), counts)
+        docs, codes, hashes = docs[repeated], codes[repeated] & ~1 | later[repeated], hashes[repeated]
+    if not len(docs):
+        return _batch([])
+    ids, at = np.unique(docs, return_inverse=True)
+    home = (mix(ids.view(np.uint64)) % np.uint64(homes)).astype(np.int64)[at]
+    order = np.lexsort((at, home))
+    home, at, codes, hashes = home[order], at[order], codes[order], hashes[order]
+    cuts = np.append(np.flatnonzero(np.diff(home, prepend=-1)), len(home))
+    return _batch([_message(int(home[a]), ids, at[a:b], codes[a:b], hashes[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)])
+
 
+def _gathered(table: pa.Table) -> pa.Table:
+    """The repeated windows of the documents of a home, out of all buckets."""
+    return _per_doc(*_unpacked(table))
 
-def _repeated(messages: DataFrame) -> DataFrame:
-    """`doc_id`, `parts`: the windows that occur in several documents."""
-    columns = "doc_id bigint, codes binary, hashes binary"
-    met = messages.groupBy("bucket").applyInArrow(_met, columns)
-    # The parts of a document hold each of its windows once, so a row is bounded by its own text.
-    return met.groupBy("doc_id").agg(F.expr("collect_list(struct(codes, hashes)) as parts"))
+
+def _repeated(messages: DataFrame, homes: int) -> DataFrame:
+    """`doc_id`, `parts`: the windows that occur in several documents.
+
+    Buckets and homes exchange packed blocks, so the rows that are shuffled follow the blocks, not the windows.
+    """
+    met = messages.groupBy("bucket").applyInArrow(lambda table: pa.Table.from_batches([_met(table, homes)]), MESSAGE)
+    found = met.groupBy("bucket").applyInArrow(_gathered, "doc_id bigint, codes binary, hashes binary")
+    return found.select("doc_id", F.array(F.struct("codes", "hashes")).alias("parts"))
 
 
 def _digest(words: list[bytes]) -> str:
@@ -267,11 +281,12 @@ def repeated_windows(docs: DataFrame, n: int = 13) -> DataFrame:
     named = docs.where("doc_id is not null")
     size = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # First the half-length windows that stand for the others: a fifth to a quarter of all windows.
-    anchors = stored(_repeated(named.mapInArrow(_with(_text_anchors, n, _buckets(spark, size // 4)), MESSAGE)), "anchors")
+    quarter, whole = _buckets(spark, size // 4), _buckets(spark, size)
+    anchors = stored(_repeated(named.mapInArrow(_with(_text_anchors, n, quarter), MESSAGE), quarter), "anchors")
     # Texts are not written again: they are read once more through a filter of the ids that a level found.
     texts = lambda ids: named.select("doc_id", "text").mapInArrow(_with(_chosen, id_filter(ids, "doc_id")), "doc_id bigint, text string")
-    windows = texts(anchors).join(anchors, "doc_id").mapInArrow(_with(_anchored_windows, n, _buckets(spark, size)), MESSAGE)
-    level = stored(_repeated(windows), "repeats")
+    windows = texts(anchors).join(anchors, "doc_id").mapInArrow(_with(_anchored_windows, n, whole), MESSAGE)
+    level = stored(_repeated(windows, whole), "repeats")
     released(anchors)
     cut = stored(texts(level).join(level, "doc_id").mapInArrow(
         _with(_cut, n), "doc_id bigint, kept_sha256 string, kept_text string, n_removed bigint, cut_sha256 string, spans array<struct<start: bigint, end: bigint>>",
@@ -281,7 +296,8 @@ def repeated_windows(docs: DataFrame, n: int = 13) -> DataFrame:
         size = level.agg(F.sum(F.expr("aggregate(parts, 0L, (total, part) -> total + octet_length(part.hashes))"))).first()[0]
         if not size:
             break
-        longer = stored(_repeated(level.mapInArrow(_with(_longer_windows, length, _buckets(spark, size)), MESSAGE)), "repeats")
+        buckets = _buckets(spark, size)
+        longer = stored(_repeated(level.mapInArrow(_with(_longer_windows, length, buckets), MESSAGE), buckets), "repeats")
         released(level)
         level, length = longer, 2 * length
         longest = longest.unionByName(stored(level.select("doc_id", F.lit(length).alias("length")), "lengths"))
