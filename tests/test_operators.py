@@ -241,6 +241,18 @@ def test_attention_shuffles_less_than_the_square(spark):
     assert first == 50_000 and 5 < last <= 6
 
 
+@pytest.mark.parametrize("shape", ["normal", "far", "two"])
+def test_density_is_exact(spark, shape):
+    rng = np.random.default_rng(3)
+    values = {"normal": rng.normal(5, 2, 700), "far": np.concatenate([rng.normal(0, 1, 500), [1e4, -3e4]]), "two": np.array([1.0, 4.0])}[shape]
+    got = explore.density(spark.createDataFrame([(float(v),) for v in [*values]] + [(None,)], "v double"), "v", 50).orderBy("point").collect()
+    grid = np.linspace(values.min(), values.max(), 50)
+    h = values.std(ddof=1) * len(values) ** -0.2
+    want = np.exp(-0.5 * ((grid[:, None] - values) / h) ** 2).sum(1) / (len(values) * h * math.sqrt(2 * math.pi))
+    assert np.allclose([r["x"] for r in got], grid)
+    assert np.abs(np.array([r["density"] for r in got]) - want).max() < 1e-12 / h
+
+
 def test_temporal_block_ends_in_relu(spark):
     kernel = [[[float(i == j) for j in range(4)] for i in range(4)]]
     out = temporal.temporal_block(series(spark), ["s"], ["t"], "x", kernel, activation="tanh").collect()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -72,42 +73,53 @@ def histogram(df: DataFrame, value: str, bins: int = 50) -> DataFrame:
     )
 
 
+# Terms of a box's expansion, and how far it reaches, in bandwidths: beyond, a kernel is below 3e-18 of its peak. Within,
+# (x / 2)^20 / 20! * exp(-x^2 / 2) is below 2e-16, so a density is off by less than 1e-10 of the peak for any data.
+MOMENTS, REACH = 20, 9
+
+
+def _moments(d: Column) -> list[Column]:
+    """Sums over the values of a box of exp(-d^2 / 2) d^k / k!, where d is the distance from its middle."""
+    kernel, out = F.exp(-0.5 * d * d), []
+    squares = [d]
+    while 1 << len(squares) < MOMENTS:
+        squares.append(squares[-1] * squares[-1])
+    for k in range(MOMENTS):
+        term = kernel
+        for i, square in enumerate(squares):
+            term = term * square if k >> i & 1 else term
+        out.append(F.sum(term / math.factorial(k)).alias(f"m{k}"))
+    return out
+
+
 def density(df: DataFrame, value: str, points: int = 200) -> DataFrame:
     """Gaussian kernel density on an even grid over [min, max], bandwidth std * n^(-1/5).
 
     Fewer than two different values have no density, and the result no rows.
 
-    One pass: each task keeps one running sum per grid point, so that only `points` numbers per
-    task are shuffled, however many rows there are.
+    A fast Gauss transform: the values of a box, one bandwidth wide, are reduced to `MOMENTS` sums, in one pass and before any shuffle, so
+    the cost of a row does not depend on the number of points. Each box then adds its expansion to the points within `REACH` bandwidths.
     """
     extent = _extent(df, value)
     low, step = extent["low"], (extent["high"] - extent["low"]) / (points - 1)
     bandwidth = extent["std"] * F.pow(extent["n"], F.lit(-0.2))
     known = df.filter(F.col(value).isNotNull() & (extent["std"] > 0))
-    scaled = known.select(F.try_divide(F.col(value) - low, bandwidth).alias("v"), F.try_divide(step, bandwidth).alias("step"))
-
-    def kernel_sums(batches):
-        import numpy as np
-        import pyarrow as pa
-
-        sums, seen = np.zeros(points), False
-        for batch in batches:
-            values = batch.column("v").to_numpy()
-            if not len(values):
-                continue
-            seen = True
-            grid = np.arange(points) * batch.column("step")[0].as_py()
-            for start in range(0, len(values), 4096):
-                u = grid[:, None] - values[None, start : start + 4096]
-                sums += np.exp(-0.5 * u * u).sum(axis=1)
-        if seen:
-            yield pa.RecordBatch.from_pydict({"point": np.arange(points, dtype=np.int32), "sum": sums})
-
-    sums = scaled.mapInArrow(kernel_sums, "point int, sum double")
+    placed = known.select(F.try_divide(F.col(value) - low, bandwidth).alias("v")).withColumn("box", F.floor("v"))
+    boxes = placed.groupBy("box").agg(*_moments(F.col("v") - F.col("box") - 0.5))
+    middle, width = F.col("box") + 0.5, F.try_divide(step, bandwidth)
+    first = F.greatest(F.ceil((middle - REACH) / width), F.lit(0)).cast("int")
+    last = F.least(F.floor((middle + REACH) / width), F.lit(points - 1)).cast("int")
+    # Boxes between two points that are further apart than a box reaches meet none.
+    near = boxes.where(first <= last).withColumn("point", F.explode(F.sequence(first, last)))
+    x = F.col("point") * width - middle
+    series = F.col(f"m{MOMENTS - 1}")
+    for k in range(MOMENTS - 2, -1, -1):
+        series = series * x + F.col(f"m{k}")
+    sums = near.select("point", (F.exp(-0.5 * x * x) * series).alias("part")).groupBy("point").agg(F.sum("part").alias("__sum"))
+    grid = df.sparkSession.range(points).where(extent["std"] > 0).select(F.col("id").cast("int").alias("point"))
     scale = extent["n"] * bandwidth * F.sqrt(F.lit(2.0) * F.pi())
-    return sums.groupBy("point").agg(F.sum("sum").alias("__sum")).select(
-        "point", (low + step * F.col("point")).alias("x"), F.try_divide(F.col("__sum"), scale).alias("density")
-    )
+    return grid.join(sums, "point", "left").select(
+        "point", (low + step * F.col("point")).alias("x"), F.try_divide(F.coalesce("__sum", F.lit(0.0)), scale).alias("density"))
 
 
 def _fences(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:

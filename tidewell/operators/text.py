@@ -159,6 +159,11 @@ def words(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, f"[{BLANKS}]+"))
 
 
+def word_count(text: Column) -> Column:
+    """The number of `words`, without an array of them."""
+    return F.regexp_count(text, F.lit(f"[^{BLANKS}]+"))
+
+
 def with_markers(tokens: Column, start: str | None = START, end: str | None = END) -> Column:
     parts = [F.array(F.lit(start))] if start else []
     parts.append(tokens)
