@@ -1,5 +1,7 @@
 """Positions, frames and quantiles under heavy skew, against pandas."""
 
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -92,6 +94,18 @@ def test_quantiles(spark, small_tasks, seed):
     np.testing.assert_allclose([whole["m"], whole["q"]], frame["v"].quantile([0.5, 0.9]), atol=1e-9)
 
 
+def test_quantiles_of_odd_numbers(spark, small_tasks):
+    """Zeros of both signs, infinities and very small numbers in a group that no task may hold."""
+    values = [0.0, -0.0, float("inf"), float("-inf"), 5e-324, -5e-324, 1e308, -1e308, 1.0, -1.0] * 9
+    df = spark.createDataFrame([(None, v) for v in values], "g string, v double")
+    found = group_quantiles(df, ["g"], "v", {"low": 0.0, "q1": 0.25, "m": 0.5, "q3": 0.75, "high": 1.0}).first()
+    ordered = sorted(values)
+    assert (found["low"], found["m"], found["high"]) == (float("-inf"), 0.0, float("inf"))
+    assert (found["q1"], found["q3"]) == pytest.approx((np.quantile(ordered, 0.25), np.quantile(ordered, 0.75)))
+    top = group_quantiles(spark.createDataFrame([(float(i % 50),) for i in range(90)] + [(float("nan"),)], "v double"), [], "v", {"high": 1.0}).first()
+    assert math.isnan(top["high"])
+
+
 def test_quantiles_leave_nulls_out(spark, small_tasks):
     df = spark.createDataFrame([(i % 2, float(i) if i % 5 else None) for i in range(400)], "g int, v double")
     got = {r["g"]: (r["n"], r["m"]) for r in group_quantiles(df, ["g"], "v", {"m": 0.5}).collect()}
