@@ -6,7 +6,7 @@ import re
 from collections.abc import Sequence
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,8 +51,7 @@ def file_shapes(spark: SparkSession, path: str | Sequence[str], glob: str | None
         F.when(F.col("scalars"), "scalars").when(2 * F.col("documents") >= F.col("n"), "lines")
         .when(F.col("first") == "{", "object").when(F.col("first") == "[", "list").otherwise("none"))
     found = found.select("file", shape.alias("shape"))
-    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
-    large = reader.format("binaryFile").load(path).where(F.col("length") > LINE_BYTES).select(F.col("_metadata.file_path").alias("file"))
+    large = _large_files(spark, path, glob)
     if large.isEmpty():
         return found
     found = settled(found, "json-shapes")
@@ -66,11 +65,34 @@ def file_shapes(spark: SparkSession, path: str | Sequence[str], glob: str | None
 
 
 def _text(spark: SparkSession, path: str | Sequence[str], glob: str | None, longest: int | None = None) -> DataFrame:
-    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    reader = _reader(spark, glob)
     # Hadoop's reader of lines leaves out those that are longer.
     return (reader.option("mapreduce.input.linerecordreader.line.maxlength", longest) if longest else reader).text(path)
 
 
+def _reader(spark: SparkSession, glob: str | None) -> DataFrameReader:
+    return spark.read.option("pathGlobFilter", glob) if glob else spark.read
+
+
+def _large_files(spark: SparkSession, path: str | Sequence[str], glob: str | None) -> DataFrame:
+    """`file`: those that may have a line of more than `LINE_BYTES`; only their sizes are read."""
+    return _reader(spark, glob).format("binaryFile").load(path).where(F.col("length") > LINE_BYTES).select(F.col("_metadata.file_path").alias("file"))
+
+
+def _lines_alone(spark: SparkSession, path: str | Sequence[str], glob: str | None) -> DataFrame | None:
+    """The rows, if every line of every file is a document: one pass finds that and the types. None if it is not so."""
+    large = _large_files(spark, path, glob)
+    if not large.isEmpty():
+        short = _text(spark, path, glob, LINE_BYTES).select(F.col("_metadata.file_path").alias("file")).distinct()
+        if not large.join(short, "file", "left_anti").isEmpty():
+            return None
+    schema = _reader(spark, glob).json(path).schema
+    damaged = spark.conf.get("spark.sql.columnNameOfCorruptRecord", "_corrupt_record")
+    if not schema.names or damaged in schema.names:
+        return None
+    return _reader(spark, glob).schema(schema).json(path)
+
+
 def read_json(spark: SparkSession, path: str | Sequence[str], glob: str | None = None) -> DataFrame:
     """Rows of JSON lines, an array of records, columns of lists, one object, or a list of scalars.
 
@@ -78,6 +100,9 @@ def read_json(spark: SparkSession, path: str | Sequence[str], glob: str | None =
     Damaged lines of a file of lines stay in `_corrupt_record`. A document that runs over several lines is cut into its elements by ranges; damage in it, or
     anything after it, fails.
     """
+    lines = _lines_alone(spark, path, glob)
+    if lines is not None:
+        return lines
     shapes = file_shapes(spark, path, glob)
     kinds = {r["shape"]: r["n"] for r in shapes.groupBy("shape").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not kinds or "none" in kinds:
@@ -98,9 +123,8 @@ def read_json(spark: SparkSession, path: str | Sequence[str], glob: str | None =
 
 
 def _read_shape(spark: SparkSession, path: str | Sequence[str], glob: str | None, kind: str) -> list[DataFrame]:
-    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
     if kind == "lines":
-        return [reader.json(path)]
+        return [_reader(spark, glob).json(path)]
     if kind == "scalars":
         return [scalars_to_rows(_text(spark, path, glob).where(F.trim("value") != ""))]
     if kind == "object":
