@@ -14,7 +14,7 @@ from tidewell.llm.shared import by_bytes, id_filter, in_filter, mix, packed, pai
 from tidewell.session import released
 
 # Bytes of text whose windows meet in one bucket, on average.
-BUCKET_BYTES = 4 << 20
+BUCKET_BYTES = 2 << 20
 # Characters of text whose windows are merged before they are sent.
 MESSAGE_BYTES = 1 << 20
 # Documents whose repeated windows are held at a time.
@@ -101,7 +101,7 @@ def _placed(ids: list[int], texts: list[str | None], n: int) -> tuple[np.ndarray
 
 
 def _text_anchors(batches: Iterator[pa.RecordBatch], n: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (b.slice(at, 8 * SLICE_ROWS) for b in batches for at in range(0, len(b), 8 * SLICE_ROWS)):
         for ids, texts in by_bytes(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), MESSAGE_BYTES):
             docs, starts, anchors, _ = _placed(ids, texts, n)
             turn = np.ones(len(anchors), bool)
