@@ -13,7 +13,7 @@ from collections.abc import Iterator
 from functools import partial
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewell.operators.features import RECORD
@@ -260,9 +260,9 @@ def read_tfrecord(
     found = spark.read.format("tfrecord_examples").option("verify", str(verify).lower()).option("splitBytes", str(split_bytes)).load(path)
     if counts.where("begin > 0").isEmpty():
         return found.drop("begin")
-    own, before = counts.select(F.col("file").alias("f"), F.col("begin").alias("b")), counts.alias("c")
-    # As many pairs as ranges of a file, squared; a range is tens of megabytes.
-    starts = own.join(before, (F.col("f") == F.col("c.file")) & (F.col("c.begin") < F.col("b")), "left").groupBy("f", "b").agg(F.coalesce(F.sum("c.n"), F.lit(0)).alias("start"))
+    # A file has as many rows as ranges, of tens of megabytes each.
+    earlier = Window.partitionBy("file").orderBy("begin").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(F.col("file").alias("f"), F.col("begin").alias("b"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
     joined = found.join(settled(starts, "frame-starts"), (F.col("file") == F.col("f")) & (F.col("begin") == F.col("b")))
     return joined.select("file", (F.col("index") + F.col("start")).alias("index"), "record")
 
