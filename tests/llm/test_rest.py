@@ -3,6 +3,7 @@
 import base64
 import gzip
 import hashlib
+import math
 import textwrap
 import zlib
 from collections import defaultdict
@@ -17,7 +18,7 @@ from tokenizers import Tokenizer
 import corpus
 import corpus_pipeline
 from fixtures import docs, empty, odd, pairs  # noqa: F401
-from tidewell.llm import licenses, mixing, packing, quality, toxicity, warc
+from tidewell.llm import licenses, mixing, packing, quality, shared, toxicity, warc
 from tidewell.session import shared_folder
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -345,3 +346,38 @@ def test_pipeline_of_odd_and_no_rows(spark, odd, empty):
             state = corpus_pipeline.settled(stage(spark, state, ""), name)
         assert state.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
         assert start is odd or state.count() == 0
+
+
+def plain_score(text, table, bias):
+    """The score of one text by the definition: shares of hashed n-grams of its damped words, times what each is worth."""
+    counts = {}
+    for word in (text or "").lower().split():
+        counts[word] = counts.get(word, 0) + 1
+    total = n = 0
+    for word, times in counts.items():
+        padded = f" {word} "
+        for size in toxicity.GRAMS:
+            for at in range(len(padded) - size + 1):
+                value = 0
+                for c in padded[at : at + size]:
+                    value = (value * int(shared.LEFT) + ord(c) + 1) % (1 << 64)
+                bucket = int(shared.mix(np.array([value], np.uint64))[0]) % toxicity.BUCKETS
+                repeats = math.isqrt(times)
+                total += repeats * float(table[bucket])
+                n += repeats
+    return 1 / (1 + math.exp(-(total / (toxicity.PRIOR + n) + bias)))
+
+
+def test_toxicity_score_by_its_definition():
+    rng = np.random.default_rng(8)
+    table = rng.normal(0, 40, toxicity.BUCKETS).astype(np.float32)
+    texts = ["You Fool you", "", None, "a bb ccc dddd", "same " * 30 + "other", "\u00dcber x"]
+    assert np.allclose(toxicity.score(texts, table, 0.3), [plain_score(t, table, 0.3) for t in texts], atol=1e-9)
+
+
+def test_toxicity_learns_from_one_text_per_label(spark):
+    docs = spark.createDataFrame([(i % 4, f"text {i}") for i in range(40)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(4)], "doc_id bigint, toxic int")
+    texts, toxic = toxicity.sample(docs, labels)
+    known = [i for i in range(4) if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert len(texts) == len(known) and toxic.tolist() == [i % 2 for i in known]

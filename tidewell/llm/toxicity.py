@@ -144,7 +144,9 @@ def sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], np.ndarray]:
     chosen = known.where("toxic = 1").orderBy(*order).limit(SAMPLE_TOXIC).unionByName(known.where("toxic = 0").orderBy(*order).limit(SAMPLE_CLEAN))
     texts = docs.where(F.char_length("text") <= SAMPLE_CHARS).select("doc_id", "text")
     # The broadcast side has at most SAMPLE_TOXIC + SAMPLE_CLEAN rows of two numbers.
-    rows = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).select("doc_id", "toxic", "text").collect()
+    known = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
+    # One text per label, whatever shares its id: what is collected is bounded in rows as well.
+    rows = known.groupBy("doc_id", "toxic").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["toxic"], r["text"]))
     return [r["text"] for r in rows], np.array([r["toxic"] for r in rows], np.int64)
 
