@@ -19,6 +19,8 @@ BUCKET_BYTES = 2 << 20
 MESSAGE_BYTES = 1 << 20
 # Documents whose repeated windows are held at a time.
 SLICE_ROWS = 128
+# Rows that Spark and a Python task hand each other at a time: texts and their windows are wide.
+BATCH_KEY, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "1000"
 MESSAGE = "bucket int, docs binary, counts binary, codes binary, hashes binary"
 
 
@@ -278,6 +280,23 @@ def repeated_windows(docs: DataFrame, n: int = 13) -> DataFrame:
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    before = spark.conf.get(BATCH_KEY)
+    spark.conf.set(BATCH_KEY, BATCH_ROWS)
+    try:
+        cut, top = _levels(docs, n)
+    finally:
+        spark.conf.set(BATCH_KEY, before)
+    done = docs.mapInArrow(_counted, "doc_id bigint, n_words bigint, kept_sha256 string")
+    return done.join(cut.join(top, "doc_id"), ["doc_id", "kept_sha256"], "left").select(
+        "doc_id", "n_words", F.coalesce("n_removed", F.lit(0).cast("bigint")).alias("n_removed"),
+        F.coalesce("cut_sha256", "kept_sha256").alias("kept_sha256"),
+        F.when(F.col("n_removed") > 0, F.col("kept_text")).alias("kept_text"), "spans", F.coalesce("longest", F.lit(0)).alias("longest"),
+    )
+
+
+def _levels(docs: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
+    """What the level of n words cuts out of each text that has repeats, and the longest tried length that repeats in each document."""
+    spark = docs.sparkSession
     named = docs.where("doc_id is not null")
     size = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # First the half-length windows that stand for the others: a fifth to a quarter of all windows.
@@ -302,11 +321,5 @@ def repeated_windows(docs: DataFrame, n: int = 13) -> DataFrame:
         level, length = longer, 2 * length
         longest = longest.unionByName(stored(level.select("doc_id", F.lit(length).alias("length")), "lengths"))
     top = longest.groupBy("doc_id").agg(F.max("length").alias("longest"))
-    done = docs.mapInArrow(_counted, "doc_id bigint, n_words bigint, kept_sha256 string")
     # Rows that repeat an id and a text are cut alike, and joined once.
-    cut = cut.dropDuplicates(["doc_id", "kept_sha256"])
-    return done.join(cut.join(top, "doc_id"), ["doc_id", "kept_sha256"], "left").select(
-        "doc_id", "n_words", F.coalesce("n_removed", F.lit(0).cast("bigint")).alias("n_removed"),
-        F.coalesce("cut_sha256", "kept_sha256").alias("kept_sha256"),
-        F.when(F.col("n_removed") > 0, F.col("kept_text")).alias("kept_text"), "spans", F.coalesce("longest", F.lit(0)).alias("longest"),
-    )
+    return cut.dropDuplicates(["doc_id", "kept_sha256"]), top
