@@ -257,8 +257,13 @@ def _with(fn: Callable, *args: object) -> Callable:
     return lambda batches: fn(batches, *args)
 
 
+def _homes(size: int) -> int:
+    """Homes of documents follow the input alone: buckets and homes exchange as many blocks as there are pairs of them."""
+    return max(1, -(-size // BUCKET_BYTES))
+
+
 def _buckets(spark: SparkSession, size: int) -> int:
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), _homes(size))
 
 
 def repeated_windows(docs: DataFrame, n: int = 13) -> DataFrame:
@@ -301,11 +306,11 @@ def _levels(docs: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
     size = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # First the half-length windows that stand for the others: a fifth to a quarter of all windows.
     quarter, whole = _buckets(spark, size // 4), _buckets(spark, size)
-    anchors = stored(_repeated(named.mapInArrow(_with(_text_anchors, n, quarter), MESSAGE), quarter), "anchors")
+    anchors = stored(_repeated(named.mapInArrow(_with(_text_anchors, n, quarter), MESSAGE), _homes(size // 4)), "anchors")
     # Texts are not written again: they are read once more through a filter of the ids that a level found.
     texts = lambda ids: named.select("doc_id", "text").mapInArrow(_with(_chosen, id_filter(ids, "doc_id")), "doc_id bigint, text string")
     windows = texts(anchors).join(anchors, "doc_id").mapInArrow(_with(_anchored_windows, n, whole), MESSAGE)
-    level = stored(_repeated(windows, whole), "repeats")
+    level = stored(_repeated(windows, _homes(size)), "repeats")
     released(anchors)
     cut = stored(texts(level).join(level, "doc_id").mapInArrow(
         _with(_cut, n), "doc_id bigint, kept_sha256 string, kept_text string, n_removed bigint, cut_sha256 string, spans array<struct<start: bigint, end: bigint>>",
@@ -316,7 +321,7 @@ def _levels(docs: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
         if not size:
             break
         buckets = _buckets(spark, size)
-        longer = stored(_repeated(level.mapInArrow(_with(_longer_windows, length, buckets), MESSAGE), buckets), "repeats")
+        longer = stored(_repeated(level.mapInArrow(_with(_longer_windows, length, buckets), MESSAGE), _homes(size)), "repeats")
         released(level)
         level, length = longer, 2 * length
         longest = longest.unionByName(stored(level.select("doc_id", F.lit(length).alias("length")), "lengths"))
