@@ -7,8 +7,10 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tidewell.operators import text
 from tidewell.operators.ordering import hot_groups, over_frames, range_starts, ranged, with_position
 from tidewell.operators.quantiles import group_quantiles
+from tidewell.session import TASK_BYTES_KEY
 
 
 def skewed(spark, seed):
@@ -37,6 +39,23 @@ def test_position_in_group(spark, small_tasks, seed):
     assert got["pos"].tolist() == want.tolist()
 
 
+def test_wide_rows_are_placed_by_several_tasks(spark):
+    """Rows far below the row limit, whose texts are above the byte limit."""
+    rows = [(i, "x y " * 500) for i in range(60)]
+    df = spark.createDataFrame(rows, "id int, s string").repartition(4)
+    spark.conf.set(TASK_BYTES_KEY, "20000")
+    try:
+        placed = with_position(df, ["id"])
+        assert [(r["id"], r["pos"]) for r in placed.orderBy("id").collect()] == [(i, i) for i in range(60)]
+        held = placed.select(F.spark_partition_id().alias("p")).groupBy("p").count().agg(F.max("count")).first()[0]
+        assert held < 30
+        assert hot_groups(df, []) is None
+        batches = text.padded_batches(df, text.words(F.col("s")), ["id"], 7)
+        assert {(r["batch"], len(r["padded"]["input"])) for r in batches.collect()} == {(i // 7, 1000) for i in range(60)}
+    finally:
+        spark.conf.unset(TASK_BYTES_KEY)
+
+
 def test_position_over_all_rows(spark, small_tasks):
     frame, df = skewed(spark, 5)
     got = by_id(with_position(df, ["v", "id"]), "pos")

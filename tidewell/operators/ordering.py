@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidewell.session import settled, task_rows
+from tidewell.session import settled, task_bytes, task_rows
 
 _CHUNK = "__chunk"
 _POS = "__pos"
@@ -26,14 +27,31 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def hot_groups(df: DataFrame, group: Sequence[str]) -> tuple[DataFrame, int] | None:
+def _text_bytes(df: DataFrame) -> Column | None:
+    """Bytes of the texts of a row, which are what makes rows wide; None without text columns."""
+    sizes = []
+    for f in df.schema:
+        col, kind = F.col(quoted(f.name)), f.dataType
+        if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StringType):
+            col, kind = F.array_join(col, " "), kind.elementType
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            sizes.append(F.coalesce(F.octet_length(col), F.lit(0)).cast("bigint"))
+    return sum(sizes[1:], sizes[0]) if sizes else None
+
+
+def hot_groups(df: DataFrame, group: Sequence[str], whole: bool = False) -> tuple[DataFrame, int] | None:
     """Groups too large for one task (`__g0`, ..., `__rows`) and their rows together, or None when there are none.
 
     One counting job over the group columns alone, and a second one where there are hot groups: their list is written, so
     Spark knows its size when it joins it. Without group columns the whole frame is the group.
+
+    With `whole` the task gets whole rows: the texts are measured too, and wide rows count as several (`task_bytes` of them as `task_rows`).
     """
-    limit = task_rows(df.sparkSession)
-    sizes = df.groupBy(*map(quoted, group)).agg(F.count(F.lit(1)).alias("__rows"))
+    limit, rows = task_rows(df.sparkSession), F.count(F.lit(1))
+    wide = _text_bytes(df) if whole else None
+    if wide is not None:
+        rows = F.greatest(rows, F.ceil(F.sum(wide) * (limit / task_bytes(df.sparkSession))))
+    sizes = df.groupBy(*map(quoted, group)).agg(rows.alias("__rows"))
     if (sizes.agg(F.max("__rows")).first()[0] or 0) <= limit:
         return None
     keys = [F.col(quoted(g)).alias(f"__g{i}") for i, g in enumerate(group)]
@@ -70,7 +88,7 @@ def with_position(
     df: DataFrame, order: Sequence[str], group: Sequence[str] = (), name: str = "pos"
 ) -> DataFrame:
     """Add the 0-based rank of each row in its group. `order` must be a total order."""
-    return _positions(df, order, group, name, hot_groups(df, group))
+    return _positions(df, order, group, name, hot_groups(df, group, whole=True))
 
 
 def _positions(

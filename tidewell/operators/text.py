@@ -207,10 +207,14 @@ def with_batches(df: DataFrame, order: Sequence[str], size: int = 32, name: str
 
 
 def padded_batches(
-    df: DataFrame, tokens: str, order: Sequence[str], size: int = 32, pad: str = PAD, out: str = "padded"
+    df: DataFrame, tokens: str | Column, order: Sequence[str], size: int = 32, pad: str = PAD, out: str = "padded"
 ) -> DataFrame:
-    """Mini-batches with each row padded to the longest of its own batch: one long text widens one batch only."""
-    placed = with_batches(df, order, size)
-    longest = placed.groupBy("batch").agg(F.max(F.size(tokens)).alias("__width")).withColumnRenamed("batch", "__batch")
-    joined = placed.join(longest, F.col("batch") == F.col("__batch"))
-    return joined.withColumn(out, padded(F.col(tokens), F.col("__width"), pad)).drop("__batch", "__width")
+    """Mini-batches with each row padded to the longest of its own batch: one long text widens one batch only.
+
+    `tokens` may be an expression, which is worked out once, when the rows are in their batches.
+    """
+    # A batch is dealt to one task, many batches to each.
+    dealt = with_batches(df, order, size).repartition("batch")
+    told = dealt.withColumn("__tokens", F.col(tokens) if isinstance(tokens, str) else tokens)
+    sized = told.withColumn("__width", F.max(F.size("__tokens")).over(Window.partitionBy("batch")))
+    return sized.withColumn(out, padded(F.col("__tokens"), F.col("__width"), pad)).drop("__tokens", "__width")

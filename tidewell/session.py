@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 # Rows that one ordered task may hold. Groups above it are split by `operators.ordering`.
 TASK_ROWS_KEY = "spark.tidewell.taskRows"
 TASK_ROWS = 1_000_000
+# Bytes of text that one ordered task may hold: wide rows are split earlier.
+TASK_BYTES_KEY = "spark.tidewell.taskBytes"
+TASK_BYTES = 64 << 20
 
 _roots: dict[str, str] = {}
 _places: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
@@ -39,6 +42,10 @@ def task_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(TASK_ROWS_KEY, str(TASK_ROWS)))
 
 
+def task_bytes(spark: SparkSession) -> int:
+    return int(spark.conf.get(TASK_BYTES_KEY, str(TASK_BYTES)))
+
+
 def _own_root(app: str) -> str:
     """One folder per application of a plain local master, removed when Python ends."""
     if app not in _roots:

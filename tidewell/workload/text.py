@@ -155,8 +155,7 @@ def pad_and_mask(t):
     m AS (SELECT *, max(len(k)) OVER (PARTITION BY batch) AS mx FROM w)
     SELECT doc_id, batch, mx::INTEGER AS length, len(k)::INTEGER AS mask_sum, md5(array_to_string(k || list_transform(range(mx - len(k)), lambda x: '[PAD]'), ' ')) AS digest FROM m""")
 def pad_batches(t):
-    tokens = t("documents").select("doc_id", ops.with_markers(ops.words(F.col("text"))).alias("tokens"))
-    out = ops.padded_batches(tokens, "tokens", ["doc_id"], 16)
+    out = ops.padded_batches(t("documents").select("doc_id", "text"), ops.with_markers(ops.words(F.col("text"))), ["doc_id"], 16)
     return out.select(
         "doc_id", "batch", F.size("padded.input").alias("length"), F.aggregate("padded.mask", F.lit(0), lambda a, v: a + v).alias("mask_sum"),
         F.md5(F.array_join("padded.input", " ")).alias("digest"))
