@@ -1,11 +1,16 @@
 """TFRecord scan and feature records."""
 
+import struct
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import tfrecord_fixture as tf
 from tidewell.operators import features
-from tidewell.sources.tfrecord import read_tfrecord, write_tfrecord
+from tidewell.sources.tfrecord import _checksums, read_tfrecord, write_tfrecord
+from tidewell.workload import Tables
+from tidewell.workload import profile as workload_profile
 
 
 @pytest.fixture
@@ -140,3 +145,28 @@ def test_written_records_read_back(spark, tmp_path):
     back = read_tfrecord(spark, str(tmp_path / "out"), verify=True).collect()
     got = sorted((r["record"]["a"]["ints"], bytes(r["record"]["s"]["bytes"][0]).decode(), r["record"]["f"]["floats"], r["record"]["e"]["ints"]) for r in back)
     assert got == [([i], f"é{i}", [i / 2], []) for i in range(50)]
+
+
+def test_checksums_of_many_pieces_at_once(spark, tmp_path):
+    pieces = [bytes((i * j + n) % 251 for j in range(n)) for i, n in enumerate([0, 1, 3, 4, 5, 8, 115, 1023, 1024, 1025, 5000, *range(60)])]
+    sizes = np.array([len(p) for p in pieces])
+    found = _checksums()[0](np.frombuffer(b"".join(pieces), np.uint8), np.cumsum(sizes) - sizes, sizes)
+    assert [struct.pack("<I", c) for c in found.tolist()] == [tf._crc(p) for p in pieces]
+
+
+def test_records_larger_than_a_read(spark, tmp_path):
+    """Files are read by megabytes; a record may be larger, and lie among small ones."""
+    sizes = [10, 5 << 20, 20, 4 << 20, 30]
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(sizes)], "i int, n int").select("i", F.repeat(F.lit("x"), F.col("n")).alias("s"))
+    write_tfrecord(features.to_records(df.coalesce(1), ["i", "s"]), str(tmp_path / "out"))
+    back = read_tfrecord(spark, str(tmp_path / "out"), verify=True, split_bytes=3 << 20)
+    rows = back.select("index", F.col("record")["i"]["ints"][0], F.length(F.col("record")["s"]["bytes"][0])).collect()
+    assert sorted(map(tuple, rows)) == [(i, i, n) for i, n in enumerate(sizes)]
+
+
+def test_more_rows_are_written_by_more_tasks(spark, tmp_path):
+    rows = spark.range(160_000).selectExpr("id AS event_id", "id AS user_id", "'a' AS event_type", "1.5D AS value")
+    rows.write.parquet(str(tmp_path / "events.parquet"))
+    found = workload_profile._tfrecords(Tables(spark, str(tmp_path)))
+    assert found.select("file").distinct().count() > 3
+    assert found.count() == 160_000

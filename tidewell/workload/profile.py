@@ -174,9 +174,11 @@ def flatten_lists(t):
 
 def _tfrecords(t):
     out = shared_folder(t.spark, "events-tfrecord")
-    tfrecord.write_tfrecord(features.to_records(t("events").repartition(3), _EVENT_FEATURES), out)
-    # Small ranges, so that files are read by several tasks.
-    return tfrecord.read_tfrecord(t.spark, out, verify=True, split_bytes=50_000)
+    rows = t("events").count()
+    # As many files as the rows need, three at least.
+    tfrecord.write_tfrecord(features.to_records(t("events").repartition(max(3, -(-rows // 50_000))), _EVENT_FEATURES), out)
+    # Small ranges, so that files are read by several tasks; larger ones for more rows, so that tasks are not only begun.
+    return tfrecord.read_tfrecord(t.spark, out, verify=True, split_bytes=min(max(50_000, 3 * rows), 16 << 20))
 
 
 @query("SELECT event_id, user_id, event_type, value::FLOAT::DOUBLE AS value FROM events")
