@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -361,3 +362,15 @@ def test_gain_shift_bias_and_activation(spark):
     assert one(spark, vectors.activated(y, "sigmoid")) == pytest.approx([1 / (1 + math.e), 1 / (1 + math.exp(-2))])
     with pytest.raises(ValueError):
         vectors.activated(y, "step")
+
+
+def test_codec_takes_texts_in_slices(spark, monkeypatch):
+    """Python holds some of the texts of a batch at a time; longer texts, empty ones and nulls have their ids."""
+    monkeypatch.setattr(text, "SLICE_BYTES", 50)
+    assert [len(a) for a in text._sliced(50)(pa.array(["x" * 20] * 5 + [None, "y" * 90, "é"]))] == [2, 2, 2, 1, 1]
+    texts = ["ab" * (i * 7 % 60) + "é" for i in range(90)] + [None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, s string").coalesce(1)
+    codec = text.CharCodec.of(text.char_vocabulary(df, "s"))
+    assert codec.chars == ("a", "b", "é")
+    got = {r["i"]: r["ids"] for r in df.select("i", codec.encode(F.col("s")).alias("ids")).collect()}
+    assert got == {i: None if s is None else [3, *["abé".index(c) for c in s], 3] for i, s in enumerate(texts)}

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +21,8 @@ WHITE_SPACE = (
 BLANKS = " \t\n\r\f"
 # Marker and padding tokens.
 START, END, PAD = "[CLS]", "[SEP]", "[PAD]"
+# Bytes of texts that Python looks up at once.
+SLICE_BYTES = 2 << 20
 
 
 def strip(col: Column) -> Column:
@@ -59,6 +62,23 @@ def hash_draw(key: str, seed: int = 0) -> Column:
     return F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1_000_000)) / 1_000_000
 
 
+def _sliced(limit: int) -> Callable[[pa.Array], Iterator[pa.Array]]:
+    """Cuts an array of texts into runs of rows with at most `limit` bytes; a longer text is a run of its own."""
+    def runs(texts):
+        import numpy as np
+        import pyarrow.compute as pc
+
+        ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < len(texts):
+            before = int(ends[at - 1]) if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, before + limit, "right")))
+            yield texts.slice(at, to - at)
+            at = to
+
+    return runs
+
+
 def _character(code: Column) -> Column:
     return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
 
@@ -68,14 +88,17 @@ def char_vocabulary(df: DataFrame, text: str) -> DataFrame:
 
     Each task reduces its texts to their distinct code points before anything is shuffled.
     """
+    sliced = _sliced(SLICE_BYTES)
+
     def distinct_codes(batches):
         import numpy as np
         import pyarrow as pa
 
         seen = np.zeros(0x110000, dtype=bool)
         for batch in batches:
-            whole = "".join(t for t in batch.column(0).to_pylist() if t is not None)
-            seen[np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)] = True
+            for part in sliced(batch.column(0)):
+                whole = "".join(t for t in part.to_pylist() if t is not None)
+                seen[np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)] = True
         yield pa.RecordBatch.from_pydict({"code": np.flatnonzero(seen).astype(np.int32)})
 
     codes = df.select(F.col(text).cast("string")).mapInArrow(distinct_codes, "code int").distinct()
@@ -105,30 +128,35 @@ class CharCodec:
     def encode(self, text: Column) -> Column:
         """Ids of the characters with the boundary id on both sides; unknown characters are null.
 
-        A whole Arrow batch is looked up at once in a table over code points.
+        Some megabytes of texts are looked up at once in a table over code points, however large the Arrow batches are.
         """
-        boundary, codes = self.boundary, [ord(c) for c in self.chars]
+        boundary, codes, sliced = self.boundary, [ord(c) for c in self.chars], _sliced(SLICE_BYTES)
 
         @F.arrow_udf("array<int>")
-        def ids(texts):
+        def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             import numpy as np
             import pyarrow as pa
 
             table = np.full(max(codes, default=0) + 2, -1, dtype=np.int32)
             table[codes] = np.arange(len(codes), dtype=np.int32)
-            plain = texts.to_pylist()
-            flat = np.frombuffer("".join(t or "" for t in plain).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-            found = table[np.minimum(flat, len(table) - 1)]
-            sizes = np.array([0 if t is None else len(t) + 2 for t in plain], dtype=np.int64)
-            ends = np.cumsum(sizes)
-            edge = np.zeros(int(ends[-1]) if len(ends) else 0, dtype=bool)
-            some = sizes > 0
-            edge[ends[some] - 1] = edge[(ends - sizes)[some]] = True
-            values = np.full(len(edge), boundary, dtype=np.int32)
-            values[~edge] = found
-            offsets = np.concatenate([[0], ends]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(offsets, pa.array(values, mask=values < 0), mask=pa.array(~some))
-            return lists
+
+            def looked_up(texts):
+                plain = texts.to_pylist()
+                flat = np.frombuffer("".join(t or "" for t in plain).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+                found = table[np.minimum(flat, len(table) - 1)]
+                sizes = np.array([0 if t is None else len(t) + 2 for t in plain], dtype=np.int64)
+                ends = np.cumsum(sizes)
+                edge = np.zeros(int(ends[-1]) if len(ends) else 0, dtype=bool)
+                some = sizes > 0
+                edge[ends[some] - 1] = edge[(ends - sizes)[some]] = True
+                values = np.full(len(edge), boundary, dtype=np.int32)
+                values[~edge] = found
+                offsets = np.concatenate([[0], ends]).astype(np.int32)
+                return pa.ListArray.from_arrays(offsets, pa.array(values, mask=values < 0), mask=pa.array(~some))
+
+            for texts in batches:
+                for part in sliced(texts):
+                    yield looked_up(part)
 
         return ids(text)
 
