@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from tidewell.operators import text
 from tidewell.plans.char_model import CharModel, Layer, document_loss
+from tidewell.workload import Tables
+from tidewell.workload.text import token_pairs
 
 
 def expected(model, tokens, block):
@@ -55,3 +57,11 @@ def test_document_loss(spark, layers):
         parts = [ids[a : a + block + 1] for a in range(0, len(ids) - 1, block)]
         total = sum(expected(model, part, block) * (len(part) - 1) for part in parts)
         assert nll == pytest.approx(total / positions, abs=1e-9)
+
+
+def test_small_file_of_many_positions_is_dealt(spark, tmp_path):
+    """One small file of rows that become many positions: several tasks make them."""
+    spark.range(300).selectExpr("id AS k", "concat('ab', id) AS s").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    pairs = token_pairs(Tables(spark, str(tmp_path)), "part", "k", "s", 16, rows_per_task=50)
+    assert pairs.select(F.spark_partition_id().alias("p")).distinct().count() > 3
+    assert pairs.count() == sum(len(f"ab{i}") + 1 for i in range(300))

@@ -276,5 +276,6 @@ def _model_sql() -> str:
 
 @query(_model_sql())
 def char_model_loss(t):
-    pairs = token_pairs(t, "part", "p_partkey", "p_name", 16)
+    # A small file becomes many positions, so its rows are dealt among tasks first.
+    pairs = token_pairs(t, "part", "p_partkey", "p_name", 16, rows_per_task=20_000)
     return document_loss(pairs, _MODEL, "p_partkey").withColumn("nll", F.round("nll", 6))

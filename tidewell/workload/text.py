@@ -86,9 +86,11 @@ def char_decode(t):
 PAIRS_SQL = """p AS (SELECT {key}, pos::INTEGER AS position, id AS token, lead(id) OVER (PARTITION BY {key} ORDER BY pos) AS target FROM b)"""
 
 
-def token_pairs(t, table, key, column, block):
+def token_pairs(t, table, key, column, block, rows_per_task=None):
     codec = ops.CharCodec.of(ops.char_vocabulary(t(table), column))
-    coded = t(table).select(key, codec.encode(F.col(column)).alias("ids"))
+    rows = t(table).select(key, column)
+    rows = rows.repartition(max(1, -(-rows.count() // rows_per_task))) if rows_per_task else rows
+    coded = rows.select(key, codec.encode(F.col(column)).alias("ids"))
     return ops.next_token_pairs(coded, "ids", block, [key])
 
 
