@@ -4,10 +4,12 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidewell.plans import ingest
 from tidewell.sources import json_docs, listing, sinks, tabular
 from tidewell.streaming import incremental
+from tidewell.workload import ingest as workload_ingest
 
 HEADER = ["id", "name", "age", "score"]
 
@@ -477,3 +479,24 @@ def test_damaged_json_fails(spark, tmp_path, text):
     path = write(f"{tmp_path}/in/x.json", text)
     with pytest.raises(Exception, match="JSON document"):
         json_docs.read_json(spark, path).collect()
+
+
+def test_documents_are_made_by_several_tasks(spark, tmp_path):
+    """A task writes few files, whatever they hold: one row each here."""
+    rows = spark.range(400).selectExpr("id AS k", "concat('r', id) AS s", "'not needed' AS other").coalesce(1)
+    docs = workload_ingest._documents(None, rows, ["s"], ["k"], 2)
+    held = docs.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(held) >= 4 and max(r["count"] for r in held) < 100
+    got = {r["doc"]: [x["s"] for x in r["rows"]] for r in docs.collect()}
+    assert got == {i: [f"r{2 * i}", f"r{2 * i + 1}"] for i in range(200)}
+
+
+def test_headers_are_looked_at_once(spark, tmp_path, monkeypatch):
+    for name, content in (("a", "x,y\n1,2\n"), ("b", "y,x\n3,4\n"), ("c", 'x,y\n5,"6\n"\n')):
+        write(f"{tmp_path}/in/{name}.csv", content)
+    scans, shapes = [], tabular.file_shapes
+    monkeypatch.setattr(tabular, "file_shapes", lambda *a, **k: scans.append(a) or shapes(*a, **k))
+    report = ingest.convert_folder(spark, f"{tmp_path}/in", f"{tmp_path}/out", by_folder=True)
+    assert len(scans) == 1
+    told = {(r["status"], r["rows"]) for r in report.collect()}
+    assert told == {("completed", 2), ("completed", 1)}

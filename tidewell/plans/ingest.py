@@ -54,6 +54,9 @@ class Source:
     output: str
     glob: str | None = None
     files: tuple[str, ...] = ()
+    # Of `files`, where a scan has told them: the header line, and whether a quoted field runs over a line end.
+    header: str | None = None
+    quoted: bool | None = None
 
     @property
     def paths(self) -> str | list[str]:
@@ -87,7 +90,7 @@ def convert(spark: SparkSession, source: Source, folder: str, options: Options =
     seen, none = Observation(), F.lit(0).cast("bigint")
     rejects = None
     if source.format in SEPARATORS and source.format not in options.readers:
-        raw = tabular.read_text_columns(spark, source.paths, SEPARATORS[source.format], glob=source.glob)
+        raw = tabular.read_text_columns(spark, source.paths, SEPARATORS[source.format], source.quoted, source.glob, source.header)
         kept = tabular.fitting(raw, options.rejects)
         names = tabular.value_columns(raw)
         kinds = infer_types(kept.select(*[f"`{c}`" for c in names]))
@@ -165,13 +168,13 @@ def sources_by_folder(spark: SparkSession, found: DataFrame) -> Iterator[Source]
             yield source
             continue
         shapes = tabular.file_shapes(spark, source.path, SEPARATORS[source.format], source.glob)
-        groups = shapes.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
+        groups = shapes.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"), F.bool_or("quoted").alias("quoted")).orderBy("header").collect()
         if len(groups) <= 1:
             yield source
             continue
         for i, group in enumerate(groups):
             own = source if not i else replace(source, name=f"{source.name}#{i}", output=source.output.removesuffix(".parquet") + f"__{i}.parquet")
-            yield replace(own, glob=None, files=tuple(group["files"]))
+            yield replace(own, glob=None, files=tuple(group["files"]), header=group["header"], quoted=group["quoted"])
 
 
 def convert_all(

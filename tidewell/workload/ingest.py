@@ -123,9 +123,16 @@ def json_lines_scan(t):
     return json_docs.read_json(t.spark, out, "*.json").select("event_id", "user_id", "event_type", "value")
 
 
+# Documents that a task makes and writes, about.
+DOCUMENTS_PER_TASK = 40
+
+
 def _documents(t, df, key, order, size=500):
     """Groups of at most `size` rows, as many documents as the table needs."""
-    placed = with_position(df, order, name="pos").withColumn("doc", F.floor(F.col("pos") / size))
+    needed = df.select(*dict.fromkeys([*order, *key]))
+    placed = with_position(needed, order, name="pos").withColumn("doc", F.floor(F.col("pos") / size))
+    # A file takes its time whatever its size, so that a task has few of them.
+    placed = placed.repartition(max(1, -(-df.count() // (size * DOCUMENTS_PER_TASK))), "doc")
     return placed.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("pos", *key))).alias("rows"))
 
 
