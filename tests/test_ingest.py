@@ -500,3 +500,15 @@ def test_headers_are_looked_at_once(spark, tmp_path, monkeypatch):
     assert len(scans) == 1
     told = {(r["status"], r["rows"]) for r in report.collect()}
     assert told == {("completed", 2), ("completed", 1)}
+
+
+def test_shapes_are_decided_once(spark, tmp_path, monkeypatch):
+    write(f"{tmp_path}/in/a.json", '{"a": 1}\n{"a": 2}\n')
+    write(f"{tmp_path}/in/b.json", '[\n{"a": 3}\n]')
+    write(f"{tmp_path}/in/c.json", "[4.5, 5]")
+    kept, settled = [], json_docs.settled
+    monkeypatch.setattr(json_docs, "settled", lambda df, purpose: kept.append(purpose) or settled(df, purpose))
+    rows = json_docs.read_json(spark, f"{tmp_path}/in").collect()
+    assert kept.count("file-shapes") == 1
+    assert sorted((r["a"], r["value"]) for r in rows if r["a"]) == [(1, None), (2, None), (3, None)]
+    assert sorted(r["value"] for r in rows if not r["a"]) == [4.5, 5.0]

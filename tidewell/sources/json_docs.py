@@ -103,7 +103,8 @@ def read_json(spark: SparkSession, path: str | Sequence[str], glob: str | None =
     lines = _lines_alone(spark, path, glob)
     if lines is not None:
         return lines
-    shapes = file_shapes(spark, path, glob)
+    # Written once: their number and the files of each shape come from it, and all files are read for it.
+    shapes = settled(file_shapes(spark, path, glob), "file-shapes")
     kinds = {r["shape"]: r["n"] for r in shapes.groupBy("shape").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not kinds or "none" in kinds:
         raise ValueError(f"no JSON document in {path}")
