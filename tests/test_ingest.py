@@ -468,6 +468,26 @@ def test_stream_puts_lines_apart_and_goes_on(spark, tmp_path):
     assert found() == ([*first[0], (5, "e", 7.0)], [*first[1][:1], "6,f,y", *first[1][1:]])
 
 
+def test_stream_batches_follow_bytes(spark, tmp_path):
+    """Many small files are one batch, looked up by a few tasks per core; none is lost when batches are small."""
+    for i in range(40):
+        write(f"{tmp_path}/in/{i}.csv", f"id,name\n{i},a\n{i},b,c\n")
+
+    def run(name, bound):
+        stream = incremental.arriving(spark, f"{tmp_path}/in", "csv", "id bigint, name string", files_per_batch=16, rejects=True, bytes_per_batch=bound, header="true")
+        query = incremental.convert_with_rejects(stream, f"{tmp_path}/{name}", f"{tmp_path}/{name}-apart", f"{tmp_path}/{name}-mark")
+        kept, lost = (spark.read.parquet(f"{tmp_path}/{p}") for p in (name, f"{name}-apart"))
+        assert sorted(r["id"] for r in kept.collect()) == list(range(40)) and sorted(r["line"] for r in lost.collect()) == sorted(f"{i},b,c" for i in range(40))
+        told = spark.sparkContext.statusTracker()
+        stages = [s for job in told.getJobIdsForGroup(query.runId) for s in told.getJobInfo(job).stageIds]
+        return kept.select("batch").distinct().count(), max(told.getStageInfo(s).numTasks for s in stages)
+
+    batches, tasks = run("whole", 1 << 20)
+    assert batches == 1 and tasks <= incremental.LISTING_WAVES * spark.sparkContext.defaultParallelism < 40
+    assert run("small", 100)[0] > 3
+    assert spark.conf.get(incremental.LISTING_KEY) == "10000"
+
+
 def test_empty_totals(spark):
     empty = spark.createDataFrame([], "n bigint, p bigint, done boolean")
     row = listing.size_totals(empty, "n", "p", "done").first()

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,24 +14,32 @@ from tidewell.session import shared_folder
 from tidewell.sources.sinks import CODECS
 from tidewell.sources.tabular import RAW
 
+LISTING_KEY = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+LISTING_WAVES = 4
+
 
 def arriving(
-    spark: SparkSession, path: str, kind: str, schema: T.StructType | str, files_per_batch: int = 1000, rejects: bool = False, **options: str
+    spark: SparkSession, path: str, kind: str, schema: T.StructType | str, files_per_batch: int = 1000, rejects: bool = False,
+    bytes_per_batch: int | None = None, **options: str
 ) -> DataFrame:
     """A stream over the files of a folder. Its schema is fixed, later files cannot change it.
 
+    A batch takes `files_per_batch` files; with `bytes_per_batch` instead as many as have that size together, so that the number of batches follows
+    the data and not the number of files.
+
     Text that does not fit the schema fails the run, which can be repeated once the file is mended; `mode` says otherwise. With `rejects`, lines
     of CSV or JSON that do not fit come along in `__raw_line`, for `convert_with_rejects`; short CSV lines are filled with nulls, as in a batch.
     """
+    bound = {"maxBytesPerTrigger": bytes_per_batch} if bytes_per_batch else {"maxFilesPerTrigger": files_per_batch}
     if rejects:
         if kind not in ("csv", "json"):
             raise ValueError("only lines of csv or json can be put apart")
         columns = spark.createDataFrame([], schema).schema
-        lines = spark.readStream.format(kind).schema(T.StructType([*columns, T.StructField(RAW, T.StringType())])).option("maxFilesPerTrigger", files_per_batch)
+        lines = spark.readStream.format(kind).schema(T.StructType([*columns, T.StructField(RAW, T.StringType())])).options(**bound)
         found = lines.options(**{"mode": "PERMISSIVE", "columnNameOfCorruptRecord": RAW, "escape": '"', **options}).load(path)
         return _filled(found, columns, options) if kind == "csv" else found
     options = {"mode": "FAILFAST", **options} if kind in ("csv", "json") else options
-    reader = spark.readStream.format(kind).schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    reader = spark.readStream.format(kind).schema(schema).options(**bound)
     return reader.options(**options).load(path)
 
 
@@ -45,6 +56,18 @@ def _filled(found: DataFrame, columns: T.StructType, options: dict[str, str]) ->
     return found.withColumn("__fits", fits).select(*kept, F.when(~again, F.col(RAW)).alias(RAW))
 
 
+@contextmanager
+def _few_listing_tasks(spark: SparkSession) -> Iterator[None]:
+    """Meanwhile Spark looks up the files of a batch in a few tasks per core; by default it takes a task for each of up to 10,000 files."""
+    before = spark.conf.get(LISTING_KEY, None)
+    most = LISTING_WAVES * spark.sparkContext.defaultParallelism
+    spark.conf.set(LISTING_KEY, str(min(int(before or most), most)))
+    try:
+        yield
+    finally:
+        spark.conf.set(LISTING_KEY, before) if before else spark.conf.unset(LISTING_KEY)
+
+
 def convert_with_rejects(stream: DataFrame, out: str, rejects: str, checkpoint: str | None = None, codec: str = "snappy") -> StreamingQuery:
     """Appends what fits to the table at `out` and the `line` of what does not to the one at `rejects`, then stops.
 
@@ -59,8 +82,9 @@ def convert_with_rejects(stream: DataFrame, out: str, rejects: str, checkpoint:
             rows.write.mode("overwrite").option("compression", CODECS[codec]).parquet(f"{path.rstrip('/')}/batch={number}")
         batch.unpersist()
 
-    query = stream.writeStream.foreachBatch(write).trigger(availableNow=True).option("checkpointLocation", place).start()
-    query.awaitTermination()
+    with _few_listing_tasks(stream.sparkSession):
+        query = stream.writeStream.foreachBatch(write).trigger(availableNow=True).option("checkpointLocation", place).start()
+        query.awaitTermination()
     return query
 
 
@@ -79,6 +103,7 @@ def convert_new_files(
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    query = writer.start(out)
-    query.awaitTermination()
+    with _few_listing_tasks(stream.sparkSession):
+        query = writer.start(out)
+        query.awaitTermination()
     return query

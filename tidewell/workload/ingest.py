@@ -380,7 +380,7 @@ def stream_rejects(t):
     arriving, out, apart, mark = (shared_folder(t.spark, f"reject-{p}") for p in ("in", "out", "apart", "mark"))
     for part in range(2):
         _delimited(t, t("orders").where(F.col("o_orderkey") % 2 == part), "o_orderkey", "key,status", line).write.option("maxRecordsPerFile", 1).mode("append").text(arriving)
-        stream = incremental.arriving(t.spark, arriving, "csv", "key bigint, status string", rejects=True, header="true", pathGlobFilter="*.txt")
+        stream = incremental.arriving(t.spark, arriving, "csv", "key bigint, status string", rejects=True, bytes_per_batch=256 << 20, header="true", pathGlobFilter="*.txt")
         incremental.convert_with_rejects(stream, out, apart, mark)
     kept, lost = t.spark.read.parquet(out), t.spark.read.parquet(apart)
     none = F.lit(None).cast("string").alias
