@@ -66,8 +66,10 @@ def file_shapes(spark: SparkSession, path: str | Sequence[str], glob: str | None
 
 def _text(spark: SparkSession, path: str | Sequence[str], glob: str | None, longest: int | None = None) -> DataFrame:
     reader = _reader(spark, glob)
-    # Hadoop's reader of lines leaves out those that are longer.
-    return (reader.option("mapreduce.input.linerecordreader.line.maxlength", longest) if longest else reader).text(path)
+    if not longest:
+        return reader.text(path)
+    # Hadoop's reader of lines leaves out those that are longer, but hands on the beginning of one that runs over the end of its range.
+    return reader.option("mapreduce.input.linerecordreader.line.maxlength", longest).text(path).where(F.octet_length("value") < longest)
 
 
 def _reader(spark: SparkSession, glob: str | None) -> DataFrameReader:
