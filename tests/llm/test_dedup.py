@@ -130,3 +130,37 @@ def test_id_filter_keeps_every_id(spark):
     ids = [0, 1, -5, 1 << 40, 77]
     bitmap = shared.id_filter(spark.createDataFrame([(i,) for i in ids], "doc_id bigint"), "doc_id")
     assert all(shared.in_filter(bitmap, ids)) and sum(shared.in_filter(bitmap, list(range(1000, 2000)))) < 10
+
+
+@pytest.fixture
+def files_of(spark, monkeypatch):
+    """The most files of an intermediate by purpose, with many shuffle partitions that nobody joins."""
+    found, settled = {}, shared.settled
+
+    def counted(df, purpose):
+        table = settled(df, purpose)
+        found[purpose] = max(found.get(purpose, 0), len(table.inputFiles()))
+        return table
+
+    monkeypatch.setattr(shared, "settled", counted)
+    settings = {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield found
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_small_tables_of_near_dedup_are_one_file(spark, files_of):
+    rows = [(100 * g + j, " ".join([f"g{g}w{i}" for i in range(40)] + [f"x{j}"])) for g in range(40) for j in range(3)]
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), 3, 85).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(d, d // 100 * 100) for d, _ in rows]
+    assert {k: files_of[k] for k in ("classes", "stars", "edges", "families", "members")} == dict.fromkeys(("classes", "stars", "edges", "families", "members"), 1)
+
+
+def test_small_tables_of_line_dedup_are_one_file(spark, files_of):
+    rows = [(2 * g + c, f"own {2 * g + c}\nfirst of {g}\nsecond of {g}") for g in range(100) for c in (0, 1)]
+    got = lines.repeated_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r.doc_id: r.n_removed for r in got} == {d: 2 * (d % 2) for d, _ in rows}
+    assert {k: files_of[k] for k in ("pairs", "members", "later")} == {"pairs": 1, "members": 1, "later": 1}

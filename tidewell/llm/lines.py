@@ -18,6 +18,8 @@ MIN_LINES = 2
 # Texts that a task holds in Python at a time.
 SLICE_ROWS = 256
 BLANK = " \t\n\x0b\x0c\r"
+# A place of a line with its ranks.
+SPOT_BYTES = 40
 
 
 def _named(groups: DataFrame, order: list[str]) -> DataFrame:
@@ -36,19 +38,21 @@ def suffix_ranks(spots: DataFrame, most: int) -> list[tuple[int, DataFrame]]:
     """
     lines = spots.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1").drop("copies")
     state = stored(spots.join(_named(lines, ["h1", "h2"]), ["h1", "h2"]).drop("h1", "h2"), "suffixes")
-    levels, h = [], 1
+    levels, h, size = [], 1, SPOT_BYTES * state.count()
     while h <= most and not state.isEmpty():
         levels.append((h, state))
+        if 2 * h > most:
+            break
         after = state.select(F.col("row").alias("r"), (F.col("pos") - h).alias("p"), F.col("rank").alias("second"))
         pairs = state.join(after, (F.col("row") == F.col("r")) & (F.col("pos") == F.col("p"))).where(F.col("pos") + 2 * h <= F.col("n"))
-        pairs = stored(pairs.select("row", "pos", "n", F.col("rank").alias("first"), "second"), "pairs")
+        pairs = stored(pairs.select("row", "pos", "n", F.col("rank").alias("first"), "second"), "pairs", size)
         groups = pairs.groupBy("first", "second").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1").drop("copies")
-        state = stored(pairs.join(_named(groups, ["first", "second"]), ["first", "second"]).select("row", "pos", "n", "rank"), "suffixes")
+        state = stored(pairs.join(_named(groups, ["first", "second"]), ["first", "second"]).select("row", "pos", "n", "rank"), "suffixes", size)
         h *= 2
     return levels
 
 
-def _later_copies(level: tuple[int, DataFrame], spots: DataFrame, min_lines: int) -> DataFrame:
+def _later_copies(level: tuple[int, DataFrame], spots: DataFrame, min_lines: int, size: int) -> DataFrame:
     """`row`, `pos` of the suffixes whose interval of at least `min_lines` common lines has an earlier one."""
     h, ranks = level
     if h < min_lines:
@@ -58,7 +62,7 @@ def _later_copies(level: tuple[int, DataFrame], spots: DataFrame, min_lines: int
     else:
         ranks = ranks.withColumn("tail", F.lit(0).cast("bigint"))
     rows = spots.select("row", "place").distinct()
-    members = stored(ranks.join(rows, "row").select("row", "pos", "rank", "tail", F.struct("place", "row", "pos").alias("at")), "members")
+    members = stored(ranks.join(rows, "row").select("row", "pos", "rank", "tail", F.struct("place", "row", "pos").alias("at")), "members", size)
     first = members.groupBy("rank", "tail").agg(F.min("at").alias("first"))
     return members.join(first, ["rank", "tail"]).where("at > first").select("row", "pos")
 
@@ -135,14 +139,15 @@ def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, carry: tuple[str
     place = F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("place")
     spots = held.select("row", place, "n", F.posexplode("ids").alias("pos", "id")).select("row", "place", F.col("pos").cast("bigint").alias("pos"), "n", "id.*")
     levels = suffix_ranks(spots if min_words is not None else spots.drop("place"), min_lines)
+    size = SPOT_BYTES * levels[0][1].count() if levels else 0
     later = held.select("row", F.lit(0).cast("bigint").alias("pos")).limit(0)
     if levels and 2 * levels[-1][0] > min_lines:
-        later = _later_copies(levels[-1], held.select("row", place), min_lines)
+        later = _later_copies(levels[-1], held.select("row", place), min_lines, size)
     later = later.withColumn("alone", F.lit(False))
     if levels and min_words is not None:
         later = later.unionByName(_lone_copies(levels[0]).withColumn("alone", F.lit(True)))
     later = later.groupBy("row").agg(*[F.sort_array(F.collect_list(F.when(c, F.col("pos")))).alias(name) for name, c in (("starts", ~F.col("alone")), ("lone", F.col("alone")))])
-    later, told = stored(later, "later"), held.select("row", "doc_id", "rest", "text", "n")
+    later, told = stored(later, "later", size), held.select("row", "doc_id", "rest", "text", "n")
     rest = held.schema["rest"].dataType.simpleString()
     out = f"row bigint, doc_id bigint, rest {rest}, n_lines bigint, n_removed bigint, text string, kept_sha256 string"
     # Only texts that lose lines meet their lines, in a shuffle at every size: the list grows with the input.

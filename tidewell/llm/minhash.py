@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.shared import LEFT, RIGHT, by_bytes, components, id_filter, in_filter, mix, packed, stored, word_hashes
+from tidewell.llm.shared import EDGE_BYTES, LEFT, RIGHT, by_bytes, components, id_filter, in_filter, mix, packed, stored, word_hashes
 
 # 25 bands of 5 rows miss a pair at similarity 0.85 with probability 4e-7, one at 0.8 with 5e-5.
 BANDS, ROWS = 25, 5
@@ -230,18 +230,19 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
         "doc_id bigint, n_shingles bigint, key_a bigint, key_b bigint, bands array<bigint>",
     ), "signatures")
     named = signed.where("doc_id is not null and n_shingles > 0")
+    n_named, n_shingles = named.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_shingles"), F.lit(0))).first()
     same = ["n_shingles", "key_a", "key_b"]
-    classes = stored(named.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "classes")
+    classes = stored(named.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "classes", n_named * (32 + 8 * bands))
     rows_of = classes.select("rep", F.explode("bands").alias("bucket"))
     hubs = rows_of.groupBy("bucket").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).where("hub < last")
-    stars = stored(rows_of.join(hubs, "bucket").where("rep > hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct(), "stars")
-    families = stored(components(stars).select(F.col("id").alias("rep"), F.col("component").alias("family")), "families")
+    stars = stored(rows_of.join(hubs, "bucket").where("rep > hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct(), "stars", n_named * bands * EDGE_BYTES)
+    families = stored(components(stars).select(F.col("id").alias("rep"), F.col("component").alias("family")), "families", n_named * EDGE_BYTES)
     chosen = id_filter(families, "rep")
     sets = docs.where("doc_id is not null").mapInArrow(lambda it: _chosen_sets(it, k, chosen), "rep bigint, shingles binary")
     # A representative whose doc_id occurs on several rows keeps the set of each.
-    members = stored(families.join(sets, "rep").where(F.octet_length("shingles") > 0).distinct(), "members")
+    members = stored(families.join(sets, "rep").where(F.octet_length("shingles") > 0).distinct(), "members", n_named * EDGE_BYTES + 8 * n_shingles)
     sizes = members.groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("shingles")).alias("bytes"))
-    big = stored(sizes.where((F.col("n") > BLOCK_DOCS) | (F.col("bytes") > 8 * BLOCK_SHINGLES)).select("family"), "large-families")
+    big = stored(sizes.where((F.col("n") > BLOCK_DOCS) | (F.col("bytes") > 8 * BLOCK_SHINGLES)).select("family"), "large-families", n_named * EDGE_BYTES)
     within = members.join(big, "family", "left_anti").withColumn("side", F.lit(0))
     joined = stored(within.groupBy("family").applyInArrow(lambda table: _block_links(table, percent), "a bigint, b bigint"), "links").toDF("rep", "component")
     if not big.isEmpty():

@@ -21,6 +21,11 @@ SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[list(SPACES)] = True
 FILTER_BITS = 23
+# Bytes of narrow rows for which a task of their own is worth while. Every file that a task writes costs an executor a few
+# helper processes where Hadoop sets permissions by a command.
+FILE_BYTES = 1 << 20
+# An edge, or an id and its component.
+EDGE_BYTES = 16
 
 _powers: dict[str, np.ndarray] = {}
 
@@ -28,9 +33,18 @@ _powers: dict[str, np.ndarray] = {}
 CLEANUP_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """`settled`, after which the shuffle files behind the written table are removed at once."""
+def in_files(df: DataFrame, size: int) -> DataFrame:
+    """`df` in no more partitions than `size` bytes fill, whatever the number of shuffle partitions; never in more than it has."""
+    return df.coalesce(max(1, -(-size // FILE_BYTES)))
+
+
+def stored(df: DataFrame, purpose: str, size: int | None = None) -> DataFrame:
+    """`settled`, after which the shuffle files behind the written table are removed at once.
+
+    With `size`, about the bytes it has at most, no more files are written than these fill.
+    """
     conf = df.sparkSession.conf
+    df = df if size is None else in_files(df, size)
     before = conf.get(CLEANUP_KEY, "false")
     conf.set(CLEANUP_KEY, "true")
     try:
@@ -147,9 +161,10 @@ def components(edges: DataFrame) -> DataFrame:
     """Connected components of undirected `edges (a, b)`: `id`, `component` (the smallest id reachable).
 
     Rounds of large-star and small-star: every node's neighbours are joined to its smallest neighbour,
-    so the number of edges never grows and hubs are only joined, never gathered.
+    so the number of edges never grows and hubs are only joined, never gathered. `edges` is read twice.
     """
-    state = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    size = EDGE_BYTES * edges.count()
+    state = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges", size)
     while True:
         # Done when every node has one edge, to a node that has none of its own.
         ends = state.select(F.col("u").alias("k"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
@@ -163,6 +178,6 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(least, large["u"] == least["k"]).select(
             F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("low").alias("v")), F.struct(F.col("u"), F.col("low").alias("v")))).alias("e")
         ).select("e.*").where("u <> v")
-        state = stored(small.distinct(), "edges")
+        state = stored(small.distinct(), "edges", size)
     found = state.select(F.col("u").alias("id"), F.col("v").alias("component"))
-    return found.unionByName(found.select(F.col("component").alias("id"), "component").distinct())
+    return in_files(found.unionByName(found.select(F.col("component").alias("id"), "component").distinct()), 2 * size)
