@@ -285,6 +285,26 @@ def test_words_are_tokenized_like_texts():
     assert packing.token_bytes(texts, VOCABULARY) == [np.array(tokenizer.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
 
 
+def test_forms_of_a_word_are_tokenized_once(monkeypatch):
+    texts = ["R\u00e9r\u00e9, r\u00e9r\u00e9. r\u00e9r\u00e9!!\nA$$$ a*** a", None, "", "a?! r\u00e9r\u00e9,", "it's x<| \u00d7. a."]
+    asked, encoded = [], packing._encoded
+    monkeypatch.setattr(packing, "_ids_of", {})
+    monkeypatch.setattr(packing, "_encoded", lambda words, path: asked.extend(words) or encoded(words, path))
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    assert packing.token_bytes(texts, VOCABULARY) == [np.array(tokenizer.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert sorted(w for w in asked if w) == sorted(["r\u00e9r\u00e9", ",", ".", "!!", "$$$", "***", "a", "?!", "it's", "x<|", "\u00d7.", "a."])
+
+
+@pytest.mark.parametrize("part", [40, 8 << 20])
+def test_token_bytes_of_odd_texts(monkeypatch, part):
+    monkeypatch.setattr(packing, "PART", part)
+    rng = np.random.default_rng(5)
+    marks = [*"aBz09\u00e9\u00df\u00c0\u00d7\u00f7\u00b5\u0130 \n\t\x1c\x85\xa0.,!'_|<>$", "'S", "<|EndOfText|>", "<|endoftext|>", ". ", "e\u0301", "\u03a3", "\u212a"]
+    texts = [None, "<|EndOfText|> x", *("".join(rng.choice(marks, n)) for n in rng.integers(0, 15, 3000))]
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    assert packing.token_bytes(texts, VOCABULARY) == [np.array(tokenizer.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
 def test_base_rules(docs, pairs):
     got = {r.doc_id: (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in quality.rate(docs).collect()}
     assert got == {i: corpus.base_rules(t) for i, t in pairs}

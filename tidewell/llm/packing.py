@@ -10,6 +10,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -23,6 +24,8 @@ SHARD = 16_384
 REMEMBERED = 700_000
 # Words that are tokenized as one text.
 JOINED = 512
+# Bytes of text whose words are looked up together.
+PART = 8 << 20
 PIECE = "doc_id bigint, row bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 _tokenizers: dict[str, Tokenizer] = {}
@@ -48,28 +51,28 @@ def _tokenizer(path: str) -> Tokenizer:
     return _tokenizers[path]
 
 
-# A full stop or comma between a plain letter or digit and white space is a pre-token of its own.
-STOP = re.compile(rb"[.,](?<=[a-z0-9][.,])[.,]*(?=[ \n]|$)")
-# From here on a character may combine with an earlier one, which lower-casing first would change.
-COMBINING = re.compile("[\u0300-\U0010ffff]")
+# Punctuation between a letter or digit and white space is a pre-token of its own. Apostrophes (contractions) and <, |, > (added tokens) are left out.
+STOPS = "([a-z0-9\u00df-\u00f6\u00f8-\u00ff])([!-&(-/:;=?@\\[-`{}~]+)([ \n]|$)"
+# From U+0300 on a character may combine with an earlier one, which lower-casing first would change; added tokens keep their case.
+CASED = "[\u0130\u0300-\U0010ffff]|<\\|"
+COMBINING = re.compile("[\u0130\u0300-\U0010ffff]")
 
 
-def _words(text: str | None) -> list[bytes]:
-    """The words of a text, in the fewest forms that surely have its ids."""
-    raw = (text or "").encode("utf-8", "surrogatepass")
-    if text and not COMBINING.search(text):
-        raw = STOP.sub(rb" \g<0>", raw.lower())
-    return raw.split()
+def _words(texts: pa.Array) -> pa.Array:
+    """The words of each text, in the fewest forms that surely have its ids."""
+    plain = pc.replace_substring_regex(pc.utf8_lower(texts), STOPS, r"\1 \2\3")
+    return pc.ascii_split_whitespace(pc.if_else(pc.match_substring_regex(texts, CASED), texts, plain))
 
 
 def _encoded(words: list[str], path: str) -> list[bytes]:
     """The ids of each word. Words of letters are one pre-token each, so many are tokenized as one text and cut at the word ends."""
     tokenizer, ends = _tokenizer(path), _word_ends(path)
-    plain = [i for i, w in enumerate(words) if w.isalpha() and not COMBINING.search(w) and "\u0130" not in w]
+    plain = [i for i, w in enumerate(words) if w.isalpha() and (w.isascii() or not COMBINING.search(w))]
     out: list[bytes | None] = [None] * len(words)
     for at in range(0, len(plain), JOINED):
         part = plain[at : at + JOINED]
-        ids = np.array(tokenizer.encode(" ".join([words[i] for i in part]), add_special_tokens=False).ids, "<u4")
+        coded = tokenizer.encode_batch_fast([" ".join([words[i] for i in part])], add_special_tokens=False)
+        ids = np.array(coded[0].ids, "<u4")
         cuts = 4 * (np.flatnonzero(ends[ids]) + 1)
         if len(cuts) == len(part):
             data = ids.tobytes()
@@ -81,35 +84,54 @@ def _encoded(words: list[str], path: str) -> list[bytes]:
     return out
 
 
-def token_bytes(texts: list[str | None], path: str) -> list[bytes]:
+def _parts(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of about `PART` bytes of text; a longer text is in a range with few others."""
+    at = np.cumsum(pc.binary_length(texts).to_numpy()) // PART
+    cuts = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), len(texts)]
+    return ((begin, end) for begin, end in zip(cuts, cuts[1:], strict=False) if begin < end)
+
+
+def _part_bytes(texts: pa.Array, path: str) -> list[bytes]:
+    words, known = _words(texts), _ids_of.setdefault(path, {})
+    places = words.flatten().dictionary_encode()
+    distinct = places.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+    new = [w for w in distinct if w not in known]
+    if len(known) + len(new) > REMEMBERED:
+        known.clear()
+        new = distinct
+    known.update(zip(new, _encoded([w.decode("utf-8") for w in new], path), strict=True))
+    ids = pa.array([known[w] for w in distinct], pa.large_binary()).take(places.indices)
+    _, offsets, data = ids.buffers()
+    cuts = np.frombuffer(offsets, np.int64)[words.offsets.to_numpy()].tolist()
+    data = memoryview(data or b"")
+    return [data[begin:end].tobytes() for begin, end in zip(cuts, cuts[1:], strict=False)]
+
+
+def token_bytes(texts: pa.Array | list[str | None], path: str) -> list[bytes]:
     """The ids of each text as little-endian unsigned 32-bit integers.
 
     The vocabulary's normaliser lower-cases, its pre-tokenizer drops white space and no token crosses it, so a text's ids are those of
-    its lower-cased words (between ASCII white space), and each word is tokenized once.
+    its lower-cased words (between ASCII white space), and each word is tokenized once. Arrow cuts the texts into words and numbers the
+    distinct ones, so Python sees a word once per part of `PART` bytes.
     """
-    known = _ids_of.setdefault(path, {})
-    split = [_words(t) for t in texts]
-    new = list(set().union(*split).difference(known))
-    if len(known) + len(new) > REMEMBERED:
-        known.clear()
-        new = list(set().union(*split))
-    known.update(zip(new, _encoded([w.decode("utf-8", "replace") for w in new], path), strict=True))
-    return [b"".join([known[w] for w in words]) for words in split]
+    texts = pc.fill_null((texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())).cast(pa.large_string()), "")
+    return [data for begin, end in _parts(texts) for data in _part_bytes(texts.slice(begin, end - begin), path)]
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: int) -> Iterator[pa.RecordBatch]:
     end, step = np.array([end_id], "<u4").tobytes(), 4 * capacity
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
     for batch in batches:
-        ids, rows, texts = (batch[c].to_pylist() for c in ("doc_id", "row", "text"))
-        for begin in range(0, len(texts), 512):
+        whole = pc.fill_null(batch["text"].cast(pa.large_string()), "")
+        for begin, stop in _parts(whole):
+            ids, rows = (batch[c].slice(begin, stop - begin).to_pylist() for c in ("doc_id", "row"))
             out = []
-            for doc, row, data in zip(ids[begin:], rows[begin:], token_bytes(texts[begin : begin + 512], path), strict=False):
+            for doc, row, data in zip(ids, rows, _part_bytes(whole.slice(begin, stop - begin), path), strict=True):
                 data += end
                 for piece, at in enumerate(range(0, len(data), step)):
                     part = data[at : at + step]
                     out.append((doc, row, piece, at // 4, len(part) // 4, zlib.crc32(part)))
             columns = zip(*out, strict=True)
-            types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["doc_id", "row", "piece", "start", "length", "ids_crc32"])
 
